@@ -63,6 +63,15 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A settled table of ids is broadcast up to so many rows (some 20 MB), and shuffled beyond.
+BROADCAST_ROWS = 400_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A settled narrow table for a join: broadcast only if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

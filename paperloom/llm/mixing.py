@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, settled, table, word_count
+from .common import id_text, settled, sized, table, word_count
 
 WEIGHTS = (3, 1, 2)
 
@@ -111,6 +111,29 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int
     return queue.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int = 2, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, its columns unchanged.
+
+    Rows find their number by id, source and size. Where several rows agree in all
+    three, the numbers are dealt to them in order of their text's hash.
+    """
+    taken = mix_sources(docs, weights, share, most, id_col, source_col, text_col).filter("taken > 0")
+    counts = taken.select("doc_id", "source", "size", (F.col("taken") / F.col("size")).cast("int").alias("copies"))
+    counts = settled(counts.groupBy("doc_id", "source", "size").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies")))
+    t = sized(counts.toDF("t_id", "t_source", "t_size", "t_copies"))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(whole.alias("whole"), F.col(id_col).alias("k_id"), F.col(source_col).alias("k_source"), word_count(F.col(text_col)).alias("k_size"), F.xxhash64(F.col(text_col)).alias("k_hash"))
+    same = F.col("k_id").eqNullSafe(F.col("t_id")) & F.col("k_source").eqNullSafe(F.col("t_source")) & (F.col("k_size") == F.col("t_size"))
+    rows = rows.join(t, same)
+    once = rows.filter("size(t_copies) = 1").select("whole", F.col("t_copies")[0].alias("copies"))
+    if not counts.filter("size(copies) > 1").isEmpty():
+        nth = F.row_number().over(Window.partitionBy("k_id", "k_source", "k_size").orderBy("k_hash"))
+        many = rows.filter("size(t_copies) > 1").withColumn("nth", nth).select("whole", F.coalesce(F.get("t_copies", F.col("nth") - 1), F.lit(0)).alias("copies"))
+        once = once.unionAll(many)
+    again = F.explode(F.array_repeat("whole", F.col("copies"))).alias("whole")
+    return once.select(again).select("whole.*")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 

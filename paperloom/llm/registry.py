@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import mixing, repetition, sharding, token_counts, url_filters
+from . import decontamination, mixing, near_dedup, repetition, sharding, token_counts, url_filters
 from .common import table
 
 
@@ -48,12 +48,15 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_decontamination": decontamination.query,
     "op3_token_counts": op3_token_counts,
     "op5_url_filters": url_filters.query,
+    "op7_near_dedup": near_dedup.query,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": mixing.query,
 }
 ORACLE = {
+    "op2_decontamination": decontamination.SQL,
     "op5_url_filters": url_filters.SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_mixing": mixing.SQL,

@@ -81,12 +81,12 @@ def _measured(texts: pd.Series) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True)[FIELDS] if parts else pd.DataFrame({f: np.zeros(0, np.int64) for f in FIELDS})
 
 
-def repetition(docs: DataFrame, text_col: str = "text", min_words: int = 50, max_repeat: int = 50) -> DataFrame:
-    """``docs`` with one more column, a struct ``quality`` of all figures, ``base_failed`` and ``kept``.
+def repetition(docs: DataFrame, text_col: str = "text", min_words: int = 50, max_repeat: int = 50, into: str = "quality") -> DataFrame:
+    """``docs`` with one more column ``into``, a struct of all figures, ``base_failed`` and ``kept``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat`` per
     cent of words in repeated windows of three. ``kept``: neither that nor a share
-    above its limit. If ``docs`` has a column ``quality``, the new one replaces it.
+    above its limit. If ``docs`` has a column of that name, the new one replaces it.
     """
     m = fresh(docs, "m")
     got = docs.withColumn(m, _measured(F.coalesce(F.col(text_col), F.lit(""))))
@@ -95,4 +95,4 @@ def repetition(docs: DataFrame, text_col: str = "text", min_words: int = 50, max
     over = 100 * f("dup_line_chars") > LINE_LIMIT * f("line_chars")
     for n, most in GRAM_LIMITS.items():
         over = over | (100 * f(f"dup_chars_{n}") > most * f("word_chars"))
-    return got.withColumn("quality", F.struct(*(f(x).alias(x) for x in FIELDS), failed.alias("base_failed"), (~failed & ~over).alias("kept"))).drop(m)
+    return got.withColumn(into, F.struct(*(f(x).alias(x) for x in FIELDS), failed.alias("base_failed"), (~failed & ~over).alias("kept"))).drop(m)
