@@ -43,6 +43,7 @@ from .common import fresh, settled, sized, table
 KMER, SKETCHES = 5, 36
 #: A key of one sketch that more texts share than this is extended by the next sketch.
 BUCKET = 32
+PARITY = 1024
 #: Edits allowed, as a share of the longer text's words (similarity 0.8 or more).
 EDITS = (2, 10)
 
@@ -88,14 +89,22 @@ def sketch(kmers: np.ndarray, block: int = 8192) -> np.ndarray:
     return tb.mix(kmers[at[:, 0]] * _C1 + kmers[at[:, 1]])
 
 
-def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words and keys of each text, first those of one sketch, then those of two; a text without words has none."""
+def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Words, keys and word bits of each text.
+
+    Keys: first those of one sketch, then those of two; none without words. Bits: the
+    parity of the text's words, numbered by occurrence, in PARITY hashed places. An
+    edit changes two places at most, so texts that differ in more than twice the
+    allowed edits are no near-duplicates, whatever falls together.
+    """
     buf, offsets = tb.pack(texts)
     starts, ends = tb.spans(buf, tb.SPACE)
     hashes = tb.span_hashes(buf, starts, ends)
     doc = np.searchsorted(offsets, starts, "right") - 1
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     n_words = np.diff(first)
+    place = doc * PARITY + (_label(hashes, doc) >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64)
+    bits = np.packbits(np.bincount(place, minlength=len(texts) * PARITY).reshape(-1, PARITY) & 1, axis=1).view(np.int64) if len(texts) else np.zeros((0, PARITY // 64), np.int64)
     key, whole = tb.grams(hashes, doc, KMER)
     at = np.flatnonzero(whole)
     key[at] = _label(key[at], doc[at])
@@ -110,7 +119,7 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
         size_class = np.floor(math.log(n) / _WIDTH + (_LANES % 2) / 2).astype(np.uint64)
         one = tb.mix(s * _C1 + size_class * np.uint64(0x27D4EB2F165667C5) + _LANES.astype(np.uint64))
         out.append(np.concatenate([one, tb.mix(one + np.roll(s, -1) * _C2)]).view(np.int64))
-    return n_words, out
+    return n_words, out, bits
 
 
 _WORD = re.compile(r"[^ \t-\r]+").findall
@@ -220,18 +229,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(7), "text")})
 
-    @F.pandas_udf(T.StructType([T.StructField("n_words", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
+    @F.pandas_udf(T.StructType([T.StructField("n_words", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType()))]))
     def keyed(texts: pd.Series) -> pd.DataFrame:
-        values, n, keys = texts.tolist(), [], []
+        values, n, keys, bits = texts.tolist(), [], [], []
         for lo, hi in tb.chunks(values):
             got = bands(values[lo:hi])
             n.append(got[0])
             keys += got[1]
-        return pd.DataFrame({"n_words": np.concatenate(n) if n else np.zeros(0, np.int64), "keys": keys})
+            bits += list(got[2])
+        return pd.DataFrame({"n_words": np.concatenate(n) if n else np.zeros(0, np.int64), "keys": keys, "bits": bits})
 
-    rows = settled(docs.withColumn("s", keyed("text")).select("doc_id", "h1", "h2", F.monotonically_increasing_id().alias("row"), "s.n_words", "s.keys"))
+    rows = settled(docs.withColumn("s", keyed("text")).select("doc_id", "h1", "h2", F.monotonically_increasing_id().alias("row"), "s.n_words", "s.keys", "s.bits"))
     nodes = settled(
-        rows.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"), F.any_value("n_words").alias("n_words"), F.any_value("keys").alias("keys"))
+        rows.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"), F.any_value("n_words").alias("n_words"), F.any_value("keys").alias("keys"), F.any_value("bits").alias("bits"))
     )
     lanes = F.arrays_zip(F.slice("keys", 1, SKETCHES).alias("short"), F.slice("keys", SKETCHES + 1, SKETCHES).alias("long"))
     keys = nodes.select("node", "n_words", F.inline(lanes)).toDF("node", "n_words", "key", "longer")
@@ -249,11 +259,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = members.join(labels, "node", "left").select("key", "node", "n_words", F.coalesce("component", "node").alias("component"))
     held = settled(held)
     main = held.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("m.component").alias("main"))
-    apart = held.join(main, "key")
-    x = apart.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"))
-    y = apart.select("key", F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"))
+    apart = held.join(main, "key").join(nodes.select("node", "bits"), "node")
+    x = apart.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"), F.col("bits").alias("bx"))
+    y = apart.select("key", F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"), F.col("bits").alias("by"))
     long, edits = F.greatest("nx", "ny"), F.abs(F.col("nx") - F.col("ny"))
-    rest = x.join(y, "key").filter((F.col("cx") != F.col("cy")) & (EDITS[1] * edits <= EDITS[0] * long)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    differ = sum((F.bit_count(F.col("bx")[i].bitwiseXOR(F.col("by")[i])) for i in range(PARITY // 64)), F.lit(0))
+    rest = x.join(y, "key").filter((F.col("cx") != F.col("cy")) & (EDITS[1] * edits <= EDITS[0] * long) & (EDITS[1] * differ <= 2 * EDITS[0] * long)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = settled(rest.join(pairs, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.unionAll(_verified(rest, nodes, docs))

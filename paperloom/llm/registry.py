@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, near_dedup, repetition, sharding, token_counts, url_filters
+from . import decontamination, html_extraction, mixing, near_dedup, repetition, sharding, surrogates, token_counts, url_filters
 from .common import table
 
 
@@ -50,7 +50,9 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": decontamination.query,
     "op3_token_counts": op3_token_counts,
+    "op4_html_extraction": html_extraction.query,
     "op5_url_filters": url_filters.query,
+    "op6_pii": surrogates.query,
     "op7_near_dedup": near_dedup.query,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": mixing.query,
