@@ -9,6 +9,9 @@ two are near-duplicates if their words' edit distance, found by alignment in a
 band, is at most a fifth of the longer one's length. Classes are the connected
 components of those links and of equal texts.
 
+An immediate repetition of up to five words counts once in all of this, so that two
+texts are not alike for one phrase that both repeat hundreds of times.
+
 Two texts share a sketch with about the square of their k-mers' overlap: one of 36
 with a probability of over 0.999 from an overlap of 0.42 on, and one pair of
 sketches in a row, which only the most common keys need, from 0.7 on.
@@ -28,7 +31,6 @@ threshold is a link; an empty table gives an empty result; null ids are ordinary
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 
 import numpy as np
@@ -40,7 +42,7 @@ from pyspark.sql import types as T
 from . import textbytes as tb
 from .common import fresh, settled, sized, table
 
-KMER, SKETCHES = 5, 36
+KMER, SKETCHES, REPEAT = 5, 36, 5
 #: A key of one sketch that more texts share than this is extended by the next sketch.
 BUCKET = 32
 PARITY = 1024
@@ -89,6 +91,30 @@ def sketch(kmers: np.ndarray, block: int = 8192) -> np.ndarray:
     return tb.mix(kmers[at[:, 0]] * _C1 + kmers[at[:, 1]])
 
 
+def collapse(word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without immediate repetitions of blocks of one to five words."""
+    for p in range(1, REPEAT + 1):
+        same = np.zeros(max(len(word) - p, 0) + 2, np.int8)
+        same[1:-1] = (word[p:] == word[:-p]) & (doc[p:] == doc[:-p])
+        step = np.diff(same)
+        start, length = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - np.flatnonzero(step == 1)
+        start, length = start[length >= p] + p, length[length >= p] // p * p
+        if len(start):
+            gone = np.zeros(len(word) + 1, np.int64)
+            np.add.at(gone, start, 1)
+            np.add.at(gone, start + length, -1)
+            keep = np.cumsum(gone[:-1]) == 0
+            word, doc = word[keep], doc[keep]
+    return word, doc
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of each word that counts, in order."""
+    buf, offsets = tb.pack(texts)
+    starts, ends = tb.spans(buf, tb.SPACE)
+    return collapse(tb.span_hashes(buf, starts, ends), np.searchsorted(offsets, starts, "right") - 1)
+
+
 def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Words, keys and word bits of each text.
 
@@ -97,10 +123,7 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     edit changes two places at most, so texts that differ in more than twice the
     allowed edits are no near-duplicates, whatever falls together.
     """
-    buf, offsets = tb.pack(texts)
-    starts, ends = tb.spans(buf, tb.SPACE)
-    hashes = tb.span_hashes(buf, starts, ends)
-    doc = np.searchsorted(offsets, starts, "right") - 1
+    hashes, doc = word_hashes(texts)
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     n_words = np.diff(first)
     place = doc * PARITY + (_label(hashes, doc) >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64)
@@ -122,9 +145,6 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     return n_words, out, bits
 
 
-_WORD = re.compile(r"[^ \t-\r]+").findall
-
-
 def within(a: list, b: list, most: int) -> bool:
     """Whether the edit distance of two lists is at most ``most``.
 
@@ -177,8 +197,19 @@ def within(a: list, b: list, most: int) -> bool:
 
 def near(one: str, other: str) -> bool:
     """Whether two texts are near-duplicates."""
-    a, b = _WORD(one), _WORD(other)
-    return within(a, b, EDITS[0] * max(len(a), len(b)) // EDITS[1])
+    return verify([(one, other)])[0]
+
+
+def verify(pairs: list[tuple[str, str]]) -> list[bool]:
+    """Which pairs of texts are near-duplicates."""
+    texts = list(dict.fromkeys(t for p in pairs for t in p))
+    words: dict[str, list[int]] = {}
+    for lo, hi in tb.chunks(texts):
+        hashes, doc = word_hashes(texts[lo:hi])
+        edges = np.searchsorted(doc, np.arange(hi - lo + 1))
+        for i in range(lo, hi):
+            words[texts[i]] = hashes[edges[i - lo] : edges[i - lo + 1]].tolist()
+    return [within(a := words[x], b := words[y], EDITS[0] * max(len(a), len(b)) // EDITS[1]) for x, y in pairs]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -214,7 +245,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def check(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([near(p, q) for p, q in zip(x, y, strict=True)], dtype=bool)
+        pairs, out = list(zip(x, y, strict=True)), []
+        for lo, hi in tb.chunks([p + q for p, q in pairs]):
+            out += verify(pairs[lo:hi])
+        return pd.Series(out, dtype=bool)
 
     return pairs.join(one, "a").join(other, "b").filter(check("text_a", "text_b")).select("a", "b")
 
