@@ -23,7 +23,7 @@ after that, all of them: the result is the same as if every pair of every band
 had been compared. Narrow tables are checkpointed; texts are read again for
 candidates only.
 
-Edge cases: a null text counts as empty and all empty texts are equal; a text
+Edge cases: a null text counts as empty and all texts without words are alike; a text
 under five words is one k-mer; repeated rows are copies; a similarity equal to the
 threshold is a link; an empty table gives an empty result; null ids are ordinary.
 """
@@ -118,7 +118,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Words, keys and word bits of each text.
 
-    Keys: first those of one sketch, then those of two; none without words. Bits: the
+    Keys: first those of one sketch, then those of two; texts without words share theirs. Bits: the
     parity of the text's words, numbered by occurrence, in PARITY hashed places. An
     edit changes two places at most, so texts that differ in more than twice the
     allowed edits are no near-duplicates, whatever falls together.
@@ -135,7 +135,7 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     for i, n in enumerate(n_words.tolist()):
         lo = int(first[i])
         if not n:
-            out.append(np.zeros(0, np.int64))
+            out.append(np.concatenate([_LANES, _LANES]))
             continue
         kmers = key[lo : lo + n - KMER + 1] if n >= KMER else tb.grams(hashes[lo : lo + n], doc[lo : lo + n], n)[0]
         s = sketch(kmers)
