@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, mixing, near_dedup, repetition, sharding, surrogates, token_counts, url_filters
+from . import decontamination, html_extraction, language_model, mixing, near_dedup, repetition, sharding, surrogates, token_counts, url_filters
 from .common import table
 
 
@@ -54,6 +54,7 @@ QUERIES = {
     "op5_url_filters": url_filters.query,
     "op6_pii": surrogates.query,
     "op7_near_dedup": near_dedup.query,
+    "op8_lm_scoring": language_model.query,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": mixing.query,
 }
