@@ -26,6 +26,25 @@ def sub(text: Column, rules) -> Column:
     return text
 
 
+def sub_if(text: Column, rules) -> Column:
+    """Rules ``(pattern, replacement, needed)``: one is tried only on texts with the literal it needs.
+
+    A needed literal without letters is looked up as it is, others without case.
+    """
+    for pattern, replacement, needed in rules:
+        text = let(text, _guarded(pattern, replacement, needed))
+    return text
+
+
+def _guarded(pattern: str, replacement: str, needed: str) -> Callable:
+    plain = needed.lower() == needed.upper()
+
+    def one(t):
+        return F.when(t.contains(needed) if plain else t.rlike(f"(?i)\\Q{needed}\\E"), F.regexp_replace(t, pattern, replacement)).otherwise(t)
+
+    return one
+
+
 def swap(text: Column, pairs) -> Column:
     """Plain replacements in order; runs of one-character pairs become one pass."""
     pairs = list(pairs.items() if isinstance(pairs, dict) else pairs)

@@ -45,6 +45,9 @@ NOISE = (
     r"(?dUm)^.*\(\d+ of \d+\)\s*©\s*\d{4}.*$",
     r"(?dUi)\d+\s+These\s+authors\s+contributed\s+equally:[^.]+\.\s+e-?mail:\s*[\w.\-@]+(?:\s*;\s*[\w.\-@]+)*\s*",
 )
+#: A literal that each of them needs.
+NEEDED = ("onlinelibrary.wiley.com", "](http", "", "", "", "www.", "©", "doi:", "orcid.org/", "orcid", "creative", "©", "©", "1234567890():,;", "science", "science", "view", "view", "permissions", "permissions", "[use", "www.science.org/", "washington", " ", "|", "©", "contributed")
+
 # What tells a repeated paragraph as the publisher's.
 SIGNALS = r"(?dUi)https?://|www\.[a-z\-]+\.[a-z]{2,}|©|\d{4,7}\s*\(\d+\s*of\s*\d+\)|Downloaded from|published by|All rights reserved|licensee American Association|Use of this article is subject"
 CITATIONS = (
@@ -108,7 +111,7 @@ def encoding(md: Column) -> Column:
 
 
 def noise(md: Column) -> Column:
-    return tk.sub(md, [(p, "") for p in NOISE])
+    return tk.sub_if(md, [(p, "", n) for p, n in zip(NOISE, NEEDED, strict=True)])
 
 
 def repeated_paragraphs(md: Column) -> Column:

@@ -28,10 +28,16 @@ def source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     sql = sql.replace("__LI__", LI)
     for n in NAMES:
         if f"FROM {n}" in sql:
-            spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
+            spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")).createOrReplaceTempView(n)
     return spark.sql(sql)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table whose scan has fewer tasks than the cluster has cores is dealt out; a large one never is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def add(name: str, inputs: str | dict, run, oracle: str | None = None) -> None:
     """Registers a query. ``oracle`` may name the inputs; a single one is ``x``."""
     inputs = {k: sql.replace("__LI__", LI) for k, sql in ({"x": inputs} if isinstance(inputs, str) else inputs).items()}
