@@ -23,8 +23,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A standard table. One whose scan has fewer tasks than the cluster has cores is dealt out; a large one never is."""
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores else df
 
 
 def fresh(df: DataFrame, base: str) -> str:
