@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
@@ -198,6 +198,26 @@ def heading_levels(md: Column) -> Column:
     return tk.sub(md, [(r"(?Udm)^#[^\S\n]+(\d+)\.[^\S\n]+(.+)$", "## $1. $2"), (r"(?Udm)^#[^\S\n]+(\d+\.\d+\.?)[^\S\n]+(.+)$", "### $1 $2")])
 
 
+def abstract(md: Column) -> Column:
+    """The first long bold paragraph after the title, before any heading, becomes the abstract, its emphasis gone."""
+
+    def put(ps):
+        place = F.sequence(F.lit(0), F.size(ps) - 1)
+        s = lambda i: tk.strip(tk.at(ps, i))
+        first = lambda ok: tk.at(F.filter(place, lambda i: F.coalesce(ok(i), F.lit(False))), F.lit(0))
+        fits = lambda i: s(i).startswith("**") & (F.length(F.regexp_replace(s(i), r"[*_]", "")) >= 80) & (tk.count(s(i), r"\*\*[^*]+\*\*") >= 2)
+
+        def found(title):
+            stop = F.least(F.coalesce(first(lambda i: (i > title) & s(i).rlike(r"^#{1,4}\s")), F.size(ps)), title + 20)
+            return tk.let(stop, lambda end: first(lambda i: (i > title) & (i < end) & fits(i)))
+
+        plain = lambda p: tk.sub(tk.strip(p), [(r"_\*\*([^*]+)\*\*_", "_$1_"), (r"\*\*([^*]*)\*\*", "$1"), (r"\*\*", "")])
+        at = tk.let(first(lambda i: s(i).rlike(r"^#\s+")), found)
+        return tk.let(at, lambda k: F.array_join(F.transform(ps, lambda p, i: F.when(i == k, F.concat(F.lit("**Abstract**\n\n"), plain(p))).otherwise(p)), "\n\n"))
+
+    return tk.let(tk.paras(md), put)
+
+
 def column_breaks(md: Column) -> Column:
     """Runs of plain lines become one line."""
     guarded = lambda x: tk.strip(x).rlike(PROTECTED)
@@ -290,3 +310,19 @@ def pymupdf_quirks(md: Column) -> Column:
 
 def docling_quirks(md: Column) -> Column:
     return nz.unicode_escapes(nz.hyphens(tk.swap(md, nz.LIGATURE_NAMES)))
+
+
+#: The layers of post-processing; a journal paper's is the same with or without the hybrid engine.
+UNIVERSAL = (encoding, watermarks, spaces, citations, mid_sentence, blank_lines)
+JOURNAL_PAPER = (bold_headings, heading_levels, abstract, column_breaks, latex_blocks, reference_numbers, consolidate_references, reference_boilerplate)
+ENGINES = {"marker": (marker_quirks,), "pymupdf4llm": (pymupdf_quirks,), "docling": (docling_quirks,)}
+
+
+def postprocess(docs: DataFrame, engine: str | None = None, doc_type: str = "journal_paper", md: str = "md") -> DataFrame:
+    """All layers in order on a column of ``docs``; the engine's own is none for the hybrid one.
+
+    A projection a rule keeps each expression small; there is no shuffle between them.
+    """
+    for rule in (*UNIVERSAL, *(JOURNAL_PAPER if doc_type == "journal_paper" else ()), *ENGINES.get(engine, ()), blank_lines):
+        docs = docs.withColumn(md, rule(F.col(md)))
+    return docs

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
-from ..operators import align, layout, learn, metadata, normalize, postprocess, score
+from ..functions.session import ship
+from ..operators import align, folds, layout, learn, metadata, normalize, postprocess, score
+from ..sources import io
 from .md_docs import MD
 
 QUERIES: dict = {}
@@ -25,6 +27,7 @@ LI = "(SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppk
 
 def source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A statement over the standard tables it names."""
+    ship(spark)
     sql = sql.replace("__LI__", LI)
     for n in NAMES:
         if f"FROM {n}" in sql:
@@ -343,4 +346,21 @@ HEADERS = "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'A|A|A|B|B|' || source |
 add("d_header_dedup", HEADERS, lambda d: d.select("doc_id", F.array_join(metadata.repeated_headers(F.split("h", r"\|")), "|").alias("kept")), "WITH a AS (SELECT doc_id, unnest(string_split(h, '|')) AS c, generate_subscripts(string_split(h, '|'), 1) AS k FROM x), b AS (SELECT *, lag(c) OVER w AS c1, lag(c, 2) OVER w AS c2 FROM a WINDOW w AS (PARTITION BY doc_id ORDER BY k)) SELECT doc_id, string_agg(c, '|' ORDER BY k) AS kept FROM b WHERE c = '' OR NOT coalesce(c = c1 AND c = c2, false) GROUP BY doc_id")
 add("d_header_markdown", HEADERS, lambda d: d.select("doc_id", F.md5(metadata.header_markdown(F.split("h", r"\|"))).alias("digest")), f"SELECT doc_id, md5('| ' || array_to_string(string_split(h, '|'), ' | ') || ' |' || {NL} || '| ' || array_to_string(list_transform(string_split(h, '|'), lambda z: repeat('-', greatest(length(z), 3))), ' | ') || ' |' || {NL} || '| ' || array_to_string(list_transform(string_split(h, '|'), lambda z: repeat(' ', greatest(length(z), 3))), ' | ') || ' |' || {NL} || '| ' || array_to_string(list_transform(string_split(h, '|'), lambda z: repeat(' ', greatest(length(z), 3))), ' | ') || ' |') AS digest FROM x")
 
+# folds, files
+text_query("p_abstract", postprocess.abstract)
+add("p_postprocess", MD, lambda d: postprocess.postprocess(d, "hybrid").select("doc_id", F.md5("md").alias("digest"), F.length("md").cast("long").alias("n_chars")))
+PAIRS = "SELECT doc_id, 'a' || chr(10) || text || chr(10) || 'end' AS original, CASE WHEN doc_id % 2 = 0 THEN 'a' || chr(10) || text || chr(10) || 'new end' || chr(10) || 'x $y$' ELSE text || chr(10) || 'end' END AS corrected FROM documents"
+add("l_diff", PAIRS, lambda d: folds.corrections(d, F.col("original"), F.col("corrected")), """WITH t AS (SELECT *, len(string_split(original, chr(10))) AS n, len(string_split(corrected, chr(10))) AS m FROM x)
+SELECT doc_id, CAST(n AS INT) AS line, 'end' AS "before", 'new end' AS "after", 'text_fix' AS type FROM t WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, CAST(m AS INT), '', 'x $y$', 'formula_fix' FROM t WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 1, 'a', NULL, 'boilerplate_removal' FROM t WHERE doc_id % 2 = 1""")
+SPANS = "SELECT doc_id, pos, pos % 2 AS page, CASE WHEN pos = 3 THEN 'never there' ELSE substr(text, pos * 5 + 1, 4) END AS normed, false AS is_caption FROM documents CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(pos) WHERE length(text) > 60 AND doc_id % 4 = 0"
+QUERIES["f_locate_spans"] = lambda spark, sf_dir: folds.locate_spans(source(spark, sf_dir, SPANS), source(spark, sf_dir, "SELECT doc_id, text AS md FROM documents")).select("doc_id", "pos", "md_start", "md_end")
+QUERIES["f_locate_spans_by_page"] = lambda spark, sf_dir: folds.locate_spans(source(spark, sf_dir, SPANS), source(spark, sf_dir, "SELECT doc_id, text AS md FROM documents"), by_page=True).select("doc_id", "pos", "md_start", "md_end")
+ORACLE["f_locate_spans"] = f"""WITH RECURSIVE s AS ({SPANS.replace("FROM documents CROSS JOIN", "FROM documents CROSS JOIN")}), w AS (
+SELECT s.doc_id, s.pos, strpos(text, normed) - 1 AS a, length(normed) AS n, greatest(strpos(text, normed), 0) AS cur FROM s JOIN documents d USING (doc_id) WHERE pos = 0
+UNION ALL SELECT s.doc_id, s.pos, CASE WHEN strpos(substr(text, cur + 1), normed) > 0 THEN cur + strpos(substr(text, cur + 1), normed) - 1 ELSE -1 END, length(normed), CASE WHEN strpos(substr(text, cur + 1), normed) > 0 THEN cur + strpos(substr(text, cur + 1), normed) ELSE cur END
+FROM w JOIN s ON s.doc_id = w.doc_id AND s.pos = w.pos + 1 JOIN documents d ON d.doc_id = s.doc_id)
+SELECT doc_id, pos, CAST(CASE WHEN a >= 0 THEN a END AS INT) AS md_start, CAST(CASE WHEN a >= 0 THEN a + n END AS INT) AS md_end FROM w"""
+add("k_move_figures", "SELECT l_orderkey AS doc_id, l_linenumber AS pos, CASE l_partkey % 4 WHEN 0 THEN 'img' WHEN 1 THEN 'text' WHEN 2 THEN 'caption_inline' ELSE 'text' END AS type FROM __LI__", lambda d: folds.move_figures(d).select("doc_id", "pos", "order"))
+add("s_front_matter", "SELECT doc_id, '---' || chr(10) || 'title: \"' || source || '\"' || chr(10) || 'lang: ' || lang || chr(10) || '---' || chr(10) || text AS md FROM documents".replace('\\"', '"'), lambda d: d.withColumn("m", io.front_matter(F.col("md"))).select("doc_id", F.col("m")["title"].alias("title"), F.col("m")["lang"].alias("lang"), F.md5(io.without_front_matter(F.col("md"))).alias("digest")), "SELECT x.doc_id, source AS title, lang, md5(ltrim(text, chr(10))) AS digest FROM x JOIN documents USING (doc_id)")
+
 ORACLE = {k: v.replace("__LI__", LI) for k, v in ORACLE.items()}
