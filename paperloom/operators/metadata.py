@@ -14,6 +14,35 @@ def keywords(md: Column, most: int = 5) -> Column:
     return F.slice(F.filter(F.transform(F.split(line, "[;,]"), tk.strip), lambda k: k != ""), 1, most)
 
 
+# Lines between the title and the authors.
+BETWEEN = r"(?i)^(?:Received|Accepted|Revised|Published|Check\s+for\s+updates?|\d{10,}|https?://|npj|Nature\s+Commun)"
+
+
+def title(md: Column) -> Column:
+    """The first second-level heading without a number; empty without one."""
+    found = F.filter(F.transform(tk.lines(md), tk.strip), lambda x: x.startswith("## ") & ~x.rlike(r"^##\s+\d+[.\s]"))
+    return F.coalesce(tk.strip(F.substring(tk.at(found, F.lit(0)), 4, 1_000_000)), F.lit(""))
+
+
+def author_line(md: Column) -> Column:
+    """The first line after the title's that is neither blank nor a date, number or journal name."""
+
+    def after(ls):
+        top = F.array_position(F.transform(ls, lambda x: x.startswith("## ") & ~x.rlike(r"^##\s+\d+[.\s]")), True)
+        rest = F.slice(ls, F.when(top > 0, top + 1).otherwise(F.size(ls) + 1).cast("int"), F.size(ls))
+        return F.coalesce(tk.at(F.filter(rest, lambda x: (x != "") & ~x.rlike(BETWEEN)), F.lit(0)), F.lit(""))
+
+    return tk.let(F.transform(tk.lines(md), tk.strip), after)
+
+
+def authors(line: Column) -> Column:
+    """``array<struct<name, corresponding>>`` of an author line: numbers and formulas gone, a mark makes a corresponding author."""
+    clean = tk.sub(line, [(r"(\w),\s*([*✉†]+)", "$1$2,"), (r"\s+\d+(?:,\d+)*\b", ""), (r"\s*\$[^$]+\$\s*", " "), (" & ", ", ")])
+    names = F.transform(F.split(clean, r",\s*|\s+and\s+"), lambda n: F.regexp_replace(tk.strip(n), r"(?i)^and\s+", ""))
+    made = F.transform(names, lambda n: F.struct(tk.strip(F.regexp_replace(n, "[*✉†]+", "")).alias("name"), n.rlike("[*✉†]").alias("corresponding")))
+    return F.filter(made, lambda a: a["name"] != "")
+
+
 def classify(docs: DataFrame, rules: DataFrame, text: Column) -> DataFrame:
     """The class whose keywords occur most in the text; equal scores go to the first rule; none gives empty strings.
 
@@ -78,3 +107,10 @@ def header_markdown(headers: Column, empty_rows: int = 2) -> Column:
     rule = F.transform(headers, lambda h: F.repeat(F.lit("-"), F.greatest(F.length(h), F.lit(3))))
     blank = F.transform(headers, lambda h: F.repeat(F.lit(" "), F.greatest(F.length(h), F.lit(3))))
     return F.array_join(F.array(row(headers), row(rule), *[row(blank)] * empty_rows), "\n")
+
+
+def zip_by_rank(left: DataFrame, right: DataFrame, key: str = "doc_id", left_order: str = "pos", right_order: str = "pos", value: str = "value") -> DataFrame:
+    """The k-th row of the left with the k-th value of the right of the same document, null when it has none."""
+    l = left.withColumn("k", F.row_number().over(Window.partitionBy(key).orderBy(left_order)))  # noqa: E741
+    r = right.select(key, F.row_number().over(Window.partitionBy(key).orderBy(right_order)).alias("k"), F.col(value).alias("matched"))
+    return l.join(r, [key, "k"], "left")
