@@ -89,3 +89,16 @@ def upsert(old: DataFrame, new: DataFrame, key) -> DataFrame:
     """Rows of ``new``, and those of ``old`` whose key is not among them."""
     key = [key] if isinstance(key, str) else key
     return old.join(new.select(*key), key, "left_anti").unionByName(new)
+
+
+def apply_thresholds(params: DataFrame, proposals: DataFrame, date: Column) -> DataFrame:
+    """Parameters with proposed thresholds taken in rule order (lower, then raise), each change in the history.
+
+    ``params``: ``journal, mfd_conf_override, history``; new journals get a row.
+    """
+    made = F.struct(date.cast("string").alias("date"), F.col("action").alias("reason"), F.col("value").cast("string").alias("new"))
+    p = proposals.groupBy("journal").agg(F.array_sort(F.collect_list(F.struct("action", F.col("value").alias("value"), made.alias("entry")))).alias("steps"))
+    joined = params.join(p, "journal", "full_outer")
+    entries = F.transform("steps", lambda x: F.struct(x["entry"]["date"].alias("date"), F.lit("mfd_conf_override").alias("param"), F.col("mfd_conf_override").cast("string").alias("old"), x["entry"]["new"].alias("new"), x["entry"]["reason"].alias("reason")))
+    none = F.array().cast("array<struct<date:string,param:string,old:string,new:string,reason:string>>")
+    return joined.select("journal", F.coalesce(F.element_at("steps", -1)["value"], F.col("mfd_conf_override")).alias("mfd_conf_override"), F.concat(F.coalesce("history", none), F.coalesce(entries, none)).alias("history"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
+from . import folds
 from . import normalize as nz
 
 # Entities, the ampersand first.
@@ -314,7 +315,7 @@ def docling_quirks(md: Column) -> Column:
 
 #: The layers of post-processing; a journal paper's is the same with or without the hybrid engine.
 UNIVERSAL = (encoding, watermarks, spaces, citations, mid_sentence, blank_lines)
-JOURNAL_PAPER = (bold_headings, heading_levels, abstract, column_breaks, latex_blocks, reference_numbers, consolidate_references, reference_boilerplate)
+JOURNAL_PAPER = (bold_headings, heading_levels, abstract, column_breaks, folds.inline_math_rule, latex_blocks, reference_numbers, consolidate_references, reference_boilerplate, folds.caption_rule)
 ENGINES = {"marker": (marker_quirks,), "pymupdf4llm": (pymupdf_quirks,), "docling": (docling_quirks,)}
 
 
@@ -324,5 +325,5 @@ def postprocess(docs: DataFrame, engine: str | None = None, doc_type: str = "jou
     A projection a rule keeps each expression small; there is no shuffle between them.
     """
     for rule in (*UNIVERSAL, *(JOURNAL_PAPER if doc_type == "journal_paper" else ()), *ENGINES.get(engine, ()), blank_lines):
-        docs = docs.withColumn(md, rule(F.col(md)))
+        docs = folds.in_batches(docs, md, folds.PYTHON_RULES[rule]) if rule in folds.PYTHON_RULES else docs.withColumn(md, rule(F.col(md)))
     return docs

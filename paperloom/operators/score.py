@@ -196,3 +196,14 @@ def quick(docs: DataFrame, md: str = "md") -> DataFrame:
         }
     )
     return docs.withColumn("total", sum((F.col(c) for c in ("formula_score", "table_score", "image_score", "structure_score", "reference_score")), F.lit(0)))
+
+
+#: Points that each category can give.
+MOST = {"formula": 25, "table": 10, "image": 15, "text_quality": 20, "structure": 15, "reference": 10}
+
+
+def report(scored: DataFrame, key: str = "doc_id") -> DataFrame:
+    """A row for each document and category: ``score, most, share, color``, and the document's sum of 100 without speed."""
+    pairs = ", ".join(f"'{c}', {c}, {m}.0D" for c, m in MOST.items())
+    rows = scored.select(key, "subtotal", F.expr(f"stack({len(MOST)}, {pairs}) AS (category, score, most)"))
+    return rows.select(key, "category", "score", "most", F.round(F.col("score") / F.col("most"), 4).alias("share"), color(F.col("score") / F.col("most") * 100).alias("color"), F.round(F.col("subtotal") * 100 / 95, 2).alias("of_100"))

@@ -377,4 +377,19 @@ add("m_title", MD, lambda d: d.select("doc_id", metadata.title(F.col("md")).alia
 add("m_authors", "SELECT doc_id, 'J. Doe 1,2, ' || source || ',* and K. Lee & M. Ray†' AS line FROM documents", lambda d: d.select("doc_id", F.array_join(F.transform(metadata.authors(F.col("line")), lambda a: F.concat(a["name"], F.when(a["corresponding"], "*").otherwise(""))), "|").alias("authors")), "SELECT doc_id, 'J. Doe|' || regexp_extract(line, '1,2, (.*),[*]', 1) || '*|K. Lee|M. Ray*' AS authors FROM x")
 add("s_zip_by_rank", {"x": CAPTIONS, "z": IMAGES}, lambda a, b: metadata.zip_by_rank(a.filter("type = 'caption'").select("doc_id", "pos"), b.select("doc_id", "pos", F.col("name").alias("value"))).select("doc_id", "pos", "matched"), "WITH a AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM x WHERE type = 'caption'), b AS (SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM z) SELECT a.doc_id, a.pos, b.name AS matched FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.k = b.k")
 
+text_query("p_inline_math", folds.inline_math_rule)
+text_query("p_caption_zip", folds.caption_rule)
+add("b_report", MD, lambda d: score.report(score.score_unified(d)))
+ORACLE["b_report"] = f"WITH x AS ({MD}), {FEATURES_SQL}, {UNIFIED_SQL}, u AS (" + " UNION ALL ".join(f"SELECT doc_id, '{c}' AS category, \"{c}\" AS score, {m}.0::DOUBLE AS most, subtotal FROM sc" for c, m in score.MOST.items()) + ") SELECT doc_id, category, score, most, round(score / most, 4) AS share, CASE WHEN score / most >= 0.8 THEN 'green' WHEN score / most >= 0.6 THEN 'yellow' ELSE 'red' END AS color, round(subtotal * 100 / 95, 2) AS of_100 FROM u"
+
+
+def _thresholds(c, p):
+    held = p.select("journal", "mfd_conf_override").withColumn("history", F.array().cast("array<struct<date:string,param:string,old:string,new:string,reason:string>>"))
+    got = learn.apply_thresholds(held, learn.formula_rule(c, p), F.lit("2024-01-01"))
+    return got.select("journal", "mfd_conf_override", F.size("history").cast("long").alias("n_changes"))
+
+
+learned("l_apply", _thresholds, """WITH n AS (SELECT journal, count(*) FILTER (WHERE coalesce(regexp_matches("after", '\\$[^$]+\\$'), false) AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a, count(*) FILTER (WHERE regexp_matches("before", '\\$[^$]+\\$') AND NOT coalesce(regexp_matches("after", '\\$[^$]+\\$'), false)) AS d FROM c GROUP BY journal)
+SELECT coalesce(n.journal, p.journal) AS journal, CASE WHEN d >= 3 THEN round(coalesce(CAST(conf AS DOUBLE), 0.45) + 0.05, 4) WHEN a >= 3 THEN round(coalesce(CAST(conf AS DOUBLE), 0.45) - 0.05, 4) ELSE CAST(conf AS DOUBLE) END AS mfd_conf_override, CAST((coalesce(a, 0) >= 3)::INT + (coalesce(d, 0) >= 3)::INT AS BIGINT) AS n_changes FROM n FULL JOIN p ON n.journal = p.journal WHERE p.journal IS NOT NULL OR a >= 3 OR d >= 3""")
+
 ORACLE = {k: v.replace("__LI__", LI) for k, v in ORACLE.items()}

@@ -55,3 +55,14 @@ def test_files_and_stream(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("changes").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert [(r.journal, r.type, r.n) for r in spark.table("changes").collect()] == [("unknown", "text_fix", 2)]
+
+
+def test_inline_math():
+    assert folds.inline_math("_ν_ and E₁₂ x⁴ μ $α$") == "$\\nu$ and $E_{12}$ $x^4$ $\\mu$ $α$"
+    assert folds.inline_math("$$\nα\n$$\nα") == "$$\nα\n$$\n$\\alpha$"
+
+
+def test_captions():
+    md = "![](a)\n\ntext\n\n![](b)\n\nend\n\n**Figure 2.** Two\ngoes on\n\n. . Fig. 1. One"
+    assert folds.place_captions(md) == "![](a)\n\n> Fig. 1. One\n\ntext\n\n![](b)\n\n> Figure 2. Two goes on\n\nend\n\n"
+    assert folds.place_captions("no figure") == "no figure"
