@@ -7,6 +7,8 @@ plain SQL that both engines read alike.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,10 +52,10 @@ def add(name: str, inputs: str | dict, run, oracle: str | None = None) -> None:
         ORACLE[name] = head + ", ".join(f"{k} AS ({sql})" for k, sql in inputs.items()) + (", " if oracle.startswith(head) else " ") + oracle.removeprefix(head)
 
 
-def text_query(name: str, rule, oracle_expr: str | None = None, sql: str = MD) -> None:
+def text_query(name: str, rule, oracle_expr: str | None = None, sql: str | None = None) -> None:
     """A rule on ``md``: the new text's length and digest, and whether it changed."""
     out = lambda d: d.select("doc_id", rule(F.col("md")).alias("t"), "md").select("doc_id", F.md5("t").alias("digest"), F.length("t").cast("long").alias("n_chars"), (F.col("t") != F.col("md")).alias("changed"))
-    add(name, sql, out, oracle_expr and f"WITH y AS (SELECT doc_id, md, {oracle_expr} AS t FROM x) SELECT doc_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n_chars, t <> md AS changed FROM y")
+    add(name, sql or MD, out, oracle_expr and f"WITH y AS (SELECT doc_id, md, {oracle_expr} AS t FROM x) SELECT doc_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n_chars, t <> md AS changed FROM y")
 
 
 def duck_swap(expr: str, pairs) -> str:
@@ -68,6 +70,20 @@ def duck_sub(expr: str, rules) -> str:
     return expr
 
 
+def re2(pattern: str) -> str:
+    """A pattern in the other engine's dialect, where dots stop at newlines by themselves."""
+    flags = re.match(r"\(\?([dUmis]+)\)", pattern)
+    if not flags:
+        return pattern
+    kept = "".join(f for f in flags[1] if f in "mis")
+    return (f"(?{kept})" if kept else "") + pattern[flags.end() :]
+
+
+def duck_rules(expr: str, rules) -> str:
+    """Rules as they are written for Spark, in order."""
+    return duck_sub(expr, [(re2(p), re.sub(r"\$(\d)", r"\\\1", r.replace("\\$", "$"))) for p, r in rules])
+
+
 NL = "chr(10)"
 #: Lines of x, with their place, as a table.
 LINES = f"WITH ln AS (SELECT doc_id, md, unnest(string_split(md, {NL})) AS line, generate_subscripts(string_split(md, {NL}), 1) AS k FROM x)"
@@ -75,6 +91,13 @@ PARAS = f"WITH pa AS (SELECT doc_id, md, unnest(string_split(md, {NL} || {NL}))
 DIGEST = "SELECT doc_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n_chars, t <> md AS changed FROM y"
 WS = "[ \\t\\n\\r\\f\\v]"
 
+#: Documents with download banners in front.
+BANNERS = MD.replace("'## Study '", "CASE WHEN doc_id % 3 = 0 THEN chr(10) || '123' || 'adma, 2024, 5, Downloaded from https://x.y/' || lang || chr(10) WHEN doc_id % 3 = 1 THEN '2024x12, 2024, 3, Downloaded from there' || chr(10) ELSE '' END || '## Study '")
+#: Documents with publishers' lines.
+NOISY = MD.replace("'## Study '", "'Science Advances' || chr(10) || 'S c i e n c e' || chr(10) || 'www.nature.com/' || source || chr(10) || '© 2024 Elsevier B.V.' || chr(10) || 'x (3 of 10) © 2024 y' || chr(10) || '**Permissions**' || chr(10) || 'DOI: 10.1002/adma.' || CAST(doc_id AS STRING) || chr(10) || 'NATURE | RESEARCH' || chr(10) || 'see orcid.org/0000-0001-0002-0003 x' || chr(10) || 'Creative  Commons ' || lang || chr(10) || '## Study '")
+#: Documents with old forms of references, sections and pictures.
+OLD = MD.replace("'## References'", "'# Conclusions' || chr(10) || '![](_page_3_Picture_' || CAST(doc_id AS STRING) || '.jpeg)' || chr(10) || '- [3] Au (2019). x' || chr(10) || '**2.1. Sub ' || lang || '**' || chr(10) || '**goes on**' || chr(10) || '**RESULTS**' || chr(10) || '**RESEARCH ARTICLE**' || chr(10) || '**Keywords here**' || chr(10) || '**Figure 3. x**' || chr(10) || '**plain ' || source || '**' || chr(10) || '# **a** b' || chr(10) || '- 3 A' || chr(10) || '## References' || chr(10) || '- 1 Au' || chr(10) || '- w x . 4 Bc' || chr(10) || 'Accepted 3 May' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '**View the article online** z' || chr(10) ELSE '' END")
+
 # normalization
 text_query("n_ligatures", normalize.ligatures, duck_swap(duck_swap("md", normalize.LIGATURE_NAMES), normalize.LIGATURES))
 text_query("n_hyphens", normalize.hyphens, duck_swap("md", normalize.HYPHEN_NAMES))
@@ -85,7 +108,7 @@ text_query("n_glyph_names", normalize.glyph_names, duck_sub("md", [("(?i)/(?:hai
 text_query("n_micro_unit", normalize.micro_units, duck_sub("md", [("µ ([mMlLsSnNgGΩ])([a-zA-Z])", r"µ\1 \2"), ("µ ([mMlLsSnNgGΩ])([^a-zA-Z])", r"µ\1\2")]))
 text_query("n_volume_spacing", normalize.volume_spacing, duck_sub("md", [(r"(\d) , (\d)", r"\1, \2")]))
 text_query("n_unicode_escape", normalize.unicode_escapes)
-text_query("n_download_banner", normalize.download_banners)
+text_query("n_download_banner", normalize.download_banners, duck_sub("md", [(r"\n\d+\w+(?:\s+\w+)*, \d{4}, \d+, Downloaded from https://[^\n]+\n", "\n"), (r"\d{4}[xX]?\d+x?, \d{4}, \d+, Downloaded from.*?(?:\n|$)", "")]), BANNERS)
 text_query("n_normalize_span", normalize.normalize)
 text_query("n_normalize_document", lambda c: normalize.normalize(c, whole=True))
 text_query("n_normalize_fast", normalize.normalize_fast)
@@ -104,7 +127,7 @@ y AS (SELECT doc_id, any_value(md) AS md, string_agg(CASE WHEN k = 1 THEN '' WHE
 # post-processing
 text_query("p_encoding", postprocess.encoding)
 text_query("p_entities", lambda c: tk.swap(c, postprocess.ENTITIES), duck_swap("md", postprocess.ENTITIES))
-text_query("p_noise", postprocess.noise)
+text_query("p_noise", postprocess.noise, duck_rules("md", [(p, "") for p in postprocess.NOISE]), NOISY)
 text_query("p_repeat_paras", postprocess.repeated_paragraphs)
 ORACLE["p_repeat_paras"] = f"""WITH x AS ({MD}), {PARAS.removeprefix("WITH ")},
 q AS (SELECT *, trim(p, ' ' || chr(10)) AS st, lower({duck_sub("p", [(r"\d+\s*of\s*\d+", ""), (r"\b\d{4,7}\b", ""), (r"[\s*_\[\]`#>()]", "")])}) AS key FROM pa),
@@ -113,6 +136,7 @@ y0 AS (SELECT doc_id, string_agg(p, {NL} || {NL} ORDER BY k) AS t FROM c WHERE N
 y AS (SELECT x.doc_id, x.md, coalesce(t, '') AS t FROM x LEFT JOIN y0 USING (doc_id)) {DIGEST}"""
 text_query("p_watermarks", postprocess.watermarks)
 text_query("p_spaces", postprocess.spaces)
+ORACLE["p_spaces"] = f"WITH x AS ({MD}), " + SQUEEZED.removeprefix("WITH ")
 text_query("p_citations", postprocess.citations, duck_sub("md", [(r"\[(\d+)\]\s*\[[–\-]\]\s*\[(\d+)\]", r"[\1–\2]"), (r"\[(\d+)\]\s*[–\-]\s*\[(\d+)\]", r"[\1–\2]"), (r"\[(\d+)\]\s*\[,\]\s*\[(\d+)\]", r"[\1,\2]"), (r"\[\[(\d+)\]\]", r"[\1]"), (r"\[\[\]\[(.*?)\]\[\]\]", r"[\1]"), (r"\(\s+(\d+(?:\s*[-–]\s*\d+)*(?:,\s*\d+)*)\s+\)", r"(\1)")]))
 text_query("p_blank_lines", postprocess.blank_lines, f"regexp_replace(md, '\\n{{3,}}', {NL} || {NL}, 'g')")
 text_query("p_mid_sentence", postprocess.mid_sentence)
@@ -124,7 +148,14 @@ tk AS (SELECT doc_id, k FROM r WHERE k IS NOT NULL),
 y AS (SELECT ln.doc_id, any_value(ln.md) AS md, string_agg(CASE WHEN b.k IS NOT NULL THEN '' WHEN c.k IS NOT NULL THEN ' ' || trim(ln.line, ' ' || chr(9) || chr(13)) WHEN ln.k = 1 THEN ln.line ELSE {NL} || ln.line END, '' ORDER BY ln.k) AS t
   FROM ln LEFT JOIN tk b ON b.doc_id = ln.doc_id AND b.k = ln.k - 1 LEFT JOIN tk c ON c.doc_id = ln.doc_id AND c.k = ln.k - 2 GROUP BY ln.doc_id) {DIGEST}"""
 text_query("p_universal", postprocess.universal)
-text_query("p_bold_headings", postprocess.bold_headings)
+text_query("p_bold_headings", postprocess.bold_headings, sql=OLD)
+_PLAIN = "regexp_replace(trim(regexp_extract(s, '^\\*\\*(.+?)\\*\\*\\s*$', 1)), '\\*\\*([^*]+)\\*\\*', '\\1', 'g')"
+ORACLE["p_bold_headings"] = f"""WITH x0 AS ({OLD}), x AS (SELECT doc_id, md AS md0, regexp_replace(md, '(\\*\\*\\d+\\.\\d+\\.?\\s+[^*\\n]+)\\*\\*\\n\\*\\*([^*\\n]+)\\*\\*', '\\1 \\2**', 'g') AS md FROM x0), {LINES.removeprefix("WITH ")},
+p AS (SELECT *, trim(line) AS s FROM ln), q AS (SELECT *, {_PLAIN} AS c FROM p),
+o AS (SELECT doc_id, k, CASE WHEN starts_with(s, '#') THEN regexp_replace(s, '\\*\\*([^*]+)\\*\\*', '\\1', 'g') WHEN NOT regexp_matches(s, '^\\*\\*(.+?)\\*\\*\\s*$') THEN line WHEN regexp_matches(c, '{re2(postprocess.BANNER)}') THEN ''
+  WHEN regexp_matches(c, '{re2(postprocess.SECTION_START)}') THEN '## ' || trim(c) WHEN regexp_matches(c, '^\\d+\\.\\s+.+$') THEN '## ' || regexp_replace(c, '^(\\d+)\\.\\s+(.+)$', '\\1. \\2') WHEN regexp_matches(c, '^\\d+\\.\\d+\\.?\\s+.+$') THEN '### ' || regexp_replace(c, '^(\\d+\\.\\d+\\.?)\\s+(.+)$', '\\1 \\2')
+  WHEN regexp_matches(c, '{postprocess.SECTION_PART}') THEN '## ' || c WHEN regexp_matches(c, '^(?:Figure|Fig\\.)\\s+\\d+[.|]') THEN '' ELSE line END AS n FROM q),
+y AS (SELECT o.doc_id, any_value(x0.md) AS md, string_agg(n, {NL} ORDER BY k) AS t FROM o JOIN x0 USING (doc_id) GROUP BY o.doc_id) {DIGEST}"""
 text_query("p_heading_levels", postprocess.heading_levels, duck_sub("md", [(r"(?m)^#[ \t]+(\d+)\.[ \t]+(.+)$", r"## \1. \2"), (r"(?m)^#[ \t]+(\d+\.\d+\.?)[ \t]+(.+)$", r"### \1 \2")]))
 text_query("p_column_merge", postprocess.column_breaks)
 ORACLE["p_column_merge"] = f"""WITH x AS ({MD}), {LINES.removeprefix("WITH ")},
@@ -134,11 +165,17 @@ m AS (SELECT *, k > 1 AND NOT pr AND NOT lag(pr) OVER (PARTITION BY doc_id ORDER
 n AS (SELECT *, coalesce(lead(j) OVER (PARTITION BY doc_id ORDER BY k), false) AS nj FROM m),
 y AS (SELECT doc_id, any_value(md) AS md, string_agg(CASE WHEN k = 1 THEN '' WHEN j THEN ' ' ELSE {NL} END || CASE WHEN j THEN st WHEN nj THEN rtrim(line, ' ' || chr(9) || chr(13)) ELSE line END, '' ORDER BY k) AS t FROM n GROUP BY doc_id) {DIGEST}"""
 text_query("p_latex_blocks", postprocess.latex_blocks)
-text_query("p_reference_numbers", postprocess.reference_numbers)
+REFS_AT = "regexp_extract(md, '(?sm)(.*?)^#{1,3}\\s*(?:REFERENCES|References|Bibliography)\\b', 1)"
+text_query("p_reference_numbers", postprocess.reference_numbers, f"CASE WHEN regexp_matches(md, '(?m)^#{{1,3}}\\s*(?:REFERENCES|References|Bibliography)\\b') THEN {REFS_AT} || " + duck_sub(f"substr(md, length({REFS_AT}) + 1)", [(r"(?m)^- w\s+\$x_\{?(\d+)\}?\$\s*", r"- [\1] "), (r"(?m)^- w x\s*\.\s*(\d+)\s+", r"- [\1] "), (r"(?m)^- (\d+) ([A-Z])", r"- \1. \2")]) + " ELSE md END", OLD)
 text_query("p_ref_consolidate", postprocess.consolidate_references)
-text_query("p_ref_boilerplate_cut", postprocess.reference_boilerplate)
+text_query("p_ref_boilerplate_cut", postprocess.reference_boilerplate, sql=OLD)
+_ANY = lambda rules: "|".join(f"(?:{p})" for p in rules).replace("'", "''")
+ORACLE["p_ref_boilerplate_cut"] = f"""WITH x AS ({OLD}), {LINES.removeprefix("WITH ")},
+h AS (SELECT *, min(CASE WHEN regexp_matches(line, '^(?:#{{1,3}}\\s*\\*{{0,2}}\\s*|\\*{{1,3}})\\s*(?:REFERENCES|References|Bibliography)\\b') THEN k END) OVER (PARTITION BY doc_id) AS r FROM ln),
+e AS (SELECT *, min(CASE WHEN k >= r AND regexp_matches(trim(line), '{_ANY(postprocess.ENDS)}') THEN k END) OVER (PARTITION BY doc_id) AS stop FROM h),
+y AS (SELECT doc_id, any_value(md) AS md, string_agg(line, {NL} ORDER BY k) AS t FROM e WHERE k < r OR r IS NULL OR ((stop IS NULL OR k < stop) AND NOT regexp_matches(trim(line), '{_ANY(postprocess.DROPS)}')) GROUP BY doc_id) {DIGEST}"""
 text_query("p_page_image_cap", postprocess.page_images)
-text_query("p_marker_quirks", postprocess.marker_quirks)
+text_query("p_marker_quirks", postprocess.marker_quirks, duck_rules("md", postprocess.MARKER), OLD)
 text_query("p_pymupdf_quirks", postprocess.pymupdf_quirks)
 text_query("p_docling_quirks", postprocess.docling_quirks)
 text_query("f_fix_subscripts", align.fix_subscripts)
