@@ -9,8 +9,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import textkit as tk
+
 LEAST_AREA, SHARE_OF_LARGEST, SHARE_OF_PAGE = 1600, 0.2, 0.95
 
+# Lines of a journal's template, looked for anywhere in a paper.
+TEMPLATE = (
+    r"(?i)^www\.\S+\.\w{2,}$",
+    r"(?i)^https?://\S+$",
+    r"^[A-Z][a-z][\w\s\.\-]+\d{4}\s*,\s*\d+\s*,\s*\w+\s*$",
+    r"(?i)^SCIENCE\s+NEWS$",
+    r"(?i)^SCIENCE\s+ADVANCES",
+    r"(?i)^R\s+E\s+S\s+E\s+A\s+R\s+C\s+H\s+A\s+R\s+T",
+    r"(?i)^DOI:\s*10\.\d{4,}/",
+    r"^©\s*\d{4}",
+    r"(?i)^nature\s+\w[\w\s]*$",
+    r"(?i)^(?:Research\s+)?Article$",
+    r"(?i)^View the article online",
+    r"(?i)^Permissions$",
+)
+# Lines on authors and their institutes, looked for in the body only.
+AUTHORS = (
+    r"(?i)^\d+\s+(?:Department|School|Institute|Center|Laboratory|Division|College|Faculty|Graduate|Program)\b",
+    r"(?i)^e-?mail:\s*\S+@",
+    r"(?i)^Seoul\s*\d{5}",
+    r"^(?:[A-Z]\.[A-Z]\.[A-Z]\w+,?)+$",
+    r"(?i)^(?:[A-Z][\w\-\.]{0,3}\.\s*){2,}(?:Department|School|Institute|Center|Laboratory|Division|College|Faculty|Graduate|Program|Research|Advanced|Photovoltaics)\b",
+    r"(?i)^(?:Department|School|Institute|Laboratory|Division|Faculty)\s+of\b",
+    r"^[A-Z]\.\s+[A-Z][a-z]{2,}\s*$",
+    r"^[A-Z]\.(?:-[A-Z]\.)?\s+[A-Z]\w+(?:,\s+[A-Z][^\n,]*){2,}$",
+    r"(?i)^\*?\s*Corresponding\s+(?:author|authors)\b",
+    r"(?i)^[\w\s]{5,80}(?:Research\s+Center|Research\s+Institute|Materials\s+(?:Center|Laboratory))\s*$",
+    r"(?i)^University\s+of\s+[\w\s&]+\s*\(\w{2,6}\)\s*$",
+)
+# The same, anywhere in a text of up to SHORT characters.
+LOOSE = (r"(?i)Republic\s*of\s*Korea", r"Korea[A-Z]", r"\bORCID\b.*\d")
+SHORT = 200
+BODY_HEADING = r"(?i)^(?:\d+\.?\s*)?(?:Introduction|Background|Methods|Results|Discussion|Conclusion|Experimental|Materials\s+(?:and|&)\s+Methods)\b"
+
+
+def _any(text: Column, patterns) -> Column:
+    """Whether a stripped text has one of the patterns; white space and words are Unicode's."""
+    found = F.lit(False)
+    for p in patterns:
+        found = found | text.rlike("(?dU)" + p)
+    return found
+
+
+def header_boilerplate(text: Column) -> Column:
+    """Template lines; authors and institutes stay before the body."""
+    return tk.let(tk.strip(text), lambda t: _any(t, TEMPLATE))
+
+
+def boilerplate(text: Column) -> Column:
+    """Template and author lines, and short texts with their marks anywhere."""
+    return tk.let(tk.strip(text), lambda t: _any(t, (*TEMPLATE, *AUTHORS)) | ((F.length(t) <= SHORT) & _any(t, LOOSE)))
+
+
+def drop_boilerplate(items: DataFrame) -> DataFrame:
+    """Items (``doc_id, pos, content``) without boilerplate, the milder rule before the first heading of the body."""
+    zoned = in_header(items, tk.strip(F.col("content")).rlike(BODY_HEADING))
+    return zoned.filter(~F.when(F.col("in_header"), header_boilerplate(F.col("content"))).otherwise(boilerplate(F.col("content")))).drop("in_header")
+
 
 def figure_boxes(pics: DataFrame) -> DataFrame:
     """Boxes grown to take in labels: 50 to each side, 10 below, 100 above (``l, t, r, b`` from the bottom left)."""
@@ -63,7 +123,7 @@ def formula_slots(items: DataFrame) -> DataFrame:
 
 def caption_number(text: Column) -> Column:
     """The figure that a text is the caption of, extended data from 101 on; null for other texts."""
-    n = F.regexp_extract(text, r"(?i)^\s*(?:extended\s+data\s+)?fig(?:ure|\.)?\s*(\d+)\s*[.:|]", 1)
+    n = F.regexp_extract(text, r"(?i)^\s*(?:extended\s+data\s+)?(?:figure|fig\.?)\s+(\d+)\s*[.:|]", 1)
     ok = (n != "") & (F.length(text) > 20) & ~text.rlike("(?i)see next page")
     return F.when(ok, n.cast("int") + F.when(text.rlike(r"(?i)^\s*extended\s+data"), 100).otherwise(0))
 

@@ -429,4 +429,12 @@ def _thresholds(c, p):
 learned("l_apply", _thresholds, """WITH n AS (SELECT journal, count(*) FILTER (WHERE coalesce(regexp_matches("after", '\\$[^$]+\\$'), false) AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a, count(*) FILTER (WHERE regexp_matches("before", '\\$[^$]+\\$') AND NOT coalesce(regexp_matches("after", '\\$[^$]+\\$'), false)) AS d FROM c GROUP BY journal)
 SELECT coalesce(n.journal, p.journal) AS journal, CASE WHEN d >= 3 THEN round(coalesce(CAST(conf AS DOUBLE), 0.45) + 0.05, 4) WHEN a >= 3 THEN round(coalesce(CAST(conf AS DOUBLE), 0.45) - 0.05, 4) ELSE CAST(conf AS DOUBLE) END AS mfd_conf_override, CAST((coalesce(a, 0) >= 3)::INT + (coalesce(d, 0) >= 3)::INT AS BIGINT) AS n_changes FROM n FULL JOIN p ON n.journal = p.journal WHERE p.journal IS NOT NULL OR a >= 3 OR d >= 3""")
 
+# boilerplate of layout items
+TEXTS = """SELECT l_orderkey AS doc_id, l_linenumber AS pos, CASE l_partkey % 22 WHEN 0 THEN 'www.advmat.de' WHEN 1 THEN 'https://x.org/a' WHEN 2 THEN 'Adv. Mater. 2024 , 10 , 24' WHEN 3 THEN ' SCIENCE  NEWS ' WHEN 4 THEN 'DOI: 10.1002/a' WHEN 5 THEN '© 2024 W' WHEN 6 THEN 'nature electronics' WHEN 7 THEN 'Research Article' WHEN 8 THEN '2 School of Physics' WHEN 9 THEN 'E-mail: a@b.c'
+  WHEN 10 THEN 'x, RepublicofKorea' WHEN 11 THEN repeat('long ', 50) || 'Republic of Korea' WHEN 12 THEN 'Seoul 02841' WHEN 13 THEN 'D.W.Lee,J.G.Son' WHEN 14 THEN 'J. Cho' WHEN 15 THEN '1. Introduction' WHEN 16 THEN 'Soft Hybrid Materials Research Center' WHEN 17 THEN 'University of Science & Technology (UST)' WHEN 18 THEN 'J.-C. Choi, H. Jeong, S. Chung' WHEN 19 THEN 'the ORCID is 0000' ELSE 'Body text ' || CAST(l_suppkey AS STRING) END AS content FROM __LI__"""
+_HAS = lambda rules: " OR ".join(f"regexp_matches(s, '{re2(p)}')" for p in rules)
+add("k_boilerplate", TEXTS, lambda d: layout.drop_boilerplate(d).select("doc_id", "pos", "content"), f"""WITH y AS (SELECT *, trim(content) AS s FROM x),
+z AS (SELECT *, max(CASE WHEN regexp_matches(s, '{layout.BODY_HEADING}') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 0 AS head FROM y)
+SELECT doc_id, pos, content FROM z WHERE NOT ({_HAS(layout.TEMPLATE)}) AND (head OR NOT ({_HAS(layout.AUTHORS)} OR (length(s) <= 200 AND ({_HAS(layout.LOOSE)}))))""")
+
 ORACLE = {k: v.replace("__LI__", LI) for k, v in ORACLE.items()}
