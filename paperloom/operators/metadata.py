@@ -43,6 +43,21 @@ def authors(line: Column) -> Column:
     return F.filter(made, lambda a: a["name"] != "")
 
 
+EMAIL = r"(?i)\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Z]{2,}\b"
+
+
+def corresponding_affiliation(affiliations: Column) -> Column:
+    """The first affiliation with an address, the address removed; empty without one."""
+    first = tk.at(F.filter(affiliations, lambda a: a.rlike(EMAIL)), F.lit(0))
+    return F.coalesce(tk.strip(F.regexp_replace(F.regexp_replace(first, EMAIL, ""), r"(?i)e-?mail:?\s*", "")), F.lit(""))
+
+
+def without_affiliations(md: Column, affiliations: Column) -> Column:
+    """The text without the paragraphs that are affiliations and without stray address lines."""
+    kept = F.filter(tk.paras(md), lambda p: ~F.array_contains(affiliations, tk.strip(p)))
+    return tk.sub(F.array_join(kept, "\n\n"), [(r"(?dim)^E-?mail[:\s]+\S+[^\n]*\n?", ""), (r"\n{3,}", "\n\n")])
+
+
 def classify(docs: DataFrame, rules: DataFrame, text: Column) -> DataFrame:
     """The class whose keywords occur most in the text; equal scores go to the first rule; none gives empty strings.
 

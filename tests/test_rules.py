@@ -102,3 +102,9 @@ def test_learning(spark):
     assert [r.bib_key for r in metadata.unique_keys(refs).orderBy("pos").collect()] == ["Lee2024", "Lee2024b", "Lee2024c"]
     heads = spark.range(1).select(metadata.repeated_headers(F.array(*(F.lit(x) for x in "AAABB"))).alias("h")).first().h
     assert heads == list("AABB")
+
+
+def test_affiliations(spark):
+    row = spark.createDataFrame([("## T\n\nDept. A, E-mail: a@b.org\n\nE-mail: x@y.org\nbody\n\nDept. B", ["Dept. B", "Dept. A, E-mail: a@b.org"])], "md string, affs array<string>")
+    got = row.select(metadata.without_affiliations(F.col("md"), F.col("affs")), metadata.corresponding_affiliation(F.col("affs"))).first()
+    assert tuple(got) == ("## T\n\nbody", "Dept. A,")
