@@ -57,7 +57,10 @@ _LANES = np.arange(SKETCHES)
 
 
 def _label(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """k-mers with their occurrence number mixed in, where one occurs again in its text."""
+    """Keys with their occurrence number mixed in from the second occurrence in a text on.
+
+    The first keeps its plain key, so that one more or one less adds or takes a single label.
+    """
     twice = np.flatnonzero(tb.repeated(key ^ tb.mix(doc.astype(np.uint64))))
     if not len(twice):
         return key
@@ -66,8 +69,8 @@ def _label(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     new[1:] = (key[order][1:] != key[order][:-1]) | (doc[order][1:] != doc[order][:-1])
     start = np.flatnonzero(new)
     nth = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
-    key = key.copy()
-    key[order] = tb.mix(key[order] + nth.astype(np.uint64) * _C2)
+    key, again = key.copy(), nth > 0
+    key[order[again]] = tb.mix(key[order[again]] + nth[again].astype(np.uint64) * _C2)
     return key
 
 

@@ -376,6 +376,27 @@ def test_large_groups_of_near_copies_are_one_class(spark):
     assert all(got[1000 + i] == 1000 + i for i in range(150))
 
 
+def flips(one, other):
+    _, _, bits = near_dedup.bands([" ".join(one), " ".join(other)])
+    return int(np.bitwise_count((bits[0] ^ bits[1]).view(np.uint64)).sum())
+
+
+def test_parity_bounds_the_edits():
+    rng = random.Random(11)
+    one = [f"w{k % 50}" for k in range(100)]  # each word twice, far apart
+    other = [f"w{k + 100}" if k < 15 else w for k, w in enumerate(one)]
+    assert flips(one, other) <= 2 * distance(one, other)
+    for _ in range(300):
+        one = [rng.choice("abcdefghijkl") for _ in range(rng.randint(1, 40))]
+        other = list(one)
+        for _ in range(rng.randint(1, 8)):
+            k = rng.randrange(len(other) + 1)
+            other[k : k + rng.randint(0, 1)] = [rng.choice("abcdefghijklxyz")] * rng.randint(0, 1)
+        # words that repeat at once are counted by their own rule
+        if one == squeezed(one) and other == squeezed(other):
+            assert flips(one, other) <= 2 * distance(one, other)
+
+
 # language model
 
 
