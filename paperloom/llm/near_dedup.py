@@ -1,30 +1,26 @@
 """Near-duplicate detection by order MinHash, verified by banded alignment.
 
-A text's k-mers (five words) carry the number of their occurrence. A sketch takes
-the two k-mers that are least under its hash and keeps them in text order, so it
-depends on edit similarity and not on the set alone. Each sketch with a length
-class is a band key; as in a forest of prefix trees, a key that over BUCKET texts
-share is made longer by the next sketch. Texts that share a key are candidates;
-two are near-duplicates if their words' edit distance, found by alignment in a
-band, is at most a fifth of the longer one's length. Classes are the connected
-components of those links and of equal texts.
-
-An immediate repetition of up to five words counts once in all of this, so that two
-texts are not alike for one phrase that both repeat hundreds of times.
-
-Two texts share a sketch with about the square of their k-mers' overlap: one of 36
-with a probability of over 0.999 from an overlap of 0.42 on, and one pair of
-sketches in a row, which only the most common keys need, from 0.7 on.
-
-Size: equal texts become one node before anything else. In each band the least
-node is compared with the others (no pairs within a group), components follow,
-and only pairs of one band that are not yet in one component are compared
-after that, all of them: the result is the same as if every pair of every band
-had been compared. Narrow tables are checkpointed; texts are read again for
-candidates only.
-
-Edge cases: a null text counts as empty and all texts without words are alike; a text
-under five words is one k-mer; repeated rows are copies; a similarity equal to the
+Two texts are near-duplicates if the edit distance of their words, found by
+alignment in a band, is at most a fifth of the longer one's length. An
+immediate repetition of up to five words counts once. Classes are the connected components of those links and
+of equal texts.
+
+Candidates: a text's k-mers (five words) carry the number of their occurrence. A
+sketch takes the two k-mers that are least under its hash and keeps them in text
+order, so it depends on edit similarity and not on the set alone. Two texts share
+a sketch with about the square of their k-mers' overlap.
+
+Size: equal texts become one node before anything else. In each key the least
+node of a length class is compared with the others (no pairs within a group),
+components follow; keys that more than BUCKET texts share are compared with some
+more pivots. After that all pairs of one key that are not yet in one component
+are compared, in blocks of BLOCK texts: the result is the same as if every pair of
+every key had been compared, whatever its size. Before texts are read, pairs whose
+lengths or words differ by more than the allowed edits are left out, which is
+exact. Narrow tables are checkpointed; texts are read again for candidates only.
+
+Edge cases: a null text counts as empty and all texts without words are alike; a
+text of one word is one k-mer; repeated rows are copies; a similarity equal to the
 threshold is a link; an empty table gives an empty result; null ids are ordinary.
 """
 
@@ -43,9 +39,13 @@ from . import textbytes as tb
 from .common import fresh, settled, sized, table
 
 KMER, SKETCHES, REPEAT = 5, 36, 5
-#: A key of one sketch that more texts share than this is extended by the next sketch.
-BUCKET = 32
+#: A key that more texts share than this gets PIVOTS more rounds before all its pairs that are left are compared.
+BUCKET, PIVOTS = 32, 3
+#: Pairs of one key are formed in blocks of so many texts.
+BLOCK = 2048
 PARITY = 1024
+#: Texts of more words have word bits of their own size too, two to four places a word.
+LONG = 512
 #: Edits allowed, as a share of the longer text's words (similarity 0.8 or more).
 EDITS = (2, 10)
 
@@ -111,26 +111,38 @@ def collapse(word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return word, doc
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of each word that counts, in order."""
+def every_word(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of each word, in order."""
     buf, offsets = tb.pack(texts)
     starts, ends = tb.spans(buf, tb.SPACE)
-    return collapse(tb.span_hashes(buf, starts, ends), np.searchsorted(offsets, starts, "right") - 1)
+    return tb.span_hashes(buf, starts, ends), np.searchsorted(offsets, starts, "right") - 1
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of each word of the collapsed texts, in order."""
+    return collapse(*every_word(texts))
 
 
-def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """Words, keys and word bits of each text.
 
-    Keys: first those of one sketch, then those of two; texts without words share theirs. Bits: the
+    Keys: one of each sketch; texts without words share theirs. Bits: the
     parity of the text's words, numbered by occurrence, in PARITY hashed places. An
     edit changes two places at most, so texts that differ in more than twice the
-    allowed edits are no near-duplicates, whatever falls together.
+    allowed edits are no near-duplicates, whatever falls together. Those of texts of over LONG
+    words are followed by the same in more places, a power of two.
     """
     hashes, doc = word_hashes(texts)
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     n_words = np.diff(first)
-    place = doc * PARITY + (_label(hashes, doc) >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64)
+    label = _label(hashes, doc)
+    place = doc * PARITY + (label >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64)
     bits = np.packbits(np.bincount(place, minlength=len(texts) * PARITY).reshape(-1, PARITY) & 1, axis=1).view(np.int64) if len(texts) else np.zeros((0, PARITY // 64), np.int64)
+    bits = list(bits)
+    for i in np.flatnonzero(n_words > LONG).tolist():
+        places = 2 << (int(n_words[i]) - 1).bit_length()
+        wide = np.bincount((label[first[i] : first[i + 1]] & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+        bits[i] = np.concatenate([bits[i], np.packbits(wide, bitorder="little").view(np.int64)])
     key, whole = tb.grams(hashes, doc, KMER)
     at = np.flatnonzero(whole)
     key[at] = _label(key[at], doc[at])
@@ -138,13 +150,12 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     for i, n in enumerate(n_words.tolist()):
         lo = int(first[i])
         if not n:
-            out.append(np.concatenate([_LANES, _LANES]))
+            out.append(_LANES[:1])
             continue
         kmers = key[lo : lo + n - KMER + 1] if n >= KMER else tb.grams(hashes[lo : lo + n], doc[lo : lo + n], n)[0]
-        s = sketch(kmers)
         size_class = np.floor(math.log(n) / _WIDTH + (_LANES % 2) / 2).astype(np.uint64)
-        one = tb.mix(s * _C1 + size_class * np.uint64(0x27D4EB2F165667C5) + _LANES.astype(np.uint64))
-        out.append(np.concatenate([one, tb.mix(one + np.roll(s, -1) * _C2)]).view(np.int64))
+        keys = tb.mix(sketch(kmers) * _C1 + size_class * np.uint64(0x27D4EB2F165667C5) + _LANES.astype(np.uint64))
+        out.append(keys.view(np.int64))
     return n_words, out, bits
 
 
@@ -236,6 +247,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (``a, b``) that are near-duplicates."""
+    long = nodes.filter(F.col("n_words") > LONG).select("node", "n_words", F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))").alias("bits"))
+    pairs = pairs.join(long.toDF("a", "na", "bits_a"), "a", "left").join(long.toDF("b", "nb", "bits_b"), "b", "left")
+    least = F.least(F.size("bits_a"), F.size("bits_b"))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    fold = lambda x: F.when(F.size(x) > least, F.zip_with(F.slice(x, F.lit(1), least), F.slice(x, least + 1, least), xor)).otherwise(F.col(x))
+    differ = F.aggregate(F.zip_with(fold("bits_a"), fold("bits_b"), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
+    pairs = settled(pairs.filter(F.col("na").isNull() | F.col("nb").isNull() | (EDITS[1] * differ <= 2 * EDITS[0] * F.greatest("na", "nb"))).select("a", "b"))
     used = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = settled(nodes.join(used, "node").select("node", "h1", "h2", "rep"))
     texts = (
@@ -256,6 +274,34 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").filter(check("text_a", "text_b")).select("a", "b")
 
 
+def _alike(n: str, m: str, one: str, other: str):
+    """Whether lengths and word bits allow two texts to be near-duplicates; never false for those that are."""
+    long, edits = F.greatest(n, m), F.abs(F.col(n) - F.col(m))
+    differ = sum((F.bit_count(F.col(one)[i].bitwiseXOR(F.col(other)[i])) for i in range(PARITY // 64)), F.lit(0))
+    return (EDITS[1] * edits <= EDITS[0] * long) & (EDITS[1] * differ <= 2 * EDITS[0] * long)
+
+
+def _pair(one: str, n: str, other: str, m: str) -> list:
+    """``a, b, na, nb``: two nodes, the lesser first, and their words."""
+    first = F.col(one) < F.col(other)
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    return [pick(one, other).alias("a"), pick(other, one).alias("b"), pick(n, m).alias("na"), pick(m, n).alias("nb")]
+
+
+def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """Those of the pairs (``a, b, na, nb``) that lengths and word bits allow, as ``a, b``."""
+    pairs = pairs.filter(EDITS[1] * F.abs(F.col("na") - F.col("nb")) <= EDITS[0] * F.greatest("na", "nb"))
+    both = pairs.join(bits.toDF("a", "bits_a"), "a").join(bits.toDF("b", "bits_b"), "b")
+    return settled(both.filter(_alike("na", "nb", "bits_a", "bits_b")).select("a", "b"))
+
+
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of keys that hold several components, with their component and the key's largest (``main``)."""
+    held = settled(members.join(labels, "node", "left").select("key", "node", "n_words", "n", F.coalesce("component", "node").alias("component")))
+    main = held.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("m.component").alias("main"))
+    return held.join(main, "key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, h1, h2, class_id, class_size, kept`` for every row of ``docs``.
 
@@ -273,36 +319,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             got = bands(values[lo:hi])
             n.append(got[0])
             keys += got[1]
-            bits += list(got[2])
+            bits += got[2]
         return pd.DataFrame({"n_words": np.concatenate(n) if n else np.zeros(0, np.int64), "keys": keys, "bits": bits})
 
     rows = settled(docs.withColumn("s", keyed("text")).select("doc_id", "h1", "h2", F.monotonically_increasing_id().alias("row"), "s.n_words", "s.keys", "s.bits"))
     nodes = settled(
         rows.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"), F.any_value("n_words").alias("n_words"), F.any_value("keys").alias("keys"), F.any_value("bits").alias("bits"))
     )
-    lanes = F.arrays_zip(F.slice("keys", 1, SKETCHES).alias("short"), F.slice("keys", SKETCHES + 1, SKETCHES).alias("long"))
-    keys = nodes.select("node", "n_words", F.inline(lanes)).toDF("node", "n_words", "key", "longer")
-    shared = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    found = settled(keys.join(shared, "key"))
-    few = found.filter(F.col("n") <= BUCKET).select("key", "node", "n_words", "pivot")
-    many = found.filter(F.col("n") > BUCKET).select(F.col("longer").alias("key"), "node", "n_words")
-    shared = many.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot")
-    members = settled(few.unionByName(many.join(shared, "key")))
-    pairs = settled(members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    links = settled(_verified(pairs, nodes, docs))
+    keys = nodes.select("node", "n_words", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = settled(keys.join(shared, "key"))
+    bits = nodes.select("node", F.slice("bits", 1, PARITY // 64).alias("bits"))
+
+    # one text of each length class of a key with the others
+    size_class = F.floor(F.log(F.greatest(F.col("n_words"), F.lit(1))) / _WIDTH)
+    grouped = members.withColumn("size_class", size_class)
+    pivots = grouped.groupBy("key", "size_class").agg(F.min_by(F.struct("node", "n_words"), "node").alias("p"))
+    done = _possible(grouped.join(pivots, ["key", "size_class"]).filter("node <> p.node").select(*_pair("p.node", "p.n_words", "node", "n_words")).distinct(), bits)
+    links = settled(_verified(done, nodes, docs))
     labels = settled(components(links))
-
-    # what shares a band and is in two components still: all of those pairs
-    held = members.join(labels, "node", "left").select("key", "node", "n_words", F.coalesce("component", "node").alias("component"))
-    held = settled(held)
-    main = held.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("m.component").alias("main"))
-    apart = held.join(main, "key").join(nodes.select("node", "bits"), "node")
-    x = apart.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"), F.col("bits").alias("bx"))
-    y = apart.select("key", F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"), F.col("bits").alias("by"))
-    long, edits = F.greatest("nx", "ny"), F.abs(F.col("nx") - F.col("ny"))
-    differ = sum((F.bit_count(F.col("bx")[i].bitwiseXOR(F.col("by")[i])) for i in range(PARITY // 64)), F.lit(0))
-    rest = x.join(y, "key").filter((F.col("cx") != F.col("cy")) & (EDITS[1] * edits <= EDITS[0] * long) & (EDITS[1] * differ <= 2 * EDITS[0] * long)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = settled(rest.join(pairs, ["a", "b"], "left_anti"))
+    for k in range(PIVOTS):
+        apart = _apart(members.filter(F.col("n") > BUCKET), labels)
+        pivots = apart.groupBy("key").agg(F.min_by(F.struct("node", "n_words", "component"), F.xxhash64(F.lit(k), "node")).alias("p"))
+        pairs = apart.join(pivots, "key").filter("component <> p.component").select(*_pair("p.node", "p.n_words", "node", "n_words")).distinct()
+        pairs = _possible(pairs.join(done, ["a", "b"], "left_anti"), bits)
+        if pairs.isEmpty():
+            break
+        done = done.unionAll(pairs)
+        found = settled(_verified(pairs, nodes, docs))
+        if not found.isEmpty():
+            links = links.unionAll(found)
+            labels = settled(components(links))
+
+    # what shares a key and is in two components still: all of those pairs
+    apart = _apart(members, labels).join(bits, "node")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    x = apart.filter("component <> main").select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"), F.col("bits").alias("bx"))
+    y = apart.select("key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"), F.col("bits").alias("by"))
+    rest = x.join(y, ["key", "block"]).filter((F.col("cx") != F.col("cy")) & _alike("nx", "ny", "bx", "by")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = settled(rest.join(done, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.unionAll(_verified(rest, nodes, docs))
         labels = settled(components(links))

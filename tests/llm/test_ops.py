@@ -397,6 +397,30 @@ def test_parity_bounds_the_edits():
             assert flips(one, other) <= 2 * distance(one, other)
 
 
+def test_links_in_a_crowd_are_those_of_a_small_table(spark):
+    rng = random.Random(14)
+    passage = sentence(rng, 60)  # in all texts
+    rows, want = [], {}
+    for i in range(60):
+        base = sentence(rng, 60, "ijklmnopqrst").split()
+        for k in range(2):
+            w = list(base)
+            for at in rng.sample(range(60), 10 * k):
+                w[at] = f"v{rng.randrange(10**6)}"
+            rows.append((2 * i + k, passage + " " + " ".join(w)))
+            want[2 * i + k] = 2 * i
+    # a family whose members are all near the first, and half of them near each other
+    base = sentence(rng, 100, "uvwxyz").split()
+    for i in range(70):
+        w = list(base)
+        for at in rng.sample(range(100), 18 if i else 0):
+            w[at] = f"v{rng.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(w)))
+        want[1000 + i] = 1000
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 # language model
 
 
