@@ -397,6 +397,23 @@ def test_parity_bounds_the_edits():
             assert flips(one, other) <= 2 * distance(one, other)
 
 
+def test_pairs_at_the_threshold_share_a_key():
+    rng = random.Random(12)
+    for low, high, least in ((5, 9, 1), (10, 14, 0.98), (15, 60, 0.98), (60, 150, 0.99)):
+        texts = []
+        for _ in range(200):
+            one = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(low, high))]
+            other, edits = list(one), 2 * len(one) // 10
+            for k in sorted(rng.sample(range(len(one)), edits), reverse=True):
+                # texts that grow or shrink lie in other length classes
+                other[k : k + 1] = [f"new{rng.randrange(10**6)}"] * (edits % 2)
+            texts += [" ".join(one), " ".join(other)]
+        _, keys, _ = near_dedup.bands(texts)
+        linked = near_dedup.verify(list(zip(texts[::2], texts[1::2], strict=True)))
+        met = [len(np.intersect1d(x, y)) > 0 for x, y in zip(keys[::2], keys[1::2], strict=True)]
+        assert all(linked) and sum(met) >= least * len(met)
+
+
 def test_links_in_a_crowd_are_those_of_a_small_table(spark):
     rng = random.Random(14)
     passage = sentence(rng, 60)  # in all texts
