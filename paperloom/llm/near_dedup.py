@@ -1,8 +1,8 @@
 """Near-duplicate detection by order MinHash, verified by banded alignment.
 
 Two texts are near-duplicates if the edit distance of their words, found by
-alignment in a band, is at most a fifth of the longer one's length. An
-immediate repetition of up to five words counts once. Classes are the connected components of those links and
+alignment in a band, is at most a fifth of the longer one's length. All words
+count, repeated ones too. Classes are the connected components of those links and
 of equal texts.
 
 Candidates: a text's k-mers (two words) carry the number of their occurrence. A
@@ -125,7 +125,7 @@ def every_word(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of each word of the collapsed texts, in order."""
+    """Hash and document of each word of the collapsed texts, in order; links do not depend on it."""
     return collapse(*every_word(texts))
 
 
@@ -145,7 +145,7 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarr
     allowed edits are no near-duplicates, whatever falls together. Those of texts of over LONG
     words are followed by the same in more places, a power of two.
     """
-    hashes, doc = word_hashes(texts)
+    hashes, doc = every_word(texts)
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     n_words = np.diff(first)
     label = _label(hashes, doc)
@@ -233,7 +233,7 @@ def verify(pairs: list[tuple[str, str]]) -> list[bool]:
     texts = list(dict.fromkeys(t for p in pairs for t in p))
     words: dict[str, list[int]] = {}
     for lo, hi in tb.chunks(texts):
-        hashes, doc = word_hashes(texts[lo:hi])
+        hashes, doc = every_word(texts[lo:hi])
         edges = np.searchsorted(doc, np.arange(hi - lo + 1))
         for i in range(lo, hi):
             words[texts[i]] = hashes[edges[i - lo] : edges[i - lo + 1]].tolist()

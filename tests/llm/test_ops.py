@@ -414,6 +414,13 @@ def test_pairs_at_the_threshold_share_a_key():
         assert all(linked) and sum(met) >= least * len(met)
 
 
+def test_repeated_words_count():
+    rng = random.Random(13)
+    one, other = ("buy now " * 400 + sentence(rng, 30, x) for x in ("abcdefgh", "qrstuvwx"))
+    assert near_dedup.near(one, other)
+    assert not near_dedup.near("buy", "buy " * 1000)
+
+
 def test_links_in_a_crowd_are_those_of_a_small_table(spark):
     rng = random.Random(14)
     passage = sentence(rng, 60)  # in all texts
