@@ -282,13 +282,13 @@ add("k_slot_rank", ITEMS, lambda d: layout.formula_slots(d.filter("depth = 1")).
 CAPTIONS = "SELECT l_orderkey AS doc_id, l_linenumber AS pos, CASE WHEN l_linenumber % 3 = 0 THEN 'img' ELSE 'caption' END AS type, CAST(l_partkey % 3 AS INT) AS fig_n, ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) AS content FROM __LI__"
 add("k_caption_group", CAPTIONS, layout.group_captions, "WITH c AS (SELECT doc_id, fig_n, content, row_number() OVER (PARTITION BY doc_id, fig_n ORDER BY length(content) DESC, pos) AS k FROM x WHERE type = 'caption') SELECT c.doc_id, c.fig_n, content AS caption, EXISTS (SELECT 1 FROM x WHERE x.type = 'img' AND x.doc_id = c.doc_id AND x.fig_n = c.fig_n) AS placed FROM c WHERE k = 1")
 add("k_assemble", CAPTIONS, layout.assemble, f"SELECT doc_id, string_agg(content, {NL} || {NL} ORDER BY pos) AS md FROM x WHERE trim(content) <> '' GROUP BY doc_id")
-IMAGES = "SELECT l_suppkey AS doc_id, l_orderkey * 10 + l_linenumber AS pos, 'f' || CAST(l_linenumber AS STRING) || '.png' AS name, 'a/f' || CAST(l_linenumber AS STRING) || '.png' AS ref, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(l_partkey * 131 % 40000 AS BIGINT) END AS bytes FROM __LI__ WHERE l_orderkey % 4 = 0"
+IMAGES = "SELECT l_suppkey AS doc_id, l_orderkey * 10 + l_linenumber AS pos, 'f' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '.png' AS name, 'a/f' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '.png' AS ref, CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(l_partkey * 131 % 40000 AS BIGINT) END AS bytes FROM __LI__"
 add("k_small_images", IMAGES, lambda d: layout.drop_small_images(d, d).select("doc_id", "pos"), "SELECT doc_id, pos FROM x WHERE NOT EXISTS (SELECT 1 FROM x s WHERE s.doc_id = x.doc_id AND s.bytes < 8192 AND contains(x.ref, s.name))")
 add("k_adaptive_topk", IMAGES, lambda d: layout.largest_images(d).select("doc_id", "pos"), "WITH y AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, count(bytes) OVER (PARTITION BY doc_id) AS s, row_number() OVER (PARTITION BY doc_id ORDER BY bytes DESC NULLS LAST, pos) AS k FROM x) SELECT doc_id, pos FROM y WHERE n <= 12 OR s <= 10 OR k <= 10")
 
 # formula alignment
 add("f_dynamic_threshold", "SELECT l_orderkey AS doc_id, l_linenumber AS pos, l_partkey % 40 AS boxes, l_suppkey % 12 AS pages FROM __LI__", lambda d: d.select("doc_id", "pos", F.round(align.dynamic_threshold(F.col("boxes"), F.col("pages")), 6).alias("threshold")), "SELECT doc_id, pos, round(CASE WHEN pages <= 0 THEN 0.5 WHEN boxes / pages::DOUBLE <= 0.5 THEN 0.55 WHEN boxes / pages::DOUBLE >= 3 THEN 0.3 ELSE 0.55 - (boxes / pages::DOUBLE - 0.5) / 2.5 * 0.25 END, 6)::DOUBLE AS threshold FROM x")
-DETECTIONS = "SELECT l_suppkey % 60 AS doc_id, l_orderkey * 10 + l_linenumber AS pos, l_linenumber % 7 AS page, CASE WHEN l_partkey % 8 = 0 THEN 1 ELSE 0 END AS cls, CAST(l_partkey * 13 % 997 AS DOUBLE) / 1000 AS conf FROM __LI__ WHERE l_orderkey % 3 = 0"
+DETECTIONS = "SELECT l_suppkey % 60 AS doc_id, l_orderkey * 10 + l_linenumber AS pos, l_linenumber % 7 AS page, CASE WHEN l_partkey % 8 = 0 THEN 1 ELSE 0 END AS cls, CAST(l_partkey * 13 % 997 AS DOUBLE) / 1000 AS conf FROM __LI__"
 add("f_confident", {"x": DETECTIONS, "pg": "SELECT l_suppkey % 60 AS doc_id, max(l_linenumber) * 30 AS n_pages FROM __LI__ GROUP BY l_suppkey % 60", "ov": "SELECT n_nationkey AS doc_id, 0.45 AS mfd_conf_override FROM nation"}, lambda d, p, o: align.confident(d, p, o.withColumn("mfd_conf_override", F.col("mfd_conf_override").cast("double"))).select("doc_id", "pos"), """WITH c AS (SELECT doc_id, count(*) / n_pages::DOUBLE AS dn, coalesce(CAST(mfd_conf_override AS DOUBLE), CASE WHEN dn <= 0.5 THEN 0.55 WHEN dn >= 3 THEN 0.3 ELSE 0.55 - (dn - 0.5) / 2.5 * 0.25 END) AS th FROM x JOIN pg USING (doc_id) LEFT JOIN ov USING (doc_id) GROUP BY doc_id, n_pages, mfd_conf_override)
 SELECT doc_id, pos FROM x JOIN c USING (doc_id) WHERE conf >= th""")
 add("f_budget_trim", DETECTIONS, lambda d: align.trim_to_batch(d, 100).select("doc_id", "pos"), """WITH a AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, 100 - sum(cls) OVER (PARTITION BY doc_id) AS bud, row_number() OVER (PARTITION BY doc_id, cls ORDER BY conf DESC) AS k FROM x),
@@ -304,7 +304,7 @@ add("f_unmatched_reason", {"x": ITEMS, "f": FORMULAS}, lambda s, f: align.unmatc
 FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.doc_id = f.doc_id AND m.pos = f.pos)""")
 add("f_slot_merge", {"x": ITEMS, "f": FORMULAS}, lambda s, f: align.merge_slots(s.filter("depth = 1"), f).select("doc_id", "page", F.col("k").cast("long").alias("k"), "slot_pos", "latex"), """WITH s AS (SELECT doc_id, page, pos AS slot_pos, row_number() OVER (PARTITION BY doc_id, page ORDER BY pos) AS k FROM x WHERE depth = 1),
 g AS (SELECT doc_id, page, latex, row_number() OVER (PARTITION BY doc_id, page ORDER BY t DESC, pos) AS k FROM f) SELECT doc_id, page, k, slot_pos, latex FROM s FULL JOIN g USING (doc_id, page, k)""")
-SUBFORMULAS = "SELECT l_orderkey % 500 AS doc_id, l_linenumber % 2 AS page, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_partkey % 2 = 0 THEN substr(('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag), 3, 8) ELSE ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) END AS latex FROM __LI__ WHERE l_orderkey % 2 = 0"
+SUBFORMULAS = "SELECT l_orderkey % 500 AS doc_id, l_linenumber % 2 AS page, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_partkey % 2 = 0 THEN substr(('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag), 3, 8) ELSE ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) END AS latex FROM __LI__"
 add("f_subformula_anti", SUBFORMULAS, lambda d: align.drop_subformulas(d, 5).select("doc_id", "pos"), "WITH y AS (SELECT *, regexp_replace(latex, '\\s+', '', 'g') AS bare FROM x) SELECT doc_id, pos FROM y WHERE NOT EXISTS (SELECT 1 FROM y g WHERE g.doc_id = y.doc_id AND g.page = y.page AND length(y.bare) >= 5 AND length(g.bare) > length(y.bare) AND contains(g.bare, y.bare))")
 add("f_overlap_greedy", "SELECT l_orderkey AS doc_id, CAST(l_partkey % 50 AS INT) AS s, CAST(l_partkey % 50 + l_suppkey % 9 AS INT) AS e FROM __LI__", lambda d: d.groupBy("doc_id").agg(align.accept_intervals(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end")))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n_kept"), F.aggregate("k", F.lit(0), lambda a, x: a + x["start"]).cast("long").alias("sum_start")), """WITH RECURSIVE o AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM x),
 w AS (SELECT doc_id, k, greatest(e, s + 1) AS last, 1 AS n, s AS t FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.k, CASE WHEN o.s >= w.last THEN greatest(o.e, o.s + 1) ELSE w.last END, w.n + CASE WHEN o.s >= w.last THEN 1 ELSE 0 END, w.t + CASE WHEN o.s >= w.last THEN o.s ELSE 0 END FROM w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1)
@@ -340,8 +340,8 @@ learned("l_rule_boilerplate", lambda c, p: learn.boilerplate_rule(c, p), "SELECT
 learned("l_rule_heading", lambda c, p: learn.heading_rule(c, p), "SELECT journal, trim(\"before\") AS \"before\", trim(\"after\") AS \"after\", count(*) AS n FROM c WHERE type = 'heading_change' AND trim(\"before\") <> trim(\"after\") GROUP BY ALL HAVING count(*) >= 3 AND NOT (trim(\"before\") = '# Head 1' AND journal IN (SELECT journal FROM p))")
 learned("l_rule_char", lambda c, p: learn.character_rule(c), """WITH z AS (SELECT journal, list_filter(list_zip(string_split("before", ''), string_split("after", '')), lambda q: q[1] <> q[2]) AS d FROM c WHERE type = 'text_fix' AND length("before") = length("after"))
 SELECT journal, d[1][1] AS replace, d[1][2] AS with, count(*) AS n FROM z WHERE len(d) = 1 GROUP BY ALL HAVING count(*) >= 3""")
-SCORES = "SELECT CASE WHEN l_suppkey % 11 = 0 THEN '_x' ELSE 'p' || CAST(l_suppkey AS STRING) END AS paper_key, 'e' || CAST(l_linenumber AS STRING) || '/m' || CAST(l_orderkey AS STRING) AS key_name, CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE CAST(l_partkey * 7 % 1000 AS DOUBLE) / 10 END AS total FROM __LI__ WHERE l_orderkey % 16 = 1"
-NEWER = SCORES.replace("l_orderkey % 16 = 1", "l_orderkey % 16 = 2").replace("'p' || CAST(l_suppkey", "'p' || CAST(l_suppkey + 3")
+SCORES = "SELECT CASE WHEN l_suppkey % 11 = 0 THEN '_x' ELSE 'p' || CAST(l_suppkey AS STRING) END AS paper_key, 'e' || CAST(l_linenumber AS STRING) || '/m' || CAST(l_orderkey AS STRING) AS key_name, CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE CAST(l_partkey * 7 % 1000 AS DOUBLE) / 10 END AS total FROM __LI__"
+NEWER = SCORES.replace("'p' || CAST(l_suppkey", "'p' || CAST(l_suppkey + 3")
 add("l_baseline", SCORES, learn.baseline, "SELECT paper_key, max(total) AS best_total FROM x WHERE NOT starts_with(paper_key, '_') GROUP BY paper_key")
 add("l_regression", {"x": SCORES, "z": NEWER}, lambda a, b: learn.regressions(a.select("paper_key").distinct(), learn.baseline(a), learn.baseline(b)), """WITH k AS (SELECT DISTINCT paper_key FROM x), b AS (SELECT paper_key, max(total) AS v FROM x WHERE NOT starts_with(paper_key, '_') GROUP BY paper_key), c AS (SELECT paper_key, max(total) AS v FROM z WHERE NOT starts_with(paper_key, '_') GROUP BY paper_key)
 SELECT k.paper_key, b.v AS baseline, c.v AS current, round(c.v - b.v, 3) AS delta, CASE WHEN b.v IS NULL THEN 'no_baseline' WHEN c.v IS NULL THEN 'no_current_score' WHEN round(c.v - b.v, 3) < -0.5 THEN 'regressed' ELSE 'ok' END AS status FROM k LEFT JOIN b USING (paper_key) LEFT JOIN c USING (paper_key)""")
@@ -354,7 +354,7 @@ add("b_score_rank", SCORES, lambda d: metadata.rank_scores(d).select("paper_key"
 # metadata
 # Classification rules in file order.
 TAXONOMY = "SELECT * FROM (VALUES (1, 'Display', 'LED', 'the'), (2, 'Electronics', 'Transistor', 'ing'), (3, 'Sensors', 'Strain', 'tion'), (4, 'Energy', 'Battery', 'heit'), (5, 'Energy', 'Battery', 'ung'), (6, 'Materials', 'Graphene', 'ción')) AS v(ord, major, middle, kw)"
-add("m_classify", {"x": "SELECT doc_id, substr(text, 1, 80) AS t FROM documents", "r": TAXONOMY}, lambda d, r: metadata.classify(d, r, F.col("t")).select("doc_id", "major", "middle", F.col("hits").cast("long").alias("hits")), """WITH h AS (SELECT doc_id, major, middle, count(*) AS n, min(ord) AS o FROM x JOIN r ON contains(lower(t), kw) GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, o) AS k FROM h)
+add("m_classify", {"x": "SELECT doc_id, text AS t FROM documents", "r": TAXONOMY}, lambda d, r: metadata.classify(d, r, F.col("t")).select("doc_id", "major", "middle", F.col("hits").cast("long").alias("hits")), """WITH h AS (SELECT doc_id, major, middle, count(*) AS n, min(ord) AS o FROM x JOIN r ON contains(lower(t), kw) GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, o) AS k FROM h)
 SELECT x.doc_id, coalesce(major, '') AS major, coalesce(middle, '') AS middle, coalesce(n, 0) AS hits FROM x LEFT JOIN b ON b.doc_id = x.doc_id AND b.k = 1""")
 # Journal profiles in match order (file keywords, journal keywords, known papers).
 PROFILES = (("wiley_advanced_science", ("adma", "adfm", "small-str"), ("Advanced Materials", "Small"), ("p1", "p2")), ("springer_nature", ("nature", "npj"), ("Nature", "npj"), ("p3",)), ("aaas_science", ("sciadv",), ("Science",), ("p4",)), ("elsevier", ("sna",), ("Sensors and Actuators", "Advanced Energy Materials"), ()), ("acs", ("acs", "nl"), ("ACS Nano", "Nano Letters"), ("p9",)))
@@ -378,7 +378,7 @@ QUERIES["b_profile_update"] = lambda spark, sf_dir: metadata.update_profiles(pro
 _KNOWN = " UNION ALL ".join(f"SELECT '{p}' AS pid, '{x}' AS paper_key" for p, _, _, q in PROFILES for x in q)
 ORACLE["b_profile_update"] = f"WITH x AS ({SCORES}), kn AS ({_KNOWN}), pr(pid) AS (VALUES {', '.join(f'({chr(39)}{p}{chr(39)})' for p, *_ in PROFILES)}), b AS (SELECT pid, string_split(key_name, '/')[1] AS engine, total, row_number() OVER (PARTITION BY pid ORDER BY total DESC, string_split(key_name, '/')[1] DESC) AS k FROM x JOIN kn USING (paper_key) WHERE total IS NOT NULL) SELECT pr.pid, CASE WHEN total > 80 THEN engine END AS rec_engine, CASE WHEN total > 80 THEN total ELSE 80.0 END::DOUBLE AS rec_score FROM pr LEFT JOIN b ON b.pid = pr.pid AND b.k = 1"
 add("m_keywords", "SELECT doc_id, text || chr(10) || 'Keywords: ' || source || ', b; c ,d,e, f' AS md FROM documents", lambda d: d.select("doc_id", F.array_join(metadata.keywords(F.col("md")), "|").alias("keywords"), F.regexp_extract("md", "Keywords: ([^,]*)", 1).alias("s")), "SELECT doc_id, regexp_extract(md, 'Keywords: ([^,]*)', 1) || '|b|c|d|e' AS keywords, regexp_extract(md, 'Keywords: ([^,]*)', 1) AS s FROM x")
-add("x_bibkey_dedup", "SELECT l_orderkey % 300 AS doc_id, l_orderkey * 10 + l_linenumber AS pos, 'Lee' || CAST(l_partkey % 40 AS STRING) AS key FROM __LI__ WHERE l_orderkey % 10 = 1", metadata.unique_keys, "SELECT *, key || CASE WHEN row_number() OVER (PARTITION BY doc_id, key ORDER BY pos) > 1 THEN chr(CAST(96 + row_number() OVER (PARTITION BY doc_id, key ORDER BY pos) AS INT)) ELSE '' END AS bib_key FROM x")
+add("x_bibkey_dedup", "SELECT l_orderkey % 300 AS doc_id, l_orderkey * 10 + l_linenumber AS pos, 'Lee' || CAST(l_partkey % 40 AS STRING) AS key FROM __LI__", metadata.unique_keys, "SELECT *, key || CASE WHEN row_number() OVER (PARTITION BY doc_id, key ORDER BY pos) > 1 THEN chr(CAST(96 + row_number() OVER (PARTITION BY doc_id, key ORDER BY pos) AS INT)) ELSE '' END AS bib_key FROM x")
 HEADERS = "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'A|A|A|B|B|' || source || '|' || source || '|' || source ELSE 'A|||' || lang || '||B|B|B|B' END AS h FROM documents"
 add("d_header_dedup", HEADERS, lambda d: d.select("doc_id", F.array_join(metadata.repeated_headers(F.split("h", r"\|")), "|").alias("kept")), "WITH a AS (SELECT doc_id, unnest(string_split(h, '|')) AS c, generate_subscripts(string_split(h, '|'), 1) AS k FROM x), b AS (SELECT *, lag(c) OVER w AS c1, lag(c, 2) OVER w AS c2 FROM a WINDOW w AS (PARTITION BY doc_id ORDER BY k)) SELECT doc_id, string_agg(c, '|' ORDER BY k) AS kept FROM b WHERE c = '' OR NOT coalesce(c = c1 AND c = c2, false) GROUP BY doc_id")
 add("d_header_markdown", HEADERS, lambda d: d.select("doc_id", F.md5(metadata.header_markdown(F.split("h", r"\|"))).alias("digest")), f"SELECT doc_id, md5('| ' || array_to_string(string_split(h, '|'), ' | ') || ' |' || {NL} || '| ' || array_to_string(list_transform(string_split(h, '|'), lambda z: repeat('-', greatest(length(z), 3))), ' | ') || ' |' || {NL} || '| ' || array_to_string(list_transform(string_split(h, '|'), lambda z: repeat(' ', greatest(length(z), 3))), ' | ') || ' |' || {NL} || '| ' || array_to_string(list_transform(string_split(h, '|'), lambda z: repeat(' ', greatest(length(z), 3))), ' | ') || ' |') AS digest FROM x")
@@ -389,7 +389,7 @@ add("p_postprocess", MD, lambda d: postprocess.postprocess(d, "hybrid").select("
 PAIRS = "SELECT doc_id, 'a' || chr(10) || text || chr(10) || 'end' AS original, CASE WHEN doc_id % 2 = 0 THEN 'a' || chr(10) || text || chr(10) || 'new end' || chr(10) || 'x $y$' ELSE text || chr(10) || 'end' END AS corrected FROM documents"
 add("l_diff", PAIRS, lambda d: folds.corrections(d, F.col("original"), F.col("corrected")), """WITH t AS (SELECT *, len(string_split(original, chr(10))) AS n, len(string_split(corrected, chr(10))) AS m FROM x)
 SELECT doc_id, CAST(n AS INT) AS line, 'end' AS "before", 'new end' AS "after", 'text_fix' AS type FROM t WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, CAST(m AS INT), '', 'x $y$', 'formula_fix' FROM t WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 1, 'a', NULL, 'boilerplate_removal' FROM t WHERE doc_id % 2 = 1""")
-SPANS = "SELECT doc_id, pos, pos % 2 AS page, CASE WHEN pos = 3 THEN 'never there' ELSE substr(text, pos * 5 + 1, 4) END AS normed, false AS is_caption FROM documents CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(pos) WHERE length(text) > 60 AND doc_id % 4 = 0"
+SPANS = "SELECT doc_id, pos, pos % 2 AS page, CASE WHEN pos = 3 THEN 'never there' ELSE substr(text, pos * CAST(floor(length(text) / 4) AS INT) + 1, 24) END AS normed, false AS is_caption FROM documents CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(pos) WHERE length(text) > 0"
 QUERIES["f_locate_spans"] = lambda spark, sf_dir: folds.locate_spans(source(spark, sf_dir, SPANS), source(spark, sf_dir, "SELECT doc_id, text AS md FROM documents")).select("doc_id", "pos", "md_start", "md_end")
 QUERIES["f_locate_spans_by_page"] = lambda spark, sf_dir: folds.locate_spans(source(spark, sf_dir, SPANS), source(spark, sf_dir, "SELECT doc_id, text AS md FROM documents"), by_page=True).select("doc_id", "pos", "md_start", "md_end")
 ORACLE["f_locate_spans"] = f"""WITH RECURSIVE s AS ({SPANS.replace("FROM documents CROSS JOIN", "FROM documents CROSS JOIN")}), w AS (
