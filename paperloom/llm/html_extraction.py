@@ -47,6 +47,8 @@ BAD_WORDS = frozenset(
     "ad ads adv advert advertisement sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs masthead header footer foot sidebar aside widget related recommended recommendations share sharing social comment comments reply replies disqus cookie cookies consent notice alert popup modal overlay newsletter subscribe subscription signup login search form copyright legal pagination pager toolbar skip contentinfo complementary dialog".split()
 )
 GOOD_WORDS = frozenset("article content main story entry post body text".split())
+#: A class name with one of these tells the page's state and not what the element is: has-sidebar, comments-open.
+STATE_WORDS = frozenset("has is with without no not open opened closed enabled disabled on off active inactive visible hidden".split())
 TITLE_WORDS = frozenset(["header", "masthead"])
 
 BAD_PRIOR, HEADER_PRIOR, GOOD_PRIOR, GOOD_CLASS_PRIOR = -8.0, -5.0, 5.0, 2.0
@@ -61,14 +63,24 @@ class Block:
         self.text, self.link, self.tag, self.prior, self.parent, self.grandparent = text, link, tag, prior, parent, grandparent
 
 
-def _around(tag: str, raw: str, prior: float, certain: bool) -> tuple[float, bool]:
-    """What is known below an element, given what is known above it. certain: a tag said that it is boilerplate."""
+def _words(raw: str) -> set[str]:
+    """Words of an element's class, id and role, without names that tell a state."""
+    if "=" not in raw:
+        return set()
+    names = (re.findall("[a-z]+", name) for m in LABELS.findall(raw) for name in m.lower().split())
+    return {w for name in names if STATE_WORDS.isdisjoint(name) for w in name}
+
+
+def _around(tag: str, words: set[str], prior: float, certain: bool, wrapper: bool = False) -> tuple[float, bool]:
+    """What is known below an element, given what is known above it.
+
+    certain: a tag said that it is boilerplate. wrapper: the element holds the page's content, so bad labels of its own do not count.
+    """
     if certain:
         return prior, True
-    if tag in BAD_TAGS:
+    if tag in BAD_TAGS and not wrapper:
         return BAD_PRIOR, True
-    words = {w for m in LABELS.findall(raw) for w in re.split(r"[^a-z]+", m.lower())} if "=" in raw else set()
-    bad, good = words & BAD_WORDS, words & GOOD_WORDS
+    bad, good = set() if wrapper else words & BAD_WORDS, words & GOOD_WORDS
     if bad and not (good and bad <= TITLE_WORDS):
         return BAD_PRIOR, tag in GOOD_TAGS  # an article that is a comment stays one
     if tag in GOOD_TAGS:
@@ -81,16 +93,32 @@ def _around(tag: str, raw: str, prior: float, certain: bool) -> tuple[float, boo
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks of text in order, white space made one space, references decoded."""
+    """The page's blocks of text in order, white space made one space, references decoded.
+
+    A form or an element with a bad label that holds over half of the page's text and in it an element that is
+    labelled as content (or says so itself, as an article or main) is a wrapper: what it says of itself does not count.
+    """
+    out, wrappers = _read(page, frozenset())
+    return _read(page, wrappers)[0] if wrappers else out
+
+
+def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """Blocks, given the nodes that are wrappers, and the nodes that look like ones."""
     out: list[Block] = []
+    doubtful: dict[int, list] = {}  # node: characters below, whether it holds content
+    total = 0
     stack = [("html", 0, 0.0, False)]  # tag, node, prior, certain
     nodes, parts, linked, anchors = 0, [], 0, 0
 
     def flush():
-        nonlocal parts, linked
+        nonlocal parts, linked, total
         if parts:
             text = " ".join("".join(parts).split())
             if text:
+                total += len(text)
+                for e in stack if doubtful else ():
+                    if e[1] in doubtful:
+                        doubtful[e[1]][0] += len(text)
                 k = len(stack) - 1
                 tag = stack[k][0]
                 if tag in LEAF and k:
@@ -143,10 +171,18 @@ def blocks(page: str) -> list[Block]:
             while len(stack) > 1 and stack[-1][0] in ends:
                 stack.pop()
         nodes += 1
-        prior, certain = _around(tag, raw, *stack[-1][2:])
+        words = _words(raw)
+        bad = not words.isdisjoint(BAD_WORDS)
+        if not bad and tag not in BAD_TAGS and (tag in GOOD_TAGS or not words.isdisjoint(GOOD_WORDS)):
+            for e in stack if doubtful else ():
+                if e[1] in doubtful:
+                    doubtful[e[1]][1] = True
+        if tag == "form" or bad and tag not in BAD_TAGS:
+            doubtful[nodes] = [0, tag in GOOD_TAGS and not words.isdisjoint(GOOD_WORDS)]
+        prior, certain = _around(tag, words, *stack[-1][2:], nodes in wrappers)
         stack.append((tag, nodes, prior, certain))
     flush()
-    return out
+    return out, frozenset(k for k, (n, holds) in doubtful.items() if holds and 2 * n > total)
 
 
 def features(page: list[Block]) -> np.ndarray:

@@ -194,6 +194,17 @@ def test_main_text(spark):
     assert html_extraction.extract(df).count() == len(odd)
 
 
+def test_labels_of_wrappers_do_not_empty_a_page():
+    text = "A long paragraph of prose, which goes on for a while and ends here."
+    inner = f"<div class='content'><p>{text}</p><p>{text}</p></div><div class='sidebar'><p>Related things.</p></div>"
+    article = f"<p>{text}</p><p>{text}</p>"
+    weights = np.zeros(html_extraction.N_FEATURES)
+    for page in (f"<body class='page has-sidebar'>{inner}</body>", f"<article class='post comments-open'>{article}</article>", f"<body><form id='aspnetForm'>{inner}</form></body>", f"<body><div class='menu page'>{inner}</div></body>", f"<article class='post social'>{article}</article>"):
+        assert html_extraction.main_text(page, weights) == f"{text}\n{text}", page
+    for page in (f"<div class='comments'><article class='comment'><p>{text}</p></article></div>", f"<form><p>{text}</p></form>", f"<div class='cookie-notice'><p>{text}</p></div>"):
+        assert html_extraction.main_text(page, weights) == ""
+
+
 # url filters
 
 
