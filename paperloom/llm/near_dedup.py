@@ -259,6 +259,15 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (``node, component``) after more links (``a, b``): only what they join is searched anew."""
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    between = found.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    more = settled(components(between))
+    kept = labels.join(more.toDF("component", "now"), "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return settled(kept.unionByName(more.join(labels, "node", "left_anti").select("node", "component")))
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (``a, b``) that are near-duplicates."""
     long = nodes.filter(F.col("n_words") > LONG).select("node", "n_words", F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))").alias("bits"))
@@ -350,8 +359,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = members.withColumn("size_class", size_class)
     pivots = grouped.groupBy("key", "size_class").agg(F.min_by(F.struct("node", "n_words"), "node").alias("p"))
     done = _possible(grouped.join(pivots, ["key", "size_class"]).filter("node <> p.node").select(*_pair("p.node", "p.n_words", "node", "n_words")).distinct(), bits)
-    links = settled(_verified(done, nodes, docs))
-    labels = settled(components(links))
+    labels = settled(components(settled(_verified(done, nodes, docs))))
     for k in range(PIVOTS):
         apart = _apart(members.filter(F.col("n") > BUCKET), labels)
         pivots = apart.groupBy("key").agg(F.min_by(F.struct("node", "n_words", "component"), F.xxhash64(F.lit(k), "node")).alias("p"))
@@ -362,8 +370,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         done = done.unionAll(pairs)
         found = settled(_verified(pairs, nodes, docs))
         if not found.isEmpty():
-            links = links.unionAll(found)
-            labels = settled(components(links))
+            labels = _merged(labels, found)
 
     # what shares a key and is in two components still: all of those pairs
     apart = _apart(members, labels).join(bits, "node")
@@ -373,8 +380,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = x.join(y, ["key", "block"]).filter((F.col("cx") != F.col("cy")) & _alike("nx", "ny", "bx", "by")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = settled(rest.join(done, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        links = links.unionAll(_verified(rest, nodes, docs))
-        labels = settled(components(links))
+        labels = _merged(labels, settled(_verified(rest, nodes, docs)))
     classes = settled(nodes.join(labels, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component")))
     every = rows.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"])
     heads = every.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("head"), F.count("*").alias("class_size"))
