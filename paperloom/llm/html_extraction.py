@@ -6,14 +6,24 @@ edges to the two terminals. Blocks that follow each other and blocks that hang o
 the same element are joined by smoothness edges. The maximum flow's cut labels all
 blocks of the page at once; a block that could go either way is boilerplate.
 
-The costs are log-odds: a logistic model of the block's text (length, links,
-punctuation, kind of element), trained here on blocks whose elements say what
-they are, plus what the elements around the block say. The model is fitted on at
-most ``sample`` pages, dealt out by the hash of their ids; every page is labelled.
+The costs are log-odds of one logistic model: what the text is like (length, links,
+punctuation, kind of element; together at most ``TEXT_MOST`` either way) and what
+the elements around it say by tag and by class. No feature decides: what a tag or
+class weighs is less than what a block's neighbours can weigh together. Weights
+are fitted on the table itself in two views that hold back what gives the labels:
+tags label blocks to fit texts and classes, classes label them to fit texts and
+tags. Both are drawn to ``PRIOR``, which alone counts where no block is labelled.
+Edges are fitted on pairs of labelled blocks, up to ``EDGE_MOST``.
+
+The fit takes at most ``sample`` pages, those whose id and text have the least
+hashes, and of each at most ``FIT_BLOCKS`` blocks, evenly apart; only their
+features reach the driver. Every page is labelled, whole.
 
 Edge cases: a null or empty page gives an empty text; so does one without
-content; cut-off pages, unclosed elements and stray ``<`` are read as browsers do;
-pages of any length are read whole; repeated rows are read alike.
+content; cut-off pages, unclosed elements and stray ``<`` are read as browsers do,
+but an unclosed script or the like ends at the next tag; pages of any length are
+read whole; repeated rows are read alike; an empty table gives an empty result;
+pages with equal hashes are equal pages, so ties change nothing.
 """
 
 from __future__ import annotations
@@ -37,8 +47,11 @@ NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 LABELS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg select button xmp object canvas math".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rt rp".split())
+#: Elements whose inside is text and no markup; what an ``xmp`` holds is shown.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Elements that go with all they hold.
+DROPPED = frozenset("noscript template svg select button annotation annotation-xml".split())
+INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rt rp object canvas".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption caption address summary td th".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 BAD_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
@@ -51,16 +64,26 @@ GOOD_WORDS = frozenset("article content main story entry post body text".split()
 STATE_WORDS = frozenset("has is with without no not open opened closed enabled disabled on off active inactive visible hidden".split())
 TITLE_WORDS = frozenset(["header", "masthead"])
 
-BAD_PRIOR, HEADER_PRIOR, GOOD_PRIOR, GOOD_CLASS_PRIOR = -8.0, -5.0, 5.0, 2.0
-FOLLOWS, SAME_PARENT, SAME_GRANDPARENT = 0.4, 0.8, 0.3
-N_FEATURES = 8
+BAD, HEADER, GOOD = -1, -2, 1
+#: What texts weigh: one, log of words, share of links, end of a sentence, commas a word, heading, cell, paragraph of five words or more.
+TEXT_PRIOR = (-2.0, 0.75, -2.5, 0.8, 1.0, 0.8, -0.6, 0.4)
+#: What elements around weigh: bad tag, header, good tag; bad class, good class, bad class of the block's own element.
+TAG_PRIOR, CLASS_PRIOR = (-4.0, -3.0, 3.0), (-4.0, 0.7, -1.5)
+PRIOR = np.array(TEXT_PRIOR + TAG_PRIOR + CLASS_PRIOR)
+N_TEXT, N_TAGS, N_FEATURES = len(TEXT_PRIOR), len(TAG_PRIOR), len(PRIOR)
+TEXT_MOST = 2.0
+#: Edges between blocks: one follows the other, same parent, same grandparent. Two of each meet a block.
+EDGE_MOST = (0.8, 0.9, 0.4)
+FIT_BLOCKS = 200
+#: The model where nothing can be fitted.
+DEFAULT = np.concatenate([PRIOR, EDGE_MOST])
 
 
 class Block:
-    __slots__ = ("text", "link", "tag", "prior", "parent", "grandparent")
+    __slots__ = ("text", "link", "tag", "by_tag", "by_class", "own", "parent", "grandparent")
 
-    def __init__(self, text, link, tag, prior, parent, grandparent):
-        self.text, self.link, self.tag, self.prior, self.parent, self.grandparent = text, link, tag, prior, parent, grandparent
+    def __init__(self, text, link, tag, by_tag, by_class, own, parent, grandparent):
+        self.text, self.link, self.tag, self.by_tag, self.by_class, self.own, self.parent, self.grandparent = text, link, tag, by_tag, by_class, own, parent, grandparent
 
 
 def _words(raw: str) -> set[str]:
@@ -71,25 +94,25 @@ def _words(raw: str) -> set[str]:
     return {w for name in names if STATE_WORDS.isdisjoint(name) for w in name}
 
 
-def _around(tag: str, words: set[str], prior: float, certain: bool, wrapper: bool = False) -> tuple[float, bool]:
-    """What is known below an element, given what is known above it.
+def _around(tag: str, words: set[str], by_tag: int, by_class: int, wrapper: bool = False) -> tuple[int, int, bool]:
+    """What tags and classes say below an element, given what they say above it, and whether its own class is bad.
 
-    certain: a tag said that it is boilerplate. wrapper: the element holds the page's content, so bad labels of its own do not count.
+    What is bad stays so further down; what is good ends where something bad begins.
+    wrapper: the element holds the page's content, so bad labels of its own do not count.
     """
-    if certain:
-        return prior, True
+    bad, good = set() if wrapper or tag in ("html", "body") else words & BAD_WORDS, words & GOOD_WORDS
+    own = bool(bad) and not (good and bad <= TITLE_WORDS)
     if tag in BAD_TAGS and not wrapper:
-        return BAD_PRIOR, True
-    bad, good = set() if wrapper else words & BAD_WORDS, words & GOOD_WORDS
-    if bad and not (good and bad <= TITLE_WORDS):
-        return BAD_PRIOR, tag in GOOD_TAGS  # an article that is a comment stays one
-    if tag in GOOD_TAGS:
-        return GOOD_PRIOR, False
-    if tag == "header" and prior <= 0:
-        return HEADER_PRIOR, False
-    if good and prior >= 0:
-        return max(prior, GOOD_CLASS_PRIOR), False
-    return prior, False
+        by_tag = BAD
+    elif tag in GOOD_TAGS and by_tag != BAD and not own:  # an article that is a comment is none
+        by_tag = GOOD
+    elif tag == "header" and not by_tag and by_class != GOOD:
+        by_tag = HEADER
+    if own:
+        by_class, by_tag = BAD, min(by_tag, 0)
+    elif good and by_class != BAD and by_tag >= 0:
+        by_class = GOOD
+    return by_tag, by_class, own
 
 
 def blocks(page: str) -> list[Block]:
@@ -107,7 +130,9 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[i
     out: list[Block] = []
     doubtful: dict[int, list] = {}  # node: characters below, whether it holds content
     total = 0
-    stack = [("html", 0, 0.0, False)]  # tag, node, prior, certain
+    stack = [("html", 0, 0, 0, False)]  # tag, node, by tag, by class, own class is bad
+    unclosed: set[str] = set()  # elements without an end from here on
+    math = False
     nodes, parts, linked, anchors = 0, [], 0, 0
 
     def flush():
@@ -123,7 +148,7 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[i
                 tag = stack[k][0]
                 if tag in LEAF and k:
                     k -= 1
-                out.append(Block(text, linked, tag, stack[-1][2], stack[k][1], stack[k - 1][1] if k else -1))
+                out.append(Block(text, linked, tag, *stack[-1][2:], stack[k][1], stack[k - 1][1] if k else -1))
         parts, linked = [], 0
 
     at, end = 0, len(page)
@@ -140,13 +165,26 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[i
         if not got:
             continue  # comment, doctype or the like
         tag, closing = got[1].lower(), raw[1] == "/"
-        if tag in RAW:
-            if not closing:
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else end
+        if tag in RAW or tag in DROPPED:
+            if not closing and not (raw.endswith("/>") and tag not in RAW):
+                close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                if close:
+                    if tag == "xmp":
+                        parts.append(page[at : close.start()])
+                    at = close.end()
+                else:
+                    unclosed.add(tag)
+                    if tag in RAW:  # a script that never ends: what stands before the next tag goes
+                        at = page.find("<", at)
+                        at = end if at < 0 else at
             if tag != "button":
                 parts.append(" ")
             continue
+        if tag == "math":
+            math = not closing and not raw.endswith("/>")
+            continue
+        if math and (tag[0] == "m" or tag == "semantics"):
+            continue  # the parts of a formula are one text
         if tag == "a":
             anchors = max(0, anchors - 1) if closing else 1
             continue
@@ -179,8 +217,7 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[i
                     doubtful[e[1]][1] = True
         if tag == "form" or bad and tag not in BAD_TAGS:
             doubtful[nodes] = [0, tag in GOOD_TAGS and not words.isdisjoint(GOOD_WORDS)]
-        prior, certain = _around(tag, words, *stack[-1][2:], nodes in wrappers)
-        stack.append((tag, nodes, prior, certain))
+        stack.append((tag, nodes, *_around(tag, words, *stack[-1][2:4], nodes in wrappers)))
     flush()
     return out, frozenset(k for k, (n, holds) in doubtful.items() if holds and 2 * n > total)
 
@@ -189,30 +226,75 @@ def features(page: list[Block]) -> np.ndarray:
     x = np.zeros((len(page), N_FEATURES))
     for i, b in enumerate(page):
         n, words = len(b.text), b.text.count(" ") + 1
-        x[i] = (1, np.log1p(words), min(1.0, b.link / n), b.text[-1] in ".!?:;\"'", sum(map(b.text.count, ",;")) / words, b.tag in HEADING, b.tag in ("li", "td", "th"), b.tag == "p")
+        x[i] = (
+            1, np.log1p(words), min(1.0, b.link / n), b.text[-1] in ".!?:;\"'", sum(map(b.text.count, ",;")) / words, b.tag in HEADING, b.tag in ("li", "td", "th"), b.tag == "p" and words >= 5,
+            b.by_tag == BAD, b.by_tag == HEADER, b.by_tag == GOOD, b.by_class == BAD, b.by_class == GOOD, b.own,
+        )
     return x
 
 
-def fit(pages, rounds: int = 12, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic model on blocks whose elements tell their kind; zeros if they tell of one kind only."""
-    xs, ys = [], []
-    for page in pages:
-        got = blocks(page or "")
-        known = [b for b in got if abs(b.prior) >= GOOD_PRIOR]
-        if known:
-            xs.append(features(known))
-            ys.append(np.array([b.prior > 0 for b in known], float))
-    w = np.zeros(N_FEATURES)
-    if not xs or len(np.unique(y := np.concatenate(ys))) < 2:
+def logits(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Log-odds of content: what the text says, up to a bound, and what the elements say."""
+    return np.clip(x[:, :N_TEXT] @ weights[:N_TEXT], -TEXT_MOST, TEXT_MOST) + x[:, N_TEXT:] @ weights[N_TEXT:N_FEATURES]
+
+
+def edges_of(page: list[Block]) -> list[tuple[int, int, int]]:
+    """Pairs of blocks and what joins them: 0 one follows the other, 1 same parent, 2 same grandparent."""
+    out, parent, grandparent = [], {}, {}
+    for i, b in enumerate(page):
+        if i:
+            out.append((i - 1, i, 0))
+        for kind, seen, key in ((1, parent, b.parent), (2, grandparent, b.grandparent)):
+            if key in seen:
+                out.append((seen[key], i, kind))
+            seen[key] = i
+    return out
+
+
+def evidence(page: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """What fitting needs of a page: features of some blocks, and by kind of edge how many pairs have the same label by tag and how many have not."""
+    got = blocks(page) if page else []
+    pairs = np.zeros((len(EDGE_MOST), 2), np.int64)
+    for i, j, kind in edges_of(got):
+        a, b = got[i].by_tag, got[j].by_tag
+        if a and b:
+            pairs[kind, int((a > 0) != (b > 0))] += 1
+    some = [got[k] for k in np.unique(np.linspace(0, len(got) - 1, FIT_BLOCKS).astype(int))] if len(got) > FIT_BLOCKS else got
+    return features(some).astype(np.float32), pairs
+
+
+def _newton(x: np.ndarray, y: np.ndarray, prior: np.ndarray, rounds: int = 12, ridge: float = 0.05) -> np.ndarray:
+    """Weights of a logistic model by Newton's method, drawn to ``prior`` by ``ridge`` a row; it is kept if all labels are the same."""
+    w, ridge = prior.copy(), max(1.0, ridge * len(y))
+    if len(np.unique(y)) < 2:
         return w
-    x = np.concatenate(xs)
-    for _ in range(rounds):  # Newton's method with a ridge
+    for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(N_FEATURES)
-        w = w + np.linalg.solve(hess, x.T @ (y - p) - ridge * w)
+        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
+        w = w + np.linalg.solve(hess, x.T @ (y - p) - ridge * (w - prior))
     return w
 
 
+def fit(pages) -> np.ndarray:
+    """Weights of the features and of the edges from the evidence of some pages."""
+    xs, pairs = [], np.zeros((len(EDGE_MOST), 2))
+    for x, n in pages:
+        xs.append(np.asarray(x, float))
+        pairs += n
+    x = np.concatenate(xs) if xs else np.zeros((0, N_FEATURES))
+    text, tags, classes = x[:, :N_TEXT], x[:, N_TEXT : N_TEXT + N_TAGS], x[:, N_TEXT + N_TAGS :]
+    by_tag, by_class = tags.any(1), classes[:, :2].any(1)
+    of_text, of_tags, of_classes = (np.array(v) for v in (TEXT_PRIOR, TAG_PRIOR, CLASS_PRIOR))
+    first = _newton(np.hstack([text, classes])[by_tag], tags[by_tag, 2], np.concatenate([of_text, of_classes]))
+    second = _newton(np.hstack([text, tags])[by_class], classes[by_class, 1], np.concatenate([of_text, of_tags]))
+    share = by_tag.sum() / max(by_tag.sum() + by_class.sum(), 1)
+    # a tag or class keeps its sign and weighs at most as much as before
+    bound = lambda w, p: np.clip(w, np.minimum(p, 0), np.maximum(p, 0))
+    weights = np.concatenate([first[:N_TEXT] * share + second[:N_TEXT] * (1 - share) if len(x) else of_text, bound(second[N_TEXT:], of_tags), bound(first[N_TEXT:], of_classes)])
+    joined = np.clip(np.log((pairs[:, 0] + 5) / (pairs[:, 1] + 1)) / 2, 0.1, EDGE_MOST)
+    return np.concatenate([weights, joined])
+
+
 def min_cut(unary: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes fall on the content side. unary: content's log-odds, the capacity
     of the edge to one terminal; edges: undirected, with capacities.
@@ -260,16 +342,7 @@ def label(page: list[Block], weights: np.ndarray) -> list[bool]:
     """Which blocks are content."""
     if not page:
         return []
-    unary = (np.clip(features(page) @ weights, -4, 4) + [b.prior for b in page]).tolist()
-    edges, parent, grandparent = [], {}, {}
-    for i, b in enumerate(page):
-        if i:
-            edges.append((i - 1, i, FOLLOWS))
-        for seen, key, c in ((parent, b.parent, SAME_PARENT), (grandparent, b.grandparent, SAME_GRANDPARENT)):
-            if key in seen:
-                edges.append((seen[key], i, c))
-            seen[key] = i
-    return min_cut(unary, edges)
+    return min_cut(logits(features(page), weights).tolist(), [(i, j, float(weights[N_FEATURES + kind])) for i, j, kind in edges_of(page)])
 
 
 def main_text(page: str | None, weights: np.ndarray) -> str:
@@ -277,11 +350,23 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     return "\n".join(b.text for b, keep in zip(got, label(got, weights), strict=True) if keep)
 
 
+def fitted(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> np.ndarray:
+    """Weights fitted on at most ``sample`` pages; what the driver gets of each are its features, at most some 12 KB."""
+
+    @F.pandas_udf("struct<x:binary,n:binary>")
+    def of(pages: pd.Series) -> pd.DataFrame:
+        got = [evidence(p) for p in pages]
+        return pd.DataFrame({"x": [x.tobytes() for x, _ in got], "n": [n.tobytes() for _, n in got]})
+
+    step = max(1, -(-2 * pages.count() // sample))  # about half the bound are read, so the bound seldom cuts
+    keyed = pages.select(F.xxhash64(F.col(id_col), F.col(html_col)).alias("h"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    rows = keyed.filter(F.pmod("h", F.lit(step)) == 0).select("h", of("html").alias("e")).orderBy("h", "e.x").limit(sample).collect()
+    return fit((np.frombuffer(r["e"]["x"], np.float32).reshape(-1, N_FEATURES), np.frombuffer(r["e"]["n"], np.int64).reshape(-1, 2)) for r in rows)
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``."""
-    step = max(1, -(-2 * pages.count() // sample))  # about half the bound, so the limit seldom cuts
-    some = pages.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(step)) == 0).select(F.col(html_col).alias("html")).limit(sample)
-    weights = fit(r["html"] for r in some.collect())
+    weights = fitted(pages, id_col, html_col, sample)
 
     @F.pandas_udf("string")
     def text_of(pages: pd.Series) -> pd.Series:

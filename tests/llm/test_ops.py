@@ -198,13 +198,53 @@ def test_labels_of_wrappers_do_not_empty_a_page():
     text = "A long paragraph of prose, which goes on for a while and ends here."
     inner = f"<div class='content'><p>{text}</p><p>{text}</p></div><div class='sidebar'><p>Related things.</p></div>"
     article = f"<p>{text}</p><p>{text}</p>"
-    weights = np.zeros(html_extraction.N_FEATURES)
+    weights = html_extraction.DEFAULT  # what elements say is part of the model
     for page in (f"<body class='page has-sidebar'>{inner}</body>", f"<article class='post comments-open'>{article}</article>", f"<body><form id='aspnetForm'>{inner}</form></body>", f"<body><div class='menu page'>{inner}</div></body>", f"<article class='post social'>{article}</article>"):
         assert html_extraction.main_text(page, weights) == f"{text}\n{text}", page
     for page in (f"<div class='comments'><article class='comment'><p>{text}</p></article></div>", f"<form><p>{text}</p></form>", f"<div class='cookie-notice'><p>{text}</p></div>"):
         assert html_extraction.main_text(page, weights) == ""
 
 
+def test_elements_that_do_not_end_lose_no_text():
+    text = "A long paragraph of prose, which goes on for a while and ends here."
+    main = lambda page: html_extraction.main_text(page, html_extraction.DEFAULT)
+    assert main(f"<body class='has-sidebar'><div><h1>Title</h1><p>{text}</p></div>") == f"Title\n{text}"
+    assert main(f"<article><p>first <svg/> second</p><p>{text}</p></article>") == f"first second\n{text}"
+    assert main(f"<article><p>first <svg><text>no</text></svg> second</p><p>{text}") == f"first second\n{text}"
+    assert main(f"<article><p>{text}</p><script>var a = 1;<p>{text}</p></article>") == f"{text}\n{text}"
+    assert main(f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><object>{text}</object></article>") == f"Let x=2 be.\n{text}"
+    assert main("<div class='content'><p>Buy now<p>Home<p>About us") == ""
+
+
+def _unmarked_page(rng):
+    """A page whose elements say nothing: menus of links with a sentence in them, an article with short paragraphs. Its texts begin with Z."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n)) + rng.choice(["...", ".", "?"])
+    link = lambda: f"<div><a href=x>{word()} {word()}</a></div>"
+    menu = lambda n: "<div><div>" + "".join(link() for _ in range(n)) + (f"<div>{prose(6)}</div>" if rng.random() < 0.5 else "") + "".join(link() for _ in range(n)) + "</div></div>"
+    kinds = (lambda: f"<h2>Z {word()}</h2>", lambda: f"<p>Z {word()}</p>", *([lambda: f"<p>Z {prose(rng.randint(15, 60))}</p>"] * 5))
+    return f"<html><body>{menu(4)}<div>{''.join(rng.choice(kinds)() for _ in range(rng.randint(4, 12)))}</div>{menu(3)}"
+
+
+def test_the_cut_labels_better_than_each_block_by_itself():
+    rng, alone, together, flipped, n = random.Random(3), 0, 0, 0, 0
+    for _ in range(100):
+        page = html_extraction.blocks(_unmarked_page(rng))
+        by_itself = (html_extraction.logits(html_extraction.features(page), html_extraction.DEFAULT) > 0).tolist()
+        for b, x, y in zip(page, by_itself, html_extraction.label(page, html_extraction.DEFAULT), strict=True):
+            truth = b.text.startswith("Z ")
+            alone, together, flipped, n = alone + (x == truth), together + (y == truth), flipped + (x != y), n + 1
+    assert flipped > n / 20 and together / n > 0.95 > alone / n
+
+
+def test_nothing_around_a_block_outweighs_its_neighbours():
+    most = 2 * sum(html_extraction.EDGE_MOST)
+    assert all(abs(w) <= most for w in (*html_extraction.TAG_PRIOR, *html_extraction.CLASS_PRIOR))
+    rng = random.Random(4)
+    w = html_extraction.fit(html_extraction.evidence(p) for p in [PAGE] * 5 + [_unmarked_page(rng) for _ in range(5)])
+    assert all(abs(x) <= most for x in w[html_extraction.N_TEXT : html_extraction.N_FEATURES]) and len(w) == len(html_extraction.DEFAULT)
+
+
 # url filters
 
 
