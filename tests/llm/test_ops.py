@@ -1,6 +1,7 @@
 """Each operator against a plain version, and its edge cases."""
 
 import collections
+import hashlib
 import itertools
 import math
 import random
@@ -293,7 +294,7 @@ def test_surrogates(spark):
     texts = ["Mr. John Smith met Mrs Smith and Dr Иван Петров. Mr Smith left.", "a.b@mail3.example.com or A.B@mail3.example.com, +1 (017) 555-7713 or +1-017-555-7713", 'card 4111 1111 1111 1111 or 4111111111111111, ip 10.0.0.1. token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', None, "", "clean text 2.0, 12 numbers\n and 1,234.5 or 10.11.2024", "q@" * 5, "1" * 5000, "a.b@mail3.example.com"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(8, texts[8]), (None, texts[1])], "doc_id long, text string")
     got = collections.defaultdict(list)
-    for r in surrogates.replace(clashing(df)).collect():
+    for r in surrogates.replace(clashing(df), "key").collect():
         got[r.doc_id].append(r)
     one = got[0][0].text
     name = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs (\w+) and Dr ([Ѐ-ӿ-]+) ([Ѐ-ӿ-]+)\. Mr (\w+) left\.", one)
@@ -305,17 +306,94 @@ def test_surrogates(spark):
     for i in (3, 4, 5, 6, 7):
         assert got[i][0].text == texts[i] and got[i][0].n_entities == 0
     assert got[8][0].text == got[8][1].text == mail[1] and got[None][0].text == got[1][0].text
-    assert surrogates.replace(df.limit(0)).count() == 0
+    assert surrogates.replace(df.limit(0), "key").count() == 0
 
 
 def test_surrogates_stay_distinct(spark):
     names = [a + b for a in ("Al", "Be", "Ce", "Du", "Em", "Fo", "Gu") for b in ("ra", "no", "li", "to", "mi", "sa", "ke")]
     df = spark.createDataFrame([(i, f"Mr {n} Smith and card {4000000000000000 + i}") for i, n in enumerate(names)], "doc_id long, text string")
-    made = [re.match(r"Mr (\S+) (\S+) and card (\d+)", r.text).groups() for r in surrogates.replace(df).collect()]
+    made = [re.match(r"Mr (\S+) (\S+) and card (\d+)", r.text).groups() for r in surrogates.replace(df, "key").collect()]
     assert len({m[0] for m in made}) == len({m[2] for m in made}) == len(names) and len({m[1] for m in made}) == 1
     assert not {m[0] for m in made} & set(names)
 
 
+class PlainSurrogates:
+    """The surrogates once more, character by character."""
+
+    def __init__(self, key):
+        self.key = key
+
+    def permuted(self, values, sizes, kind):
+        half, values = len(values) // 2, list(values)
+        tweak = "\x01".join([self.key, kind, ",".join(map(str, sizes))])
+        for r in range(surrogates.ROUNDS):
+            own, other = (range(half, len(values)), values[:half]) if r % 2 == 0 else (range(half), values[half:])
+            said = ",".join(map(str, other))
+            h = "".join(hashlib.sha512("\x01".join([tweak, str(r), str(b), said]).encode()).hexdigest() for b in range(len(values) // 32 + 1))
+            for i in own:
+                values[i] = (values[i] + int(h[4 * i : 4 * i + 4], 16)) % sizes[i]
+        return values
+
+    def shaped(self, kind, text):
+        of = [next(((lo, n) for lo, n in surrogates.ALPHABETS if lo <= ord(c) < lo + n), (ord(c), 1)) for c in text]
+        made = self.permuted([ord(c) - lo for c, (lo, _) in zip(text, of, strict=True)], [n for _, n in of], kind + "," + ",".join(str(lo) for lo, _ in of))
+        return "".join(chr(v + lo) for v, (lo, _) in zip(made, of, strict=True))
+
+    def surrogate(self, kind, norm):
+        if kind == "card":
+            due = lambda body: next(d for d in range(10) if luhn(body + str(d)))
+            body = norm[0] + self.shaped("card", norm[1:-1])
+            return body + str((due(body) + int(norm[-1]) - due(norm[:-1])) % 10)
+        if kind in surrogates.DIGIT_TYPES:
+            return norm[0] + self.shaped(kind, norm[1:])
+        if kind == "ip":
+            return ".".join(map(str, self.permuted([int(x) for x in norm.split(".")], [256] * 4, kind)))
+        if re.fullmatch("[0-9a-f]+", norm):
+            return "".join(f"{v:x}" for v in self.permuted([int(c, 16) for c in norm], [16] * len(norm), kind))
+        if kind == "email":
+            head, _, end = norm.rpartition(".")
+            return self.shaped("email", head) + "." + end
+        if kind == "iban":
+            due = lambda b: 98 - int("".join(str(int(c, 36)) for c in b + norm[:2] + "00")) % 97
+            b = self.shaped("iban" + norm[:2], norm[4:])
+            return norm[:2] + f"{(due(b) + int(norm[2:4]) - due(norm[4:])) % 100:02d}" + b
+        return self.shaped(kind, norm)
+
+
+def test_surrogates_against_a_plain_version(spark):
+    rng, letters = random.Random(5), "abcxyzABCéÜжЯλ中0189.-_"
+    of = {
+        "email": lambda: "".join(rng.choice(letters.lower()) for _ in range(rng.randint(1, 80))) + "@" + rng.choice(["b", "mail3.example", "ü"]) + "." + rng.choice(["com", "de"]),
+        "ip": lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)), "phone": lambda: "".join(rng.choice("0123456789") for _ in range(rng.randint(7, 14))),
+        "card": lambda: "".join(rng.choice("0123456789") for _ in range(rng.randint(13, 19))), "hex": lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([32, 40, 128]))),
+        "iban": lambda: "DE" + "".join(rng.choice("0123456789") for _ in range(20)), "secret": lambda: "".join(rng.choice("abAB01+/") for _ in range(rng.randint(16, 200))), "ssn": lambda: "".join(rng.choice("0123456789") for _ in range(9)),
+    }
+    rows = [(kind, make()) for kind, make in of.items() for _ in range(12)]
+    got = spark.createDataFrame(rows, "kind string, norm string").withColumn("made", surrogates.surrogate(F.col("kind"), F.col("norm"), "key")).collect()
+    plain = PlainSurrogates("key")
+    for r in got:
+        assert r.made == plain.surrogate(r.kind, r.norm), r
+        assert len(r.made) == len(r.norm) or r.kind == "ip"
+
+
+def test_all_addresses_of_a_shape_stay_distinct(spark):
+    """A full space: each of the 676 addresses of one letter and one letter gets another."""
+    names = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    made = [r.text for r in surrogates.replace(spark.createDataFrame(list(enumerate(names)), "doc_id long, text string"), "key").collect()]
+    assert set(made) == set(names)
+
+
+def test_one_person_has_one_surrogate(spark):
+    texts = ["Dr. Anna Schmidt met Mrs. Anna Schmidt; later Anna Schmidt left, and SCHMIDT too.", "Mr. Zoltan Kiss and Prof. Zoltan Kiss, Kissing", "macOS 10.15.7.1, v1.22.3.4, 1.2.3.4, but 192.168.1.77", "Anna Schmidt"]
+    got = [r.text for r in surrogates.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), "key").orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) met Mrs\. (\w+) (\w+); later (\w+) (\w+) left, and SCHMIDT too\.", got[0])
+    assert m and m[1] == m[3] == m[5] and m[2] == m[4] == m[6] and m[1] in surrogates.GIVEN["f", "latin"] and "Schmidt" not in got[0]
+    m = re.fullmatch(r"Mr\. ([\w-]+) (\w+) and Prof\. ([\w-]+) (\w+), Kissing", got[1])
+    assert m and m[1] == m[3] and m[2] == m[4] and m[1].split("-")[0] in surrogates.GIVEN["m", "latin"]
+    assert re.fullmatch(r"macOS \d+\.\d+\.\d+\.\d+, v1\.22\.3\.4, 1\.2\.3\.4, but (\d+\.){3}\d+", got[2]) and "192.168.1.77" not in got[2]
+    assert got[3] == texts[3]  # no title, so no name
+
+
 # near-duplicates
 
 
