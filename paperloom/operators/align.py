@@ -36,6 +36,11 @@ def trim_to_batch(detections: DataFrame, batch: int = BATCH) -> DataFrame:
     return d.filter((F.col("_n") <= batch) | F.col("_keep") | (F.col("_left") > batch)).drop("_n", "_budget", "_rank", "_cut", "_keep", "_left")
 
 
+def formula_type(category: Column) -> Column:
+    """The detector's class 14 is a display formula, any other an inline one."""
+    return F.when(category == 14, "display").otherwise("inline")
+
+
 def to_page_boxes(formulas: DataFrame, heights: DataFrame) -> DataFrame:
     """Pixel polygons from the top left as boxes in points from the bottom left."""
     even, odd = F.filter("poly", lambda x, i: i % 2 == 0), F.filter("poly", lambda x, i: i % 2 == 1)
@@ -76,7 +81,7 @@ def merge_slots(slots: DataFrame, formulas: DataFrame) -> DataFrame:
 
 def drop_subformulas(formulas: DataFrame, least: int = 20) -> DataFrame:
     """Formulas of ``least`` characters or more, white space aside, that a longer one of their page contains go."""
-    f = formulas.withColumn("_bare", F.regexp_replace("latex", r"(?U)\s+", ""))
+    f = formulas.withColumn("_bare", tk.sub(F.col("latex"), [(r"(?U)\s+", ""), (r"\\(?:mathrm|text|mathit|mathbf)\{((?U:\w+))\}", "$1")]))
     g = f.select(F.col("doc_id").alias("g_doc"), F.col("page").alias("g_page"), F.col("_bare").alias("g_bare"))
     held = (F.col("doc_id") == F.col("g_doc")) & (F.col("page") == F.col("g_page")) & (F.length("_bare") >= least) & (F.length("g_bare") > F.length("_bare")) & F.contains("g_bare", "_bare")
     return f.join(g, held, "left_anti").drop("_bare")
@@ -99,22 +104,29 @@ def tidy_latex(latex: Column) -> Column:
     return latex
 
 
-# Greek commands as letters; symbols as text, in order.
-GREEK = {"varepsilon": "ε", "vartheta": "θ", "varphi": "φ", "varrho": "ρ", "varsigma": "σ", "varpi": "π", "epsilon": "ε", "upsilon": "υ", "omicron": "ο", "lambda": "λ", "alpha": "α", "gamma": "γ", "delta": "δ", "theta": "θ", "kappa": "κ", "sigma": "σ", "omega": "ω", "beta": "β", "zeta": "ζ", "iota": "ι", "eta": "η", "rho": "ρ", "tau": "τ", "phi": "φ", "chi": "χ", "psi": "ψ", "mu": "μ", "nu": "ν", "xi": "ξ", "pi": "π"}
-COMMANDS = (("\\times", "×"), ("\\pm", "±"), ("\\cdot", "·"), ("\\approx", "≈"), ("\\leq", "≤"), ("\\geq", "≥"), ("\\neq", "≠"), ("\\infty", "∞"), ("\\rightarrow", "→"), ("\\circ", "°"), ("\\sim", "~"), ("\\propto", "∝"))
+# Greek commands as letters; symbols as text, in order. The letter of \\mu is the micro sign.
+GREEK = {
+    "alpha": "α", "beta": "β", "gamma": "γ", "delta": "δ", "epsilon": "ε", "varepsilon": "ε", "zeta": "ζ", "eta": "η", "theta": "θ", "vartheta": "θ", "iota": "ι", "kappa": "κ", "lambda": "λ", "mu": "µ", "nu": "ν", "xi": "ξ",
+    "pi": "π", "varpi": "π", "rho": "ρ", "varrho": "ρ", "sigma": "σ", "varsigma": "σ", "tau": "τ", "upsilon": "υ", "phi": "φ", "varphi": "φ", "chi": "χ", "psi": "ψ", "omega": "ω",
+    "Gamma": "Γ", "Delta": "Δ", "Theta": "Θ", "Lambda": "Λ", "Xi": "Ξ", "Pi": "Π", "Sigma": "Σ", "Upsilon": "Υ", "Phi": "Φ", "Psi": "Ψ", "Omega": "Ω",
+}
+COMMANDS = (
+    ("\\times", "×"), ("\\pm", "±"), ("\\mp", "∓"), ("\\cdot", "·"), ("\\%", "%"), ("\\sim", "~"), ("\\approx", "≈"), ("\\simeq", "≃"), ("\\leq", "≤"), ("\\geq", "≥"), ("\\le", "≤"), ("\\ge", "≥"),
+    ("\\neq", "≠"), ("\\ne", "≠"), ("\\circ", "°"), ("\\infty", "∞"), ("\\rightarrow", "→"), ("\\leftarrow", "←"), ("\\Rightarrow", "⇒"), ("\\propto", "∝"), ("\\partial", "∂"), ("\\nabla", "∇"), ("\\sqrt", "√"), ("\\degree", "°"),
+)
 
 
 def search_text(latex: Column) -> Column:
-    """A formula as the plain text that stands for it on the page."""
-    t = F.replace(latex, F.lit("$"), F.lit(""))
-    t = tk.swap(t, [(f"\\{k}", v) for k, v in GREEK.items()])
-    t = tk.sub(t, [(r"\\(?:mathrm|mathbf|mathit|text|textbf|textit|operatorname)\s*\{([^{}]*)\}", "$1"), (r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")])
-    return tk.sub(tk.swap(t, COMMANDS), [(r"\\[a-zA-Z]+", ""), (r"[{}\\^_]", ""), (r"(?U)\s+", "")])
+    """A formula as the plain text that stands for it on the page: commands as characters, the longest name first, all other markup and spaces gone."""
+    t = F.regexp_replace(tk.strip(latex), r"^\$+|\$+$", "")
+    t = tk.swap(t, [(f"\\{k}", GREEK[k]) for k in sorted(GREEK, key=len, reverse=True)])
+    t = tk.sub(t, [(r"\\(?:text|mathrm|mathit|mathbf|mathsf|boldsymbol)\{([^}]*)\}", "$1"), (r"\\t?frac\{([^}]*)\}\{([^}]*)\}", "$1/$2")])
+    return tk.sub(tk.swap(t, COMMANDS), [(r"\\[a-zA-Z]+", ""), (r"[\\{}^_]", ""), (" ", "")])
 
 
 def fix_subscripts(md: Column) -> Column:
     """A single character after an inline Greek command becomes its subscript."""
-    greek = r"\\(?:" + "|".join(GREEK) + ")"
+    greek = r"\\(?:" + "|".join(k for k in GREEK if k.islower()) + ")"
     rules = [(rf"\$({greek})\$ \$({greek})\$ ([a-zA-Z0-9])(?=[\s,.;)])", r"\$$1\$ \$$2_{$3}\$"), (rf"\$({greek})\$ ([a-zA-Z0-9])(?=[\s,.;)])", r"\$$1_{$2}\$"), (r"(?<=\s)l 0(?=[\s,.;)])", r"\$l_{0}\$")]
     return tk.sub(md, rules)
 

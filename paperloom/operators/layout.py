@@ -115,8 +115,8 @@ def in_header(items: DataFrame, is_body_heading: Column) -> DataFrame:
 
 
 def formula_slots(items: DataFrame) -> DataFrame:
-    """Places of display formulas, counted on each page."""
-    rank = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("pos")) - 1
+    """Places of display formulas, counted on each page from 1."""
+    rank = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("pos"))
     box = F.format_string("%.1f:%.1f:%.1f:%.1f", *(F.col(c).cast("double") for c in "ltrb"))
     return items.withColumn("slot", F.concat(F.lit("<!-- formula-slot:p"), F.col("page").cast("string"), F.lit(":"), rank.cast("string"), F.lit(":"), box, F.lit(" -->")))
 

@@ -36,7 +36,7 @@ def _papers(corrections: DataFrame) -> DataFrame:
 def formula_rule(corrections: DataFrame, params: DataFrame) -> DataFrame:
     """Proposals to lower the threshold where formulas were added three times, and to raise it where they were removed."""
     had, has = F.col("before").rlike(FORMULA), F.coalesce(F.col("after").rlike(FORMULA), F.lit(False))
-    n = corrections.groupBy("journal").agg(F.count_if(has & ~F.coalesce(had, F.lit(False))).alias("added"), F.count_if(F.coalesce(had, F.lit(False)) & ~has).alias("removed"))
+    n = corrections.filter(F.col("type") == KINDS[1]).groupBy("journal").agg(F.count_if(has & ~F.coalesce(had, F.lit(False))).alias("added"), F.count_if(F.coalesce(had, F.lit(False)) & ~has).alias("removed"))
     n = n.join(params.select("journal", "mfd_conf_override"), "journal", "left").withColumn("base", F.coalesce("mfd_conf_override", F.lit(BASE)))
     of = lambda count, action, sign: n.filter(F.col(count) >= THRESHOLD).select("journal", F.lit(action).alias("action"), F.round(F.col("base") + sign * STEP, 4).alias("value"), F.col(count).alias("n"))
     return of("added", "lower", -1).unionAll(of("removed", "raise", 1))
@@ -102,3 +102,57 @@ def apply_thresholds(params: DataFrame, proposals: DataFrame, date: Column) -> D
     entries = F.transform("steps", lambda x: F.struct(x["entry"]["date"].alias("date"), F.lit("mfd_conf_override").alias("param"), F.col("mfd_conf_override").cast("string").alias("old"), x["entry"]["new"].alias("new"), x["entry"]["reason"].alias("reason")))
     none = F.array().cast("array<struct<date:string,param:string,old:string,new:string,reason:string>>")
     return joined.select("journal", F.coalesce(F.element_at("steps", -1)["value"], F.col("mfd_conf_override")).alias("mfd_conf_override"), F.concat(F.coalesce("history", none), F.coalesce(entries, none)).alias("history"))
+
+
+def proposals(corrections: DataFrame, params: DataFrame) -> DataFrame:
+    """``journal, step, param, action, value, n, papers``: what all five rules propose, in the order in which it is applied.
+
+    ``value`` is JSON: a number, the stored list with new entries (sorted), the stored
+    map with new ones. ``params``: a row a journal with ``mfd_conf_override,
+    extra_boilerplate_patterns, heading_remap, postprocess_extras`` (an array of
+    ``struct<replace, with>``). Ties of headings: of two new names for one the last in
+    order stays.
+    """
+    strings, extras = "array<string>", "array<struct<replace:string,with:string>>"
+    p = params.select("journal", *(F.col(c).alias(f"_{c}") for c in ("extra_boilerplate_patterns", "heading_remap", "postprocess_extras")))
+    row = lambda d, step, param, action, value, n: d.select("journal", F.lit(step).alias("step"), F.lit(param).alias("param"), F.lit(action).alias("action") if isinstance(action, str) else action.alias("action"), value.alias("value"), n.cast("long").alias("n"))
+    f = formula_rule(corrections, params)
+    out = f.select("journal", F.when(F.col("action") == "lower", 1).otherwise(2).alias("step"), F.lit("mfd_conf_override").alias("param"), "action", F.to_json(F.struct("value")).alias("value"), F.col("n").cast("long").alias("n"))
+    b = boilerplate_rule(corrections, params).groupBy("journal").agg(F.collect_set("text").alias("new"), F.count("*").alias("n")).join(p, "journal", "left")
+    out = out.unionByName(row(b, 3, "extra_boilerplate_patterns", "add", F.to_json(F.struct(F.sort_array(F.array_union("new", F.coalesce("_extra_boilerplate_patterns", F.array().cast(strings)))).alias("value"))), F.col("n")))
+    h = heading_rule(corrections, params).groupBy("journal").agg(F.array_sort(F.collect_set(F.struct("before", "after"))).alias("new"), F.count("*").alias("n")).join(p, "journal", "left")
+    old = F.filter(F.map_entries(F.coalesce("_heading_remap", F.create_map().cast("map<string,string>"))), lambda e: ~F.exists("new", lambda x: x["before"] == e["key"]))
+    last = F.filter("new", lambda x, i: ~F.exists(F.slice("new", i + 2, F.size("new")), lambda y: y["before"] == x["before"]))
+    merged = F.array_sort(F.concat(F.transform(old, lambda e: F.struct(e["key"].alias("before"), e["value"].alias("after"))), last))
+    out = out.unionByName(row(h, 4, "heading_remap", "add", F.to_json(F.struct(F.map_from_entries(merged).alias("value"))), F.col("n")))
+    c = character_rule(corrections).groupBy("journal").agg(F.array_sort(F.collect_set(F.struct("replace", "with"))).alias("new")).join(p, "journal", "left")
+    have = F.coalesce("_postprocess_extras", F.array().cast(extras))
+    c = c.withColumn("new", F.array_except("new", have)).filter(F.size("new") > 0)
+    out = out.unionByName(row(c, 5, "postprocess_extras", "add", F.to_json(F.struct(F.concat(F.coalesce("_postprocess_extras", F.array().cast(extras)), "new").alias("value"))), F.size("new")))
+    return out.join(_papers(corrections), "journal", "left")
+
+
+def apply_proposals(params: DataFrame, proposed: DataFrame, date: Column) -> DataFrame:
+    """``journal, mfd_conf_override, extra_boilerplate_patterns, heading_remap, postprocess_extras, history`` after all proposals.
+
+    Each takes the place of the stored value in the order of its step, so of lower and
+    raise the last counts; every change is added to the history with the value before it
+    and after. Journals without parameters start from the defaults.
+    """
+    extras, entry = "array<struct<replace:string,with:string>>", "struct<date:string,param:string,old:string,new:string,reason:string,papers:array<string>>"
+    steps = proposed.groupBy("journal").agg(F.array_sort(F.collect_list(F.struct("step", "param", "action", "value", "papers"))).alias("steps"))
+    p = params.join(steps, "journal", "full_outer").withColumn("steps", F.coalesce("steps", F.array().cast("array<struct<step:int,param:string,action:string,value:string,papers:array<string>>>")))
+    old = {"mfd_conf_override": F.col("mfd_conf_override"), "extra_boilerplate_patterns": F.coalesce("extra_boilerplate_patterns", F.array().cast("array<string>")), "heading_remap": F.coalesce("heading_remap", F.create_map().cast("map<string,string>")), "postprocess_extras": F.coalesce("postprocess_extras", F.array().cast(extras))}
+    kinds = {"mfd_conf_override": "double", "extra_boilerplate_patterns": "array<string>", "heading_remap": "map<string,string>", "postprocess_extras": extras}
+    of = lambda name: F.filter("steps", lambda s: s["param"] == name)
+    now = {k: F.coalesce(F.from_json(F.try_element_at(of(k), F.lit(-1))["value"], f"struct<value:{kinds[k]}>")["value"], v) for k, v in old.items()}
+    before = F.map_from_arrays(F.array(*(F.lit(k) for k in old)), F.array(*(F.to_json(F.struct(v.alias("value"))) for v in old.values())))
+
+    def made(s, i):
+        earlier = F.filter("steps", lambda t, j: (t["param"] == s["param"]) & (j < i))
+        was = F.coalesce(F.try_element_at(earlier, F.lit(-1))["value"], before[s["param"]])
+        return F.struct(date.cast("string").alias("date"), s["param"].alias("param"), was.alias("old"), s["value"].alias("new"), s["action"].alias("reason"), s["papers"].alias("papers"))
+
+    none = F.array().cast(f"array<{entry}>")
+    history = F.concat(F.coalesce("history", none) if "history" in params.columns else none, F.transform("steps", made))
+    return p.select("journal", *(v.alias(k) for k, v in now.items()), history.alias("history"))

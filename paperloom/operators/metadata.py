@@ -43,19 +43,111 @@ def authors(line: Column) -> Column:
     return F.filter(made, lambda a: a["name"] != "")
 
 
+# What an affiliation names, addresses, noise of the first page, the first headings of a body.
 EMAIL = r"(?i)\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Z]{2,}\b"
+INSTITUTION = r"(?i)(?:University|Institute|College|School|Department|Center|Centre|Laboratory|Lab\b|Hospital|Foundation|Universit[éä]|Institut\b|Research)"
+EMAIL_LINE = r"(?i)^E-?mail[:\s]+\S+"
+NOISE = r"(?i)^(?:\d{10,}|Received[:\s]|Accepted[:\s]|Revised[:\s]|Check\s+for\s+updates?)"
+BODY = r"(?im)^#{1,3}\s+(?:\d+\.?\s+)?(?:Introduction|Abstract|Methods?|Results?|Discussion|Conclusion|Experimental|Materials|Background)"
+LONG_PARA, MOST_KEYWORDS = 200, 5
+
+
+def front_paragraphs(md: Column) -> Column:
+    """Paragraphs before the first heading of the body, stripped, blank ones gone."""
+    at = F.regexp_instr(md, F.lit(BODY))
+    return F.filter(F.transform(F.split(F.when(at > 0, F.substr(md, F.lit(1), at - 1)).otherwise(md), r"\n{2,}"), tk.strip), lambda p: p != "")
+
+
+def header_paragraphs(paras: Column) -> Column:
+    """Those before the abstract: the first paragraph over 200 characters that is no heading and names no institution."""
+    starts = F.array_position(F.transform(paras, lambda p: (F.length(p) > LONG_PARA) & ~p.startswith("#") & ~p.rlike(INSTITUTION)), True)
+    return F.when(starts > 0, F.slice(paras, F.lit(1), (starts - 1).cast("int"))).otherwise(paras)
+
+
+def _zone(header: Column, title: Column, authors: Column) -> Column:
+    """Header paragraphs without headings, the title, the authors and noise."""
+    own = lambda p: p.startswith("#") | ((title != "") & p.contains(title)) | ((authors != "") & p.contains(authors))
+    return F.filter(header, lambda p: ~own(p) & (_address_line(p) | ~p.rlike(NOISE)))
+
+
+def _address_line(p: Column) -> Column:
+    return p.rlike(EMAIL_LINE) & (F.length(p) < 80)
+
+
+def affiliations(header: Column, title: Column, authors: Column) -> Column:
+    """Header paragraphs that name an institution or an address or have at most 200 characters, lines of an address alone aside."""
+    return F.filter(_zone(header, title, authors), lambda p: ~_address_line(p) & (p.rlike(INSTITUTION) | p.rlike(EMAIL) | (F.length(p) <= LONG_PARA)))
+
+
+def first_email(header: Column, title: Column, authors: Column) -> Column:
+    """The first address in the header; empty without one."""
+    found = F.filter(F.transform(_zone(header, title, authors), lambda p: F.regexp_extract(p, EMAIL, 0)), lambda x: x != "")
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+
+
+def keyword_paragraph(paras: Column) -> Column:
+    """The entries of the first paragraph that begins with ``Keywords``, at most five."""
+    line = F.coalesce(F.get(F.filter(F.transform(paras, lambda p: F.regexp_extract(p, r"(?d)(?i)^Key\s*words?[:\s]+(.+)", 1)), lambda x: x != ""), F.lit(0)), F.lit(""))
+    parts = F.filter(F.transform(F.split(line, "[;,]"), tk.strip), lambda k: k != "")
+    return F.slice(parts, 1, MOST_KEYWORDS)
 
 
 def corresponding_affiliation(affiliations: Column) -> Column:
-    """The first affiliation with an address, the address removed; empty without one."""
+    """The first affiliation with an address, what announces the address and it removed; empty without one."""
     first = tk.at(F.filter(affiliations, lambda a: a.rlike(EMAIL)), F.lit(0))
-    return F.coalesce(tk.strip(F.regexp_replace(F.regexp_replace(first, EMAIL, ""), r"(?i)e-?mail:?\s*", "")), F.lit(""))
+    return F.coalesce(tk.strip(F.regexp_replace(first, r"(?i)\s*E-?mail[:\s]+\S+", "")), F.lit(""))
 
 
 def without_affiliations(md: Column, affiliations: Column) -> Column:
-    """The text without the paragraphs that are affiliations and without stray address lines."""
-    kept = F.filter(tk.paras(md), lambda p: ~F.array_contains(affiliations, tk.strip(p)))
-    return tk.sub(F.array_join(kept, "\n\n"), [(r"(?dim)^E-?mail[:\s]+\S+[^\n]*\n?", ""), (r"\n{3,}", "\n\n")])
+    """The text without affiliations that stand between blank lines (one side may be a single line end) and without lines of an address alone."""
+    steps = (("\n\n", "\n\n", "\n\n"), ("\n\n", "\n", "\n\n"), ("\n", "\n\n", "\n"))
+
+    def drop(text, aff):
+        for before, after, left in steps:
+            text = F.replace(text, F.concat(F.lit(before), aff, F.lit(after)), F.lit(left))
+        return text
+
+    gone = F.aggregate(affiliations, md, drop)
+    return tk.sub(gone, [(r"(?i)\n\nE-?mail[:\s]+\S+[ \t]*\n", "\n\n"), (r"(?i)\nE-?mail[:\s]+\S+[ \t]*\n", "\n"), (r"\n{3,}", "\n\n")])
+
+
+# The third level of the classification and its keywords.
+MINOR = {
+    "소재": ("material", "elastomer", "polymer", "composite", "alloy", "liquid metal", "PDMS", "substrate", "oxide skin", "hydrogel", "film"),
+    "공정": ("fabrication", "process", "printing", "lithography", "transfer", "coating", "deposition", "etching", "sintering", "annealing"),
+    "소자": ("device", "display", "sensor", "actuator", "LED", "transistor", "electrode", "battery", "capacitor"),
+}
+
+
+def best_class(text: Column, rules: dict) -> Column:
+    """The class of a small table of rules whose keywords a text holds most of; the first of equals, empty for none. No join."""
+
+    def of(t):
+        scores = F.array(*(F.struct(sum((t.contains(k.lower()).cast("int") for k in kws), F.lit(0)).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, kws) in enumerate(rules.items())))
+        return tk.let(F.array_max(scores), lambda b: F.when(b["n"] > 0, b["name"]).otherwise(""))
+
+    return tk.let(F.lower(text), of)
+
+
+def paper_metadata(docs: DataFrame, classes: dict | None = None, md: str = "md") -> DataFrame:
+    """``docs`` with ``meta``: title, authors, affiliations, address, keywords and classes of each paper in one struct.
+
+    ``classes``: keywords by ``(major, middle)``; without them both are empty.
+    """
+    m = F.col(md)
+    line = author_line(m)
+    names = lambda flag=None: F.transform(F.filter(F.col("_a"), (lambda a: a["corresponding"]) if flag else (lambda a: F.lit(True))), lambda a: a["name"])
+    d = docs.withColumns({"_t": title(m), "_l": line, "_p": front_paragraphs(m)}).withColumns({"_a": authors(F.col("_l")), "_h": header_paragraphs(F.col("_p"))})
+    d = d.withColumn("_f", affiliations(F.col("_h"), F.col("_t"), F.col("_l")))
+    text = F.concat(F.col("_t"), F.lit(" "), F.array_join(F.filter("_p", lambda p: F.length(p) > LONG_PARA), " "))
+    pair = best_class(text, {f"{a}\t{b}": k for (a, b), k in (classes or {("", ""): ()}).items()})
+    d = d.withColumns({"_c": pair, "_m": best_class(text, MINOR)})
+    meta = F.struct(
+        F.col("_t").alias("title"), F.coalesce(F.get(names(), F.lit(0)), F.lit("")).alias("first_author"), names().alias("authors"), names(True).alias("corresponding_authors"), F.col("_f").alias("affiliations"),
+        corresponding_affiliation(F.col("_f")).alias("corresponding_affiliation"), first_email(F.col("_h"), F.col("_t"), F.col("_l")).alias("email"), F.lit("").alias("submission_date"), F.lit("").alias("publication_date"), keyword_paragraph(F.col("_p")).alias("keywords"),
+        F.struct(F.substring_index("_c", "\t", 1).alias("major"), F.when(F.col("_c").contains("\t"), F.substring_index("_c", "\t", -1)).otherwise("").alias("middle"), F.col("_m").alias("minor")).alias("category"),
+    )
+    return d.withColumn("meta", meta).drop("_t", "_l", "_p", "_a", "_h", "_f", "_c", "_m")
 
 
 def classify(docs: DataFrame, rules: DataFrame, text: Column) -> DataFrame:

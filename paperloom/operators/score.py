@@ -155,6 +155,65 @@ def speed_score(elapsed: Column) -> Column:
     return F.when(elapsed.isNull(), None).when(elapsed < 12, 5.0).when(elapsed < 20, 4.0).when(elapsed < 25, 3.0).when(elapsed < 30, 2.0).when(elapsed < 40, 1.0).otherwise(0.5)
 
 
+# Points by the most seconds.
+SPEED_STEPS = ((12, 15.0), (17, 12.0), (22, 9.0), (27, 6.0), (35, 3.0))
+
+
+def formula_score_30() -> Column:
+    """30 points by truth: inline 12, display 8, valid 6, decoded 4. An expected count of none gives all points."""
+    total, valid = _c("n_inline") + _c("n_display"), _c("inline_valid") + _c("display_valid")
+    expected = F.coalesce(F.expr("nullif(exp_insertable, 0)"), F.col("exp_inline")).cast("double")
+    part = lambda got, want, most: F.round(F.when(want > 0, _least(got / F.nullif(want, F.lit(0.0)), 1)).otherwise(1.0) * most, 2)
+    return F.round(part(_c("n_inline"), expected, 12) + part(_c("n_display"), _c("exp_display"), 8) + part(valid, total, 6) + _above(4.0 - _c("not_decoded")), 2)
+
+
+def image_score_20() -> Column:
+    """20 points by truth: 14 for the number of figures, 6 for captions near them."""
+    off = F.abs(_c("n_images") - _c("exp_figures"))
+    figures = F.when(off == 0, 14.0).when(off == 1, 10.0).when(off == 2, 6.0).otherwise(_above(14.0 - off * 3))
+    return F.round(figures + F.round(_least(_c("n_captions_near") / _above(_c("exp_captions"), 1.0), 1) * 6, 2), 2)
+
+
+def speed_score_15(elapsed: Column) -> Column:
+    """15 points at most, by seconds; null without a time."""
+    out = F.when(elapsed.isNull(), None)
+    for most, points in SPEED_STEPS:
+        out = out.when(elapsed < most, points)
+    return out.otherwise(1.0)
+
+
+#: Categories of the first score with their points.
+FIRST_MOST = {"formula_30": 30, "image_20": 20, "text_20": 20, "structure_15": 15, "speed_15": 15}
+
+
+def score_first(docs: DataFrame, truth: DataFrame, key: str = "paper_key", md: str = "md", elapsed: Column | None = None) -> DataFrame:
+    """``docs`` that have a truth with the five scores of the first kind, ``of_85`` without and ``of_100`` with speed (null without a time)."""
+    docs = features(docs.join(truth.select(key, *TRUTH), key), md)
+    speed = speed_score_15(elapsed) if elapsed is not None else F.lit(None).cast("double")
+    docs = docs.withColumns({"formula_30": formula_score_30(), "image_20": image_score_20(), "text_20": text_score(md), "structure_15": structure_score(), "speed_15": speed})
+    base = F.col("formula_30") + F.col("image_20") + F.col("text_20") + F.col("structure_15")
+    return docs.withColumns({"of_85": F.round(base, 2), "of_100": F.round(base + F.col("speed_15"), 2)}).drop("_headings")
+
+
+def bar(score: Column, most: Column | int, width: int = 20) -> Column:
+    """A score as a bar of blocks."""
+    full = (score / most * width).cast("int")
+    return F.concat(F.repeat(F.lit("█"), full), F.repeat(F.lit("░"), width - full))
+
+
+def report_first(scored: DataFrame, key: str = "doc_id") -> DataFrame:
+    """A row for each document and category of the first score: ``score, most, bar``, with the sum and what it is out of."""
+    pairs = ", ".join(f"'{c}', {c}, {m}" for c, m in FIRST_MOST.items())
+    rows = scored.select(key, F.coalesce("of_100", "of_85").alias("total"), F.when(F.col("of_100").isNull(), 85).otherwise(100).alias("out_of"), F.expr(f"stack({len(FIRST_MOST)}, {pairs}) AS (category, score, most)"))
+    return rows.filter("score is not null").withColumn("bar", bar(F.col("score"), F.col("most")))
+
+
+def profile_listing(profiles: DataFrame) -> DataFrame:
+    """``pid, line`` for each journal profile: its name, recommended engine and score, papers."""
+    score = F.when(F.col("rec_score").isNull(), "-").otherwise(F.format_string("%.1f", "rec_score"))
+    return profiles.select("pid", F.concat_ws(" | ", F.col("pid"), F.coalesce("rec_engine", F.lit("-")), score, F.array_join(F.sort_array("known_papers"), ", ")).alias("line"))
+
+
 def grade(total: Column) -> Column:
     return F.when(total >= 90, "S").when(total >= 80, "A").when(total >= 70, "B").when(total >= 60, "C").otherwise("D")
 

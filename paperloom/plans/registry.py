@@ -278,7 +278,7 @@ add("k_figure_text_anti", {"x": ITEMS, "f": BOXES}, lambda d, f: layout.drop_fig
 SELECT doc_id, pos FROM x WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.doc_id = x.doc_id AND f.page = x.page AND x.depth < 2 AND (x.l + x.r) / 2 BETWEEN f.l AND f.r AND (x.t + x.b) / 2 BETWEEN f.b AND f.t)
 AND NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = x.doc_id AND g.page = x.page AND x.depth < 2 AND x.r - x.l < 80 AND (x.t + x.b) / 2 BETWEEN g.bottom - 100 AND g.top + 450)""")
 add("k_header_zone", ITEMS, lambda d: layout.in_header(d, F.col("area_px") > 3000).select("doc_id", "pos", "in_header"), "SELECT doc_id, pos, max(CASE WHEN area_px > 3000 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 0 AS in_header FROM x")
-add("k_slot_rank", ITEMS, lambda d: layout.formula_slots(d.filter("depth = 1")).select("doc_id", "pos", "slot"), "SELECT doc_id, pos, '<!-- formula-slot:p' || page || ':' || (row_number() OVER (PARTITION BY doc_id, page ORDER BY pos) - 1) || ':' || printf('%.1f:%.1f:%.1f:%.1f', l, t, r, b) || ' -->' AS slot FROM x WHERE depth = 1")
+add("k_slot_rank", ITEMS, lambda d: layout.formula_slots(d.filter("depth = 1")).select("doc_id", "pos", "slot"), "SELECT doc_id, pos, '<!-- formula-slot:p' || page || ':' || row_number() OVER (PARTITION BY doc_id, page ORDER BY pos) || ':' || printf('%.1f:%.1f:%.1f:%.1f', l, t, r, b) || ' -->' AS slot FROM x WHERE depth = 1")
 CAPTIONS = "SELECT l_orderkey AS doc_id, l_linenumber AS pos, CASE WHEN l_linenumber % 3 = 0 THEN 'img' ELSE 'caption' END AS type, CAST(l_partkey % 3 AS INT) AS fig_n, ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) AS content FROM __LI__"
 add("k_caption_group", CAPTIONS, layout.group_captions, "WITH c AS (SELECT doc_id, fig_n, content, row_number() OVER (PARTITION BY doc_id, fig_n ORDER BY length(content) DESC, pos) AS k FROM x WHERE type = 'caption') SELECT c.doc_id, c.fig_n, content AS caption, EXISTS (SELECT 1 FROM x WHERE x.type = 'img' AND x.doc_id = c.doc_id AND x.fig_n = c.fig_n) AS placed FROM c WHERE k = 1")
 add("k_assemble", CAPTIONS, layout.assemble, f"SELECT doc_id, string_agg(content, {NL} || {NL} ORDER BY pos) AS md FROM x WHERE trim(content) <> '' GROUP BY doc_id")
@@ -309,11 +309,10 @@ add("f_subformula_anti", SUBFORMULAS, lambda d: align.drop_subformulas(d, 5).sel
 add("f_overlap_greedy", "SELECT l_orderkey AS doc_id, CAST(l_partkey % 50 AS INT) AS s, CAST(l_partkey % 50 + l_suppkey % 9 AS INT) AS e FROM __LI__", lambda d: d.groupBy("doc_id").agg(align.accept_intervals(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end")))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n_kept"), F.aggregate("k", F.lit(0), lambda a, x: a + x["start"]).cast("long").alias("sum_start")), """WITH RECURSIVE o AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM x),
 w AS (SELECT doc_id, k, greatest(e, s + 1) AS last, 1 AS n, s AS t FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.k, CASE WHEN o.s >= w.last THEN greatest(o.e, o.s + 1) ELSE w.last END, w.n + CASE WHEN o.s >= w.last THEN 1 ELSE 0 END, w.t + CASE WHEN o.s >= w.last THEN o.s ELSE 0 END FROM w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1)
 SELECT doc_id, CAST(max(n) AS BIGINT) AS n_kept, CAST(max(t) AS BIGINT) AS sum_start FROM w GROUP BY doc_id""")
-add("f_search_text", "SELECT doc_id, chr(92) || 'varepsilon_{x} = ' || CAST(doc_id AS STRING) || ' ' || chr(92) || 'times 10^{-2} ' || chr(92) || 'mathrm{eV} ' || chr(92) || 'frac{a}{b}' AS latex FROM documents", lambda d: d.select("doc_id", align.search_text(F.col("latex")).alias("plain")), "SELECT doc_id, 'εx=' || doc_id || '×10-2eVa/b' AS plain FROM x")
 
 # learning
 LOG = """SELECT l_suppkey AS paper, 'j' || CAST(l_suppkey % 7 AS STRING) AS journal, 'p' || CAST(l_suppkey AS STRING) AS paper_key,
-  CASE l_linenumber WHEN 1 THEN '# Head ' || CAST(l_partkey % 3 AS STRING) WHEN 2 THEN 'a-b ' || CAST(l_partkey % 4 AS STRING) WHEN 3 THEN 'see $x$ here' WHEN 4 THEN '© ' || l_linestatus WHEN 5 THEN '![f](a.png)' ELSE ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) END AS "before",
+  CASE l_linenumber WHEN 1 THEN '# Head ' || CAST(l_partkey % 3 AS STRING) WHEN 2 THEN 'a-b ' || CAST(l_partkey % 4 AS STRING) WHEN 3 THEN 'see $x$ here' WHEN 4 THEN CASE WHEN l_partkey % 5 = 0 THEN 'was $z$' ELSE '© ' || l_linestatus END WHEN 5 THEN '![f](a.png)' ELSE ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) END AS "before",
   CASE l_linenumber WHEN 1 THEN '## Head' WHEN 2 THEN 'a–b ' || CAST(l_partkey % 4 AS STRING) WHEN 3 THEN 'see here' WHEN 4 THEN NULL WHEN 5 THEN '![f](b.png)' WHEN 6 THEN 'new $y$' ELSE ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) END AS "after" FROM __LI__"""
 KIND = "CASE WHEN \"after\" IS NULL THEN 'boilerplate_removal' WHEN regexp_matches(\"before\", '\\$[^$]+\\$') OR regexp_matches(\"after\", '\\$[^$]+\\$') THEN 'formula_fix' WHEN regexp_matches(\"before\", '^#{1,6}\\s') OR regexp_matches(\"after\", '^#{1,6}\\s') THEN 'heading_change' WHEN regexp_matches(\"before\", '!\\[[^\\]]*\\]\\([^)]*\\)') OR regexp_matches(\"after\", '!\\[[^\\]]*\\]\\([^)]*\\)') THEN 'image_reorder' ELSE 'text_fix' END"
 LOG_SPARK = LOG.replace('"before"', "before").replace('"after"', "after")
@@ -330,11 +329,11 @@ def learned(name, run, oracle):
         return run(c, p)
 
     QUERIES[name] = of
-    ORACLE[name] = f"WITH x AS ({LOG}), p AS ({PARAMS}), {TYPED}{', ' if oracle.startswith('WITH ') else ' '}{oracle.removeprefix('WITH ')}"
+    ORACLE[name] = f"WITH x AS ({LOG.replace('__LI__', LI)}), p AS ({PARAMS}), {TYPED}{', ' if oracle.startswith('WITH ') else ' '}{oracle.removeprefix('WITH ')}"
 
 
 learned("l_counts_pivot", lambda c, p: learn.counts(c), "SELECT paper_key, " + ", ".join(f"count(*) FILTER (WHERE type = '{k}') AS {k}" for k in learn.KINDS) + " FROM c GROUP BY paper_key")
-learned("l_rule_formula", lambda c, p: learn.formula_rule(c, p), """WITH n AS (SELECT journal, count(*) FILTER (WHERE coalesce(regexp_matches("after", '\\$[^$]+\\$'), false) AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a, count(*) FILTER (WHERE regexp_matches("before", '\\$[^$]+\\$') AND NOT coalesce(regexp_matches("after", '\\$[^$]+\\$'), false)) AS d FROM c GROUP BY journal)
+learned("l_rule_formula", lambda c, p: learn.formula_rule(c, p), """WITH n AS (SELECT journal, count(*) FILTER (WHERE type = 'formula_fix' AND coalesce(regexp_matches("after", '\\$[^$]+\\$'), false) AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a, count(*) FILTER (WHERE type = 'formula_fix' AND regexp_matches("before", '\\$[^$]+\\$') AND NOT coalesce(regexp_matches("after", '\\$[^$]+\\$'), false)) AS d FROM c GROUP BY journal)
 SELECT journal, 'lower' AS action, round(coalesce(CAST(conf AS DOUBLE), 0.45) - 0.05, 4) AS value, a AS n FROM n LEFT JOIN p USING (journal) WHERE a >= 3 UNION ALL SELECT journal, 'raise', round(coalesce(CAST(conf AS DOUBLE), 0.45) + 0.05, 4), d FROM n LEFT JOIN p USING (journal) WHERE d >= 3""")
 learned("l_rule_boilerplate", lambda c, p: learn.boilerplate_rule(c, p), "SELECT journal, trim(\"before\") AS text, count(*) AS n FROM c WHERE type = 'boilerplate_removal' AND trim(\"before\") <> '' GROUP BY ALL HAVING count(*) >= 3 AND NOT (trim(\"before\") = '© F' AND journal IN (SELECT journal FROM p))")
 learned("l_rule_heading", lambda c, p: learn.heading_rule(c, p), "SELECT journal, trim(\"before\") AS \"before\", trim(\"after\") AS \"after\", count(*) AS n FROM c WHERE type = 'heading_change' AND trim(\"before\") <> trim(\"after\") GROUP BY ALL HAVING count(*) >= 3 AND NOT (trim(\"before\") = '# Head 1' AND journal IN (SELECT journal FROM p))")
@@ -426,7 +425,7 @@ def _thresholds(c, p):
     return got.select("journal", "mfd_conf_override", F.size("history").cast("long").alias("n_changes"))
 
 
-learned("l_apply", _thresholds, """WITH n AS (SELECT journal, count(*) FILTER (WHERE coalesce(regexp_matches("after", '\\$[^$]+\\$'), false) AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a, count(*) FILTER (WHERE regexp_matches("before", '\\$[^$]+\\$') AND NOT coalesce(regexp_matches("after", '\\$[^$]+\\$'), false)) AS d FROM c GROUP BY journal)
+learned("l_apply", _thresholds, """WITH n AS (SELECT journal, count(*) FILTER (WHERE type = 'formula_fix' AND coalesce(regexp_matches("after", '\\$[^$]+\\$'), false) AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a, count(*) FILTER (WHERE type = 'formula_fix' AND regexp_matches("before", '\\$[^$]+\\$') AND NOT coalesce(regexp_matches("after", '\\$[^$]+\\$'), false)) AS d FROM c GROUP BY journal)
 SELECT coalesce(n.journal, p.journal) AS journal, CASE WHEN d >= 3 THEN round(coalesce(CAST(conf AS DOUBLE), 0.45) + 0.05, 4) WHEN a >= 3 THEN round(coalesce(CAST(conf AS DOUBLE), 0.45) - 0.05, 4) ELSE CAST(conf AS DOUBLE) END AS mfd_conf_override, CAST((coalesce(a, 0) >= 3)::INT + (coalesce(d, 0) >= 3)::INT AS BIGINT) AS n_changes FROM n FULL JOIN p ON n.journal = p.journal WHERE p.journal IS NOT NULL OR a >= 3 OR d >= 3""")
 
 # boilerplate of layout items
@@ -438,3 +437,5 @@ z AS (SELECT *, max(CASE WHEN regexp_matches(s, '{layout.BODY_HEADING}') THEN 1
 SELECT doc_id, pos, content FROM z WHERE NOT ({_HAS(layout.TEMPLATE)}) AND (head OR NOT ({_HAS(layout.AUTHORS)} OR (length(s) <= 200 AND ({_HAS(layout.LOOSE)}))))""")
 
 ORACLE = {k: v.replace("__LI__", LI) for k, v in ORACLE.items()}
+
+from . import papers  # noqa: E402, F401  more queries, added to the same tables
