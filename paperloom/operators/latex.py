@@ -13,8 +13,82 @@ SPECIAL = (("&", "\\&"), ("%", "\\%"), ("#", "\\#"), ("~", "\\textasciitilde{}")
 AUTHOR, ET_AL = r"^[A-Z][.\-]", r"(?i)^et\s+al"
 NOTE = 120
 DEFAULT = "generic"
-#: Document classes by journal; others take the default.
-PREAMBLES = {"generic": "\\documentclass{article}", "wiley": "\\documentclass[12pt]{article}", "nature": "\\documentclass[twocolumn]{article}", "acs": "\\documentclass{achemso}", "elsevier": "\\documentclass{elsarticle}"}
+# Preambles by journal.
+PREAMBLES = {
+    "generic": r"""\documentclass[12pt]{article}
+\usepackage[T1]{fontenc}
+\usepackage[utf8]{inputenc}
+\usepackage{lmodern}
+\usepackage[a4paper, margin=2.5cm]{geometry}
+\usepackage{amsmath, amssymb, bm}
+\usepackage{graphicx}
+\usepackage{float}
+\usepackage{caption}
+\captionsetup[figure]{font=small,labelfont=bf,skip=4pt}
+\usepackage{subcaption}
+\usepackage{booktabs}
+\usepackage{array}
+\usepackage{tabularx}
+\usepackage{longtable}
+\usepackage[colorlinks=true, linkcolor=blue, citecolor=blue, urlcolor=blue]{hyperref}
+\usepackage{cite}
+\usepackage{setspace}
+\doublespacing
+\emergencystretch=5em""",
+    "wiley": r"""\documentclass[12pt]{article}
+\usepackage[T1]{fontenc}
+\usepackage[utf8]{inputenc}
+\usepackage{lmodern}
+\usepackage[a4paper, top=3cm, bottom=3cm, left=3cm, right=3cm]{geometry}
+\usepackage{amsmath, amssymb, bm}
+\usepackage{graphicx}
+\usepackage{float}
+\usepackage{caption}
+\captionsetup[figure]{font=small,labelfont=bf,skip=4pt}
+\usepackage{subcaption}
+\usepackage{booktabs}
+\usepackage{tabularx}
+\usepackage[colorlinks=true]{hyperref}
+\usepackage{natbib}
+\usepackage{setspace}
+\doublespacing
+\emergencystretch=5em  % 긴 단어/URL의 Overfull hbox 완화
+% Wiley submission: XeLaTeX 권장 (로컬 MikTeX에서는 pdflatex도 가능)""",
+    "nature": r"""\documentclass[12pt]{article}
+\usepackage[T1]{fontenc}
+\usepackage[utf8]{inputenc}
+\usepackage{lmodern}
+\usepackage[a4paper, margin=2.5cm]{geometry}
+\usepackage{amsmath, amssymb}
+\usepackage{graphicx}
+\usepackage{float}
+\usepackage{caption}
+\usepackage{booktabs}
+\usepackage[colorlinks=false]{hyperref}
+\usepackage{natbib}
+\usepackage{setspace}
+\doublespacing
+\linespread{1.5}
+\emergencystretch=5em
+% Nature submission: 12pt, double-spaced, line numbers 권장""",
+    "acs": r"""\documentclass{achemso}
+% achemso.cls: MikTeX 자동 설치 (첫 컴파일 시 Install 클릭)
+\usepackage[T1]{fontenc}
+\usepackage{amsmath, amssymb}
+\usepackage{graphicx}
+\usepackage{float}
+\usepackage{booktabs}
+% journal= 코드 설정 (예: acsnano, nanolett, acsami)
+% \SectionNumbersOn  % 섹션 번호 사용 시""",
+    "elsevier": r"""\documentclass[preprint,12pt]{elsarticle}
+% elsarticle.cls: MikTeX 자동 설치
+\usepackage{amsmath, amssymb}
+\usepackage{graphicx}
+\usepackage{float}
+\usepackage{booktabs}
+\usepackage[colorlinks=true]{hyperref}
+\biboptions{authoryear}""",
+}
 
 
 def references_block(md: Column) -> Column:
@@ -102,7 +176,8 @@ def table(block: Column) -> Column:
 
 
 def preamble(journal: Column) -> Column:
+    """The preamble of a journal's name in any case; others take the default."""
     out = F.lit(PREAMBLES[DEFAULT])
     for name, text in PREAMBLES.items():
-        out = F.when(journal == name, text).otherwise(out)
+        out = F.when(F.lower(journal) == name, text).otherwise(out)
     return out

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import align, docx, insertion, intake, layout, learn, metadata, score
+from ..operators import align, docx, insertion, intake, layout, learn, manuscript, metadata, score
 from ..sources import io
 from . import registry as r
 from .md_docs import MD
@@ -223,3 +223,36 @@ TEMPLATES = F.array(F.struct(F.array(F.lit("Head"), F.lit("B")).alias("headers")
 add("d_merge_templates", TABLES, lambda d: d.select("doc_id", docx.merge_templates(F.col("md"), TEMPLATES).alias("md")), f"SELECT doc_id, 'intro' || {NL} || '| Head | B |' || {NL} || '| ---- | --- |' || {NL} || '|      |     |' || {NL} || '|      |     |' || {NL} || {NL} || 'after' || {NL} || '+--+' || {NL} || '| g |' || {NL} || {NL} || CASE WHEN doc_id % 2 = 0 THEN '| z |' ELSE '' END AS md FROM x")
 add("d_plain_markdown", "SELECT doc_id, source, lang FROM documents", lambda d: d.select("doc_id", docx.plain_markdown(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(s).alias("style"), t.alias("text")) for k, s, t in (("p", "Heading 2", F.col("source")), ("p", "Normal", F.lit("  ")), ("table", "", F.lit("")), ("p", "Heading", F.lit(" T ")), ("p", "Normal", F.col("lang")), ("table", "", F.lit("")))))).alias("md")), f"SELECT doc_id, '## ' || source || {NL} || {NL} || '[TABLE_0]' || {NL} || {NL} || '# T' || {NL} || {NL} || lang || {NL} || {NL} || '[TABLE_1]' || {NL} AS md FROM x")
 add("d_batch", "SELECT '/in/' || o_orderpriority || '/f' || CAST(o_orderkey AS STRING) || CASE WHEN o_orderkey % 3 = 0 THEN '.docx' ELSE '.doc' END AS path, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 5 < 4 END AS ok FROM orders", docx.batch, "SELECT count(*) AS n_files, count(*) FILTER (WHERE ok) AS n_converted FROM x WHERE ends_with(path, '.docx')")
+
+# parts of a manuscript; @ stands for a backslash in the inputs, which both engines read alike
+
+
+def cases(name: str, pairs, rule) -> None:
+    """A query over texts by id, each followed by its id, and the results written out by hand. ``{n}`` is where the id comes in."""
+    quoted = lambda t: "'" + t.replace("'", "''").replace("\n", "' || chr(10) || '").replace("{n}", "' || CAST(doc_id AS STRING) || '") + "'"
+    pick = lambda k: f"CASE doc_id % {len(pairs)} " + " ".join(f"WHEN {i} THEN {quoted(p[k])}" for i, p in enumerate(pairs)) + " END"
+    add(name, f"SELECT doc_id, {pick(0)} AS t FROM documents", lambda d: d.select("doc_id", rule(F.translate("t", "@", "\\")).alias("t")), f"SELECT doc_id, {pick(1)} AS t FROM x")
+
+
+KEYS = F.create_map(F.lit("1"), F.lit("doe2020"), F.lit("3"), F.lit("roe2021"))
+cases("x_unicode_math", [("μ of 5 {n}", r"$\mu$ of 5 {n}"), ("a – b … {n} $α$", r"a -- b \ldots{} {n} $$\alpha$$"), ('"q" × 𝜈 {n}', r"``q`` $\times$ $\nu$ {n}"), ("plain {n}", "plain {n}")], manuscript.unicode_math)
+cases("x_escape", [("a_b & 5% #{n} {x} ~ ^ $", r"a\_b \& 5\% \#{n} \{x\} \textasciitilde{} \textasciicircum{} \$"), ("@cite{a_b} & {n}", r"\cite{a_b} & {n}"), ("α & {n}", r"$\alpha$ & {n}"), ("✉ a@b {n}", "\\texttt{[email]} a\\b {n}")], manuscript.escape_text)
+cases("x_escape_safe", [("a & b % {n} $x & y$ #", r"a \& b \% {n} $x & y$ \#"), ("$$a & b$$ ~{n}^ {x}_y", r"$$a & b$$ \textasciitilde{}{n}\textasciicircum{} {x}_y"), ("± & $q% {n}", r"$\pm$ \& $q\% {n}")], manuscript.escape_safe)
+cases("x_math_spaces", [("@mathrm { a x i a l } _ { x } {n}", r"\mathrm {axial} _{x} {n}"), ("3 . 5 ^ { a + b } {n}", "3.5 ^{a + b} {n}"), ("{ @mathrm { x y } } {ab c} {n}", r"{ \mathrm {xy} } {ab c} {n}")], manuscript.math_spaces)
+cases("x_fix_inline_math", [("see $@textbf{a}@textit{b}}$ {n}", r"see $\mathbf{a}{b}$ {n}"), ("$@AA + @'e {x$ {n}", r"$\text{\AA} +  {x}$ {n}"), ("$$@textbf{a}}$$ {n}", r"$$\textbf{a}}$$ {n}")], manuscript.fix_inline_math)
+cases("x_inline", [("**bold $x_1$ b** and *it* _us_ `c` {n}", r"\textbf{bold $x_1$ b} and \textit{it} \textit{us} \texttt{c} {n}"), ("as [1], [2, 3] and [1–3] & {n}", r"as \cite{doe2020}, \cite{ref2,roe2021} and \cite{doe2020,roe2021} \& {n}"), ("a_b_c $a*b*c$ 5% {n}", r"a_b_c $a*b*c$ 5\% {n}"), ("$@mathrm { a b }$ {n}", r"$\mathrm {ab}$ {n}")], lambda t: manuscript.inline(t, KEYS))
+cases("x_heading", [("2.1. Width of $@mathrm{x}_1$ {n}", r"\subsubsection{Width of \texorpdfstring{$\mathrm{x}_1$}{x_1} {n}}"), ("3. Results & {n}", r"\subsection{Results \& {n}}"), ("Methods {n}", r"\subsection{Methods {n}}")], lambda t: manuscript.heading(t, KEYS, F.lit(3)))
+cases("x_orphan_math", [("so @left( a @right) holds {n}", r"so $\left( a \right)$ holds {n}"), ("$@left( a @right)$ {n}", r"$\left( a \right)$ {n}"), ("$$@left( a @right) {n}", r"$$\left( a \right) {n}")], manuscript.wrap_orphan_math)
+cases("x_affiliation", [("Lab A, https://a.org/ x1. and B & {n}", r"Lab A, \url{https://a.org/x1.andB\&{n}}"), ("Lab & B {n}", r"Lab \& B {n}"), ("see http://q.de", r"see \url{http://q.de}")][1:], manuscript.escape_affiliation)
+cases("x_cite_all", [("[1] [9] {n}", r"\cite{doe2020} \cite{ref9} {n}"), ("[1,3] [1 - 3] {n}", r"\cite{doe2020,roe2021} \cite{doe2020,roe2021} {n}"), ("[a] [] {n}", "[a] [] {n}")], lambda t: manuscript.cite_all(t, KEYS))
+_T = "\\begin{table}[htbp]\n  \\centering\n  \\caption{Table 2}\n  \\label{tab:table2}\n  \\begin{tabular}{%s}\n    \\hline\n%s\n    \\hline\n  \\end{tabular}\n\\end{table}"
+_NOTE = "%% [복잡한 표 — tabular 변환 시 레이아웃 확인 필요]\n%% 원본 이미지가 있다면 figures/ 폴더에 table2.png 추가 후 아래 주석 해제:\n%% \\begin{figure}[htbp]\\centering\n%% \\includegraphics[width=\\linewidth]{figures/table2.png}\n%% \\caption{Table 2}\\label{tab:table2}\n%% \\end{figure}\n".replace("%%", "%")
+cases("x_table_environment", [("| a | b_{n} & c |\n|---|---|\n| 1 | 5% |", _T % ("lc", "    a & b_{n} \\& c \\\\\n    \\hline\n    1 & 5\\% \\\\")), ("| a |\n| {n} | 2 |", _NOTE + _T % ("lc", "    a &  \\\\\n    \\hline\n    {n} & 2 \\\\")), ("| {n} |", _T % ("l", "    {n} \\\\\n    \\hline")), ("|--|", "")], lambda t: manuscript.table_environment(t, F.lit(2)))
+add("x_short_caption", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN repeat('a', 250) || '. ' || repeat('b', 300) || CAST(doc_id AS STRING) WHEN 1 THEN repeat('a', 150) || '. ' || repeat('b', 338) || '$x. ' || repeat('c', 20) || '$' ELSE 'short. ' || CAST(doc_id AS STRING) END AS t FROM documents", lambda d: d.select("doc_id", manuscript.short_caption(F.col("t")).alias("t")), "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN repeat('a', 250) || '.' WHEN 1 THEN repeat('a', 150) || '. ' || repeat('b', 338) ELSE t END AS t FROM x")
+TITLED = "SELECT doc_id, source, CASE doc_id % 4 WHEN 0 THEN 'acs' WHEN 1 THEN 'elsevier' WHEN 2 THEN 'wiley' ELSE 'generic' END AS journal FROM documents"
+add("x_title_block", TITLED, lambda d: d.select("doc_id", manuscript.title_block(F.concat(F.lit("A & "), "source"), F.array(F.lit("A. B"), F.lit("# no"), F.lit("C"), F.lit("D"), F.lit("E")), F.array(F.lit("Lab 5%"), F.lit("Two")), F.lit("a@b.c"), F.when(F.col("doc_id") % 8 > 3, F.array(F.lit("k_1"), F.lit("z"))).otherwise(F.array().cast("array<string>")), F.col("journal")).alias("t")),
+    f"SELECT doc_id, CASE journal WHEN 'acs' THEN '\\begin{{document}}' || {NL} || '\\title{{A \\& ' || source || '}}' || {NL} || '\\author{{A. B}}' || {NL} || '\\author{{\\# no}}' || {NL} || '\\author{{C}}' || {NL} || '\\author{{D}}' || {NL} || '\\author{{E}}' || {NL} || '\\affiliation{{Lab 5\\%}}' || {NL} || '\\email{{a@b.c}}' || {NL} || '\\maketitle' || {NL}"
+    f" WHEN 'elsevier' THEN '\\title{{A \\& ' || source || '}}' || {NL} || '\\author{{A. B, \\# no, C, D, E}}' || {NL} || '\\address{{Lab 5%\\\\' || {NL} || 'Two}}' || {NL} || '\\ead{{a@b.c}}' || {NL} || '\\begin{{document}}' || {NL} || '\\maketitle' || {NL}"
+    f" ELSE '\\title{{A \\& ' || source || '}}' || {NL} || '\\author{{A. B, C, D,\\\\' || {NL} || 'E}}' || {NL} || '\\date{{}}' || {NL} || '\\maketitle' || {NL} || '\\begin{{flushleft}}\\footnotesize Lab 5%\\\\' || {NL} || 'Two\\end{{flushleft}}' || {NL} || CASE WHEN doc_id % 8 > 3 THEN '\\noindent\\textbf{{Keywords:}} k\\_1, z' || {NL} || {NL} ELSE '' END END AS t FROM x")
+ABSTRACTS = "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'top' || chr(10) || '## Abstract' || chr(10) || 'Own text ' || CAST(doc_id AS STRING) || chr(10) || chr(10) || '## Next' || chr(10) || 'x' WHEN 1 THEN '# T' || chr(10) || chr(10) || repeat('long ', 40) || chr(10) || chr(10) || 'tail ' || CAST(doc_id AS STRING) WHEN 2 THEN repeat('long ', 40) || chr(10) || '## In' || chr(10) || 'y' || chr(10) || chr(10) || 'z' ELSE 'short ' || CAST(doc_id AS STRING) END AS t FROM documents"
+add("x_abstract", ABSTRACTS, lambda d: d.select("doc_id", manuscript.abstract(F.col("t")).alias("a")).select("doc_id", "a.*"), f"SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Own text ' || doc_id WHEN 3 THEN '' ELSE trim(repeat('long ', 40)) END AS abstract, CASE doc_id % 4 WHEN 0 THEN 'top' || {NL} || {NL} || '## Next' || {NL} || 'x' WHEN 1 THEN 'tail ' || doc_id WHEN 2 THEN '## In' || {NL} || 'y' || {NL} || {NL} || 'z' ELSE t END AS body FROM x")

@@ -406,9 +406,8 @@ SELECT doc_id, 1 AS num, 'Lee' || y1 AS key, 'H. W. Choi, J. Lee' AS authors, 'A
 add("x_bibtex", BIB, lambda d: latex.bibtex(latex.parse_references(d, F.col("block"))).select("doc_id", F.md5("bib").alias("digest")))
 add("x_references_block", MD, lambda d: d.select("doc_id", F.length(latex.references_block(F.col("md"))).cast("long").alias("n")), "SELECT doc_id, CAST(41 * (doc_id % 30) + 1 AS BIGINT) AS n FROM x")
 add("x_cite_map", "SELECT doc_id, 'see [1], [2,' || CAST(doc_id % 5 AS STRING) || '] and [1–3] or [9]' AS t FROM documents", lambda d: d.select("doc_id", latex.cite(F.col("t"), F.create_map(*(F.lit(z) for p in ((1, "a"), (2, "b"), (3, "c")) for z in p))).alias("t")), """SELECT doc_id, 'see ' || chr(92) || 'cite{a}, ' || chr(92) || 'cite{b' || CASE doc_id % 5 WHEN 1 THEN ',a' WHEN 2 THEN ',b' WHEN 3 THEN ',c' ELSE '' END || '} and ' || chr(92) || 'cite{a,c} or [9]' AS t FROM x""")
-add("x_escape", "SELECT doc_id, 'a & b % ' || source || ' $x & y$ #' AS t FROM documents", lambda d: d.select("doc_id", latex.escape(F.col("t")).alias("t")), "SELECT doc_id, 'a ' || chr(92) || '& b ' || chr(92) || '% ' || regexp_extract(t, '% (.*) [$]', 1) || ' $x & y$ ' || chr(92) || '#' AS t FROM x")
 add("x_table_spec", "SELECT doc_id, '| a | b |' || chr(10) || '|---|---|' || chr(10) || repeat('| 1 |' || chr(10), CAST(doc_id % 4 AS INT)) || '| x | y | z |' AS t FROM documents", lambda d: d.select("doc_id", latex.table(F.col("t")).alias("t")), f"""SELECT doc_id, chr(92) || 'begin{{tabular}}{{lll}}' || {NL} || chr(92) || 'toprule' || {NL} || 'a & b & ' || ' ' || repeat(chr(92), 2) || {NL} || chr(92) || 'midrule' || {NL} || repeat('1 &  &  ' || repeat(chr(92), 2) || {NL}, CAST(doc_id % 4 AS INT)) || 'x & y & z ' || repeat(chr(92), 2) || {NL} || chr(92) || 'bottomrule' || {NL} || chr(92) || 'end{{tabular}}' AS t FROM x""")
-add("x_preamble", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'acs' WHEN 1 THEN 'wiley' WHEN 2 THEN 'none' END AS j FROM documents", lambda d: d.select("doc_id", latex.preamble(F.col("j")).alias("p")), "SELECT doc_id, chr(92) || CASE j WHEN 'acs' THEN 'documentclass{achemso}' WHEN 'wiley' THEN 'documentclass[12pt]{article}' ELSE 'documentclass{article}' END AS p FROM x")
+add("x_preamble", "SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'wiley' WHEN 1 THEN 'NATURE' WHEN 2 THEN 'acs' WHEN 3 THEN 'elsevier' WHEN 4 THEN 'other' ELSE 'generic' END AS j FROM documents", lambda d: d.select("doc_id", latex.preamble(F.col("j")).alias("p")).select("doc_id", F.regexp_extract("p", r"^(.*)", 1).alias("head"), F.element_at(F.split("p", "\n"), -1).alias("last"), F.regexp_count("p", F.lit(r"\\usepackage")).cast("long").alias("n_packages")), "SELECT doc_id, CASE doc_id % 6 WHEN 2 THEN '\\documentclass{achemso}' WHEN 3 THEN '\\documentclass[preprint,12pt]{elsarticle}' ELSE '\\documentclass[12pt]{article}' END AS head, CASE doc_id % 6 WHEN 0 THEN '% Wiley submission: XeLaTeX 권장 (로컬 MikTeX에서는 pdflatex도 가능)' WHEN 1 THEN '% Nature submission: 12pt, double-spaced, line numbers 권장' WHEN 2 THEN '% \\SectionNumbersOn  % 섹션 번호 사용 시' WHEN 3 THEN '\\biboptions{authoryear}' ELSE '\\emergencystretch=5em' END AS last, (CASE doc_id % 6 WHEN 0 THEN 14 WHEN 1 THEN 12 WHEN 2 THEN 5 WHEN 3 THEN 5 ELSE 16 END)::BIGINT AS n_packages FROM x")
 add("m_title", MD, lambda d: d.select("doc_id", metadata.title(F.col("md")).alias("title"), metadata.author_line(F.col("md")).alias("author_line")), "SELECT doc_id, 'Study ' || doc_id AS title, 'J. Doe, A. Roe*' AS author_line FROM x")
 add("m_authors", "SELECT doc_id, 'J. Doe 1,2, ' || source || ',* and K. Lee & M. Ray†' AS line FROM documents", lambda d: d.select("doc_id", F.array_join(F.transform(metadata.authors(F.col("line")), lambda a: F.concat(a["name"], F.when(a["corresponding"], "*").otherwise(""))), "|").alias("authors")), "SELECT doc_id, 'J. Doe|' || regexp_extract(line, '1,2, (.*),[*]', 1) || '*|K. Lee|M. Ray*' AS authors FROM x")
 add("s_zip_by_rank", {"x": CAPTIONS, "z": IMAGES}, lambda a, b: metadata.zip_by_rank(a.filter("type = 'caption'").select("doc_id", "pos"), b.select("doc_id", "pos", F.col("name").alias("value"))).select("doc_id", "pos", "matched"), "WITH a AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM x WHERE type = 'caption'), b AS (SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM z) SELECT a.doc_id, a.pos, b.name AS matched FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.k = b.k")
