@@ -228,3 +228,95 @@ def abstract(body: Column) -> Column:
         return tk.let(tk.paras(t), of)
 
     return tk.let(body, lambda t: F.when(t.rlike(section), headed(t)).otherwise(first(t)))
+
+
+_STATE = "struct<mode:string,buf:string,blank:int,figures:int,tables:int,out:array<struct<kind:string,text:string,more:string,n:int>>>"
+
+
+def blocks(lines: Column) -> Column:
+    """``array<struct<kind, text, more, n>>``: a body's lines as blocks in one pass.
+
+    Kinds: blank, heading (n: its level), references, equation, figure (text: caption or
+    alternative text, more: path, n: number), quote, table (n: number), item, number (runs
+    of list lines, one text a line), rule, text. A front matter at the top goes.
+    """
+    IMAGE, CAPTION, BULLET, NUMBER = r"^!\[([^\]]*)\]\(([^)]+)\)", r"(?d)^\*(.+)\*$", r"^[-*]\s+", r"^\d+\.\s+"
+    nothing = F.lit("")
+
+    def state(s, mode=None, buf=None, blank=None, figures=None, tables=None, out=None):
+        take = lambda new, name: (F.lit(new) if isinstance(new, (str, int)) else new).alias(name) if new is not None else s[name].alias(name)
+        return F.struct(take(mode, "mode"), take(buf, "buf"), take(blank, "blank"), take(figures, "figures"), take(tables, "tables"), take(out, "out"))
+
+    piece = lambda kind, text=nothing, more=nothing, n=F.lit(0): F.struct(F.lit(kind).alias("kind"), text.alias("text"), more.alias("more"), n.cast("int").alias("n"))
+    add = lambda s, *ps: F.concat(s["out"], F.array(*ps))
+    figure = lambda s, caption: piece("figure", caption, F.regexp_extract(s["buf"], IMAGE, 2), s["figures"])
+
+    def closed(s):
+        """What is open ends before a line that does not belong to it."""
+        fig = F.concat(add(s, figure(s, F.regexp_extract(s["buf"], IMAGE, 1))), F.array_repeat(piece("blank"), s["blank"]))
+        return (
+            F.when(s["mode"] == "eq", state(s, "", "", out=add(s, piece("equation", s["buf"])))).when(s["mode"] == "fig", state(s, "", "", 0, out=fig))
+            .when(s["mode"] == "table", state(s, "", "", out=add(s, piece("table", s["buf"], n=s["tables"])))).when(s["mode"] == "ul", state(s, "", "", out=add(s, piece("item", s["buf"])))).when(s["mode"] == "ol", state(s, "", "", out=add(s, piece("number", s["buf"]))))
+            .otherwise(state(s, "", ""))
+        )
+
+    def fresh(s, x, t):
+        title = tk.strip(F.regexp_extract(x, r"(?d)^#{1,4}\s+(.+)", 1))
+        return (
+            F.when(t == "", state(s, out=add(s, piece("blank"))))
+            .when(x.rlike(r"^#{1,4}\s+\S") & title.rlike("(?i)^References?$"), state(s, "refs", out=add(s, piece("references"))))
+            .when(x.rlike(r"^#{1,4}\s+\S"), state(s, out=add(s, piece("heading", title, n=F.length(F.regexp_extract(x, "^#+", 0))))))
+            .when(t == "$$", state(s, "eq", "")).when(t.rlike(IMAGE), state(s, "fig", t, 0, s["figures"] + 1))
+            .when(t.rlike(r"^>\s*\S"), state(s, out=add(s, piece("quote", F.regexp_extract(t, r"(?d)^>\s*(.+)", 1)))))
+            .when(t.startswith("|") & F.substr(x, F.lit(2)).contains("|"), state(s, "table", x, tables=s["tables"] + 1))
+            .when(x.rlike(BULLET), state(s, "ul", F.regexp_replace(x, BULLET, ""))).when(x.rlike(NUMBER), state(s, "ol", F.regexp_replace(x, NUMBER, "")))
+            .when(t.rlike("^---+$"), state(s, out=add(s, piece("rule")))).otherwise(state(s, out=add(s, piece("text", x))))
+        )
+
+    def step(s, x):
+        def of(t):
+            joined = lambda y: F.when(s["buf"] == "", y).otherwise(F.concat(s["buf"], F.lit("\n"), y))
+            m = s["mode"]
+            inside = (
+                F.when((m == "top") & (t == "---"), state(s, "front")).when(m == "front", state(s, F.when(t == "---", "").otherwise("front")))
+                .when((m == "eq") & (t == "$$"), closed(s)).when(m == "eq", state(s, buf=F.concat(s["buf"], x, F.lit("\n"))))
+                .when((m == "refs") & ~(t.rlike(r"^#{1,4}\s+") & ~t.rlike(r"(?i)^#{1,4}\s+References?")), state(s))
+                .when((m == "fig") & (t == ""), state(s, blank=s["blank"] + 1)).when((m == "fig") & t.rlike(CAPTION), state(s, "", "", 0, out=add(s, figure(s, tk.strip(F.regexp_extract(t, CAPTION, 1))))))
+                .when((m == "table") & t.startswith("|"), state(s, buf=joined(x))).when((m == "ul") & x.rlike(BULLET), state(s, buf=joined(F.regexp_replace(x, BULLET, "")))).when((m == "ol") & x.rlike(NUMBER), state(s, buf=joined(F.regexp_replace(x, NUMBER, ""))))
+            )
+            return F.coalesce(inside, tk.let(closed(s), lambda c: fresh(c, x, t)))
+
+        return tk.let(tk.strip(x), of)
+
+    zero = F.struct(F.lit("top").alias("mode"), nothing.alias("buf"), F.lit(0).alias("blank"), F.lit(0).alias("figures"), F.lit(0).alias("tables"), F.array().cast("array<struct<kind:string,text:string,more:string,n:int>>").alias("out"))
+    return F.aggregate(lines, zero.cast(_STATE), lambda s, x: step(s, x).cast(_STATE), lambda s: closed(s)["out"])
+
+
+def body(md: Column, keys: Column) -> Column:
+    """A body as LaTeX, block by block; figures are named by their number."""
+
+    def one(b):
+        text = b["text"]
+        n = b["n"].cast("string")
+        suffix = F.regexp_extract(b["more"], r"(\.[^./]+)$", 1)
+        name = F.concat(F.lit("figure_"), n, F.when(suffix == "", ".png").otherwise(suffix))
+        caption = F.when(F.length(text) > CAPTION_LIMIT, F.concat(inline(short_caption(text), keys), F.lit(" \\ldots{}"))).otherwise(inline(text, keys))
+        items = lambda kind: F.concat(F.lit(f"\\begin{{{kind}}}\n"), F.array_join(F.transform(F.split(text, "\n", -1), lambda t: F.concat(F.lit("  \\item "), inline(t, keys))), "\n"), F.lit(f"\n\\end{{{kind}}}\n"))
+        k = b["kind"]
+        return (
+            F.when(k == "blank", "").when(k == "heading", F.concat(heading(text, keys, b["n"]), F.lit("\n"))).when(k == "references", "\\bibliography{references}\n\\bibliographystyle{unsrt}")
+            .when(k == "equation", F.concat(F.lit("\\begin{equation}\n"), math_spaces(F.regexp_replace(tk.strip(text), r"(?<!\$)\$(?!\$)([^$\n]+?)(?<!\$)\$(?!\$)", "$1")), F.lit("\n\\end{equation}\n")))
+            .when(k == "figure", F.concat(F.lit("\\begin{figure}[!htbp]\n  \\centering\n  \\includegraphics[width=0.95\\linewidth,height=0.70\\textheight,keepaspectratio]{figures/"), name, F.lit("}\n  \\caption{\\small "), caption, F.lit("}\n  \\label{fig:figure"), n, F.lit("}\n\\end{figure}\n")))
+            .when(k == "quote", F.concat(F.lit("\\begin{quote}\n"), inline(text, keys), F.lit("\n\\end{quote}"))).when(k == "table", F.concat(table_environment(text, b["n"]), F.lit("\n")))
+            .when(k == "item", items("itemize")).when(k == "number", items("enumerate")).when(k == "rule", "\\hrule").otherwise(inline(wrap_orphan_math(text), keys))
+        )
+
+    return F.array_join(F.transform(blocks(tk.lines(md)), one), "\n")
+
+
+def submission(preamble: Column, journal: Column, title: Column, abstract_text: Column, latex_body: Column) -> Column:
+    """The whole document: where it begins depends on the journal's class, which is part of the title block of two."""
+    text = escape_safe(abstract_text)
+    opening = F.when(F.lower(journal).isin("acs", "elsevier"), "").otherwise("\\begin{document}\n\n")
+    front = F.when(abstract_text == "", "").otherwise(F.concat(F.lit("\\begin{abstract}\n\\sloppy\\tolerance=9999\\exhyphenpenalty=0\n"), text, F.lit("\n\\fussy\n\\end{abstract}\n\n")))
+    return F.concat(preamble, F.lit("\n\n"), opening, title, F.lit("\n"), front, latex_body, F.lit("\n\n\\end{document}\n"))

@@ -256,3 +256,14 @@ add("x_title_block", TITLED, lambda d: d.select("doc_id", manuscript.title_block
     f" ELSE '\\title{{A \\& ' || source || '}}' || {NL} || '\\author{{A. B, C, D,\\\\' || {NL} || 'E}}' || {NL} || '\\date{{}}' || {NL} || '\\maketitle' || {NL} || '\\begin{{flushleft}}\\footnotesize Lab 5%\\\\' || {NL} || 'Two\\end{{flushleft}}' || {NL} || CASE WHEN doc_id % 8 > 3 THEN '\\noindent\\textbf{{Keywords:}} k\\_1, z' || {NL} || {NL} ELSE '' END END AS t FROM x")
 ABSTRACTS = "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'top' || chr(10) || '## Abstract' || chr(10) || 'Own text ' || CAST(doc_id AS STRING) || chr(10) || chr(10) || '## Next' || chr(10) || 'x' WHEN 1 THEN '# T' || chr(10) || chr(10) || repeat('long ', 40) || chr(10) || chr(10) || 'tail ' || CAST(doc_id AS STRING) WHEN 2 THEN repeat('long ', 40) || chr(10) || '## In' || chr(10) || 'y' || chr(10) || chr(10) || 'z' ELSE 'short ' || CAST(doc_id AS STRING) END AS t FROM documents"
 add("x_abstract", ABSTRACTS, lambda d: d.select("doc_id", manuscript.abstract(F.col("t")).alias("a")).select("doc_id", "a.*"), f"SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Own text ' || doc_id WHEN 3 THEN '' ELSE trim(repeat('long ', 40)) END AS abstract, CASE doc_id % 4 WHEN 0 THEN 'top' || {NL} || {NL} || '## Next' || {NL} || 'x' WHEN 1 THEN 'tail ' || doc_id WHEN 2 THEN '## In' || {NL} || 'y' || {NL} || {NL} || 'z' ELSE t END AS body FROM x")
+cases(
+    "x_body",
+    [
+        ("## 2. Results & {n}\n\nSee [1] and **b**.\n- one\n- two %\n1. a\n2. b\n---\n> q {n}", "\\section{Results \\& {n}}\n\n\nSee \\cite{doe2020} and \\textbf{b}.\n\\begin{itemize}\n  \\item one\n  \\item two \\%\n\\end{itemize}\n\n\\begin{enumerate}\n  \\item a\n  \\item b\n\\end{enumerate}\n\n\\hrule\n\\begin{quote}\nq {n}\n\\end{quote}"),
+        ("![alt {n}](a/f.jpg)\n\n*Figure 1. Cap*\n$$\nx _ { a } $y$\n$$\n![b](c)\n\ntext", "\\begin{figure}[!htbp]\n  \\centering\n  \\includegraphics[width=0.95\\linewidth,height=0.70\\textheight,keepaspectratio]{figures/figure_1.jpg}\n  \\caption{\\small Figure 1. Cap}\n  \\label{fig:figure1}\n\\end{figure}\n\n\\begin{equation}\nx _{a} y\n\\end{equation}\n\n\\begin{figure}[!htbp]\n  \\centering\n  \\includegraphics[width=0.95\\linewidth,height=0.70\\textheight,keepaspectratio]{figures/figure_2.png}\n  \\caption{\\small b}\n  \\label{fig:figure2}\n\\end{figure}\n\n\ntext"),
+        ("---\nk: v\n---\na {n}\n| x |\n## References\n[1] gone\n\n### References\nmore\n# Next\nend", "a {n}\n\\begin{table}[htbp]\n  \\centering\n  \\caption{Table 1}\n  \\label{tab:table1}\n  \\begin{tabular}{l}\n    \\hline\n    x \\\\\n    \\hline\n    \\hline\n  \\end{tabular}\n\\end{table}\n\n\\bibliography{references}\n\\bibliographystyle{unsrt}\n\\part{Next}\n\nend"),
+    ],
+    lambda t: manuscript.body(t, KEYS),
+)
+add("x_submission", TITLED, lambda d: d.select("doc_id", manuscript.submission(F.lit("P"), F.col("journal"), F.lit("T"), F.when(F.col("doc_id") % 8 < 4, F.lit("a & b")).otherwise(""), F.col("source")).alias("t")),
+    f"SELECT doc_id, 'P' || {NL} || {NL} || CASE WHEN doc_id % 4 > 1 THEN '\\begin{{document}}' || {NL} || {NL} ELSE '' END || 'T' || {NL} || CASE WHEN doc_id % 8 < 4 THEN '\\begin{{abstract}}' || {NL} || '\\sloppy\\tolerance=9999\\exhyphenpenalty=0' || {NL} || 'a \\& b' || {NL} || '\\fussy' || {NL} || '\\end{{abstract}}' || {NL} || {NL} ELSE '' END || source || {NL} || {NL} || '\\end{{document}}' || {NL} AS t FROM x")
