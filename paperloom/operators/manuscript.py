@@ -320,3 +320,44 @@ def submission(preamble: Column, journal: Column, title: Column, abstract_text:
     opening = F.when(F.lower(journal).isin("acs", "elsevier"), "").otherwise("\\begin{document}\n\n")
     front = F.when(abstract_text == "", "").otherwise(F.concat(F.lit("\\begin{abstract}\n\\sloppy\\tolerance=9999\\exhyphenpenalty=0\n"), text, F.lit("\n\\fussy\n\\end{abstract}\n\n")))
     return F.concat(preamble, F.lit("\n\n"), opening, title, F.lit("\n"), front, latex_body, F.lit("\n\n\\end{document}\n"))
+
+
+# What an affiliation holds, the forms of an author line, the headings that end the front of a paper.
+PLACE = r"(?i)(?:University|Institute|College|Laboratory|Department|School of|Center|Republic of Korea|Republic of China|Japan|USA|Germany|Seoul|Daejeon|Daegu|Busan|Suwon|Incheon|Korea\s*\d|\d{5},\s*Republic|\b\d{5}\b)"
+INITIALS = r"[A-Z][.\-][A-Z.\- ]{0,5}\s+[A-Z][a-z][A-Za-z\-]+"
+ABBREVIATED, NUMBERED = rf"^(?:{INITIALS})(?:,\s*(?:{INITIALS}))+", r"^[A-Z][a-z]+\s+[A-Z][a-z]+\s*\d+\s*,\s*[A-Z][a-z]+\s+[A-Z][a-z]+"
+SECTION = r"(?i)^(?:\d+[.\s]*)?(?:Introduction|Background|Methods?|Materials?\s+and\s+Methods?|Results?|Discussion|Conclusions?|Experimental|Supporting|Acknowledgem|References?|ARTICLES?|Online\s+content|Supplementary|Data\s+availability|Author\s+contributions?|Competing\s+interests?)\b"
+_FRONT = "struct<header:boolean,titled:boolean,held:array<string>,found:array<string>,out:array<string>>"
+
+
+def without_front(md: Column, authors: Column) -> Column:
+    """``struct<body, affiliations>``: a body without its title, author lines and affiliations, and these, each run of lines as one.
+
+    The front ends at the first heading of a section. Before the first heading all goes; between it and a section
+    further headings, lines with an institution or place, author lines (abbreviated, numbered, or with two of
+    ``authors``) go; other lines stay, set apart by blank lines.
+    """
+    names = F.filter(F.transform(authors, lambda a: F.lower(tk.strip(a))), lambda a: a != "")
+    flushed = lambda s: F.when(F.size(s["held"]) > 0, F.concat(s["found"], F.array(F.array_join(s["held"], " ")))).otherwise(s["found"])
+    none = F.array().cast("array<string>")
+    apart = lambda s: F.when(F.coalesce(tk.strip(F.try_element_at(s["out"], F.lit(-1))), F.lit("")) != "", F.concat(s["out"], F.array(F.lit("")))).otherwise(s["out"])
+
+    def state(s, header=None, titled=None, held=None, found=None, out=None):
+        new = {"header": header, "titled": titled, "held": held, "found": found, "out": out}
+        return F.struct(*((s[k] if v is None else F.lit(v) if isinstance(v, bool) else v).alias(k) for k, v in new.items()))
+
+    def step(s, x):
+        def of(t):
+            title = tk.strip(F.regexp_replace(t, r"^#+\s+", ""))
+            people = F.size(F.filter(names, lambda a: F.lower(t).contains(a))) >= 2
+            return (
+                F.when(~s["header"], state(s, out=F.concat(s["out"], F.array(x)))).when(t.startswith("#") & ~s["titled"], state(s, titled=True))
+                .when(t.startswith("#") & title.rlike(SECTION), state(s, header=False, held=none, found=flushed(s), out=F.concat(apart(s), F.array(x)))).when(t.startswith("#") | ~s["titled"], state(s))
+                .when(t == "", state(s, held=none, found=flushed(s))).when(t.rlike(PLACE), state(s, held=F.concat(s["held"], F.array(t)))).when(t.rlike(ABBREVIATED), state(s, held=F.array(t), found=flushed(s)))
+                .when(t.rlike(NUMBERED) | people, state(s, held=none, found=flushed(s))).otherwise(state(s, held=none, found=flushed(s), out=F.concat(apart(s), F.array(x))))
+            ).cast(_FRONT)
+
+        return tk.let(tk.strip(x), of)
+
+    zero = F.struct(F.lit(True).alias("header"), F.lit(False).alias("titled"), none.alias("held"), none.alias("found"), none.alias("out")).cast(_FRONT)
+    return F.aggregate(tk.lines(md), zero, step, lambda s: F.struct(F.array_join(s["out"], "\n").alias("body"), flushed(s).alias("affiliations")))

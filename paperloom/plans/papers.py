@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import align, docx, insertion, intake, layout, learn, manuscript, metadata, score
+from ..operators import align, docx, insertion, intake, latex, layout, learn, manuscript, metadata, score
 from ..sources import io
 from . import registry as r
 from .md_docs import MD
@@ -267,3 +267,17 @@ cases(
 )
 add("x_submission", TITLED, lambda d: d.select("doc_id", manuscript.submission(F.lit("P"), F.col("journal"), F.lit("T"), F.when(F.col("doc_id") % 8 < 4, F.lit("a & b")).otherwise(""), F.col("source")).alias("t")),
     f"SELECT doc_id, 'P' || {NL} || {NL} || CASE WHEN doc_id % 4 > 1 THEN '\\begin{{document}}' || {NL} || {NL} ELSE '' END || 'T' || {NL} || CASE WHEN doc_id % 8 < 4 THEN '\\begin{{abstract}}' || {NL} || '\\sloppy\\tolerance=9999\\exhyphenpenalty=0' || {NL} || 'a \\& b' || {NL} || '\\fussy' || {NL} || '\\end{{abstract}}' || {NL} || {NL} ELSE '' END || source || {NL} || {NL} || '\\end{{document}}' || {NL} AS t FROM x")
+FRONTS = "SELECT doc_id, source, 'noise' || chr(10) || '# Title' || chr(10) || 'J. Choi, H. Y. Jeong' || chr(10) || 'Dept 1, Seoul' || chr(10) || 'KAIST University' || chr(10) || chr(10) || '## ENGINEERING' || chr(10) || 'Ann Lee 1 , Bob Kim 2' || chr(10) || 'ada poe and ben roe' || chr(10) || 'Abstract of ' || source || chr(10) || 'more' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '## 1. Introduction' || chr(10) || 'body' ELSE 'USA' END AS md FROM documents"
+add("x_without_front", FRONTS, lambda d: d.select("doc_id", manuscript.without_front(F.col("md"), F.array(F.lit("Ada Poe"), F.lit("Ben Roe"))).alias("f")).select("doc_id", "f.body", F.array_join("f.affiliations", "|").alias("affiliations")),
+    f"SELECT doc_id, 'Abstract of ' || source || {NL} || {NL} || 'more' || CASE WHEN doc_id % 2 = 0 THEN {NL} || {NL} || '## 1. Introduction' || {NL} || 'body' ELSE '' END AS body, 'J. Choi, H. Y. Jeong Dept 1, Seoul KAIST University' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE '|USA' END AS affiliations FROM x")
+
+
+def _manuscripts(d):
+    """Whole papers: front off, references, abstract and body as a submission."""
+    d = d.withColumn("f", manuscript.without_front(F.col("md"), F.array(F.lit("A. Doe"), F.lit("B. Roe"))))
+    d = d.withColumn("a", manuscript.abstract(F.col("f.body")))
+    title = manuscript.title_block(F.lit("T"), F.array(F.lit("A. Doe"), F.lit("B. Roe")), F.col("f.affiliations"), F.lit(""), F.array().cast("array<string>"), F.lit("generic"))
+    return d.select("doc_id", manuscript.submission(latex.preamble(F.lit("generic")), F.lit("generic"), title, F.col("a.abstract"), manuscript.body(F.col("a.body"), KEYS)).alias("tex"))
+
+
+add("x_convert", PAPER, lambda d: _manuscripts(d).select("doc_id", F.length("tex").cast("long").alias("n_chars"), F.md5("tex").alias("digest")))
