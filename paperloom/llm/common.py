@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -12,12 +13,21 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that Spark hands a Python worker at once, for a session that does not set this itself.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it.
+    """Python workers find this package where the driver found it, get rows in small batches and give freed memory back.
 
     On a cluster whose machines keep it elsewhere, pass it with ``--py-files``.
     """
     root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    # arrays above this size are mapped on their own, so a worker that lives on does not keep its largest chunk
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(256 << 10))
+    env.setdefault("MALLOC_ARENA_MAX", "2")
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if root not in (held := env.get("PYTHONPATH", "").split(os.pathsep)):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, held)])
 
@@ -42,14 +52,16 @@ def fresh(df: DataFrame, base: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as in tests on one machine, a temporary
-    folder is made and set for this session.
+    Only where the setting is absent and all runs on one machine, as in tests, a
+    temporary folder is made and set for this session; on a cluster that is an error.
     """
     sc = spark.sparkContext
     set_dir = sc.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not set_dir and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     sc.setCheckpointDir(set_dir or os.path.join(tempfile.gettempdir(), "paperloom-checkpoints"))
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -59,19 +71,37 @@ def settled(df: DataFrame) -> DataFrame:
 
     Partitions keep their rows and their order, so figures taken per partition
     stay valid for later passes, and a lost executor costs no recomputation.
-    Meant for narrow rows (ids, sizes, hashes), never for texts.
+    Meant for narrow rows (ids, sizes, hashes), never for texts. Spark removes the
+    shuffle files of what is cut off when the driver collects its objects; so the
+    result is a frame over the kept rows alone, which holds on to no earlier plan, and
+    the driver, which puts that off while it has room to spare, is asked to collect.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    shared_dir(spark)
+    kept = df.checkpoint(eager=True)._jdf
+    out = DataFrame(spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False), spark)
+    del df, kept
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
-#: A settled table of ids is broadcast up to so many rows (some 20 MB), and shuffled beyond.
-BROADCAST_ROWS = 400_000
+#: A settled table is broadcast up to so many bytes, and shuffled beyond.
+BROADCAST_BYTES = 24 << 20
 
 
 def sized(df: DataFrame) -> DataFrame:
-    """A settled narrow table for a join: broadcast only if its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A settled table for a join: broadcast only if its rows, by count and length, are few bytes.
+
+    A row counts 16 bytes and 8 for each column, strings with their length; arrays and
+    maps have no bound, so a table with one is never broadcast.
+    """
+    kinds = dict(df.dtypes)
+    if any(k.startswith(("array", "map", "struct", "binary")) for k in kinds.values()):
+        return df
+    long = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, k in kinds.items() if k == "string"), F.lit(0))
+    held = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(long.cast("long")), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if held["n"] * (16 + 8 * len(kinds)) + held["b"] <= BROADCAST_BYTES else df
 
 
 def word_count(text: Column) -> Column:

@@ -15,7 +15,7 @@ import numpy as np
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
 _BASE_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -105,12 +105,12 @@ def repeated(key: np.ndarray) -> np.ndarray:
     return twice[at] == key
 
 
-def chunks(texts, limit: int = 2 << 20):
-    """Index ranges of texts that hold about ``limit`` characters; a long text stands alone."""
+def chunks(texts, limit: int = 1 << 18, most: int = 512):
+    """Index ranges of at most ``most`` texts that hold about ``limit`` characters; a long text stands alone."""
     lo = size = 0
     for i, t in enumerate(texts):
         n = len(t) if t else 0
-        if size and size + n > limit:
+        if size and (size + n > limit or i - lo == most):
             yield lo, i
             lo, size = i, 0
         size += n + 1
