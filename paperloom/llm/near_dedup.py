@@ -17,11 +17,16 @@ one word left out.
 Size: equal texts become one node before anything else. In each key the least
 node of a length class is compared with the others (no pairs within a group),
 components follow; keys that more than BUCKET texts share are compared with some
-more pivots. After that all pairs of one key that are not yet in one component
-are compared, in blocks of BLOCK texts: the result is the same as if every pair of
-every key had been compared, whatever its size. Before texts are read, pairs whose
-lengths or words differ by more than the allowed edits are left out, which is
-exact. Narrow tables are checkpointed; texts are read again for candidates only.
+more pivots. What is then not in one component is compared in full: in keys of at
+most BUCKET texts pair by pair, in larger ones (a line or passage that many unlike
+texts share) by an exact prefix filter. Near-duplicates share all but the
+allowed edits of the longer one's words, numbered by occurrence, so among a text's
+rarest words, as many as the allowed edits and one more, there is one in common:
+texts of a large key meet on those, which a passage is never among that is less
+than four fifths of the text. The result is the same as if every pair of every key had been compared, whatever its
+size. Before texts are read, pairs whose lengths or words differ by more than the
+allowed edits are left out, which is exact. Narrow tables are checkpointed; texts
+are read again for candidates only.
 
 Edge cases: a null text counts as empty and all texts without words are alike; a
 text of one word is one k-mer; repeated rows are copies; a similarity equal to the
@@ -31,26 +36,27 @@ threshold is a link; an empty table gives an empty result; null ids are ordinary
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbytes as tb
 from .common import fresh, settled, sized, table
 
-KMER, SKETCHES, REPEAT = 2, 36, 5
+KMER, SKETCHES = 2, 36
 #: Texts of at most so many words may differ in one word if at all: any such pair is a candidate.
 SHORT = 9
-#: A key that more texts share than this gets PIVOTS more rounds before all its pairs that are left are compared.
-BUCKET, PIVOTS = 32, 3
-#: Pairs of one key are formed in blocks of so many texts.
-BLOCK = 2048
+#: A key that more texts share than this gets PIVOTS more rounds, and the pairs left in it are found by rare words and not one by one: another way to the same pairs.
+BUCKET, PIVOTS = 16, 3
 PARITY = 1024
-#: Texts of more words have word bits of their own size too, two to four places a word.
+#: Hashed places for the frequencies of words, a power of two.
+PLACES = 1 << 18
+#: Characters of different texts whose words are held at once while pairs are compared.
+CHARACTERS = 1 << 20
+#: Texts of more words have word bits of their own size too, four to eight places a word.
 LONG = 512
 #: Edits allowed, as a share of the longer text's words (similarity 0.8 or more).
 EDITS = (2, 10)
@@ -100,23 +106,6 @@ def sketch(kmers: np.ndarray, block: int = 8192) -> np.ndarray:
     return tb.mix(kmers[at[:, 0]] * _C1 + kmers[at[:, 1]])
 
 
-def collapse(word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words without immediate repetitions of blocks of one to five words."""
-    for p in range(1, REPEAT + 1):
-        same = np.zeros(max(len(word) - p, 0) + 2, np.int8)
-        same[1:-1] = (word[p:] == word[:-p]) & (doc[p:] == doc[:-p])
-        step = np.diff(same)
-        start, length = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - np.flatnonzero(step == 1)
-        start, length = start[length >= p] + p, length[length >= p] // p * p
-        if len(start):
-            gone = np.zeros(len(word) + 1, np.int64)
-            np.add.at(gone, start, 1)
-            np.add.at(gone, start + length, -1)
-            keep = np.cumsum(gone[:-1]) == 0
-            word, doc = word[keep], doc[keep]
-    return word, doc
-
-
 def every_word(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document of each word, in order."""
     buf, offsets = tb.pack(texts)
@@ -124,11 +113,6 @@ def every_word(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return tb.span_hashes(buf, starts, ends), np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of each word of the collapsed texts, in order; links do not depend on it."""
-    return collapse(*every_word(texts))
-
-
 def shortened(words: np.ndarray) -> np.ndarray:
     """Keys of a short text and of all that is left of it without one of its words."""
     n = len(words)
@@ -136,6 +120,15 @@ def shortened(words: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([tb.grams(w, np.zeros(len(w), np.int64), len(w))[0] for w in left]) ^ _C1)
 
 
+def labelled_kmers(hashes: np.ndarray, doc: np.ndarray, first: np.ndarray):
+    """The labelled k-mers of each text; a text of fewer words is one."""
+    key, whole = tb.grams(hashes, doc, KMER)
+    at = np.flatnonzero(whole)
+    key[at] = _label(key[at], doc[at])
+    for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield key[lo : hi - KMER + 1] if hi - lo >= KMER else tb.grams(hashes[lo:hi], doc[lo:hi], max(hi - lo, 1))[0]
+
+
 def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """Words, keys and word bits of each text.
 
@@ -153,19 +146,15 @@ def bands(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarr
     bits = np.packbits(np.bincount(place, minlength=len(texts) * PARITY).reshape(-1, PARITY) & 1, axis=1).view(np.int64) if len(texts) else np.zeros((0, PARITY // 64), np.int64)
     bits = list(bits)
     for i in np.flatnonzero(n_words > LONG).tolist():
-        places = 2 << (int(n_words[i]) - 1).bit_length()
+        places = 4 << (int(n_words[i]) - 1).bit_length()
         wide = np.bincount((label[first[i] : first[i + 1]] & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
         bits[i] = np.concatenate([bits[i], np.packbits(wide, bitorder="little").view(np.int64)])
-    key, whole = tb.grams(hashes, doc, KMER)
-    at = np.flatnonzero(whole)
-    key[at] = _label(key[at], doc[at])
     out = []
-    for i, n in enumerate(n_words.tolist()):
-        lo = int(first[i])
+    for i, kmers in enumerate(labelled_kmers(hashes, doc, first)):
+        lo, n = int(first[i]), int(n_words[i])
         if not n:
             out.append(_LANES[:1])
             continue
-        kmers = key[lo : lo + n - KMER + 1] if n >= KMER else tb.grams(hashes[lo : lo + n], doc[lo : lo + n], n)[0]
         keys = tb.mix(sketch(kmers) * _C1 + _LANES.astype(np.uint64))
         if EDITS[1] // EDITS[0] - 1 <= n <= SHORT:
             keys = np.concatenate([keys, shortened(hashes[lo : lo + n])])
@@ -190,8 +179,6 @@ def within(a: list, b: list, most: int) -> bool:
         return False
     if max(n, m) <= most:
         return True
-    if sum((Counter(a) & Counter(b)).values()) < max(n, m) - most:
-        return False
     d, full = most, (1 << (2 * most + 1)) - 1
     vp, vn, score = ((1 << (d + 1)) - 1) << d, 0, d
     top, held = 1 << (2 * d), {}
@@ -232,12 +219,21 @@ def verify(pairs: list[tuple[str, str]]) -> list[bool]:
     """Which pairs of texts are near-duplicates."""
     texts = list(dict.fromkeys(t for p in pairs for t in p))
     words: dict[str, list[int]] = {}
+    labels: dict[str, np.ndarray] = {}
     for lo, hi in tb.chunks(texts):
         hashes, doc = every_word(texts[lo:hi])
-        edges = np.searchsorted(doc, np.arange(hi - lo + 1))
+        label, edges = _label(hashes, doc), np.searchsorted(doc, np.arange(hi - lo + 1))
         for i in range(lo, hi):
-            words[texts[i]] = hashes[edges[i - lo] : edges[i - lo + 1]].tolist()
-    return [within(a := words[x], b := words[y], EDITS[0] * max(len(a), len(b)) // EDITS[1]) for x, y in pairs]
+            own = slice(edges[i - lo], edges[i - lo + 1])
+            words[texts[i]], labels[texts[i]] = hashes[own].tolist(), label[own]
+    out = []
+    for x, y in pairs:
+        long, short = (x, y) if len(labels[x]) >= len(labels[y]) else (y, x)
+        most = EDITS[0] * len(labels[long]) // EDITS[1]
+        # all but the allowed edits of the longer text's words stand in the other, counted with their repetitions
+        kept = len(labels[short]) >= len(labels[long]) - most and len(np.intersect1d(labels[long], labels[short], assume_unique=True)) >= len(labels[long]) - most
+        out.append(kept and within(words[x], words[y], most))
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -268,6 +264,75 @@ def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
     return settled(kept.unionByName(more.join(labels, "node", "left_anti").select("node", "component")))
 
 
+def _wanted(used: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Which documents hold the texts of the nodes in ``used``."""
+    return settled(nodes.join(used, "node").select("node", "h1", "h2", "rep"))
+
+
+def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text`` read from the documents; one row a node for each copy that has its least id."""
+    return docs.join(sized(wanted), ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+
+
+def _frequencies(texts: DataFrame) -> np.ndarray:
+    """How often words occur in texts, as powers of two, by hashed place: a table of fixed size that gives words a common order."""
+
+    def counted(batches):
+        held = np.zeros(PLACES, np.int64)
+        for b in batches:
+            values = b["text"].tolist()
+            for lo, hi in tb.chunks(values):
+                held += np.bincount((every_word(values[lo:hi])[0] & np.uint64(PLACES - 1)).astype(np.int64), minlength=PLACES)
+        at = np.flatnonzero(held)
+        yield pd.DataFrame({"place": at, "n": held[at]})
+
+    out = np.zeros(PLACES, np.uint8)
+    for r in texts.select("text").mapInPandas(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        out[r["place"]] = r["n"].bit_length()
+    return out
+
+
+def rarest(words: np.ndarray, label: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+    """As many of a text's labelled words, the rarest first, as it may lose by edits, and one more."""
+    order = np.lexsort((label, frequency[(words & np.uint64(PLACES - 1)).astype(np.int64)]))
+    return label[order[: EDITS[0] * len(words) // EDITS[1] + 1]]
+
+
+def _by_rare_words(apart: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``a, b, na, nb`` of members (``key, node, n_words, component``) of one key and different components that share one of their rarest words.
+
+    None of those that are near-duplicates is missing: with at most ``e`` edits the
+    longer text's words, numbered by occurrence, are in the other but for ``e``, so the
+    ``e + 1`` first of each in any common order have one in common.
+    """
+    apart = apart.filter(F.col("n_words") >= EDITS[1] // EDITS[0] - 1)  # shorter ones have no edit to spare
+    # keys of the same texts are one: each is named by the member of least hash, so texts that share many keys share few names
+    names = apart.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("name"))
+    apart = settled(apart.join(names, "key").select(F.col("name").alias("key"), "node", "n_words", "component").distinct())
+    texts = _texts(_wanted(apart.select("node").distinct(), nodes), docs)
+    sent = docs.sparkSession.sparkContext.broadcast(_frequencies(texts))
+
+    @F.pandas_udf("array<long>")
+    def taken(texts: pd.Series) -> pd.Series:
+        values, out = texts.tolist(), []
+        for lo, hi in tb.chunks(values):
+            words, doc = every_word(values[lo:hi])
+            label, edges = _label(words, doc), np.searchsorted(doc, np.arange(hi - lo + 1))
+            out += [rarest(words[i:j], label[i:j], sent.value).view(np.int64) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        return pd.Series(out, dtype=object)
+
+    # texts of a pair may share many keys and words: they meet where the ones before, in one order for all, are not shared
+    first = settled(texts.select("node", taken("text").alias("words")))
+    keys = apart.select("node", "n_words", "component", "key", F.lag("key").over(Window.partitionBy("node").orderBy("key")).alias("k"))
+    steps = F.explode(F.arrays_zip(F.col("words").alias("word"), F.concat(F.array(F.lit(None).cast("long")), F.slice("words", F.lit(1), F.size("words") - 1)).alias("before")))
+    held = keys.join(first, "node").select("node", "n_words", "component", "key", "k", steps.alias("s"))
+    held = held.select(F.xxhash64("key", "s.word").alias("meet"), "node", "n_words", "component", "k", F.col("s.before").alias("w"))
+    x, y = held.toDF("meet", "x", "nx", "cx", "kx", "wx"), held.toDF("meet", "y", "ny", "cy", "ky", "wy")
+    newly = lambda a, b: F.coalesce(F.col(a) != F.col(b), F.lit(True))
+    pairs = x.join(y, "meet").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & newly("kx", "ky") & newly("wx", "wy") & (EDITS[1] * F.abs(F.col("nx") - F.col("ny")) <= EDITS[0] * F.greatest("nx", "ny")))
+    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (``a, b``) that are near-duplicates."""
     long = nodes.filter(F.col("n_words") > LONG).select("node", "n_words", F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))").alias("bits"))
@@ -278,23 +343,26 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     differ = F.aggregate(F.zip_with(fold("bits_a"), fold("bits_b"), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
     pairs = settled(pairs.filter(F.col("na").isNull() | F.col("nb").isNull() | (EDITS[1] * differ <= 2 * EDITS[0] * F.greatest("na", "nb"))).select("a", "b"))
     used = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = settled(nodes.join(used, "node").select("node", "h1", "h2", "rep"))
-    texts = (
-        docs.join(sized(wanted), ["h1", "h2"])
-        .filter(F.col("doc_id").eqNullSafe(F.col("rep")))
-        .groupBy("node").agg(F.min("text").alias("text"))
-    )
+    texts = _texts(_wanted(used, nodes), docs).groupBy("node").agg(F.min("text").alias("text"))
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     @F.pandas_udf("boolean")
     def check(x: pd.Series, y: pd.Series) -> pd.Series:
         pairs, out = list(zip(x, y, strict=True)), []
-        for lo, hi in tb.chunks([p + q for p, q in pairs]):
-            out += verify(pairs[lo:hi])
+        lo, held, size = 0, set(), 0
+        for i, pair in enumerate(pairs):
+            size += sum(len(t) for t in pair if t not in held)
+            held.update(pair)
+            if size > CHARACTERS or i + 1 == len(pairs):
+                out += verify(pairs[lo : i + 1])
+                lo, held, size = i + 1, set(), 0
         return pd.Series(out, dtype=bool)
 
-    return pairs.join(one, "a").join(other, "b").filter(check("text_a", "text_b")).select("a", "b")
+    # a text is joined once for many others; merged, never broadcast: so the comparing is dealt out by the size of the texts
+    many = pairs.groupBy("a", F.pmod(F.xxhash64("b"), F.lit(64)).alias("salt")).agg(F.collect_list("b").alias("bs"))
+    both = many.join(one.hint("merge"), "a").select("a", "text_a", F.explode("bs").alias("b")).join(other.hint("merge"), "b")
+    return both.filter(check("text_a", "text_b")).select("a", "b")
 
 
 def _alike(n: str, m: str, one: str, other: str):
@@ -373,19 +441,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             labels = _merged(labels, found)
 
     # what shares a key and is in two components still: all of those pairs
-    apart = _apart(members, labels).join(bits, "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    x = apart.filter("component <> main").select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"), F.col("bits").alias("bx"))
-    y = apart.select("key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"), F.col("bits").alias("by"))
-    rest = x.join(y, ["key", "block"]).filter((F.col("cx") != F.col("cy")) & _alike("nx", "ny", "bx", "by")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = settled(rest.join(done, ["a", "b"], "left_anti"))
+    apart = settled(_apart(members, labels))
+    few = apart.filter(F.col("n") <= BUCKET)
+    x = few.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"))
+    y = few.select("key", F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"))
+    rest = x.join(y, "key").filter(F.col("cx") != F.col("cy")).select(*_pair("x", "nx", "y", "ny"))
+    many = apart.filter(F.col("n") > BUCKET)
+    if not many.isEmpty():
+        rest = rest.unionAll(_by_rare_words(many, nodes, docs))
+    rest = _possible(rest.distinct().join(done, ["a", "b"], "left_anti"), bits)
     if not rest.isEmpty():
         labels = _merged(labels, settled(_verified(rest, nodes, docs)))
-    classes = settled(nodes.join(labels, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component")))
-    every = rows.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"])
-    heads = every.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("head"), F.count("*").alias("class_size"))
+    # one row for each text says what class it is in; copies are joined to that, so no class and no text is gathered in one task
+    sized_nodes = rows.groupBy("h1", "h2").agg(F.count("*").alias("copies"))
+    classes = settled(nodes.join(labels, "node", "left").select("h1", "h2", "rep", F.coalesce("component", "node").alias("component")))
+    heads = settled(classes.join(sized_nodes, ["h1", "h2"]).groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), F.col("rep").alias("doc_id"), "h1", "h2")).alias("head"), F.sum("copies").alias("class_size")))
+    classes = settled(classes.join(heads, "component").select("h1", "h2", "head", "class_size"))
     same = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("h1") == F.col("head.h1")) & (F.col("h2") == F.col("head.h2"))
-    return every.join(heads, "component").select("doc_id", "h1", "h2", F.col("head.doc_id").alias("class_id"), "class_size", same.alias("kept"))
+    return rows.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "h1", "h2", F.col("head.doc_id").alias("class_id"), "class_size", same.alias("kept"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
