@@ -10,9 +10,9 @@ shingles that stand in the whole document.
 
 A window's minimum can equal an item's only if that shingle stands in the window,
 so windows without any shingle that is some item's minimum are skipped; this
-loses nothing. Items go to the tasks in blocks of ``block`` rows, one pass over
-the documents for each block, so what a task holds is bounded and nothing is
-shuffled.
+loses nothing. Items go to the tasks in blocks of at most ``block`` rows and
+``BLOCK_BYTES`` of text (a longer item is a block), one pass over the documents for
+each block, so what a task holds is bounded and nothing is shuffled.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower case;
 shingles have five words, an item of fewer words is one shingle.
@@ -33,6 +33,8 @@ from . import textbytes as tb
 from .common import fresh, table
 
 SHINGLE, MINIMA = 5, 32
+#: Text that a block of items holds.
+BLOCK_BYTES = 4 << 20
 #: Smallest share of an item's shingles in a document, as a fraction (8/10).
 THRESHOLD = (8, 10)
 _A = tb.mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -134,12 +136,14 @@ def _found(docs: DataFrame, text_col: str, items: pd.DataFrame, out: str) -> Dat
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block: int):
     """The items in blocks of bounded size, one at a time on the driver."""
-    rows, held = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).toLocalIterator(), []
+    rows, held, size = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).toLocalIterator(), [], 0
     for r in rows:
-        held.append(tuple(r))
-        if len(held) == block:
+        more = len((r["text"] or "").encode())
+        if held and (len(held) == block or size + more > BLOCK_BYTES):
             yield pd.DataFrame(held, columns=["id", "text"], dtype=object)
-            held = []
+            held, size = [], 0
+        held.append(tuple(r))
+        size += more
     if held:
         yield pd.DataFrame(held, columns=["id", "text"], dtype=object)
 

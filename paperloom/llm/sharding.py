@@ -6,9 +6,9 @@ keys up to its next point; a key that would overfill its shard continues
 clockwise to the next shard with room. No shard gets more than ``1 + slack``
 times the mean bytes, but for what one indivisible unit adds.
 
-The ring is cut into a fixed number of cells. Sizes are summed per cell before
+The ring is cut into cells, 65,536 or ``CELLS_A_SHARD`` for each shard if that is more. Sizes are summed per cell before
 anything is placed, so the plan works on a bounded table whatever the corpus:
-at most ``CELLS + 18 * UNITS * n_shards`` rows reach the driver and are
+at most as many rows as there are cells and ``18 * UNITS * n_shards`` more reach the driver and are
 broadcast. Texts whose copies hold over 1/UNITS of a shard leave their cell and
 are dealt in small units of their own, so a third of all rows being one text
 neither overfills a shard nor meets in one task. Larger units are placed first.
@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import settled
 
-CELL_BITS = 16
-CELLS = 1 << CELL_BITS
+CELL_BITS, CELLS_A_SHARD = 16, 512
 #: A group of equal texts is split once it holds over a shard's mean / UNITS.
 UNITS = 64
 
@@ -69,6 +68,8 @@ def place(position: np.ndarray, size: np.ndarray, n_shards: int, points: int = 6
 
 def shard(docs: DataFrame, n_shards: int, points: int = 64, slack: float = 0.001, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row of ``docs``."""
+    bits = max(CELL_BITS, (n_shards * CELLS_A_SHARD - 1).bit_length())
+    n_cells = 1 << bits
     spark, text = docs.sparkSession, F.coalesce(F.col(text_col), F.lit(""))
     rows = settled(
         docs.select(
@@ -78,20 +79,20 @@ def shard(docs: DataFrame, n_shards: int, points: int = 64, slack: float = 0.001
             F.xxhash64(text).alias("key"),
             F.monotonically_increasing_id().alias("row"),
         )
-    ).withColumn("cell", F.shiftrightunsigned("key", 64 - CELL_BITS))
+    ).withColumn("cell", F.shiftrightunsigned("key", 64 - bits))
     cells = rows.groupBy("cell").agg(F.sum("size").alias("bytes")).toPandas()
     limit = max(1.0, float(cells["bytes"].sum()) / (n_shards * UNITS))
     big = rows.groupBy("key").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > limit).toPandas().sort_values("key")
     big["parts"] = np.ceil(big["bytes"] / (limit / 16)).astype("int64")
-    big["first"] = CELLS + big["parts"].cumsum() - big["parts"]
+    big["first"] = n_cells + big["parts"].cumsum() - big["parts"]
     own = spark.createDataFrame(big[["key", "parts", "first"]], "key long, parts long, first long")
     rows = rows.join(F.broadcast(own), "key", "left").select(
         "doc_id", "size", "text_crc32", "key", "row",
         F.coalesce(F.col("first") + F.pmod(F.xxhash64("doc_id", "row"), F.col("parts")), F.col("cell")).alias("unit"),
     )
     units = rows.groupBy("unit").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.min("key").alias("key")).toPandas().sort_values("unit")
-    whole = units["unit"].to_numpy() < CELLS
-    start = units["unit"].to_numpy().astype(np.uint64) << np.uint64(64 - CELL_BITS)
+    whole = units["unit"].to_numpy() < n_cells
+    start = units["unit"].to_numpy().astype(np.uint64) << np.uint64(64 - bits)
     units["shard"] = place(np.where(whole, start, units["key"].to_numpy().astype(np.int64).view(np.uint64)), units["bytes"].to_numpy().astype(np.int64), n_shards, points, slack)
     units["base"] = units.groupby("shard")["n"].cumsum() - units["n"]
     plan = spark.createDataFrame(units[["unit", "shard", "base"]].astype("int64"), "unit long, shard long, base long")
