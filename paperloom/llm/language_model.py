@@ -6,24 +6,35 @@ probability is its class's, given the recurrent state, times its own in the clas
 All other words fall into classes by their last letters; in those the state gives
 the class and the corpus counts give the word, so every word has a probability.
 
-Training goes over all training texts once: each partition runs truncated
-backpropagation over its texts from the same start, and the partitions' weights
-are averaged, weighted by tokens, in a tree. The start is the unigram model, so
-what training adds is context. Scoring carries the state over all windows of a
-text, so a text's log-likelihood covers it from its first word to its end.
+Training goes over all training texts once. A hash of id and text, and nothing
+else, deals them to parts and rounds, and in a part orders them; so the model is a
+property of the table and not of the cluster. In a round each part runs truncated
+backpropagation over its texts of that round from the same weights, and the weights
+are averaged, weighted by tokens, in a tree of fan-in ``FAN``; the next round starts
+from the average. The first start is the unigram model, so what training adds is
+context. Scoring carries the state over all windows of a text, so a text's
+log-likelihood covers it from its first word to its end.
+
+What is learned grows with the input: counts cover all words; the words with places
+of their own in the output grow with the square root of the vocabulary; the number
+of parts and the steps in each grow with the square root of the tokens, the rounds
+with their logarithm.
 
 Size: word counts are shuffled by a 64-bit hash of the word. The words in the
 broadcast table number at most ``TABLE``; the counts of all others are joined in.
-What reaches the driver is that table and at most ``LEAVES`` weight vectors.
+What reaches the driver is that table and at most ``FAN`` weight vectors a round.
 
 Edge cases: a null or empty text is one end token; repeated rows are scored alike
 and train as often; without training texts every count is 0 and the model is the
-start; a null id counts as the empty string in the split. Arithmetic is in 32 bits
+start; a null id counts as the empty string in the split. Texts whose hashes tie
+have the same id and text, so their order does not matter. Arithmetic is in 32 bits
 over texts in a fixed order; sums are in 64.
 """
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,16 +43,33 @@ from pyspark.sql import functions as F
 from . import textbytes as tb
 from .common import id_text, settled, table
 
-HIDDEN, WIDTH, CLASSES, RARE = 8, 32, 32, 16
-PLACES = CLASSES * WIDTH
+HIDDEN, RARE = 8, 16
+PLACES = 1024  # words with places at least; enough for a vocabulary of some 4 million
 START = PLACES + RARE  # input before the first word
-TABLE, LEAVES = 1 << 18, 64
-LANES, WINDOW, RATE, SMOOTH = 512, 16, 0.4, 0.1
+TABLE, FAN = 1 << 18, 16
+#: A window with fewer tokens than this takes a step that is shorter by as much.
+FULL_STEP = 2048
+#: Texts that are held at once in training, and their tokens.
+HELD_TEXTS, HELD_TOKENS = 4096, 1 << 20
+#: Tokens of a part are at least the square root of this times all tokens.
+PART_TOKENS = 400_000
+LANES, WINDOW, RATE, SMOOTH = 512, 16, 0.3, 0.1
 #: Stands for the end token among word hashes.
 END = 0
 LN10 = np.log(10.0)
 
 
+def places_for(distinct: int) -> int:
+    """Words with places of their own, the end included: a power of two near the square root of the vocabulary."""
+    return max(PLACES, 1 << distinct.bit_length() // 2)
+
+
+def parts_for(tokens: int) -> tuple[int, int]:
+    """Parts and rounds of training."""
+    parts = max(1, round((tokens / PART_TOKENS) ** 0.5))
+    return parts, 2 + parts.bit_length() // 2
+
+
 def read(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, rare class and text of each word, lower-cased."""
     buf, offsets = tb.pack(texts)
@@ -66,7 +94,7 @@ def _counted(batches):
     for b in batches:
         values = b["text"].tolist()
         texts += len(values)
-        for lo, hi in tb.chunks(values, 8 << 20):
+        for lo, hi in tb.chunks(values, 1 << 20, 4096):
             h, c, _ = read(values[lo:hi])
             held.append(merged([(h, c, np.ones(len(h), np.int64))]))
             size += len(held[-1][0])
@@ -83,17 +111,19 @@ def _counted(batches):
 class Vocabulary:
     """The counts that every task gets: words of the table, which of them have places, and class sums."""
 
-    def __init__(self, words: pd.DataFrame, end_count: int, rare_sums: dict[int, float]):
+    def __init__(self, words: pd.DataFrame, end_count: int, rare_sums: dict[int, float], places: int = PLACES):
+        self.places, self.classes = places, 1 << (places.bit_length() - 1) // 2
+        self.width, self.kind = places // self.classes, np.uint16 if places + RARE < 1 << 16 else np.uint32
         words = words.sort_values(["n", "hash"], ascending=[False, True]).reset_index(drop=True)
         place = np.full(len(words), -1, np.int64)
-        place[: PLACES - 1] = np.arange(1, min(len(words), PLACES - 1) + 1)
-        count = np.zeros(PLACES)
+        place[: places - 1] = np.arange(1, min(len(words), places - 1) + 1)
+        count = np.zeros(places)
         count[0] = end_count
-        top = words["n"].to_numpy()[: PLACES - 1]
+        top = words["n"].to_numpy()[: places - 1]
         count[1 : len(top) + 1] = top
         order = np.argsort(words["hash"].to_numpy(np.int64), kind="stable")
         self.hash, self.count, self.place = words["hash"].to_numpy(np.int64)[order], words["n"].to_numpy(np.float64)[order], place[order]
-        self.used = np.zeros(PLACES, bool)
+        self.used = np.zeros(places, bool)
         self.used[: len(top) + 1] = True
         self.end_count, self.place_count = end_count, count
         inside = np.bincount(words["cls"].to_numpy(np.int64)[: len(top)], top + SMOOTH, RARE) if len(top) else np.zeros(RARE)
@@ -102,7 +132,7 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> dict[str, list]:
         """Ids, the sums of log counts of words in the table, and the hashes of words that are not."""
         h, cls, doc = read(texts)
-        n, ids = len(texts), PLACES + cls
+        n, ids = len(texts), self.places + cls
         log_placed, log_table, known = np.full(n, np.log10(self.end_count + SMOOTH)), np.zeros(n), np.full(n, int(self.end_count > 0))
         missing = np.ones(len(h), bool)
         if len(self.hash):
@@ -116,10 +146,10 @@ class Vocabulary:
             log_table += np.bincount(doc[other], value[other], n)
             known += np.bincount(doc[~missing], minlength=n)
         edges = np.searchsorted(doc, np.arange(n + 1))
-        ids, far = ids.astype(np.uint16), h[missing]
+        ids, far = ids.astype(self.kind), h[missing]
         far_edges = np.searchsorted(doc[missing], np.arange(n + 1))
         return {
-            "ids": [np.append(ids[edges[i] : edges[i + 1]], np.uint16(0)).tobytes() for i in range(n)], "n_tokens": (np.diff(edges) + 1).tolist(), "known": known.tolist(),
+            "ids": [np.append(ids[edges[i] : edges[i + 1]], self.kind(0)).tobytes() for i in range(n)], "n_tokens": (np.diff(edges) + 1).tolist(), "known": known.tolist(),
             "log_placed": log_placed.tolist(), "log_table": log_table.tolist(), "far": [far[far_edges[i] : far_edges[i + 1]] for i in range(n)],
         }
 
@@ -131,10 +161,12 @@ class Model:
         rng = np.random.default_rng(seed)
         of = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0] if len(shape) > 1 else 1)).astype(np.float32)
         log = lambda x: np.log(np.maximum(x, 1e-30)).astype(np.float32)
+        CLASSES, WIDTH = self.classes, self.width = vocab.classes, vocab.width
+        self.places, self.start, self.kind = vocab.places, vocab.places + RARE, vocab.kind
         count = np.where(vocab.used, vocab.place_count + SMOOTH, 0).reshape(CLASSES, WIDTH)
         mass = np.concatenate([count.sum(1), vocab.rare_mass])
         self.p = {
-            "E": rng.standard_normal((START + 1, HIDDEN)).astype(np.float32) * np.float32(0.3), "W": of(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32), "U": of(HIDDEN, 3 * HIDDEN),
+            "E": rng.standard_normal((self.start + 1, HIDDEN)).astype(np.float32) * np.float32(0.3), "W": of(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32), "U": of(HIDDEN, 3 * HIDDEN),
             "C": np.zeros((HIDDEN, CLASSES + RARE), np.float32), "c": log(mass / max(mass.sum(), 1e-30)),
             "I": np.zeros((CLASSES, HIDDEN, WIDTH), np.float32), "i": log(count / np.maximum(mass[:CLASSES, None], 1e-30)),
         }
@@ -142,18 +174,20 @@ class Model:
         self.seen = {k: np.full(v.shape, 1e-3, np.float32) for k, v in self.p.items()}
 
     def vector(self) -> np.ndarray:
-        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+        """Weights and their sums of squared gradients."""
+        return np.concatenate([of[k].ravel() for of in (self.p, self.seen) for k in sorted(of)])
 
     def set_vector(self, v: np.ndarray) -> None:
         at = 0
-        for k in sorted(self.p):
-            n = self.p[k].size
-            self.p[k] = v[at : at + n].reshape(self.p[k].shape).astype(np.float32)
-            at += n
+        for of in (self.p, self.seen):
+            for k in sorted(of):
+                n = of[k].size
+                of[k] = v[at : at + n].reshape(of[k].shape).astype(np.float32)
+                at += n
 
     def _heads(self, hs: np.ndarray, y: np.ndarray, learn: bool):
         """Log-probabilities of the targets, and the gradients if asked for."""
-        p, n = self.p, len(y)
+        p, n, CLASSES, WIDTH, PLACES = self.p, len(y), self.classes, self.width, self.places
         cls = np.where(y < PLACES, y // WIDTH, CLASSES + y - PLACES)
         logits = hs @ p["C"] + p["c"]
         logits -= logits.max(1, keepdims=True)
@@ -201,7 +235,7 @@ class Model:
             valid = at < length[None, :lanes]
             where = offset[None, :lanes] + np.minimum(at, length[None, :lanes] - 1)
             y = flat[where]
-            x = np.where(at == 0, START, flat[np.maximum(where - 1, 0)])
+            x = np.where(at == 0, self.start, flat[np.maximum(where - 1, 0)])
             p = self.p
             inputs = (p["E"] @ p["W"] + p["b"])[x]
             h, kept = state[:lanes].copy(), []
@@ -248,10 +282,11 @@ class Model:
             grad["E"] = np.zeros_like(p["E"])
             grad["E"][used] = summed @ p["W"].T
             scale = np.float32(1 / max(len(sel), LANES))
+            rate = np.float32(RATE * min(1.0, len(sel) / FULL_STEP))  # a few texts that go on alone move little
             for k, g in grad.items():  # Adagrad on clipped gradients
                 g = np.clip(g * scale, -0.1, 0.1)
                 self.seen[k] += g * g
-                p[k] = p[k] - np.float32(RATE) * g / np.sqrt(self.seen[k])
+                p[k] = p[k] - rate * g / np.sqrt(self.seen[k])
         return score
 
     def over(self, seqs: list[np.ndarray], learn: bool = False) -> np.ndarray:
@@ -266,8 +301,71 @@ class Model:
         return out
 
 
-def _ids(column) -> list[np.ndarray]:
-    return [np.frombuffer(b, np.uint16) for b in column]
+    def ids(self, column) -> list[np.ndarray]:
+        return [np.frombuffer(b, self.kind) for b in column]
+
+
+def learned(model: Model, batches):
+    """Runs a model over texts (``part, ids``) that come part by part: a row ``part, tokens, v`` for each, the weights times tokens.
+
+    Each part starts from the model as it is given. Texts are learned in blocks whose ends depend on them alone.
+    """
+    start, part, held, size, tokens = model.vector(), None, [], 0, 0
+
+    def block():
+        nonlocal held, size
+        model.over(held, learn=True)
+        held, size = [], 0
+
+    def done():
+        block()
+        return pd.DataFrame({"part": [part], "tokens": [tokens], "v": [(model.vector().astype(np.float64) * tokens).tobytes()]})
+
+    for b in batches:
+        for p, seq in zip(b["part"].tolist(), model.ids(b["ids"]), strict=True):
+            if p != part:
+                if part is not None:
+                    yield done()
+                    model.set_vector(start)
+                part, tokens = p, 0
+            held.append(seq)
+            size, tokens = size + len(seq), tokens + len(seq)
+            if len(held) == HELD_TEXTS or size >= HELD_TOKENS:
+                block()
+    if part is not None:
+        yield done()
+
+
+def _homes(spark, parts: int) -> list[int]:
+    """A number for each part that hash partitioning puts into the partition of the same number."""
+    found: dict[int, int] = {}
+    n = 32 * parts
+    while len(found) < parts:
+        found = {r["p"]: r["v"] for r in spark.range(n).select(F.pmod(F.hash("id"), F.lit(parts)).alias("p"), F.col("id").alias("v")).groupBy("p").agg(F.min("v").alias("v")).collect()}
+        n *= 2
+    return [found[p] for p in range(parts)]
+
+
+def trained(model: Model, texts: DataFrame, parts: int, rounds: int) -> Model:
+    """The model after all rounds over ``texts`` (``hash, part, round, ids``). A round's texts are dealt by part, one to a partition."""
+    sc, shape = texts.sparkSession.sparkContext, "part long, tokens long, v binary"
+    homes = F.array(*(F.lit(h).cast("long") for h in _homes(texts.sparkSession, parts)))
+    texts = texts.withColumn("home", F.get(homes, F.col("part").cast("int")))
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("part")
+        v = np.sum([np.frombuffer(x) for x in group["v"]], axis=0)
+        return pd.DataFrame({"part": [int(group["part"].iloc[0]) // FAN], "tokens": [int(group["tokens"].sum())], "v": [v.tobytes()]})
+
+    for r in range(rounds):
+        sent = sc.broadcast(model)
+        dealt = texts.filter(F.col("round") == r).repartition(parts, "home").sortWithinPartitions("part", "hash", "ids")
+        own = settled(dealt.select("part", "ids").mapInPandas(lambda batches, sent=sent: learned(copy.deepcopy(sent.value), batches), shape))
+        while own.count() > FAN:
+            own = settled(own.groupBy((F.col("part") / FAN).cast("long").alias("up")).applyInPandas(lambda g: added(g), shape))
+        if got := sorted(own.collect(), key=lambda x: x["part"]):
+            model.set_vector(np.sum([np.frombuffer(x["v"]) for x in got], axis=0) / sum(x["tokens"] for x in got))
+    return model
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,48 +384,33 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             break
         floor = r["n"]
     top = words.filter(F.col("n") >= floor).toPandas() if floor else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("hash", "cls", "n")})
-    vocab = Vocabulary(top, sums.get(-1, (0, 0))[0], {c: n + SMOOTH * v for c, (n, v) in sums.items() if c >= 0})
+    vocab = Vocabulary(top, sums.get(-1, (0, 0))[0], {c: n + SMOOTH * v for c, (n, v) in sums.items() if c >= 0}, places_for(distinct))
     sent = sc.broadcast(vocab)
-    columns = "doc_id {id}, held_out boolean, row long, ids binary, n_tokens long, known long, log_placed double, log_table double, far array<long>".replace("{id}", docs.schema["doc_id"].dataType.simpleString())
+    columns = "doc_id {id}, held_out boolean, row long, hash long, ids binary, n_tokens long, known long, log_placed double, log_table double, far array<long>".replace("{id}", docs.schema["doc_id"].dataType.simpleString())
 
     def encoded(batches):
         for b in batches:
             values = b["text"].tolist()
-            parts = [sent.value.encode(values[lo:hi]) for lo, hi in tb.chunks(values, 8 << 20)]
+            parts = [sent.value.encode(values[lo:hi]) for lo, hi in tb.chunks(values, 1 << 20, 4096)]
             for k in parts[0] if parts else ():
                 b[k] = [x for part in parts for x in part[k]]
             if parts:
                 yield b.drop(columns="text")
 
-    rows = settled(docs.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "held_out", "row", "text").mapInPandas(encoded, columns))
-
-    def trained(batches):
-        model, tokens = Model(sent.value), 0
-        for b in batches:
-            seqs = _ids(b["ids"])
-            model.over(seqs, learn=True)
-            tokens += sum(map(len, seqs))
-        if tokens:
-            yield pd.DataFrame({"tokens": [tokens], "v": [(model.vector().astype(np.float64) * tokens).tobytes()]})
+    rows = settled(docs.withColumns({"row": F.monotonically_increasing_id(), "hash": F.xxhash64(id_text(F.col("doc_id")), "text")}).select("doc_id", "held_out", "row", "hash", "text").mapInPandas(encoded, columns))
 
-    def added(group: pd.DataFrame) -> pd.DataFrame:
-        v = np.sum([np.frombuffer(x) for x in group["v"]], axis=0)
-        return pd.DataFrame({"tokens": [int(group["tokens"].sum())], "v": [v.tobytes()]})
-
-    shape = "tokens long, v binary"
-    own = rows.filter("not held_out").select("ids").mapInPandas(trained, shape).withColumn("leaf", F.pmod(F.spark_partition_id(), F.lit(LEAVES)))
-    leaves = own.groupBy("leaf").applyInPandas(lambda g: added(g), shape).collect()
-    model = Model(vocab)
-    if leaves:
-        model.set_vector(np.sum([np.frombuffer(r["v"]) for r in leaves], axis=0) / sum(r["tokens"] for r in leaves))
+    parts, rounds = parts_for(total)
+    turn = F.expr(f"pmod(hash div {parts}, {rounds})")
+    dealt = rows.filter("not held_out").select("hash", "ids", F.pmod("hash", F.lit(parts)).alias("part"), turn.alias("round"))
+    model = trained(Model(vocab), dealt, parts, rounds)
     net = sc.broadcast(model)
 
     def judged(batches):
         for b in batches:
-            b["net"] = net.value.over(_ids(b["ids"])) / LN10
-            yield b.drop(columns="ids")
+            b["net"] = net.value.over(net.value.ids(b["ids"])) / LN10
+            yield b.drop(columns=["ids", "hash"])
 
-    kept_columns = columns.replace(", ids binary", "").replace(", far array<long>", "")
+    kept_columns = columns.replace(", hash long, ids binary", "").replace(", far array<long>", "")
     scored = rows.drop("far").mapInPandas(judged, kept_columns + ", net double")
     far = rows.select("row", F.explode("far").alias("hash")).groupBy("row", "hash").agg(F.count("*").alias("k"))
     n = F.coalesce("n", F.lit(0))
