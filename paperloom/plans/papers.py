@@ -50,9 +50,15 @@ add(
 )
 
 # proposals of all five rules, and what comes of them
-NOTHING = F.array().cast("array<struct<replace:string,with:string>>")
+
+
+def no_extras():
+    """Stored character rules: none."""
+    return F.array().cast("array<struct<replace:string,with:string>>")
+
+
 r.learned(
-    "l_proposals", lambda c, p: learn.proposals(c, p.withColumn("postprocess_extras", NOTHING)).select("journal", "step", "param", "action", "n", F.array_join("papers", ",").alias("papers")),
+    "l_proposals", lambda c, p: learn.proposals(c, p.withColumn("postprocess_extras", no_extras())).select("journal", "step", "param", "action", "n", F.array_join("papers", ",").alias("papers")),
     """WITH g AS (SELECT journal, string_agg(DISTINCT paper_key, ',' ORDER BY paper_key) AS papers, count(*) FILTER (WHERE type = 'formula_fix' AND regexp_matches("after", '\\$[^$]+\\$') AND NOT regexp_matches("before", '\\$[^$]+\\$')) AS a,
   count(*) FILTER (WHERE type = 'formula_fix' AND regexp_matches("before", '\\$[^$]+\\$') AND NOT regexp_matches("after", '\\$[^$]+\\$')) AS d FROM c GROUP BY journal),
 b AS (SELECT journal, trim("before") AS w FROM c WHERE type = 'boilerplate_removal' AND trim("before") <> '' GROUP BY ALL HAVING count(*) >= 3 AND NOT (w = '© F' AND journal IN (SELECT journal FROM p))),
@@ -66,7 +72,7 @@ SELECT journal, step, param, action, n, papers FROM u JOIN g USING (journal)""",
 
 
 def _applied(c, p):
-    p = p.withColumns({"postprocess_extras": NOTHING, "history": F.array().cast("array<struct<date:string,param:string,old:string,new:string,reason:string,papers:array<string>>>")})
+    p = p.withColumns({"postprocess_extras": no_extras(), "history": F.array().cast("array<struct<date:string,param:string,old:string,new:string,reason:string,papers:array<string>>>")})
     got = learn.apply_proposals(p, learn.proposals(c, p), F.lit("2024-01-01"))
     return got.select("journal", "mfd_conf_override", F.array_join(F.sort_array("extra_boilerplate_patterns"), "|").alias("boilerplate"), F.size("heading_remap").cast("long").alias("n_headings"), F.size("postprocess_extras").cast("long").alias("n_extras"), F.array_join(F.transform("history", lambda h: h["param"]), ",").alias("params"))
 
@@ -219,8 +225,13 @@ def _headers(d):
 
 add("d_table_headers", CELLS, lambda d: _headers(d).select("doc_id", F.array_join("h.headers", "|").alias("headers"), "h.guide"), "SELECT doc_id, a || '|' || CASE WHEN b = '' THEN ' | ' ELSE 'B|B' END || '|x y' AS headers, starts_with(a, '작성') AS guide FROM x")
 TABLES = "SELECT doc_id, 'intro' || chr(10) || '| p | q |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || 'after' || chr(10) || '+--+' || chr(10) || '| g |' || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '| z |' ELSE '' END AS md FROM documents"
-TEMPLATES = F.array(F.struct(F.array(F.lit("Head"), F.lit("B")).alias("headers"), F.lit(False).alias("guide")), F.struct(F.array(F.lit("g")).alias("headers"), F.lit(True).alias("guide")))
-add("d_merge_templates", TABLES, lambda d: d.select("doc_id", docx.merge_templates(F.col("md"), TEMPLATES).alias("md")), f"SELECT doc_id, 'intro' || {NL} || '| Head | B |' || {NL} || '| ---- | --- |' || {NL} || '|      |     |' || {NL} || '|      |     |' || {NL} || {NL} || 'after' || {NL} || '+--+' || {NL} || '| g |' || {NL} || {NL} || CASE WHEN doc_id % 2 = 0 THEN '| z |' ELSE '' END AS md FROM x")
+
+
+def templates():
+    return F.array(F.struct(F.array(F.lit("Head"), F.lit("B")).alias("headers"), F.lit(False).alias("guide")), F.struct(F.array(F.lit("g")).alias("headers"), F.lit(True).alias("guide")))
+
+
+add("d_merge_templates", TABLES, lambda d: d.select("doc_id", docx.merge_templates(F.col("md"), templates()).alias("md")), f"SELECT doc_id, 'intro' || {NL} || '| Head | B |' || {NL} || '| ---- | --- |' || {NL} || '|      |     |' || {NL} || '|      |     |' || {NL} || {NL} || 'after' || {NL} || '+--+' || {NL} || '| g |' || {NL} || {NL} || CASE WHEN doc_id % 2 = 0 THEN '| z |' ELSE '' END AS md FROM x")
 add("d_plain_markdown", "SELECT doc_id, source, lang FROM documents", lambda d: d.select("doc_id", docx.plain_markdown(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(s).alias("style"), t.alias("text")) for k, s, t in (("p", "Heading 2", F.col("source")), ("p", "Normal", F.lit("  ")), ("table", "", F.lit("")), ("p", "Heading", F.lit(" T ")), ("p", "Normal", F.col("lang")), ("table", "", F.lit("")))))).alias("md")), f"SELECT doc_id, '## ' || source || {NL} || {NL} || '[TABLE_0]' || {NL} || {NL} || '# T' || {NL} || {NL} || lang || {NL} || {NL} || '[TABLE_1]' || {NL} AS md FROM x")
 add("d_batch", "SELECT '/in/' || o_orderpriority || '/f' || CAST(o_orderkey AS STRING) || CASE WHEN o_orderkey % 3 = 0 THEN '.docx' ELSE '.doc' END AS path, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 5 < 4 END AS ok FROM orders", docx.batch, "SELECT count(*) AS n_files, count(*) FILTER (WHERE ok) AS n_converted FROM x WHERE ends_with(path, '.docx')")
 
@@ -234,17 +245,23 @@ def cases(name: str, pairs, rule) -> None:
     add(name, f"SELECT doc_id, {pick(0)} AS t FROM documents", lambda d: d.select("doc_id", rule(F.translate("t", "@", "\\")).alias("t")), f"SELECT doc_id, {pick(1)} AS t FROM x")
 
 
-KEYS = F.create_map(F.lit("1"), F.lit("doe2020"), F.lit("3"), F.lit("roe2021"))
+
+
+def keys():
+    """Citation keys by number."""
+    return F.create_map(F.lit("1"), F.lit("doe2020"), F.lit("3"), F.lit("roe2021"))
+
+
 cases("x_unicode_math", [("μ of 5 {n}", r"$\mu$ of 5 {n}"), ("a – b … {n} $α$", r"a -- b \ldots{} {n} $$\alpha$$"), ('"q" × 𝜈 {n}', r"``q`` $\times$ $\nu$ {n}"), ("plain {n}", "plain {n}")], manuscript.unicode_math)
 cases("x_escape", [("a_b & 5% #{n} {x} ~ ^ $", r"a\_b \& 5\% \#{n} \{x\} \textasciitilde{} \textasciicircum{} \$"), ("@cite{a_b} & {n}", r"\cite{a_b} & {n}"), ("α & {n}", r"$\alpha$ & {n}"), ("✉ a@b {n}", "\\texttt{[email]} a\\b {n}")], manuscript.escape_text)
 cases("x_escape_safe", [("a & b % {n} $x & y$ #", r"a \& b \% {n} $x & y$ \#"), ("$$a & b$$ ~{n}^ {x}_y", r"$$a & b$$ \textasciitilde{}{n}\textasciicircum{} {x}_y"), ("± & $q% {n}", r"$\pm$ \& $q\% {n}")], manuscript.escape_safe)
 cases("x_math_spaces", [("@mathrm { a x i a l } _ { x } {n}", r"\mathrm {axial} _{x} {n}"), ("3 . 5 ^ { a + b } {n}", "3.5 ^{a + b} {n}"), ("{ @mathrm { x y } } {ab c} {n}", r"{ \mathrm {xy} } {ab c} {n}")], manuscript.math_spaces)
 cases("x_fix_inline_math", [("see $@textbf{a}@textit{b}}$ {n}", r"see $\mathbf{a}{b}$ {n}"), ("$@AA + @'e {x$ {n}", r"$\text{\AA} +  {x}$ {n}"), ("$$@textbf{a}}$$ {n}", r"$$\textbf{a}}$$ {n}")], manuscript.fix_inline_math)
-cases("x_inline", [("**bold $x_1$ b** and *it* _us_ `c` {n}", r"\textbf{bold $x_1$ b} and \textit{it} \textit{us} \texttt{c} {n}"), ("as [1], [2, 3] and [1–3] & {n}", r"as \cite{doe2020}, \cite{ref2,roe2021} and \cite{doe2020,roe2021} \& {n}"), ("a_b_c $a*b*c$ 5% {n}", r"a_b_c $a*b*c$ 5\% {n}"), ("$@mathrm { a b }$ {n}", r"$\mathrm {ab}$ {n}")], lambda t: manuscript.inline(t, KEYS))
-cases("x_heading", [("2.1. Width of $@mathrm{x}_1$ {n}", r"\subsubsection{Width of \texorpdfstring{$\mathrm{x}_1$}{x_1} {n}}"), ("3. Results & {n}", r"\subsection{Results \& {n}}"), ("Methods {n}", r"\subsection{Methods {n}}")], lambda t: manuscript.heading(t, KEYS, F.lit(3)))
+cases("x_inline", [("**bold $x_1$ b** and *it* _us_ `c` {n}", r"\textbf{bold $x_1$ b} and \textit{it} \textit{us} \texttt{c} {n}"), ("as [1], [2, 3] and [1–3] & {n}", r"as \cite{doe2020}, \cite{ref2,roe2021} and \cite{doe2020,roe2021} \& {n}"), ("a_b_c $a*b*c$ 5% {n}", r"a_b_c $a*b*c$ 5\% {n}"), ("$@mathrm { a b }$ {n}", r"$\mathrm {ab}$ {n}")], lambda t: manuscript.inline(t, keys()))
+cases("x_heading", [("2.1. Width of $@mathrm{x}_1$ {n}", r"\subsubsection{Width of \texorpdfstring{$\mathrm{x}_1$}{x_1} {n}}"), ("3. Results & {n}", r"\subsection{Results \& {n}}"), ("Methods {n}", r"\subsection{Methods {n}}")], lambda t: manuscript.heading(t, keys(), F.lit(3)))
 cases("x_orphan_math", [("so @left( a @right) holds {n}", r"so $\left( a \right)$ holds {n}"), ("$@left( a @right)$ {n}", r"$\left( a \right)$ {n}"), ("$$@left( a @right) {n}", r"$$\left( a \right) {n}")], manuscript.wrap_orphan_math)
 cases("x_affiliation", [("Lab A, https://a.org/ x1. and B & {n}", r"Lab A, \url{https://a.org/x1.andB\&{n}}"), ("Lab & B {n}", r"Lab \& B {n}"), ("see http://q.de", r"see \url{http://q.de}")][1:], manuscript.escape_affiliation)
-cases("x_cite_all", [("[1] [9] {n}", r"\cite{doe2020} \cite{ref9} {n}"), ("[1,3] [1 - 3] {n}", r"\cite{doe2020,roe2021} \cite{doe2020,roe2021} {n}"), ("[a] [] {n}", "[a] [] {n}")], lambda t: manuscript.cite_all(t, KEYS))
+cases("x_cite_all", [("[1] [9] {n}", r"\cite{doe2020} \cite{ref9} {n}"), ("[1,3] [1 - 3] {n}", r"\cite{doe2020,roe2021} \cite{doe2020,roe2021} {n}"), ("[a] [] {n}", "[a] [] {n}")], lambda t: manuscript.cite_all(t, keys()))
 _T = "\\begin{table}[htbp]\n  \\centering\n  \\caption{Table 2}\n  \\label{tab:table2}\n  \\begin{tabular}{%s}\n    \\hline\n%s\n    \\hline\n  \\end{tabular}\n\\end{table}"
 _NOTE = "%% [복잡한 표 — tabular 변환 시 레이아웃 확인 필요]\n%% 원본 이미지가 있다면 figures/ 폴더에 table2.png 추가 후 아래 주석 해제:\n%% \\begin{figure}[htbp]\\centering\n%% \\includegraphics[width=\\linewidth]{figures/table2.png}\n%% \\caption{Table 2}\\label{tab:table2}\n%% \\end{figure}\n".replace("%%", "%")
 cases("x_table_environment", [("| a | b_{n} & c |\n|---|---|\n| 1 | 5% |", _T % ("lc", "    a & b_{n} \\& c \\\\\n    \\hline\n    1 & 5\\% \\\\")), ("| a |\n| {n} | 2 |", _NOTE + _T % ("lc", "    a &  \\\\\n    \\hline\n    {n} & 2 \\\\")), ("| {n} |", _T % ("l", "    {n} \\\\\n    \\hline")), ("|--|", "")], lambda t: manuscript.table_environment(t, F.lit(2)))
@@ -263,7 +280,7 @@ cases(
         ("![alt {n}](a/f.jpg)\n\n*Figure 1. Cap*\n$$\nx _ { a } $y$\n$$\n![b](c)\n\ntext", "\\begin{figure}[!htbp]\n  \\centering\n  \\includegraphics[width=0.95\\linewidth,height=0.70\\textheight,keepaspectratio]{figures/figure_1.jpg}\n  \\caption{\\small Figure 1. Cap}\n  \\label{fig:figure1}\n\\end{figure}\n\n\\begin{equation}\nx _{a} y\n\\end{equation}\n\n\\begin{figure}[!htbp]\n  \\centering\n  \\includegraphics[width=0.95\\linewidth,height=0.70\\textheight,keepaspectratio]{figures/figure_2.png}\n  \\caption{\\small b}\n  \\label{fig:figure2}\n\\end{figure}\n\n\ntext"),
         ("---\nk: v\n---\na {n}\n| x |\n## References\n[1] gone\n\n### References\nmore\n# Next\nend", "a {n}\n\\begin{table}[htbp]\n  \\centering\n  \\caption{Table 1}\n  \\label{tab:table1}\n  \\begin{tabular}{l}\n    \\hline\n    x \\\\\n    \\hline\n    \\hline\n  \\end{tabular}\n\\end{table}\n\n\\bibliography{references}\n\\bibliographystyle{unsrt}\n\\part{Next}\n\nend"),
     ],
-    lambda t: manuscript.body(t, KEYS),
+    lambda t: manuscript.body(t, keys()),
 )
 add("x_submission", TITLED, lambda d: d.select("doc_id", manuscript.submission(F.lit("P"), F.col("journal"), F.lit("T"), F.when(F.col("doc_id") % 8 < 4, F.lit("a & b")).otherwise(""), F.col("source")).alias("t")),
     f"SELECT doc_id, 'P' || {NL} || {NL} || CASE WHEN doc_id % 4 > 1 THEN '\\begin{{document}}' || {NL} || {NL} ELSE '' END || 'T' || {NL} || CASE WHEN doc_id % 8 < 4 THEN '\\begin{{abstract}}' || {NL} || '\\sloppy\\tolerance=9999\\exhyphenpenalty=0' || {NL} || 'a \\& b' || {NL} || '\\fussy' || {NL} || '\\end{{abstract}}' || {NL} || {NL} ELSE '' END || source || {NL} || {NL} || '\\end{{document}}' || {NL} AS t FROM x")
@@ -277,7 +294,7 @@ def _manuscripts(d):
     d = d.withColumn("f", manuscript.without_front(F.col("md"), F.array(F.lit("A. Doe"), F.lit("B. Roe"))))
     d = d.withColumn("a", manuscript.abstract(F.col("f.body")))
     title = manuscript.title_block(F.lit("T"), F.array(F.lit("A. Doe"), F.lit("B. Roe")), F.col("f.affiliations"), F.lit(""), F.array().cast("array<string>"), F.lit("generic"))
-    return d.select("doc_id", manuscript.submission(latex.preamble(F.lit("generic")), F.lit("generic"), title, F.col("a.abstract"), manuscript.body(F.col("a.body"), KEYS)).alias("tex"))
+    return d.select("doc_id", manuscript.submission(latex.preamble(F.lit("generic")), F.lit("generic"), title, F.col("a.abstract"), manuscript.body(F.col("a.body"), keys())).alias("tex"))
 
 
 add("x_convert", PAPER, lambda d: _manuscripts(d).select("doc_id", F.length("tex").cast("long").alias("n_chars"), F.md5("tex").alias("digest")))
