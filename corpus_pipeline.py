@@ -5,7 +5,9 @@ kept; all but the last return the columns of ``documents``. Between stages the r
 are written as Parquet and read again, so a stage's plan starts at files.
 
 Rows whose text is null or empty go with the first stage; an empty table passes
-every stage and stays empty; further columns of ``documents`` pass unchanged.
+every stage and stays empty; further columns of ``documents`` pass unchanged. Of
+rows that repeat one stays, with the least id; ties in the mix are broken by hashes
+of the rows, so reruns agree.
 """
 
 from __future__ import annotations
@@ -65,9 +67,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; their tables go to the shared folder."""
+    """All stages over ``documents``; their tables go to the shared folder, each until the next one is written."""
     docs, place = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{k}")
         docs = spark.read.parquet(f"{place}/{k}")
+        if k:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/{k - 1}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     return docs
