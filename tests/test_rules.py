@@ -107,4 +107,7 @@ def test_learning(spark):
 def test_affiliations(spark):
     row = spark.createDataFrame([("## T\n\nDept. A, E-mail: a@b.org\n\nE-mail: x@y.org\nbody\n\nDept. B", ["Dept. B", "Dept. A, E-mail: a@b.org"])], "md string, affs array<string>")
     got = row.select(metadata.without_affiliations(F.col("md"), F.col("affs")), metadata.corresponding_affiliation(F.col("affs"))).first()
-    assert tuple(got) == ("## T\n\nbody", "Dept. A,")
+    # as in the original rule, an affiliation goes where line ends stand on both sides, so not at a text's end
+    assert tuple(got) == ("## T\n\nbody\n\nDept. B", "Dept. A,")
+    row = row.withColumn("md", F.concat("md", F.lit("\n")))
+    assert row.select(metadata.without_affiliations(F.col("md"), F.col("affs"))).first()[0] == "## T\n\nbody\n\n"
