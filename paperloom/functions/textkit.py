@@ -116,3 +116,8 @@ def ladder(value: Column, steps, otherwise) -> Column:
     for least, points in steps:
         out = F.when(value >= least, F.lit(points)) if out is None else out.when(value >= least, F.lit(points))
     return out.otherwise(F.lit(otherwise))
+
+
+def position(text: Column, pattern: Column | str) -> Column:
+    """Where a pattern's first match begins, in characters from 0; -1 without one. (``regexp_instr`` counts characters beyond U+FFFF twice.)"""
+    return let(F.split(text, pattern, 2), lambda ps: F.when(F.size(ps) > 1, F.length(ps[0])).otherwise(-1))

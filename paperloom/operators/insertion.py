@@ -55,7 +55,7 @@ def replacement(md: Column, f: Column, existing: Column) -> Column:
     def placed(latex, search, region, pattern):
         single = F.length(search) == 1
         plain = search.rlike(r"^[\x00-\x7F]+$")
-        at = F.regexp_instr(region, pattern) - 1
+        at = tk.position(region, pattern)
         found = F.coalesce(F.regexp_substr(region, pattern), F.lit(""))
         hit = F.struct((f["s_start"] + at).cast("int").alias("start"), (f["s_start"] + at + F.length(found)).cast("int").alias("end"), F.concat(F.lit("$"), latex, F.lit("$")).alias("text"))
         width = f["s_r"] - f["s_l"]
@@ -63,8 +63,8 @@ def replacement(md: Column, f: Column, existing: Column) -> Column:
         first = (f["s_start"] + F.floor(f["s_length"] * share)).cast("int")
         last = F.least(f["s_end"], f["s_start"] + f["s_length"])
         rest = F.substr(md, first + 1, F.greatest(last - first, F.lit(0)))
-        blank = F.regexp_instr(rest, F.lit("[ \n]"))
-        where = (first + F.when(blank > 0, blank - 1).otherwise(F.length(rest))).cast("int")
+        blank = tk.position(rest, "[ \n]")
+        where = (first + F.when(blank >= 0, blank).otherwise(F.length(rest))).cast("int")
         guess = F.struct(where.alias("start"), where.alias("end"), F.concat(F.lit(" $"), latex, F.lit("$ ")).alias("text"))
         return F.when(single & plain, F.when((at >= 0) & in_math_context(region, at, F.length(found)), hit)).when(at >= 0, hit).when(~single & (width > 0), guess)
 

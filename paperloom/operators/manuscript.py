@@ -210,7 +210,7 @@ def abstract(body: Column) -> Column:
 
     def headed(t):
         whole = F.regexp_extract(t, section, 0)
-        at = F.regexp_instr(t, F.lit(section))
+        at = tk.position(t, section) + 1
         rest = F.concat(F.substr(t, F.lit(1), at - 1), F.substr(t, at + F.length(whole)))
         return F.struct(tk.strip(F.regexp_extract(t, section, 1)).alias("abstract"), tk.strip(rest).alias("body"))
 
@@ -220,7 +220,7 @@ def abstract(body: Column) -> Column:
             k = F.array_position(long, True).cast("int")
             p = tk.strip(F.get(ps, k - 1))
             after = F.array_join(F.slice(ps, k + 1, F.size(ps)), "\n\n")
-            cut = F.coalesce(F.nullif(F.regexp_instr(p, F.lit(r"\n#+\s+")), F.lit(0)), F.nullif(F.regexp_instr(p, F.lit(r"\n!\[")), F.lit(0)))
+            cut = F.coalesce(F.nullif(tk.position(p, r"\n#+\s+") + 1, F.lit(0)), F.nullif(tk.position(p, r"\n!\[") + 1, F.lit(0)))
             rest = tk.strip(F.concat(tk.strip(F.substr(p, cut)), F.when(k < F.size(ps), F.concat(F.lit("\n\n"), after)).otherwise("")))
             cut_off = F.struct(tk.strip(F.substr(p, F.lit(1), cut - 1)).alias("abstract"), rest.alias("body"))
             return F.when(k == 0, F.struct(F.lit("").alias("abstract"), t.alias("body"))).when(cut.isNotNull(), cut_off).otherwise(F.struct(p.alias("abstract"), tk.strip(after).alias("body")))

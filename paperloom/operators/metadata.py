@@ -54,7 +54,7 @@ LONG_PARA, MOST_KEYWORDS = 200, 5
 
 def front_paragraphs(md: Column) -> Column:
     """Paragraphs before the first heading of the body, stripped, blank ones gone."""
-    at = F.regexp_instr(md, F.lit(BODY))
+    at = tk.position(md, BODY) + 1
     return F.filter(F.transform(F.split(F.when(at > 0, F.substr(md, F.lit(1), at - 1)).otherwise(md), r"\n{2,}"), tk.strip), lambda p: p != "")
 
 

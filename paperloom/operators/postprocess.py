@@ -238,7 +238,7 @@ def _tail(md: Column, heading: str, rule) -> Column:
     def cut(t, start):
         return F.when(start > 0, F.concat(F.substr(t, F.lit(1), start - 1), tk.let(F.substr(t, start), rule))).otherwise(t)
 
-    return tk.let(md, lambda t: tk.let(F.regexp_instr(t, F.lit(heading)), lambda start: cut(t, start)))
+    return tk.let(md, lambda t: tk.let(tk.position(t, heading) + 1, lambda start: cut(t, start)))
 
 
 def reference_numbers(md: Column) -> Column:

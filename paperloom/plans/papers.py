@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import textkit as tk
 from ..operators import align, docx, insertion, intake, latex, layout, learn, manuscript, metadata, score
 from ..sources import io
 from . import registry as r
@@ -146,7 +147,7 @@ FORMULA_PLAIN = ["εx=3×10-2eVa/b", "Δµa/b≤∇", "∓~eq≥≠≤ftarrow⇒
 _FORMULAS = "SELECT doc_id, CASE doc_id % 4 " + " ".join(f"WHEN {k} THEN '{t.replace(chr(92), '@')}'" for k, t in enumerate(FORMULA_TEXTS)) + " END || CAST(doc_id AS STRING) AS f FROM documents"
 add("f_search_text", _FORMULAS, lambda d: d.select("doc_id", align.search_text(F.translate("f", "@", "\\")).alias("plain")), "SELECT doc_id, CASE doc_id % 4 " + " ".join(f"WHEN {k} THEN '{t}{'$' if k == 1 else ''}'" for k, t in enumerate(FORMULA_PLAIN)) + " END || doc_id AS plain FROM x")
 SPAN = "SELECT doc_id, lang, CASE doc_id % 6 WHEN 0 THEN 'where $a$ = E x holds' WHEN 1 THEN 'where x holds ' || lang WHEN 2 THEN repeat('long line ', 9) || '$a$ and then x ends' WHEN 3 THEN repeat('long line ', 9) || '$a$ = 𝜈 k' WHEN 4 THEN repeat('long line ', 9) || ' plus + x and $b$' ELSE 'E = x' END AS region FROM documents"
-add("f_flexible_pattern", SPAN, lambda d: d.select("doc_id", F.regexp_instr("region", insertion.flexible_pattern(F.lit("ν k"))).cast("long").alias("at")), "SELECT doc_id, CAST(CASE WHEN doc_id % 6 = 3 THEN 97 ELSE 0 END AS BIGINT) AS at FROM x")
+add("f_flexible_pattern", SPAN, lambda d: d.select("doc_id", (tk.position(F.col("region"), insertion.flexible_pattern(F.lit("ν k"))) + 1).cast("long").alias("at")), "SELECT doc_id, CAST(CASE WHEN doc_id % 6 = 3 THEN 97 ELSE 0 END AS BIGINT) AS at FROM x")
 add("f_math_context", SPAN, lambda d: d.withColumn("at", F.instr("region", "x") - 1).filter("at >= 0").select("doc_id", insertion.in_math_context(F.col("region"), F.col("at"), F.lit(1)).alias("in_math")), "SELECT doc_id, doc_id % 6 IN (0) OR (doc_id % 6 = 4) AS in_math FROM x WHERE contains(region, 'x')")
 POLYS = "SELECT l_orderkey AS doc_id, l_linenumber AS pos, l_linenumber % 3 AS page, l_partkey % 15 AS category, CAST(l_partkey % 500 AS DOUBLE) AS x0, CAST(l_suppkey % 500 AS DOUBLE) AS y0 FROM __LI__"
 HEIGHTS = "SELECT o_orderkey AS doc_id, 1 AS page, 800.0 AS height FROM orders"
