@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
+from .manuscript import escape_text
 from .metadata import unique_keys
 
 # LaTeX's special characters.
@@ -135,13 +136,28 @@ def parse_references(docs: DataFrame, block: Column, known=()) -> DataFrame:
 
 
 def bibtex(refs: DataFrame) -> DataFrame:
-    """``doc_id, bib``: the entries of each document in order, keys made unique."""
+    """``doc_id, bib``: the entries of each document in order, keys made unique.
+
+    An entry without a title gets one of its first author, journal and year, else its number.
+    """
     r = unique_keys(refs)
-    field = lambda name, value: F.when(value != "", F.concat(F.lit(f"  {name} = {{"), value, F.lit("},\n"))).otherwise("")
-    title = F.when(F.col("title") != "", F.col("title")).otherwise(F.concat_ws(" ", F.col("journal"), F.col("year")))
-    entry = F.concat(F.lit("@article{"), F.col("bib_key"), F.lit(",\n"), field("author", F.replace("authors", F.lit(", "), F.lit(" and "))), field("title", title), field("journal", F.col("journal")), field("year", F.col("year")), field("doi", F.col("doi")), field("note", F.substring("raw", 1, NOTE)), F.lit("}"))
+    field = lambda name, value: F.when(value != "", F.concat(F.lit(f"  {name:<7} = {{"), value, F.lit("},\n"))).otherwise("")
+    number = F.concat(F.lit("["), F.col("num").cast("string"), F.lit("]"))
+    made = F.array_join(F.filter(F.array(tk.strip(F.substring_index("authors", ",", 1)), F.col("journal"), F.col("year")), lambda x: x != ""), " — ")
+    title = F.when(F.col("title") != "", F.col("title")).when(made != "", made).otherwise(number)
+    note = F.concat(F.lit("  note    = {"), number, F.lit(" "), F.translate(F.substring("raw", 1, NOTE), "{}", "()"), F.lit("...},\n}\n"))
+    entry = F.concat(F.lit("@article{"), F.col("bib_key"), F.lit(",\n"), field("author", F.col("authors")), F.lit("  title   = {{"), title, F.lit("}},\n"), field("journal", F.col("journal")), field("year", F.col("year")), field("doi", F.col("doi")), note)
+    return _joined(r, entry)
+
+
+def bibitems(refs: DataFrame) -> DataFrame:
+    """``doc_id, bib``: the entries as ``\\bibitem`` of a bibliography in the text, escaped."""
+    return _joined(unique_keys(refs), F.concat(F.lit("\\bibitem{"), F.col("bib_key"), F.lit("}\n  "), escape_text(F.col("raw")), F.lit("\n")))
+
+
+def _joined(refs: DataFrame, entry: Column) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("pos", entry.alias("entry"))))
-    return r.groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda x: x["entry"]), "\n\n").alias("bib"))
+    return refs.groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda x: x["entry"]), "\n").alias("bib"))
 
 
 def cite(text: Column, keys: Column) -> Column:

@@ -299,3 +299,10 @@ def _manuscripts(d):
 
 
 add("x_convert", PAPER, lambda d: _manuscripts(d).select("doc_id", F.length("tex").cast("long").alias("n_chars"), F.md5("tex").alias("digest")))
+
+ENTRIES = """SELECT doc_id, 0 AS pos, 1 AS num, 'Doe2020' AS key, 'A. Doe, B. Roe' AS authors, '' AS title, 'Nano Lett.' AS journal, '2020' AS year, '10.1/x' AS doi, 'A. Doe {x} & ' || source AS raw FROM documents
+UNION ALL SELECT doc_id, 1, 2, 'Doe2020', '', '', '', '', '', 'raw_' || CAST(doc_id AS STRING) FROM documents UNION ALL SELECT doc_id, 2, 7, 'Poe', 'C. Poe', 'On T', '', '1999', '', 'z' FROM documents WHERE doc_id % 2 = 0"""
+_E = f"SELECT DISTINCT doc_id, raw FROM x WHERE pos = 0"  # noqa: F541
+add("x_bibtex", ENTRIES, latex.bibtex, f"""WITH e AS ({_E}) SELECT doc_id, '@article{{Doe2020,' || {NL} || '  author  = {{A. Doe, B. Roe}},' || {NL} || '  title   = {{{{A. Doe — Nano Lett. — 2020}}}},' || {NL} || '  journal = {{Nano Lett.}},' || {NL} || '  year    = {{2020}},' || {NL} || '  doi     = {{10.1/x}},' || {NL} || '  note    = {{[1] ' || replace(replace(raw, '{{', '('), '}}', ')') || '...}},' || {NL} || '}}' || {NL} || {NL}
+|| '@article{{Doe2020b,' || {NL} || '  title   = {{{{[2]}}}},' || {NL} || '  note    = {{[2] raw_' || doc_id || '...}},' || {NL} || '}}' || {NL} || CASE WHEN doc_id % 2 = 0 THEN {NL} || '@article{{Poe,' || {NL} || '  author  = {{C. Poe}},' || {NL} || '  title   = {{{{On T}}}},' || {NL} || '  year    = {{1999}},' || {NL} || '  note    = {{[7] z...}},' || {NL} || '}}' || {NL} ELSE '' END AS bib FROM e""")
+add("x_bibitems", ENTRIES, latex.bibitems, f"""WITH e AS ({_E}) SELECT doc_id, '\\bibitem{{Doe2020}}' || {NL} || '  A. Doe \\{{x\\}} \\& ' || substr(raw, 14) || {NL} || {NL} || '\\bibitem{{Doe2020b}}' || {NL} || '  raw\\_' || doc_id || {NL} || CASE WHEN doc_id % 2 = 0 THEN {NL} || '\\bibitem{{Poe}}' || {NL} || '  z' || {NL} ELSE '' END AS bib FROM e""")

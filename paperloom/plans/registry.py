@@ -403,7 +403,6 @@ add("s_front_matter", "SELECT doc_id, '---' || chr(10) || 'title: \"' || source
 BIB = "SELECT doc_id, '[1] H. W. Choi, J. Lee, Adv. Mater. ' || CAST(1990 + doc_id % 30 AS STRING) || ', 36, 1. DOI: 10.1002/adma.' || CAST(doc_id AS STRING) || chr(10) || '[2] A. Roe, et al., Nano Lett. ' || CAST(1990 + doc_id % 7 AS STRING) || ', 2.' || chr(10) || '3. no year here' AS block FROM documents"
 add("x_refs", BIB, lambda d: latex.parse_references(d, F.col("block")).select("doc_id", "num", "key", "authors", "journal", "year", "doi"), """WITH y AS (SELECT doc_id, CAST(1990 + doc_id % 30 AS VARCHAR) AS y1, CAST(1990 + doc_id % 7 AS VARCHAR) AS y2 FROM x)
 SELECT doc_id, 1 AS num, 'Lee' || y1 AS key, 'H. W. Choi, J. Lee' AS authors, 'Adv. Mater.' AS journal, y1 AS year, '10.1002/adma.' || doc_id AS doi FROM y UNION ALL SELECT doc_id, 2, 'Roe' || y2, 'A. Roe et al.', 'Nano Lett.', y2, '' FROM y UNION ALL SELECT doc_id, 3, 'ref3', 'no year here', '', '', '' FROM y""")
-add("x_bibtex", BIB, lambda d: latex.bibtex(latex.parse_references(d, F.col("block"))).select("doc_id", F.md5("bib").alias("digest")))
 add("x_references_block", MD, lambda d: d.select("doc_id", F.length(latex.references_block(F.col("md"))).cast("long").alias("n")), "SELECT doc_id, CAST(41 * (doc_id % 30) + 1 AS BIGINT) AS n FROM x")
 add("x_cite_map", "SELECT doc_id, 'see [1], [2,' || CAST(doc_id % 5 AS STRING) || '] and [1–3] or [9]' AS t FROM documents", lambda d: d.select("doc_id", latex.cite(F.col("t"), F.create_map(*(F.lit(z) for p in ((1, "a"), (2, "b"), (3, "c")) for z in p))).alias("t")), """SELECT doc_id, 'see ' || chr(92) || 'cite{a}, ' || chr(92) || 'cite{b' || CASE doc_id % 5 WHEN 1 THEN ',a' WHEN 2 THEN ',b' WHEN 3 THEN ',c' ELSE '' END || '} and ' || chr(92) || 'cite{a,c} or [9]' AS t FROM x""")
 add("x_table_spec", "SELECT doc_id, '| a | b |' || chr(10) || '|---|---|' || chr(10) || repeat('| 1 |' || chr(10), CAST(doc_id % 4 AS INT)) || '| x | y | z |' AS t FROM documents", lambda d: d.select("doc_id", latex.table(F.col("t")).alias("t")), f"""SELECT doc_id, chr(92) || 'begin{{tabular}}{{lll}}' || {NL} || chr(92) || 'toprule' || {NL} || 'a & b & ' || ' ' || repeat(chr(92), 2) || {NL} || chr(92) || 'midrule' || {NL} || repeat('1 &  &  ' || repeat(chr(92), 2) || {NL}, CAST(doc_id % 4 AS INT)) || 'x & y & z ' || repeat(chr(92), 2) || {NL} || chr(92) || 'bottomrule' || {NL} || chr(92) || 'end{{tabular}}' AS t FROM x""")
