@@ -16,17 +16,23 @@ one word left out.
 
 Size: equal texts become one node before anything else. In each key the least
 node of a length class is compared with the others (no pairs within a group),
-components follow; keys that more than BUCKET texts share are compared with some
-more pivots. What is then not in one component is compared in full: in keys of at
-most BUCKET texts pair by pair, in larger ones (a line or passage that many unlike
-texts share) by an exact prefix filter. Near-duplicates share all but the
+components follow; in keys that more than BUCKET texts share, some more pivots of
+about a text's own length follow. What is then not in one component is compared in
+full. The texts of a key that have about the same length make a group (two grids of
+lengths, so any two that may be near-duplicates have a group in common). A group of no
+more texts than its texts have words is compared pair by pair, by lengths and word
+bits; so no text costs more comparisons than it has words. Larger ones (a line or
+passage that many unlike texts share) are worked off by an exact prefix filter.
+Near-duplicates share all but the
 allowed edits of the longer one's words, numbered by occurrence, so among a text's
-rarest words, as many as the allowed edits and one more, there is one in common:
+rarest words, as many as the allowed edits and one more, there is one in common, and
+behind the first such word there are still as many words as the two must share:
 texts of a large key meet on those, which a passage is never among that is less
 than four fifths of the text. The result is the same as if every pair of every key had been compared, whatever its
 size. Before texts are read, pairs whose lengths or words differ by more than the
 allowed edits are left out, which is exact. Narrow tables are checkpointed; texts
-are read again for candidates only.
+are read again for candidates only. What reaches the driver are at most HELD_LINKS
+links at once.
 
 Edge cases: a null text counts as empty and all texts without words are alike; a
 text of one word is one k-mer; repeated rows are copies; a similarity equal to the
@@ -49,8 +55,12 @@ from .common import fresh, settled, sized, table
 KMER, SKETCHES = 2, 36
 #: Texts of at most so many words may differ in one word if at all: any such pair is a candidate.
 SHORT = 9
-#: A key that more texts share than this gets PIVOTS more rounds, and the pairs left in it are found by rare words and not one by one: another way to the same pairs.
+#: A key that more texts share than this gets PIVOTS more rounds, and the texts left in it are grouped by length.
 BUCKET, PIVOTS = 16, 3
+#: Groups of up to so many texts are compared pair by pair, and larger ones if their texts have as many words on average; in all others pairs are found by rare words: another way to the same pairs.
+PAIRWISE = 64
+#: Components of up to so many links are found in the driver, of more by rounds of joins.
+HELD_LINKS = 1 << 17
 PARITY = 1024
 #: Hashed places for the frequencies of words, a power of two.
 PLACES = 1 << 18
@@ -236,9 +246,26 @@ def verify(pairs: list[tuple[str, str]]) -> list[bool]:
     return out
 
 
+def _united(links: list) -> list[tuple[int, int]]:
+    """Each node of the links and the least node that they join it to."""
+    head: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := head.setdefault(x, x)) != x:
+            head[x] = x = head[up]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        head[max(a, b)] = min(a, b)
+    return [(x, find(x)) for x in list(head)]
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` (the least node) of the nodes in ``links`` (``a, b``), by alternating stars."""
+    """``node, component`` (the least node) of the nodes in ``links`` (``a, b``), many of them by alternating stars."""
     edges = settled(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
+    if edges.count() <= HELD_LINKS:
+        return edges.sparkSession.createDataFrame(_united(edges.collect()), "node long, component long")
     before = None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -324,12 +351,13 @@ def _by_rare_words(apart: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataF
     # texts of a pair may share many keys and words: they meet where the ones before, in one order for all, are not shared
     first = settled(texts.select("node", taken("text").alias("words")))
     keys = apart.select("node", "n_words", "component", "key", F.lag("key").over(Window.partitionBy("node").orderBy("key")).alias("k"))
-    steps = F.explode(F.arrays_zip(F.col("words").alias("word"), F.concat(F.array(F.lit(None).cast("long")), F.slice("words", F.lit(1), F.size("words") - 1)).alias("before")))
-    held = keys.join(first, "node").select("node", "n_words", "component", "key", "k", steps.alias("s"))
-    held = held.select(F.xxhash64("key", "s.word").alias("meet"), "node", "n_words", "component", "k", F.col("s.before").alias("w"))
-    x, y = held.toDF("meet", "x", "nx", "cx", "kx", "wx"), held.toDF("meet", "y", "ny", "cy", "ky", "wy")
+    steps = F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.concat(F.array(F.lit(None).cast("long")), F.slice("words", F.lit(1), F.size("words") - 1)).alias("before")))
+    held = keys.join(first, "node").select("node", "n_words", "component", "key", "k", steps.alias("at", "s"))
+    # words from this one on, in the order of rareness: all that the text can share with one that it first meets here
+    held = held.select(F.xxhash64("key", "s.word").alias("meet"), "node", "n_words", (F.col("n_words") - F.col("at")).alias("left"), "component", "k", F.col("s.before").alias("w"))
+    x, y = held.toDF("meet", "x", "nx", "lx", "cx", "kx", "wx"), held.toDF("meet", "y", "ny", "ly", "cy", "ky", "wy")
     newly = lambda a, b: F.coalesce(F.col(a) != F.col(b), F.lit(True))
-    pairs = x.join(y, "meet").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & newly("kx", "ky") & newly("wx", "wy") & (EDITS[1] * F.abs(F.col("nx") - F.col("ny")) <= EDITS[0] * F.greatest("nx", "ny")))
+    pairs = x.join(y, "meet").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & newly("kx", "ky") & newly("wx", "wy") & (EDITS[1] * F.least("lx", "ly") >= (EDITS[1] - EDITS[0]) * F.greatest("nx", "ny")))
     return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
 
 
@@ -341,7 +369,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     xor = lambda x, y: x.bitwiseXOR(y)
     fold = lambda x: F.when(F.size(x) > least, F.zip_with(F.slice(x, F.lit(1), least), F.slice(x, least + 1, least), xor)).otherwise(F.col(x))
     differ = F.aggregate(F.zip_with(fold("bits_a"), fold("bits_b"), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
-    pairs = settled(pairs.filter(F.col("na").isNull() | F.col("nb").isNull() | (EDITS[1] * differ <= 2 * EDITS[0] * F.greatest("na", "nb"))).select("a", "b"))
+    pairs = settled(pairs.filter(F.col("na").isNull() | F.col("nb").isNull() | (EDITS[1] * (differ + F.abs(F.col("na") - F.col("nb"))) <= 2 * EDITS[0] * F.greatest("na", "nb"))).select("a", "b"))
     used = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     texts = _texts(_wanted(used, nodes), docs).groupBy("node").agg(F.min("text").alias("text"))
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -366,10 +394,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _alike(n: str, m: str, one: str, other: str):
-    """Whether lengths and word bits allow two texts to be near-duplicates; never false for those that are."""
+    """Whether lengths and word bits allow two texts to be near-duplicates; never false for those that are.
+
+    A word in another's place changes two bits at most and no length, one more or less changes one of each.
+    """
     long, edits = F.greatest(n, m), F.abs(F.col(n) - F.col(m))
     differ = sum((F.bit_count(F.col(one)[i].bitwiseXOR(F.col(other)[i])) for i in range(PARITY // 64)), F.lit(0))
-    return (EDITS[1] * edits <= EDITS[0] * long) & (EDITS[1] * differ <= 2 * EDITS[0] * long)
+    return (EDITS[1] * edits <= EDITS[0] * long) & (EDITS[1] * (differ + edits) <= 2 * EDITS[0] * long)
 
 
 def _pair(one: str, n: str, other: str, m: str) -> list:
@@ -393,6 +424,29 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return held.join(main, "key")
 
 
+def _groups(apart: DataFrame) -> DataFrame:
+    """``key, size_class, node, n_words, component, crowd``: members of each key by length, in groups that hold several components.
+
+    Any two members of a key whose lengths allow a link are in a group together.
+    ``crowd``: whether the group is too large to be compared pair by pair.
+    """
+    # a cell is twice as wide as the lengths of a link may differ, and a hundredth more for rounding; the grids are half a cell apart
+    size = F.log(F.greatest(F.col("n_words"), F.lit(1))) / (1.01 * _WIDTH)
+    cells = F.when(F.col("n") <= BUCKET, F.array(F.lit(-1).cast("long"))).otherwise(F.array(2 * F.floor(size), 2 * F.floor(size + 0.5) + 1))
+    held = apart.select("key", "node", "n_words", "component", F.explode(cells).alias("size_class"))
+    several = held.groupBy("key", "size_class").agg(F.count("*").alias("m"), F.avg("n_words").alias("mean"), F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d")
+    crowd = (F.col("m") > PAIRWISE) & (F.col("m") > F.col("mean"))
+    return held.join(several.select("key", "size_class", crowd.alias("crowd")), ["key", "size_class"])
+
+
+def _pair_by_pair(groups: DataFrame, bits: DataFrame) -> DataFrame:
+    """``a, b``: members of one group and different components that lengths and word bits allow to be near-duplicates."""
+    held = groups.select("key", "size_class", "node", "n_words", "component").join(bits, "node")
+    side = lambda x: held.select("key", "size_class", F.col("node").alias(x), F.col("n_words").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("bits").alias(f"bits_{x}"))
+    met = side("a").join(side("b"), ["key", "size_class"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", "bits_a", "bits_b"))
+    return met.select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, h1, h2, class_id, class_size, kept`` for every row of ``docs``.
 
@@ -430,8 +484,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = settled(components(settled(_verified(done, nodes, docs))))
     for k in range(PIVOTS):
         apart = _apart(members.filter(F.col("n") > BUCKET), labels)
-        pivots = apart.groupBy("key").agg(F.min_by(F.struct("node", "n_words", "component"), F.xxhash64(F.lit(k), "node")).alias("p"))
-        pairs = apart.join(pivots, "key").filter("component <> p.component").select(*_pair("p.node", "p.n_words", "node", "n_words")).distinct()
+        # of texts of about the same length, one of the key's largest component if there is any
+        apart = apart.withColumn("size_class", F.floor(8 * F.log(F.greatest(F.col("n_words"), F.lit(1))) / _WIDTH + k / PIVOTS))
+        pivots = apart.groupBy("key", "size_class").agg(F.min_by(F.struct("node", "n_words", "component"), F.struct(F.col("component") != F.col("main"), F.xxhash64(F.lit(k), "node"))).alias("p"))
+        pairs = apart.join(pivots, ["key", "size_class"]).filter("component <> p.component").select(*_pair("p.node", "p.n_words", "node", "n_words")).distinct()
         pairs = _possible(pairs.join(done, ["a", "b"], "left_anti"), bits)
         if pairs.isEmpty():
             break
@@ -441,15 +497,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             labels = _merged(labels, found)
 
     # what shares a key and is in two components still: all of those pairs
-    apart = settled(_apart(members, labels))
-    few = apart.filter(F.col("n") <= BUCKET)
-    x = few.filter("component <> main").select("key", F.col("node").alias("x"), F.col("n_words").alias("nx"), F.col("component").alias("cx"))
-    y = few.select("key", F.col("node").alias("y"), F.col("n_words").alias("ny"), F.col("component").alias("cy"))
-    rest = x.join(y, "key").filter(F.col("cx") != F.col("cy")).select(*_pair("x", "nx", "y", "ny"))
-    many = apart.filter(F.col("n") > BUCKET)
+    groups = settled(_groups(_apart(members, labels)))
+    rest = _pair_by_pair(groups.filter("not crowd"), bits)
+    many = groups.filter("crowd").select("key", "node", "n_words", "component").distinct()
     if not many.isEmpty():
-        rest = rest.unionAll(_by_rare_words(many, nodes, docs))
-    rest = _possible(rest.distinct().join(done, ["a", "b"], "left_anti"), bits)
+        rest = rest.unionAll(_possible(_by_rare_words(many, nodes, docs), bits))
+    rest = settled(rest.distinct().join(done, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         labels = _merged(labels, settled(_verified(rest, nodes, docs)))
     # one row for each text says what class it is in; copies are joined to that, so no class and no text is gathered in one task

@@ -612,6 +612,85 @@ def test_links_in_a_crowd_are_those_of_a_small_table(spark):
     assert got == want
 
 
+def crowd(rng):
+    """Texts that share most of their words and are near the threshold, of several lengths, and pairs among them that are links."""
+    passage, rows = "is one. " * 40, []
+    for i in range(60):
+        own = [rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 2) for _ in range(rng.randint(14, 34))]
+        rows.append((i, " ".join(own) + " " + passage))
+        if i % 3 == 0:
+            own[3:5] = ["other"] * rng.randint(0, 3)
+            rows.append((100 + i, " ".join(own) + " " + passage))
+    return rows
+
+
+def plain_classes(rows):
+    head = {d: d for d, _ in rows}
+    for (a, x), (b, y) in itertools.combinations(rows, 2):
+        if near_dedup.near(x, y):
+            old, new = max(head[a], head[b]), min(head[a], head[b])
+            head = {d: new if h == old else h for d, h in head.items()}
+    return head
+
+
+@pytest.mark.parametrize("pairwise", [64, 0])
+def test_a_crowd_at_the_threshold(spark, monkeypatch, pairwise):
+    """Pair by pair and by rare words: the same classes, those of all pairs."""
+    rows = crowd(random.Random(17))
+    monkeypatch.setattr(near_dedup, "PAIRWISE", pairwise)
+    monkeypatch.setattr(near_dedup, "BUCKET", 4)
+    if not pairwise:  # all that lengths leave in one group is a crowd
+        real = near_dedup._groups
+        monkeypatch.setattr(near_dedup, "_groups", lambda apart: real(apart).withColumn("crowd", F.lit(True)))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_classes(rows)
+    assert got == want and 5 < len(set(want.values())) < 60
+
+
+def test_texts_with_more_words_than_their_group_has_texts_are_not_taken_apart(spark, monkeypatch):
+    rng = random.Random(18)
+    passage = sentence(rng, 60)
+    rows = [(i, sentence(rng, 60, "ijklmnopqrst") + " " + passage) for i in range(40)]
+
+    def refused(*args):
+        raise AssertionError("rare words for a small group")
+
+    monkeypatch.setattr(near_dedup, "_by_rare_words", refused)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.class_id == r.doc_id for r in got)
+
+
+def test_groups_keep_all_lengths_of_a_link_together(spark):
+    members = [("k", n, n, 100, n) for n in (*range(1, 130), 1000, 1249, 1250, 8000, 10000)]
+    held = near_dedup._groups(spark.createDataFrame(members, "key string, node long, n_words long, n long, component long")).collect()
+    cells = collections.defaultdict(set)
+    for r in held:
+        cells[r.node].add(r.size_class)
+    for m, n in itertools.combinations([x[1] for x in members], 2):
+        if 10 * (n - m) <= 2 * n:
+            assert cells[m] & cells[n], (m, n)
+
+
+def test_bits_and_lengths_bound_the_edits_together(spark):
+    rng = random.Random(19)
+    one = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    longer = [*one, *(f"v{k}" for k in range(15))]
+    far = [f"u{k}" if k < 16 else w for k, w in enumerate(longer)]  # 15 words more and 16 others: 31 edits of 23
+    n, _, bits = near_dedup.bands([" ".join(x) for x in (one, longer, far)])
+    rows = [(int(n[0]), bits[0].tolist(), int(n[k]), bits[k].tolist()) for k in (1, 2)]
+    got = spark.createDataFrame(rows, "n long, x array<long>, m long, y array<long>").select(near_dedup._alike("n", "m", "x", "y").alias("is")).collect()
+    assert [r["is"] for r in got] == [True, False] and not near_dedup.near(" ".join(one), " ".join(far))
+
+
+def test_components_in_the_driver_are_those_of_the_joins(spark, monkeypatch):
+    rng = random.Random(20)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
+    df = spark.createDataFrame(links, "a long, b long")
+    here = near_dedup.components(df).collect()
+    monkeypatch.setattr(near_dedup, "HELD_LINKS", 0)
+    assert sorted(here) == sorted(near_dedup.components(df).collect())
+
+
 # language model
 
 
