@@ -186,41 +186,54 @@ class Model:
                 at += n
 
     def _heads(self, hs: np.ndarray, y: np.ndarray, learn: bool):
-        """Log-probabilities of the targets, and the gradients if asked for."""
+        """Log-probabilities of the targets, and the gradients if asked for.
+
+        Targets are held by class and one to a column, so each class is a slice and sums over classes and words go along rows.
+        """
         p, n, CLASSES, WIDTH, PLACES = self.p, len(y), self.classes, self.width, self.places
-        cls = np.where(y < PLACES, y // WIDTH, CLASSES + y - PLACES)
-        logits = hs @ p["C"] + p["c"]
-        logits -= logits.max(1, keepdims=True)
-        prob = np.exp(logits)
-        total = prob.sum(1)
-        rows = np.arange(n)
-        out = (logits[rows, cls] - np.log(total)).astype(np.float64)
+        cls = np.where(y < PLACES, y // WIDTH, CLASSES + y - PLACES).astype(np.uint16)
         order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        rare = order[edges[CLASSES] :]
-        out[rare] -= self.rare_log[cls[rare] - CLASSES]
+        cls, y, hs = cls[order], y[order], np.ascontiguousarray(hs[order].T)
+        edges = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+
+        def softmax(weight, bias, h, target):
+            prob = weight.T @ h
+            prob += bias[:, None]
+            prob -= prob.max(0)
+            at = np.arange(h.shape[1])
+            value = prob[target, at]
+            np.exp(prob, out=prob)
+            total = prob.sum(0)
+            value -= np.log(total)
+            if learn:
+                prob /= total
+                prob[target, at] -= 1
+            return value, prob
+
+        value, prob = softmax(p["C"], p["c"], hs, cls)
+        out = value.astype(np.float64)
+        out[edges[CLASSES] :] -= self.rare_log[cls[edges[CLASSES] :] - CLASSES]
         grad = {}
         if learn:
-            prob /= total[:, None]
-            prob[rows, cls] -= 1
-            grad["C"], grad["c"], dh = hs.T @ prob, prob.sum(0), prob @ p["C"].T
+            grad["C"], grad["c"], dh = hs @ prob.T, prob.sum(1), p["C"] @ prob
             grad["I"], grad["i"] = np.zeros_like(p["I"]), np.zeros_like(p["i"])
         for k in range(CLASSES):
-            at = order[edges[k] : edges[k + 1]]
-            if not len(at):
+            at = slice(edges[k], edges[k + 1])
+            if at.start == at.stop:
                 continue
-            h, t = hs[at], y[at] - k * WIDTH
-            logits = h @ p["I"][k] + p["i"][k]
-            logits -= logits.max(1, keepdims=True)
-            prob = np.exp(logits)
-            total, r = prob.sum(1), np.arange(len(at))
-            out[at] += logits[r, t] - np.log(total)
+            h = hs[:, at]
+            value, prob = softmax(p["I"][k], p["i"][k], h, y[at] - k * WIDTH)
+            out[at] += value
             if learn:
-                prob /= total[:, None]
-                prob[r, t] -= 1
-                grad["I"][k], grad["i"][k] = h.T @ prob, prob.sum(0)
-                dh[at] += prob @ p["I"][k].T
-        return (out, grad, dh) if learn else (out, None, None)
+                grad["I"][k], grad["i"][k] = h @ prob.T, prob.sum(1)
+                dh[:, at] += p["I"][k] @ prob
+        found = np.empty(n)
+        found[order] = out
+        if not learn:
+            return found, None, None
+        back = np.empty((n, HIDDEN), np.float32)
+        back[order] = dh.T
+        return found, grad, back
 
     def group(self, seqs: list[np.ndarray], learn: bool = False) -> np.ndarray:
         """Log-likelihood (natural) of each sequence; the longest come first. learn: weights move after each window."""
@@ -275,7 +288,7 @@ class Model:
                 back = d * z + d_rec @ p["U"].T
             d_in = d_in.reshape(-1, 3 * H)
             xs = x.ravel()
-            order = np.argsort(xs, kind="stable")
+            order = np.argsort(xs.astype(self.kind), kind="stable")
             first = np.flatnonzero(np.concatenate([[True], xs[order][1:] != xs[order][:-1]]))
             summed, used = np.add.reduceat(d_in[order], first), xs[order][first]
             grad["b"], grad["W"] = summed.sum(0), p["E"][used].T @ summed
