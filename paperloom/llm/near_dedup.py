@@ -498,11 +498,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # what shares a key and is in two components still: all of those pairs
     groups = settled(_groups(_apart(members, labels)))
-    rest = _pair_by_pair(groups.filter("not crowd"), bits)
+    rest = settled(_pair_by_pair(groups.filter("not crowd"), bits).join(done, ["a", "b"], "left_anti"))
     many = groups.filter("crowd").select("key", "node", "n_words", "component").distinct()
     if not many.isEmpty():
-        rest = rest.unionAll(_possible(_by_rare_words(many, nodes, docs), bits))
-    rest = settled(rest.distinct().join(done, ["a", "b"], "left_anti"))
+        # most texts of a crowd are in smaller groups of other keys too: what is compared there is not compared again
+        rare = _by_rare_words(many, nodes, docs).join(done.unionAll(rest), ["a", "b"], "left_anti")
+        rest = rest.unionAll(_possible(rare, bits))
     if not rest.isEmpty():
         labels = _merged(labels, settled(_verified(rest, nodes, docs)))
     # one row for each text says what class it is in; copies are joined to that, so no class and no text is gathered in one task

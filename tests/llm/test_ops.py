@@ -647,6 +647,24 @@ def test_a_crowd_at_the_threshold(spark, monkeypatch, pairwise):
     assert got == want and 5 < len(set(want.values())) < 60
 
 
+def test_pairs_of_a_crowd_are_compared_once(spark, monkeypatch):
+    """What a smaller group has given is not given again by rare words."""
+    rows = crowd(random.Random(17))
+    monkeypatch.setattr(near_dedup, "BUCKET", 4)
+    grouped, by_pairs, possible, seen = near_dedup._groups, near_dedup._pair_by_pair, near_dedup._possible, []
+
+    def kept(pairs):
+        seen.append({(r["a"], r["b"]) for r in pairs.collect()})
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_groups", lambda apart: grouped(apart).withColumn("crowd", F.col("key") % 2 == 0))
+    monkeypatch.setattr(near_dedup, "_pair_by_pair", lambda groups, bits: kept(by_pairs(groups, bits)))
+    monkeypatch.setattr(near_dedup, "_possible", lambda pairs, bits: possible(kept(pairs), bits))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    *_, small, rare = seen
+    assert got == plain_classes(rows) and small and rare and not small & rare
+
+
 def test_texts_with_more_words_than_their_group_has_texts_are_not_taken_apart(spark, monkeypatch):
     rng = random.Random(18)
     passage = sentence(rng, 60)
