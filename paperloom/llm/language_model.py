@@ -34,6 +34,7 @@ over texts in a fixed order; sums are in 64.
 from __future__ import annotations
 
 import copy
+import heapq
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,8 @@ TABLE, FAN = 1 << 18, 16
 FULL_STEP = 2048
 #: Texts that are held at once in training, and their tokens.
 HELD_TEXTS, HELD_TOKENS = 4096, 1 << 20
+#: Tokens whose texts are held at once in scoring: with many, lanes are seldom empty.
+SCORED_TOKENS = 1 << 22
 #: Tokens of a part are at least the square root of this times all tokens.
 PART_TOKENS = 400_000
 LANES, WINDOW, RATE, SMOOTH = 512, 16, 0.3, 0.1
@@ -235,11 +238,25 @@ class Model:
         back[order] = dh.T
         return found, grad, back
 
-    def group(self, seqs: list[np.ndarray], learn: bool = False) -> np.ndarray:
-        """Log-likelihood (natural) of each sequence; the longest come first. learn: weights move after each window."""
-        length = np.array([len(s) for s in seqs])
-        flat, offset = np.concatenate(seqs).astype(np.int64), np.concatenate([[0], np.cumsum(length)[:-1]])
-        score, state = np.zeros(len(seqs)), np.zeros((len(seqs), HIDDEN), np.float32)
+    def group(self, seqs: list[np.ndarray], learn: bool = False, lane: np.ndarray | None = None) -> np.ndarray:
+        """Log-likelihood (natural) of each sequence. learn: weights move after each window.
+
+        lane: the lane that each sequence goes through, one behind the other, each from an empty state; without it each has its own, and the longest come first.
+        """
+        own = np.array([len(s) for s in seqs])
+        order = np.arange(len(seqs))
+        length = own
+        if lane is not None:
+            load = np.bincount(lane, own).astype(np.int64)
+            by_load = np.argsort(-load, kind="stable")
+            rank = np.empty_like(by_load)
+            rank[by_load] = np.arange(len(load))
+            order, length = np.argsort(rank[lane], kind="stable"), load[by_load]
+        flat, text = np.concatenate([seqs[i] for i in order]), np.repeat(order.astype(np.int32), own[order])
+        begins = np.zeros(len(flat), bool)
+        begins[np.concatenate([[0], np.cumsum(own[order])[:-1]])] = True
+        offset = np.concatenate([[0], np.cumsum(length)[:-1]])
+        score, state = np.zeros(len(seqs)), np.zeros((HIDDEN, len(length)), np.float32)  # a lane is a column, so each gate is a slice
         H = HIDDEN
         for t0 in range(0, int(length[0]), WINDOW):
             lanes = int(np.searchsorted(-length, -t0, "left"))
@@ -247,45 +264,55 @@ class Model:
             at = t0 + np.arange(steps)[:, None]
             valid = at < length[None, :lanes]
             where = offset[None, :lanes] + np.minimum(at, length[None, :lanes] - 1)
-            y = flat[where]
-            x = np.where(at == 0, self.start, flat[np.maximum(where - 1, 0)])
+            y, new_text = flat[where].astype(np.int64), begins[where]
+            x = np.where(new_text, self.start, flat[np.maximum(where - 1, 0)])
+            again = new_text.any(1).tolist() if lane is not None else [False] * steps
             p = self.p
-            inputs = (p["E"] @ p["W"] + p["b"])[x]
-            h, kept = state[:lanes].copy(), []
-            hs = np.empty((steps, lanes, H), np.float32)
+            table, U = np.ascontiguousarray((p["E"] @ p["W"] + p["b"]).T), np.ascontiguousarray(p["U"].T)
+            h = state[:, :lanes].copy()
+            hs, zr = np.empty((steps, H, lanes), np.float32), np.empty((steps, 2 * H, lanes), np.float32)
+            if learn:
+                before, new_part, from_state = (np.empty((steps, H, lanes), np.float32) for _ in range(3))
             for t in range(steps):
-                g = h @ p["U"]
-                zr = 1 / (1 + np.exp(-(inputs[t, :, : 2 * H] + g[:, : 2 * H])))
-                z, r, gn = zr[:, :H], zr[:, H:], g[:, 2 * H :]
-                n = np.tanh(inputs[t, :, 2 * H :] + r * gn)
-                new = n + z * (h - n)
+                if again[t]:
+                    h = np.where(new_text[t], np.float32(0), h)
+                into, g = table.take(x[t], axis=1), U @ h
+                gate = np.add(into[: 2 * H], g[: 2 * H], out=zr[t])
+                np.negative(gate, out=gate)
+                np.exp(gate, out=gate)
+                gate += 1
+                np.reciprocal(gate, out=gate)
+                n = gate[H:] * g[2 * H :]
+                n += into[2 * H :]
+                np.tanh(n, out=n)
                 if learn:
-                    kept.append((h, z, r, n, gn))
-                h = hs[t] = new
+                    before[t], new_part[t], from_state[t] = h, n, g[2 * H :]
+                h = np.subtract(h, n, out=hs[t])
+                h *= gate[:H]
+                h += n
             sel = np.flatnonzero(valid.ravel())
-            out, grad, dh = self._heads(hs.reshape(-1, H)[sel], y.ravel()[sel], learn)
-            score[:lanes] += np.bincount(sel % lanes, out, lanes)
-            state[:lanes] = h
+            out, grad, dh = self._heads(hs.transpose(0, 2, 1).reshape(-1, H)[sel], y.ravel()[sel], learn)
+            score += np.bincount(text[where].ravel()[sel], out, len(seqs))
+            state[:, :lanes] = h
             if not learn:
                 continue
             d_out = np.zeros((steps * lanes, H), np.float32)
             d_out[sel] = dh
-            d_out = d_out.reshape(steps, lanes, H)
-            d_in = np.empty((steps, lanes, 3 * H), np.float32)
-            d_rec = np.empty((lanes, 3 * H), np.float32)
-            grad["U"], back = np.zeros_like(p["U"]), np.zeros((lanes, H), np.float32)
+            d_out = np.ascontiguousarray(d_out.reshape(steps, lanes, H).transpose(0, 2, 1))
+            # what a step's gradients are multiplied by, for all steps at once
+            z, r = zr[:, :H], zr[:, H:]
+            to_n = (1 - z) * (1 - new_part * new_part)
+            to_rec = np.concatenate([(before - new_part) * z * (1 - z), to_n * from_state * r * (1 - r), to_n * r], axis=1).reshape(steps, 3, H, lanes)
+            d_rec, back = np.empty((steps, 3, H, lanes), np.float32), np.zeros((H, lanes), np.float32)
             for t in range(steps - 1, -1, -1):
-                h, z, r, n, gn = kept[t]
-                d = d_out[t] + back
-                dn = d * (1 - z) * (1 - n * n)
-                di = d_in[t]
-                di[:, :H] = d * (h - n) * z * (1 - z)
-                di[:, H : 2 * H] = dn * gn * r * (1 - r)
-                di[:, 2 * H :] = dn
-                d_rec[:, : 2 * H] = di[:, : 2 * H]
-                d_rec[:, 2 * H :] = dn * r
-                grad["U"] += h.T @ d_rec
-                back = d * z + d_rec @ p["U"].T
+                d = d_out[t]
+                d += back
+                np.multiply(d, to_rec[t], out=d_rec[t])
+                back = p["U"] @ d_rec[t].reshape(3 * H, lanes)
+                back += d * z[t]
+            grad["U"] = np.matmul(before, d_rec.reshape(steps, 3 * H, lanes).transpose(0, 2, 1)).sum(0)
+            d_rec[:, 2] = d_out * to_n
+            d_in = d_rec.reshape(steps, 3 * H, lanes).transpose(0, 2, 1)
             d_in = d_in.reshape(-1, 3 * H)
             xs = x.ravel()
             order = np.argsort(xs.astype(self.kind), kind="stable")
@@ -303,17 +330,23 @@ class Model:
         return score
 
     def over(self, seqs: list[np.ndarray], learn: bool = False) -> np.ndarray:
-        """Log-likelihood of each sequence, in groups of about the same length, which learn in a mixed order."""
+        """Log-likelihood of each sequence. In learning they go in groups of about the same length, in a mixed order; in scoring a lane that is free takes the next one."""
         order = np.argsort([-len(s) for s in seqs], kind="stable")
-        groups = [order[k : k + LANES] for k in range(0, len(order), LANES)]
-        if learn:
-            np.random.default_rng(len(groups)).shuffle(groups)
         out = np.zeros(len(seqs))
+        if not learn:
+            free, lane = [(0, k) for k in range(LANES)], np.zeros(len(seqs), np.int64)
+            for i, n in enumerate(len(seqs[i]) for i in order):
+                load, lane[i] = free[0]
+                heapq.heapreplace(free, (load + n, int(lane[i])))
+            if len(seqs):
+                out[order] = self.group([seqs[i] for i in order], lane=lane)
+            return out
+        groups = [order[k : k + LANES] for k in range(0, len(order), LANES)]
+        np.random.default_rng(len(groups)).shuffle(groups)
         for g in groups:
             out[g] = self.group([seqs[i] for i in g], learn)
         return out
 
-
     def ids(self, column) -> list[np.ndarray]:
         return [np.frombuffer(b, self.kind) for b in column]
 
@@ -419,9 +452,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     net = sc.broadcast(model)
 
     def judged(batches):
+        held, size = [], 0
+
+        def block():
+            nonlocal held, size
+            own = pd.concat(held, ignore_index=True)
+            own["net"] = net.value.over(net.value.ids(own["ids"])) / LN10
+            held, size = [], 0
+            return own.drop(columns=["ids", "hash"])
+
         for b in batches:
-            b["net"] = net.value.over(net.value.ids(b["ids"])) / LN10
-            yield b.drop(columns=["ids", "hash"])
+            held.append(b)
+            size += int(b["n_tokens"].sum())
+            if size >= SCORED_TOKENS:
+                yield block()
+        if held:
+            yield block()
 
     kept_columns = columns.replace(", hash long, ids binary", "").replace(", far array<long>", "")
     scored = rows.drop("far").mapInPandas(judged, kept_columns + ", net double")

@@ -827,6 +827,19 @@ def test_scores_do_not_depend_on_partitions(spark, rows, monkeypatch):
     assert one == other
 
 
+def test_free_lanes_take_the_next_text(monkeypatch):
+    words = language_model.pd.DataFrame({"hash": range(1, 40), "cls": [k % 16 for k in range(1, 40)], "n": [40 - k for k in range(1, 40)]})
+    model, rng, windows = language_model.Model(language_model.Vocabulary(words, 50, {r: 7.0 for r in range(16)})), np.random.default_rng(2), []
+    for k in ("C", "I"):
+        model.p[k] = rng.standard_normal(model.p[k].shape).astype(np.float32)
+    seqs = [rng.integers(0, 40, n).astype(np.uint16) for n in (*[20] * 24, 320, *[20] * 24)]
+    alone, heads = [model.group([s])[0] for s in seqs], language_model.Model._heads
+    monkeypatch.setattr(language_model, "LANES", 4)
+    monkeypatch.setattr(language_model.Model, "_heads", lambda self, *a: windows.append(1) or heads(self, *a))
+    assert np.allclose(model.over(seqs), alone, rtol=1e-4)
+    assert len(windows) == 320 // language_model.WINDOW  # four lanes of 320 tokens; 44 windows in groups of four texts
+
+
 def test_what_is_learned_grows():
     assert language_model.places_for(10**10) > language_model.places_for(10**8) > language_model.places_for(10**6) >= language_model.places_for(0)
     for a, b in itertools.pairwise((10**6, 10**8, 10**10, 10**13)):
