@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_model, mixing, near_dedup, repetition, sharding, surrogates, token_counts, url_filters
+from . import adaptive_kmeans, decontamination, filter_audit, html_extraction, language_model, mixing, near_dedup, repetition, sharding, surrogates, token_counts, url_filters, warc_store
 from .common import table
 
 
@@ -57,10 +57,16 @@ QUERIES = {
     "op8_lm_scoring": language_model.query,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": mixing.query,
+    "op11_filter_audit": filter_audit.query,
+    "op12_adaptive_kmeans": adaptive_kmeans.query,
+    "op13_warc_store": warc_store.query,
 }
 ORACLE = {
     "op2_decontamination": decontamination.SQL,
     "op5_url_filters": url_filters.SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_mixing": mixing.SQL,
+    "op11_filter_audit": filter_audit.SQL,
+    "op12_adaptive_kmeans": adaptive_kmeans.SQL,
+    "op13_warc_store": warc_store.SQL,
 }
