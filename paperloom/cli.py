@@ -96,7 +96,7 @@ def track(spark, a) -> int:
     """Corrections between two folders of Markdown files, appended to the log."""
     ship(spark)
     both = io.read_markdown(spark, a.original).withColumnRenamed("md", "was").join(io.read_markdown(spark, a.corrected).withColumnRenamed("md", "now"), "doc_id")
-    c = folds.corrections(both, F.col("was"), F.col("now"))
+    c = linediff.corrections(both, F.col("was"), F.col("now"))
     c = c.withColumn("type", learn.classify(F.col("before"), F.col("after")))
     entries = c.groupBy(F.col("doc_id").alias("paper_key")).agg(F.collect_list(F.struct("type", F.col("line").cast("int").alias("line"), "before", "after")).alias("corrections"))
     io.append_log(entries.withColumns({"timestamp": F.current_timestamp(), "journal_profile": F.lit(a.journal)}), a.log)

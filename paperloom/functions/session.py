@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ship(spark: SparkSession) -> None:
@@ -12,3 +13,13 @@ def ship(spark: SparkSession) -> None:
     root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
     if root not in (held := env.get("PYTHONPATH", "").split(os.pathsep)):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, held)])
+
+
+#: A table is broadcast up to so many bytes, and shuffled beyond.
+BROADCAST_BYTES = 24 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """``df`` marked for broadcast if its rows, at ``row_bytes`` each and 64 more, are few bytes by measure; as it is otherwise."""
+    held = df.agg(F.coalesce(F.sum(row_bytes.cast("long") + 64), F.lit(0)).alias("b")).first()["b"]
+    return F.broadcast(df) if held <= BROADCAST_BYTES else df

@@ -80,6 +80,26 @@ def let(value: Column, body: Callable) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def scan(items: Column, zero: Column, kind: str, step: Callable) -> Column:
+    """The state after each item: ``step(state, item)`` from ``zero`` on, ``kind`` being a state's type.
+
+    An array that grows in a fold is copied at each step, so items go in runs of the root
+    of their number: a step copies within a run, a run's end the list of runs.
+    """
+    states = f"array<{kind}>"
+    typed = lambda s: s.cast(kind)
+    pair = lambda s, out: F.struct(s.alias("s"), out.alias("out"))
+
+    def runs(xs, width):
+        cut = F.transform(F.sequence(F.lit(0), F.ceil(F.size(xs) / width).cast("int") - 1), lambda k: F.slice(xs, k * width + 1, width))
+        one = lambda s, run: F.aggregate(run, pair(s, F.array().cast(states)), lambda a, x: let(typed(step(a["s"], x)), lambda n: pair(n, F.array_append(a["out"], n))))
+        whole = F.aggregate(cut, pair(typed(zero), F.array().cast(f"array<{states}>")), lambda a, run: let(one(a["s"], run), lambda r: pair(r["s"], F.array_append(a["out"], r["out"]))))
+        return F.flatten(whole["out"])
+
+    root = lambda xs: F.greatest(F.ceil(F.sqrt(F.size(xs).cast("double"))).cast("int"), F.lit(1))
+    return let(items, lambda xs: F.when(F.size(xs) > 0, let(root(xs), lambda w: runs(xs, w))).otherwise(F.array().cast(states)))
+
+
 def at(array: Column, i: Column) -> Column:
     """An element, null outside the array."""
     return F.get(array, i)
@@ -101,9 +121,9 @@ def glue(parts: Column, joined: Callable, separator: str) -> Column:
 
 
 def rewrite(text: Column, pattern: str, made: Callable) -> Column:
-    """Every match of a pattern replaced by what ``made`` makes of it, whatever stands around it."""
-    found = lambda t: F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)))
-    return let(text, lambda t: F.aggregate(found(t), t, lambda a, m: F.replace(a, m, made(m))))
+    """Every match of a pattern, where it stands, replaced by what ``made`` makes of it; matches are not empty."""
+    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.array_join(F.zip_with(gaps, F.concat(F.transform(found, made), F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
 
 
 def count(text: Column, pattern: str) -> Column:

@@ -79,12 +79,44 @@ def merge_slots(slots: DataFrame, formulas: DataFrame) -> DataFrame:
     return s.join(f, ["doc_id", "page", "k"], "full_outer")
 
 
+#: Characters of a gram of the containment index, at most.
+GRAM = 8
+
+
+def _bare(latex: Column) -> Column:
+    """A formula without white space and font commands around single words."""
+    return tk.sub(latex, [(r"(?U)\s+", ""), (r"\\(?:mathrm|text|mathit|mathbf)\{((?U:\w+))\}", "$1")])
+
+
+def contained_texts(texts: DataFrame, keys: list[str], text: str, least: int) -> DataFrame:
+    """The distinct ``keys`` and texts of ``least`` characters or more that a longer text under the same keys contains.
+
+    A containment index: of the grams in each window of ``least`` characters the one with
+    the least hash stands for it. Every window of a contained text is one of the text
+    around it, so all its grams stand in the index there too, and it is looked up by one
+    of them alone, the rarest. Candidates are verified by the texts. So one page of many
+    texts is dealt by grams and not held against itself.
+    """
+    n = max(1, min(GRAM, (least + 1) // 2))
+    width = max(1, least - n + 1)
+    t = texts.select(*keys, F.col(text).alias("_t")).filter(F.length("_t") >= max(least, 1)).distinct().withColumns({"_id": F.xxhash64("_t"), "_n": F.length("_t")})
+    grams = F.transform(F.sequence(F.lit(1), F.col("_n") - n + 1), lambda i: F.xxhash64(F.substr(F.col("_t"), i, F.lit(n))))
+    least_of = lambda hs: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(hs) - width + 1), lambda i: F.array_min(F.slice(hs, i, width))))
+    same = Window.partitionBy(*keys, "_g")
+    index = t.select(*keys, "_id", "_n", F.explode(tk.let(grams, least_of)).alias("_g")).withColumns({"_df": F.count("*").over(same), "_longest": F.max("_n").over(same)})
+    # a text with a gram that no longer one has is contained nowhere
+    asked = index.groupBy(*keys, "_id", "_n").agg(F.min(F.struct("_df", "_g"))["_g"].alias("_g"), F.min("_longest").alias("_longest")).filter("_longest > _n")
+    asked = asked.select(*keys, "_g", F.col("_id").alias("_short"), F.col("_n").alias("_m"))
+    pairs = index.join(asked, [*keys, "_g"]).filter("_n > _m").select(*keys, "_short", F.col("_id").alias("_long"))
+    side = lambda i, c: t.select(*keys, F.col("_id").alias(i), F.col("_t").alias(c))
+    found = pairs.join(side("_short", "_s"), [*keys, "_short"]).join(side("_long", "_l"), [*keys, "_long"])
+    return found.filter((F.length("_l") > F.length("_s")) & F.contains("_l", "_s")).select(*keys, F.col("_s").alias(text)).distinct()
+
+
 def drop_subformulas(formulas: DataFrame, least: int = 20) -> DataFrame:
     """Formulas of ``least`` characters or more, white space aside, that a longer one of their page contains go."""
-    f = formulas.withColumn("_bare", tk.sub(F.col("latex"), [(r"(?U)\s+", ""), (r"\\(?:mathrm|text|mathit|mathbf)\{((?U:\w+))\}", "$1")]))
-    g = f.select(F.col("doc_id").alias("g_doc"), F.col("page").alias("g_page"), F.col("_bare").alias("g_bare"))
-    held = (F.col("doc_id") == F.col("g_doc")) & (F.col("page") == F.col("g_page")) & (F.length("_bare") >= least) & (F.length("g_bare") > F.length("_bare")) & F.contains("g_bare", "_bare")
-    return f.join(g, held, "left_anti").drop("_bare")
+    f = formulas.withColumn("_bare", _bare(F.col("latex")))
+    return f.join(contained_texts(f, ["doc_id", "page"], "_bare", least), ["doc_id", "page", "_bare"], "left_anti").drop("_bare")
 
 
 def accept_intervals(intervals: Column) -> Column:
@@ -95,13 +127,25 @@ def accept_intervals(intervals: Column) -> Column:
 
 
 def tidy_latex(latex: Column) -> Column:
-    """Split digits joined, spaces inside groups and around points gone."""
-    for _ in range(3):
-        latex = F.regexp_replace(latex, r"(\d)\s+(\d)", "$1$2")
-    latex = F.regexp_replace(latex, r"(\d)\s*\.\s*(\d)", "$1.$2")
-    for head in (r"\\[a-zA-Z]+", r"\^", "_"):
-        latex = tk.rewrite(latex, head + r"\s*\{[^{}]*\}", lambda m: F.regexp_replace(m, r"(?<![a-zA-Z])\s+|\s+(?![a-zA-Z])", ""))
-    return latex
+    """A formula without the spaces that recognition puts in: one between digits or on each side of
+    a point goes (three rounds); a command's group is stripped and its white space becomes one
+    space, that of a raised or lowered group goes."""
+    latex = tk.sub(latex, [(r"(?U)(\d) (\d)", "$1$2")] * 3 + [(r"(?U)(\d) \. (\d)", "$1.$2")])
+    command = r"(?U)(\\[a-zA-Z]+)\s*\{([^}]*)\}"
+
+    def grouped(m):
+        inner = tk.strip(F.regexp_replace(F.regexp_extract(m, command, 2), r"(?U)\s+", " "))
+        return F.concat(F.regexp_extract(m, command, 1), F.lit("{"), inner, F.lit("}"))
+
+    latex = tk.let(latex, lambda t: tk.rewrite(t, command, grouped))
+    squeezed = lambda m: F.regexp_replace(m, r"(?U)\s+", "")
+    for script in (r"(?U)\^\s*\{[^}]*\}", r"(?U)_\s*\{[^}]*\}"):
+        latex = tk.let(latex, _every(script, squeezed))
+    return tk.strip(latex)
+
+
+def _every(pattern: str, made):
+    return lambda t: tk.rewrite(t, pattern, made)
 
 
 # Greek commands as letters; symbols as text, in order. The letter of \\mu is the micro sign.

@@ -13,74 +13,81 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import learn
+from ..functions import textkit as tk
+from ..functions.session import broadcast_if_small
 
-PLACES = "array<struct<pos:int,md_start:int,md_end:int>>"
-CHANGES = "array<struct<line:int,before:string,after:string>>"
+def _find(md: Column, text: Column, start: Column) -> Column:
+    """Where a text stands from ``start`` on, in characters from 0; -1 if nowhere."""
+    return F.position(text, md, start + 1) - 1
 
 
-def locate(md: str, spans) -> list[tuple[int, int | None, int | None]]:
-    """Places of spans in reading order: each is looked for after the one before; captions anywhere between stars."""
-    out, cursor = [], 0
-    for s in spans:
-        text = s["normed"] or ""
-        at = md.find(f"*{text}*") if s["is_caption"] else md.find(text, cursor)
-        if at < 0:
-            out.append((s["pos"], None, None))
-            continue
-        if s["is_caption"]:
-            at += 1
-        else:
-            cursor = at + 1
-        out.append((s["pos"], at, at + len(text)))
-    return out
+PLACE = "struct<cursor:int,pos:int,md_start:int,md_end:int>"
 
 
-def locate_by_page(md: str, spans) -> list[tuple[int, int | None, int | None]]:
-    """Places of spans page by page: a page's spans in order of their first place, the next
-    page from the three-quarter point of the ends found, so that strays do not move it far."""
-
-    def find(text, start):
-        for t in (text, text[:-1] if text.endswith("-") and len(text) > 1 else ""):
-            if t and (at := md.find(t, start)) >= 0:
-                return at, at + len(t)
-        return -1, -1
-
-    pages: dict[int, list] = {}
-    for s in spans:
-        pages.setdefault(s["page"], []).append(s)
-    out, base = [], 0
-    for page in sorted(pages):
-        first = []
-        for s in pages[page]:
-            at = find(s["normed"] or "", base)[0]
-            at = at if at >= 0 else find(s["normed"] or "", 0)[0]
-            first.append(at if at >= 0 else len(md))
-        cursor, ends = base, []
-        for k in np.argsort(first, kind="stable"):
-            s = pages[page][k]
-            at, end = find(s["normed"] or "", cursor)
-            if at < 0:
-                out.append((s["pos"], None, None))
-                continue
-            out.append((s["pos"], at, end))
-            ends.append(end)
-            cursor = at + 1
-        if ends:
-            base = sorted(ends)[max(0, int(len(ends) * 0.75) - 1)]
-    return out
+def places(md: Column, spans: Column) -> Column:
+    """Places of spans (``pos, normed, is_caption``, in reading order): each is looked for after the one before; captions anywhere between stars."""
 
+    def put(cursor, pos, start, n):
+        return F.struct(cursor.alias("cursor"), pos.alias("pos"), F.when(start >= 0, start).alias("md_start"), F.when(start >= 0, start + n).alias("md_end"))
 
-def locate_spans(spans: DataFrame, docs: DataFrame, by_page: bool = False, md: str = "md") -> DataFrame:
-    """``spans`` (``doc_id, pos, page, normed, is_caption``) with ``md_start`` and ``md_end``, null where not found."""
-    fold = locate_by_page if by_page else locate
+    def step(a, s):
+        text, n = F.coalesce(s["normed"], F.lit("")), F.length(F.coalesce(s["normed"], F.lit("")))
+        caption = tk.let(_find(md, F.concat(F.lit("*"), text, F.lit("*")), F.lit(0)), lambda k: put(a["cursor"], s["pos"], F.when(k >= 0, k + 1).otherwise(-1), n))
+        here = F.when(text != "", _find(md, text, a["cursor"])).when(a["cursor"] <= F.length(md), a["cursor"]).otherwise(-1)
+        return F.when(s["is_caption"], caption).otherwise(tk.let(here, lambda k: put(F.when(k >= 0, k + 1).otherwise(a["cursor"]), s["pos"], k, n)))
+
+    return tk.scan(spans, F.struct(F.lit(0).alias("cursor"), F.lit(0).alias("pos"), F.lit(None).cast("int").alias("md_start"), F.lit(None).cast("int").alias("md_end")), PLACE, step)
+
+
+PAGE = f"struct<base:int,found:array<{PLACE}>>"
+
+
+def places_by_page(md: Column, pages: Column) -> Column:
+    """Places of spans by page (``array<struct<page, spans>>``, pages in order): a page's spans in order
+    of their first place, the next page from the three-quarter point of the ends found, so that strays
+    do not move it far. A text that ends with a hyphen is also found without it."""
+
+    def found(text, start):
+        cut = F.when(text.endswith("-") & (F.length(text) > 1), F.substr(text, F.lit(1), F.length(text) - 1))
+        hit = lambda k, t: F.struct(k.alias("at"), (k + F.length(t)).alias("end"))
+        return tk.let(F.when(text != "", _find(md, text, start)).otherwise(-1), lambda k: F.when(k >= 0, hit(k, text)).otherwise(tk.let(F.coalesce(_find(md, cut, start), F.lit(-1)), lambda c: hit(c, F.coalesce(cut, F.lit(""))))))
+
+    def first(text, base):
+        return tk.let(found(text, base)["at"], lambda k: F.when(k >= 0, k).otherwise(tk.let(found(text, F.lit(0))["at"], lambda z: F.when(z >= 0, z).otherwise(F.length(md)))))
+
+    none = lambda cursor, pos: F.struct(cursor.alias("cursor"), pos.alias("pos"), F.lit(None).cast("int").alias("md_start"), F.lit(None).cast("int").alias("md_end"))
+
+    def one(a, s):
+        hit = lambda h: F.struct((h["at"] + 1).alias("cursor"), s["pos"].alias("pos"), h["at"].alias("md_start"), h["end"].alias("md_end"))
+        return tk.let(found(s["text"], a["cursor"]), lambda h: F.when(h["at"] >= 0, hit(h)).otherwise(none(a["cursor"], s["pos"])))
 
-    @F.pandas_udf(PLACES)
-    def places(text: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([[{"pos": p, "md_start": a, "md_end": b} for p, a, b in fold(t or "", s)] for t, s in zip(text, lists, strict=True)])
+    def page(a, p):
+        text = lambda s: F.coalesce(s["normed"], F.lit(""))
+        ordered = F.array_sort(F.transform(p["spans"], lambda s, i: F.struct(first(text(s), a["base"]).alias("first"), i.alias("i"), s["pos"].alias("pos"), text(s).alias("text"))))
+        got = tk.scan(ordered, none(a["base"], F.lit(0)), PLACE, one)
+        ends = lambda rows: F.array_sort(F.transform(F.filter(rows, lambda r: r["md_end"].isNotNull()), lambda r: r["md_end"]))
+        base = lambda es: F.coalesce(F.get(es, F.greatest(F.lit(0), F.floor(F.size(es) * 0.75).cast("int") - 1)), a["base"])
+        return tk.let(got, lambda rows: F.struct(tk.let(ends(rows), base).alias("base"), rows.alias("found")))
 
-    grouped = spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "page", "normed", "is_caption"))).alias("spans"))
-    found = grouped.join(docs.select("doc_id", md), "doc_id").select("doc_id", F.inline(places(F.col(md), F.col("spans"))))
+    zero = F.struct(F.lit(0).alias("base"), F.array().cast(f"array<{PLACE}>").alias("found"))
+    return F.flatten(F.transform(tk.scan(pages, zero, PAGE, page), lambda s: s["found"]))
+
+
+def locate_spans(spans: DataFrame, docs: DataFrame, by_page: bool = False, md: str = "md") -> DataFrame:
+    """``spans`` (``doc_id, pos, page, normed, is_caption``) with ``md_start`` and ``md_end``, null where not found.
+
+    A document's spans are gathered and sent to its text; texts are shuffled only where the
+    spans, by measure, are too many to be broadcast.
+    """
+    entry, size = F.struct(F.col("pos").cast("int").alias("pos"), "normed", "is_caption"), F.octet_length(F.coalesce("normed", F.lit(""))) + 24
+    if by_page:
+        grouped = spans.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(entry)).alias("spans"), F.sum(size).alias("_b"))
+        grouped = grouped.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "spans"))).alias("spans"), F.sum("_b").alias("_b"))
+    else:
+        grouped = spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("spans"), F.sum(size).alias("_b"))
+    fold = places_by_page if by_page else places
+    texts = docs.select("doc_id", F.coalesce(F.col(md), F.lit("")).alias("_md"))
+    found = texts.join(broadcast_if_small(grouped, F.col("_b")).drop("_b"), "doc_id").select("doc_id", F.inline(fold(F.col("_md"), F.col("spans")))).drop("cursor")
     return spans.join(found, ["doc_id", "pos"], "left")
 
 
@@ -116,76 +123,6 @@ def move_figures(items: DataFrame) -> DataFrame:
     return items.join(rows.select("doc_id", F.inline(ordered("s"))), ["doc_id", "pos"])
 
 
-def _steps(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """For each cell of the alignment of two lists: equal lines, and whether to insert rather than delete."""
-    code: dict[str, int] = {}
-    x, y = (np.array([code.setdefault(t, len(code)) for t in s], np.int64) for s in (a, b))
-    equal, insert = np.zeros((len(a) + 1, len(b) + 1), bool), np.zeros((len(a) + 1, len(b) + 1), bool)
-    above = np.zeros(len(b) + 1, np.int32)
-    insert[0] = True
-    for i in range(1, len(a) + 1):
-        equal[i, 1:] = y == x[i - 1]
-        row = above.copy()
-        row[1:] = np.maximum(above[1:], above[:-1] + equal[i, 1:])
-        np.maximum.accumulate(row, out=row)
-        insert[i, 1:] = row[:-1] >= above[1:]
-        above = row
-    return equal, insert
-
-
-def diff(original: str, corrected: str, compat: bool = False) -> list[tuple[int, str, str | None]]:
-    """Changed lines ``(line, before, after)``: an added line has an empty ``before``, a removed one no ``after``.
-
-    By a longest common subsequence, insertions first on ties. Lines between two
-    common ones are paired in order. ``compat`` pairs as older logs did: each removed
-    line with the line that stands before it in the new text, even if that is common.
-    """
-    a, b = (t.splitlines() for t in (original or "", corrected or ""))
-    equal, insert = _steps(a, b)
-    i, j, out, gone, new = len(a), len(b), [], [], []
-
-    def close():
-        gone.reverse(), new.reverse()
-        pairs = [(g[0], g[1], n[1]) for g, n in zip(gone, new, strict=False)]
-        pairs += [(g[0], g[1], None) for g in gone[len(new) :]] + [(n[0], "", n[1]) for n in new[len(gone) :]]
-        out.extend(reversed(pairs))
-        gone.clear(), new.clear()
-
-    while i or j:
-        if i and j and equal[i, j]:
-            close()
-            i, j = i - 1, j - 1
-        elif j and (not i or insert[i, j]):
-            if compat:
-                out.append((j, "", b[j - 1].strip()))
-            else:
-                new.append((j, b[j - 1].strip()))
-            j -= 1
-        elif compat and j and a[i - 1].strip() != b[j - 1].strip():
-            out.append((i, a[i - 1].strip(), b[j - 1].strip()))
-            i, j = i - 1, j - 1
-        else:
-            if compat:
-                out.append((i, a[i - 1].strip(), None))
-            else:
-                gone.append((i, a[i - 1].strip()))
-            i -= 1
-    close()
-    return out[::-1]
-
-
-def corrections(docs: DataFrame, original: Column, corrected: Column, compat: bool = False) -> DataFrame:
-    """A row for each change of a document: ``doc_id, line, before, after, type``."""
-
-    @F.pandas_udf(CHANGES)
-    def changes(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([[{"line": n, "before": p, "after": q} for n, p, q in diff(s, t, compat)] for s, t in zip(x, y, strict=True)])
-
-    rows = docs.select("doc_id", F.inline(changes(original, corrected)))
-    added = F.col("before") == ""
-    return rows.withColumn("type", F.when(added, learn.classify(F.col("after"), F.col("after"))).otherwise(learn.classify(F.col("before"), F.col("after"))))
-
-
 # Greek letters that become commands, and small digits and letters.
 GREEK = {"ν": "nu", "ε": "varepsilon", "θ": "theta", "σ": "sigma", "μ": "mu", "α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "φ": "phi", "ψ": "psi", "ρ": "rho", "λ": "lambda", "ω": "omega", "η": "eta", "κ": "kappa", "χ": "chi", "ξ": "xi", "𝜈": "nu", "𝜃": "theta", "𝜀": "varepsilon", "ɛ": "varepsilon"}
 LOWERED, RAISED = str.maketrans("₀₁₂₃₄₅₆₇₈₉ₐₑₒₓ", "0123456789aeox"), str.maketrans("⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻", "0123456789+-")

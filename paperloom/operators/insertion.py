@@ -13,26 +13,39 @@ INLINE = r"(?<!\$)\$(?!\$)([^$\n]+?)(?<!\$)\$(?!\$)"
 SLOT = r"<!-- formula-slot:p(\d+):(\d+):[^>]+ -->"
 # Operators that make a lone letter a variable; longest text that is a formula as a whole.
 OPERATORS, SHORT_SPAN = "=+-*/×÷≈≤≥<>±~∝∂∑∏√∫", 80
-#: Code points of italic, bold italic and sans-serif bold italic alpha.
-STYLED_ALPHA = (0x1D6FC, 0x1D736, 0x1D770)
+# A pattern for each Greek letter that mathematical alphabets hold too (italic, bold italic, sans-serif bold italic); the micro sign stands for mu.
+VARIANTS = {
+    "α": "(?:α|𝛼|𝜶|𝝰)",
+    "β": "(?:β|𝛽|𝜷|𝝱)",
+    "γ": "(?:γ|𝛾|𝜸|𝝲)",
+    "δ": "(?:δ|𝛿|𝜹|𝝳)",
+    "ε": "(?:ε|𝜀|𝜺|𝝴)",
+    "ζ": "(?:ζ|𝜁|𝜻|𝝵)",
+    "η": "(?:η|𝜂|𝜼|𝝶)",
+    "θ": "(?:θ|𝜃|𝜽|𝝷)",
+    "ι": "(?:ι|𝜄|𝜾|𝝸)",
+    "κ": "(?:κ|𝜅|𝜿|𝝹)",
+    "λ": "(?:λ|𝜆|𝝀|𝝺)",
+    "µ": "(?:µ|μ|𝜇|𝝁|𝝻)",
+    "ν": "(?:ν|𝜈|𝝂|𝝼)",
+    "ξ": "(?:ξ|𝜉|𝝃|𝝽)",
+    "π": "(?:π|𝜋|𝝅|𝝿)",
+    "ρ": "(?:ρ|𝜌|𝝆|𝞀)",
+    "σ": "(?:σ|𝜎|𝝈|𝞂)",
+    "τ": "(?:τ|𝜏|𝝉|𝞃)",
+    "υ": "(?:υ|𝜐|𝝊|𝞄)",
+    "φ": "(?:φ|ϕ|𝜑|𝝋|𝞅)",
+    "χ": "(?:χ|𝜒|𝝌|𝞆)",
+    "ψ": "(?:ψ|𝜓|𝝍|𝞇)",
+    "ω": "(?:ω|𝜔|𝝎|𝞈)",
+}
 # The heading of formulas that have no slot.
 UNMAPPED = "\n\n---\n\n## 📐 수식 (위치 미매핑)\n"
 
 
-def variants() -> dict[str, str]:
-    """A pattern for each Greek letter that mathematical alphabets hold too; the micro sign stands for mu."""
-    plain = {"μ": "µ|μ", "φ": "φ|ϕ"}
-    out = {}
-    for k in range(25):
-        letter = chr(0x3B1 + k)
-        if letter not in "ος":
-            out["µ" if letter == "μ" else letter] = "(?:" + "|".join([plain.get(letter, letter), *(chr(a + k) for a in STYLED_ALPHA)]) + ")"
-    return out
-
-
 def flexible_pattern(text: Column) -> Column:
     """A pattern that finds a text with any white space between its characters and Greek letters in any style."""
-    known = F.create_map(*(F.lit(x) for kv in variants().items() for x in kv))
+    known = F.create_map(*(F.lit(x) for kv in VARIANTS.items() for x in kv))
     one = lambda c: F.coalesce(F.try_element_at(known, c), F.regexp_replace(c, r"([^\p{L}\p{N}\s])", r"\\$1"))
     return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), one), r"(?U:\s*)")
 

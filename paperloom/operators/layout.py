@@ -45,6 +45,7 @@ AUTHORS = (
 # The same, anywhere in a text of up to SHORT characters.
 LOOSE = (r"(?i)Republic\s*of\s*Korea", r"Korea[A-Z]", r"\bORCID\b.*\d")
 SHORT = 200
+# Headings of the body.
 BODY_HEADING = r"(?i)^(?:\d+\.?\s*)?(?:Introduction|Background|Methods|Results|Discussion|Conclusion|Experimental|Materials\s+(?:and|&)\s+Methods)\b"
 
 

@@ -13,9 +13,15 @@ LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\
 # The hyphen's name, the longer form first.
 HYPHEN_NAMES = (("/C0 ", "-"), ("/C0", "-"))
 SPACES = {"\u00a0": " ", "\u2009": " ", "\u200a": " "}
-#: Greek letters of the Symbol font by their ASCII code; the font stands at U+F000.
-SYMBOL_FONT = dict(zip("abcdefghijklmnopqrstuwxyzABCDEFGHIKLMNOPQRSTUWXYZ", "αβχδεφγηιϕκλµνοπθρστυωξψζΑΒΧΔΕΦΓΗΙΚΛΜΝΟΠΘΡΣΤΥΩΞΨΖ", strict=True))
-SYMBOLS = {chr(0xF000 + ord(a)): g for a, g in SYMBOL_FONT.items()}
+# Code points of the Symbol font and their Greek letters.
+SYMBOLS = {
+    "\uf041": "Α", "\uf042": "Β", "\uf043": "Χ", "\uf044": "Δ", "\uf045": "Ε", "\uf046": "Φ", "\uf047": "Γ", "\uf048": "Η", "\uf049": "Ι",
+    "\uf04b": "Κ", "\uf04c": "Λ", "\uf04d": "Μ", "\uf04e": "Ν", "\uf04f": "Ο", "\uf050": "Π", "\uf051": "Θ", "\uf052": "Ρ", "\uf053": "Σ",
+    "\uf054": "Τ", "\uf055": "Υ", "\uf057": "Ω", "\uf058": "Ξ", "\uf059": "Ψ", "\uf05a": "Ζ", "\uf061": "α", "\uf062": "β", "\uf063": "χ",
+    "\uf064": "δ", "\uf065": "ε", "\uf066": "φ", "\uf067": "γ", "\uf068": "η", "\uf069": "ι", "\uf06a": "ϕ", "\uf06b": "κ", "\uf06c": "λ",
+    "\uf06d": "µ", "\uf06e": "ν", "\uf06f": "ο", "\uf070": "π", "\uf071": "θ", "\uf072": "ρ", "\uf073": "σ", "\uf074": "τ", "\uf075": "υ",
+    "\uf077": "ω", "\uf078": "ξ", "\uf079": "ψ", "\uf07a": "ζ",
+}
 
 UNIT = "[mMlLsSnNgGΩ]"
 CITED = r"(\d+(?:\s*[-–]\s*\d+)*(?:,\s*\d+)*)"

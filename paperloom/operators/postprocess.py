@@ -51,6 +51,7 @@ NEEDED = ("onlinelibrary.wiley.com", "](http", "", "", "", "www.", "©", "doi:",
 
 # What tells a repeated paragraph as the publisher's.
 SIGNALS = r"(?dUi)https?://|www\.[a-z\-]+\.[a-z]{2,}|©|\d{4,7}\s*\(\d+\s*of\s*\d+\)|Downloaded from|published by|All rights reserved|licensee American Association|Use of this article is subject"
+# Citations, in order.
 CITATIONS = (
     (r"\[(\d+)\]\s*\[[–\-]\]\s*\[(\d+)\]", "[$1–$2]"),
     (r"\[(\d+)\]\s*[–\-]\s*\[(\d+)\]", "[$1–$2]"),
@@ -91,7 +92,9 @@ DROPS = (
     r"^Springer\s+Nature\s+or\s+its\s+licensor",
     r"^(?:[-*]\s*)?©\s*The\s+Author",
 )
+# Lines that no other is joined to.
 PROTECTED = r"^(?:$|#|- |\* |\d+\.|\||>|!\[|\$\$|\*\*Authors:\*\*|\*\*Affiliations:\*\*|\*\*\d+\.)"
+# Quirks of one extractor, in order.
 MARKER = (
     (r"!\[\]\(_page_\d+_Picture_\d+\.jpeg\)\n?", ""),
     (r"(?m)^- \[(\d+)\] ", "[$1] "),
@@ -99,6 +102,7 @@ MARKER = (
     (r"\\?\((\d{4})\)\.?", "($1)"),
     (r"(?Uim)^# ((?:Abstract|Introduction|Results?(?:\s+and\s+Discussion)?|Discussion|Conclusions?|Experimental(?:\s+Section)?|Methods?|Materials(?:\s+and\s+Methods)?|Summary|Acknowledgem\w+|Supporting\s+Information)\s*$)", "## $1"),
 )
+# Section names, banners and headings of references.
 NUMBERED = r"(?Ui)^(\d+\.\s+(?:Introduction|Results?(?:\s+and\s+Discussion)?|Discussion|Conclusions?|Experimental(?:\s+Section)?|Methods?|Materials(?:\s+and\s+Methods)?|Summary|Acknowledgem\w+|Supporting\s+Information|Supplementary).*)"
 
 

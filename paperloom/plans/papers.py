@@ -146,6 +146,30 @@ FORMULA_TEXTS = [r"\varepsilon_{x} = 3 \times 10^{-2} \mathrm{eV} \frac{a}{b}",
 FORMULA_PLAIN = ["εx=3×10-2eVa/b", "Δµa/b≤∇", "∓~eq≥≠≤ftarrow⇒∂√25%90°", "θηζzmax∞"]
 _FORMULAS = "SELECT doc_id, CASE doc_id % 4 " + " ".join(f"WHEN {k} THEN '{t.replace(chr(92), '@')}'" for k, t in enumerate(FORMULA_TEXTS)) + " END || CAST(doc_id AS STRING) AS f FROM documents"
 add("f_search_text", _FORMULAS, lambda d: d.select("doc_id", align.search_text(F.translate("f", "@", "\\")).alias("plain")), "SELECT doc_id, CASE doc_id % 4 " + " ".join(f"WHEN {k} THEN '{t}{'$' if k == 1 else ''}'" for k, t in enumerate(FORMULA_PLAIN)) + " END || doc_id AS plain FROM x")
+# every formula is put together of six pieces that the row's keys choose; ~ stands for a backslash, # for a line end
+PIECES = ["~mathrm { per  cent }", "x ^ { - 3 }", "_{ a b }", "~text{ a 1 }", "3 . 5", "3. 5", "1 2 3 4 5", "7  8", " ~frac { a } { b  c }", "y", "~alpha _ #{ 1 0 }", "^{2}", " ~beta ", "{ k  l }", "~sqrt#{ # 2 }"]
+_PIECE = lambda k: f"CASE ({k}) % {len(PIECES)} " + " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(PIECES)) + " END"
+LATEX = "SELECT l_orderkey AS doc_id, l_linenumber AS pos, " + " || ".join(_PIECE(k) for k in ("l_partkey", "l_suppkey", "l_partkey * 7 + l_linenumber", "l_suppkey * 3 + l_orderkey", "l_orderkey * 11", "l_partkey + l_suppkey + l_orderkey")) + " AS f FROM __LI__"
+
+
+def _regrouped(expr: str, pattern: str, made: str) -> str:
+    """SQL for every match z of a pattern replaced by ``made``."""
+    found = f"list_transform(regexp_extract_all({expr}, '{pattern}'), lambda z: {made})"
+    return f"array_to_string(list_transform(string_split_regex({expr}, '{pattern}'), lambda g, i: g || coalesce(({found})[i], '')), '')"
+
+
+def _tidy_sql(digits: str) -> str:
+    trimmed = lambda e: rf"regexp_replace({e}, '^\s+|\s+$', '', 'g')"
+    bare = r"regexp_replace(z, '\s+', '', 'g')"
+    group = r"regexp_extract(z, '^\\[a-zA-Z]+') || '{' || " + trimmed(r"regexp_replace(regexp_extract(z, '\{([^}]*)', 1), '\s+', ' ', 'g')") + " || '}'"
+    steps = [_regrouped("f", r"\\[a-zA-Z]+\s*\{[^}]*\}", group), _regrouped("f", r"\^\s*\{[^}]*\}", bare), _regrouped("f", r"_\s*\{[^}]*\}", bare)]
+    inner = f"SELECT doc_id, pos, {digits} AS f FROM x"
+    for step in steps:
+        inner = f"SELECT doc_id, pos, {step} AS f FROM ({inner})"
+    return f"SELECT doc_id, pos, {trimmed('f')} AS latex FROM ({inner})"
+
+
+add("f_tidy_latex", LATEX, lambda d: d.select("doc_id", "pos", align.tidy_latex(F.translate("f", "~#", "\\\n")).alias("latex")), "WITH y AS (" + _tidy_sql(r.duck_sub("replace(replace(f, '~', chr(92)), '#', chr(10))", [(r"(\d) (\d)", r"\1\2")] * 3 + [(r"(\d) \. (\d)", r"\1.\2")])) + ") SELECT * FROM y")
 SPAN = "SELECT doc_id, lang, CASE doc_id % 6 WHEN 0 THEN 'where $a$ = E x holds' WHEN 1 THEN 'where x holds ' || lang WHEN 2 THEN repeat('long line ', 9) || '$a$ and then x ends' WHEN 3 THEN repeat('long line ', 9) || '$a$ = 𝜈 k' WHEN 4 THEN repeat('long line ', 9) || ' plus + x and $b$' ELSE 'E = x' END AS region FROM documents"
 add("f_flexible_pattern", SPAN, lambda d: d.select("doc_id", (tk.position(F.col("region"), insertion.flexible_pattern(F.lit("ν k"))) + 1).cast("long").alias("at")), "SELECT doc_id, CAST(CASE WHEN doc_id % 6 = 3 THEN 97 ELSE 0 END AS BIGINT) AS at FROM x")
 add("f_math_context", SPAN, lambda d: d.withColumn("at", F.instr("region", "x") - 1).filter("at >= 0").select("doc_id", insertion.in_math_context(F.col("region"), F.col("at"), F.lit(1)).alias("in_math")), "SELECT doc_id, doc_id % 6 IN (0) OR (doc_id % 6 = 4) AS in_math FROM x WHERE contains(region, 'x')")

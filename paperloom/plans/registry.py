@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
 from ..functions.session import ship
-from ..operators import align, folds, latex, layout, learn, metadata, normalize, postprocess, score
+from ..operators import align, folds, latex, layout, learn, linediff, metadata, normalize, postprocess, score
 from ..sources import io
 from .md_docs import MD
 
@@ -304,7 +304,7 @@ add("f_unmatched_reason", {"x": ITEMS, "f": FORMULAS}, lambda s, f: align.unmatc
 FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.doc_id = f.doc_id AND m.pos = f.pos)""")
 add("f_slot_merge", {"x": ITEMS, "f": FORMULAS}, lambda s, f: align.merge_slots(s.filter("depth = 1"), f).select("doc_id", "page", F.col("k").cast("long").alias("k"), "slot_pos", "latex"), """WITH s AS (SELECT doc_id, page, pos AS slot_pos, row_number() OVER (PARTITION BY doc_id, page ORDER BY pos) AS k FROM x WHERE depth = 1),
 g AS (SELECT doc_id, page, latex, row_number() OVER (PARTITION BY doc_id, page ORDER BY t DESC, pos) AS k FROM f) SELECT doc_id, page, k, slot_pos, latex FROM s FULL JOIN g USING (doc_id, page, k)""")
-SUBFORMULAS = "SELECT l_orderkey % 500 AS doc_id, l_linenumber % 2 AS page, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_partkey % 2 = 0 THEN substr(('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag), 3, 8) ELSE ('item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag) END AS latex FROM __LI__"
+SUBFORMULAS = "SELECT l_orderkey % 500 AS doc_id, l_linenumber % 2 AS page, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) ELSE 'item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag END AS latex FROM __LI__"
 add("f_subformula_anti", SUBFORMULAS, lambda d: align.drop_subformulas(d, 5).select("doc_id", "pos"), "WITH y AS (SELECT *, regexp_replace(latex, '\\s+', '', 'g') AS bare FROM x) SELECT doc_id, pos FROM y WHERE NOT EXISTS (SELECT 1 FROM y g WHERE g.doc_id = y.doc_id AND g.page = y.page AND length(y.bare) >= 5 AND length(g.bare) > length(y.bare) AND contains(g.bare, y.bare))")
 add("f_overlap_greedy", "SELECT l_orderkey AS doc_id, CAST(l_partkey % 50 AS INT) AS s, CAST(l_partkey % 50 + l_suppkey % 9 AS INT) AS e FROM __LI__", lambda d: d.groupBy("doc_id").agg(align.accept_intervals(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end")))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n_kept"), F.aggregate("k", F.lit(0), lambda a, x: a + x["start"]).cast("long").alias("sum_start")), """WITH RECURSIVE o AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM x),
 w AS (SELECT doc_id, k, greatest(e, s + 1) AS last, 1 AS n, s AS t FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.k, CASE WHEN o.s >= w.last THEN greatest(o.e, o.s + 1) ELSE w.last END, w.n + CASE WHEN o.s >= w.last THEN 1 ELSE 0 END, w.t + CASE WHEN o.s >= w.last THEN o.s ELSE 0 END FROM w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1)
@@ -385,9 +385,18 @@ add("d_header_markdown", HEADERS, lambda d: d.select("doc_id", F.md5(metadata.he
 # folds, files
 text_query("p_abstract", postprocess.abstract)
 add("p_postprocess", MD, lambda d: postprocess.postprocess(d, "hybrid").select("doc_id", F.md5("md").alias("digest"), F.length("md").cast("long").alias("n_chars")))
-PAIRS = "SELECT doc_id, 'a' || chr(10) || text || chr(10) || 'end' AS original, CASE WHEN doc_id % 2 = 0 THEN 'a' || chr(10) || text || chr(10) || 'new end' || chr(10) || 'x $y$' ELSE text || chr(10) || 'end' END AS corrected FROM documents"
-add("l_diff", PAIRS, lambda d: folds.corrections(d, F.col("original"), F.col("corrected")), """WITH t AS (SELECT *, len(string_split(original, chr(10))) AS n, len(string_split(corrected, chr(10))) AS m FROM x)
-SELECT doc_id, CAST(n AS INT) AS line, 'end' AS "before", 'new end' AS "after", 'text_fix' AS type FROM t WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, CAST(m AS INT), '', 'x $y$', 'formula_fix' FROM t WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 1, 'a', NULL, 'boilerplate_removal' FROM t WHERE doc_id % 2 = 1""")
+# two versions of a text: an end changed and a formula added; a first line removed; all lines changed; two images in each other's place; no change
+PAIRS = r"""SELECT doc_id, CASE WHEN doc_id % 5 = 3 THEN '![a](1)' || chr(10) || 'k1' || chr(10) || 'k2' ELSE 'a' END || chr(10) || text || chr(10) || CASE WHEN doc_id % 5 = 3 THEN '![b](2)' || chr(10) ELSE '' END || 'end' AS original,
+  CASE doc_id % 5 WHEN 0 THEN 'a' || chr(10) || text || chr(10) || 'new end' || chr(10) || 'x $y$' WHEN 1 THEN text || chr(10) || 'end' WHEN 2 THEN '~a' || chr(10) || '~' || replace(text, chr(10), chr(10) || '~') || chr(10) || '~end'
+  WHEN 3 THEN '![b](2)' || chr(10) || 'k1' || chr(10) || 'k2' || chr(10) || text || chr(10) || '![a](1)' || chr(10) || 'end' ELSE 'a' || chr(10) || text || chr(10) || 'end' END AS corrected FROM documents"""
+_KIND = r"CASE WHEN regexp_matches({0}, '\$[^$]+\$') OR regexp_matches({1}, '\$[^$]+\$') THEN 'formula_fix' WHEN regexp_matches({0}, '^#{{1,6}}\s') OR regexp_matches({1}, '^#{{1,6}}\s') THEN 'heading_change' WHEN regexp_matches({0}, '!\[[^\]]*\]\([^)]*\)') OR regexp_matches({1}, '!\[[^\]]*\]\([^)]*\)') THEN 'image_reorder' ELSE 'text_fix' END"
+_STRIPPED = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+add("l_diff", PAIRS, lambda d: linediff.corrections(d, F.col("original"), F.col("corrected")), f"""WITH t AS (SELECT *, len(string_split(original, {NL})) AS n, len(string_split(corrected, {NL})) AS m FROM x),
+e AS (SELECT doc_id, unnest(range(1, n + 1)) AS line, {_STRIPPED.format(f"unnest(string_split(original, {NL}))")} AS "before", {_STRIPPED.format(f"unnest(string_split(corrected, {NL}))")} AS "after" FROM t WHERE doc_id % 5 = 2),
+k AS (SELECT *, CASE WHEN "before" = '' THEN {_KIND.format('"after"', '"after"')} ELSE {_KIND.format('"before"', '"after"')} END AS type FROM e)
+SELECT doc_id, CAST(n AS INT) AS line, 'end' AS "before", 'new end' AS "after", 'text_fix' AS type FROM t WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, CAST(m AS INT), '', 'x $y$', 'formula_fix' FROM t WHERE doc_id % 5 = 0 UNION ALL SELECT doc_id, 1, 'a', NULL, 'boilerplate_removal' FROM t WHERE doc_id % 5 = 1
+UNION ALL SELECT doc_id, CAST(line AS INT), "before", "after", type FROM k WHERE type <> 'image_reorder'
+UNION ALL SELECT doc_id, 2, 'position 1: ![a](1)', 'position 2: ![a](1)', 'image_reorder' FROM t WHERE doc_id % 5 = 3 UNION ALL SELECT doc_id, 1, 'position 2: ![b](2)', 'position 1: ![b](2)', 'image_reorder' FROM t WHERE doc_id % 5 = 3""")
 SPANS = "SELECT doc_id, pos, pos % 2 AS page, CASE WHEN pos = 3 THEN 'never there' ELSE substr(text, pos * CAST(floor(length(text) / 4) AS INT) + 1, 24) END AS normed, false AS is_caption FROM documents CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(pos) WHERE length(text) > 0"
 QUERIES["f_locate_spans"] = lambda spark, sf_dir: folds.locate_spans(source(spark, sf_dir, SPANS), source(spark, sf_dir, "SELECT doc_id, text AS md FROM documents")).select("doc_id", "pos", "md_start", "md_end")
 QUERIES["f_locate_spans_by_page"] = lambda spark, sf_dir: folds.locate_spans(source(spark, sf_dir, SPANS), source(spark, sf_dir, "SELECT doc_id, text AS md FROM documents"), by_page=True).select("doc_id", "pos", "md_start", "md_end")
@@ -396,6 +405,27 @@ SELECT s.doc_id, s.pos, strpos(text, normed) - 1 AS a, length(normed) AS n, grea
 UNION ALL SELECT s.doc_id, s.pos, CASE WHEN strpos(substr(text, cur + 1), normed) > 0 THEN cur + strpos(substr(text, cur + 1), normed) - 1 ELSE -1 END, length(normed), CASE WHEN strpos(substr(text, cur + 1), normed) > 0 THEN cur + strpos(substr(text, cur + 1), normed) ELSE cur END
 FROM w JOIN s ON s.doc_id = w.doc_id AND s.pos = w.pos + 1 JOIN documents d ON d.doc_id = s.doc_id)
 SELECT doc_id, pos, CAST(CASE WHEN a >= 0 THEN a END AS INT) AS md_start, CAST(CASE WHEN a >= 0 THEN a + n END AS INT) AS md_end FROM w"""
+
+
+def _page_steps() -> str:
+    """SQL for two pages of two spans each: the earlier one first, the second page from the first end found."""
+    at = lambda x, s: f"CASE WHEN {x} <> '' AND strpos(substr(text, {s} + 1), {x}) > 0 THEN {s} + strpos(substr(text, {s} + 1), {x}) - 1 WHEN length({x}) > 1 AND ends_with({x}, '-') AND strpos(substr(text, {s} + 1), left({x}, length({x}) - 1)) > 0 THEN {s} + strpos(substr(text, {s} + 1), left({x}, length({x}) - 1)) - 1 ELSE -1 END"
+    end = lambda x, s: f"CASE WHEN strpos(substr(text, {s} + 1), {x}) > 0 THEN {at(x, s)} + length({x}) ELSE {at(x, s)} + length({x}) - 1 END"
+    sql = "w0 AS (SELECT s.doc_id, any_value(text) AS text, " + ", ".join(f"any_value(normed) FILTER (WHERE pos = {k}) AS n{k}" for k in range(4)) + ", 0 AS base0 FROM s JOIN documents USING (doc_id) GROUP BY s.doc_id)"
+    for page in (0, 1):
+        a, b, base = f"n{page}", f"n{page + 2}", f"base{page}"
+        first = lambda x: f"CASE WHEN ({at(x, base)}) >= 0 THEN {at(x, base)} WHEN ({at(x, '0')}) >= 0 THEN {at(x, '0')} ELSE length(text) END"  # noqa: B023, E731
+        sql += f", f{page} AS (SELECT *, ({first(a)}) <= ({first(b)}) AS keep{page} FROM w{page})"
+        sql += f", o{page} AS (SELECT *, CASE WHEN keep{page} THEN {a} ELSE {b} END AS x{page}, CASE WHEN keep{page} THEN {b} ELSE {a} END AS y{page} FROM f{page})"
+        sql += f", p{page} AS (SELECT *, {at(f'x{page}', base)} AS sx{page}, {end(f'x{page}', base)} AS ex{page} FROM o{page})"
+        sql += f", c{page} AS (SELECT *, CASE WHEN sx{page} >= 0 THEN sx{page} + 1 ELSE {base} END AS cur{page} FROM p{page})"
+        sql += f", q{page} AS (SELECT *, {at(f'y{page}', f'cur{page}')} AS sy{page}, {end(f'y{page}', f'cur{page}')} AS ey{page} FROM c{page})"
+        sql += f", w{page + 1} AS (SELECT *, coalesce(least(CASE WHEN sx{page} >= 0 THEN ex{page} END, CASE WHEN sy{page} >= 0 THEN ey{page} END), {base}) AS base{page + 1} FROM q{page})"
+    rows = [f"SELECT doc_id, CASE WHEN keep{p} = {first} THEN {p} ELSE {p + 2} END AS pos, CASE WHEN s{v}{p} >= 0 THEN s{v}{p} END AS md_start, CASE WHEN s{v}{p} >= 0 THEN e{v}{p} END AS md_end FROM w2" for p in (0, 1) for v, first in (("x", "true"), ("y", "false"))]
+    return sql + " SELECT doc_id, pos, CAST(md_start AS INT) AS md_start, CAST(md_end AS INT) AS md_end FROM (" + " UNION ALL ".join(rows) + ")"
+
+
+ORACLE["f_locate_spans_by_page"] = f"WITH s AS ({SPANS}), {_page_steps()}"
 add("k_move_figures", "SELECT l_orderkey AS doc_id, l_linenumber AS pos, CASE l_partkey % 4 WHEN 0 THEN 'img' WHEN 1 THEN 'text' WHEN 2 THEN 'caption_inline' ELSE 'text' END AS type FROM __LI__", lambda d: folds.move_figures(d).select("doc_id", "pos", "order"))
 add("s_front_matter", "SELECT doc_id, '---' || chr(10) || 'title: \"' || source || '\"' || chr(10) || 'lang: ' || lang || chr(10) || '---' || chr(10) || text AS md FROM documents".replace('\\"', '"'), lambda d: d.withColumn("m", io.front_matter(F.col("md"))).select("doc_id", F.col("m")["title"].alias("title"), F.col("m")["lang"].alias("lang"), F.md5(io.without_front_matter(F.col("md"))).alias("digest")), "SELECT x.doc_id, source AS title, lang, md5(ltrim(text, chr(10))) AS digest FROM x JOIN documents USING (doc_id)")
 

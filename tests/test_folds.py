@@ -7,20 +7,6 @@ from paperloom.sources import io
 from paperloom.streaming import corrections
 
 
-def test_diff():
-    assert folds.diff("A\nX\nB", "A\nB") == [(2, "X", None)]
-    assert folds.diff("A\nX\nB", "A\nB", compat=True) == [(1, "A", None), (2, "X", "A")]
-    assert folds.diff("A\nX\nB", "A\nY\nB\nC") == [(2, "X", "Y"), (4, "", "C")]
-    assert folds.diff("", "") == [] and folds.diff("a", "") == [(1, "a", None)] and folds.diff(None, "a") == [(1, "", "a")]
-
-
-def test_places():
-    span = lambda pos, normed, page=1, cap=False: {"pos": pos, "page": page, "normed": normed, "is_caption": cap}
-    md = "the cat saw the dog *the cap* the end"
-    assert folds.locate(md, [span(0, "the"), span(1, "the"), span(2, "lost"), span(3, "the cap", cap=True), span(4, "end")]) == [(0, 0, 3), (1, 12, 15), (2, None, None), (3, 21, 28), (4, 34, 37)]
-    assert folds.locate_by_page(md, [span(0, "dog"), span(1, "the"), span(2, "end-", page=2)]) == [(1, 0, 3), (0, 16, 19), (2, 34, 37)]
-
-
 def test_order_of_figures():
     assert folds.figures_after_text(["text", "img", "caption_inline", "text", "text", "heading"]) == [0, 3, 4, 1, 2, 5]
     assert folds.figures_after_text(["heading", "img", "text"]) == [0, 1, 2]

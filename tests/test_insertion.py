@@ -17,8 +17,7 @@ def tidy(spark, latex):
 
 
 def pattern(text):
-    styled = insertion.variants()
-    return r"\s*".join(styled.get(c, re.escape(c)) for c in text)
+    return r"\s*".join(insertion.VARIANTS.get(c, re.escape(c)) for c in text)
 
 
 def in_context(region, at, n):
