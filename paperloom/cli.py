@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.session import ship
-from .operators import docx, folds, insertion, latex, learn, manuscript, metadata, normalize, postprocess, score
+from .operators import docx, folds, insertion, latex, learn, linediff, manuscript, metadata, normalize, postprocess, score
 from .sources import io
 
 TRUTH = "paper_key string, " + ", ".join(f"{k} {v}" for k, v in score.TRUTH.items())

@@ -80,19 +80,19 @@ def let(value: Column, body: Callable) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def scan(items: Column, zero: Column, kind: str, step: Callable) -> Column:
-    """The state after each item: ``step(state, item)`` from ``zero`` on, ``kind`` being a state's type.
+def scan(items: Column, zero: Column, kind: str, step: Callable, emit: Callable | None = None, out: str | None = None) -> Column:
+    """The state after each item, or of it what ``emit`` gives, of type ``out``: ``step(state, item)`` from ``zero`` on, ``kind`` being a state's type.
 
     An array that grows in a fold is copied at each step, so items go in runs of the root
     of their number: a step copies within a run, a run's end the list of runs.
     """
-    states = f"array<{kind}>"
+    states, given = f"array<{out or kind}>", emit or (lambda s: s)
     typed = lambda s: s.cast(kind)
-    pair = lambda s, out: F.struct(s.alias("s"), out.alias("out"))
+    pair = lambda s, made: F.struct(s.alias("s"), made.alias("out"))
 
     def runs(xs, width):
         cut = F.transform(F.sequence(F.lit(0), F.ceil(F.size(xs) / width).cast("int") - 1), lambda k: F.slice(xs, k * width + 1, width))
-        one = lambda s, run: F.aggregate(run, pair(s, F.array().cast(states)), lambda a, x: let(typed(step(a["s"], x)), lambda n: pair(n, F.array_append(a["out"], n))))
+        one = lambda s, run: F.aggregate(run, pair(s, F.array().cast(states)), lambda a, x: let(typed(step(a["s"], x)), lambda n: pair(n, F.array_append(a["out"], given(n)))))
         whole = F.aggregate(cut, pair(typed(zero), F.array().cast(f"array<{states}>")), lambda a, run: let(one(a["s"], run), lambda r: pair(r["s"], F.array_append(a["out"], r["out"]))))
         return F.flatten(whole["out"])
 

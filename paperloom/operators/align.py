@@ -120,10 +120,12 @@ def drop_subformulas(formulas: DataFrame, least: int = 20) -> DataFrame:
 
 
 def accept_intervals(intervals: Column) -> Column:
-    """Intervals ``struct<start, end>`` taken greedily by start, none over the end of the last (one character at least)."""
-    zero = F.struct(F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("kept"))
-    step = lambda a, x: F.when(x["start"] >= a["end"], F.struct(F.greatest(x["end"], x["start"] + 1).alias("end"), F.array_append(a["kept"], x).alias("kept"))).otherwise(a)
-    return F.aggregate(F.array_sort(intervals), zero, step, lambda a: a["kept"])
+    """Intervals (``start``, ``end`` and more) taken greedily in their order, which ``start`` leads, none over the end of the last (one character at least)."""
+    zero = F.struct(F.lit(-1).alias("end"), F.lit(False).alias("taken"))
+    state = lambda end, taken: F.struct(end.alias("end"), F.lit(taken).alias("taken"))
+    step = lambda a, x: F.when(x["start"] >= a["end"], state(F.greatest(x["end"], x["start"] + 1), True)).otherwise(state(a["end"], False))
+    taken = lambda xs: tk.scan(xs, zero, "struct<end:int,taken:boolean>", step, lambda a: a["taken"], "boolean")
+    return tk.let(F.array_sort(intervals), lambda xs: tk.let(taken(xs), lambda ts: F.filter(xs, lambda x, i: F.get(ts, i))))
 
 
 def tidy_latex(latex: Column) -> Column:

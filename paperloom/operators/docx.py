@@ -37,7 +37,7 @@ def merge_templates(md: Column, tables: Column, empty_rows: int = 2) -> Column:
 
             def number(bs):
                 # which table a line belongs to, counted from 0
-                counts = F.aggregate(bs, F.array().cast("array<int>"), lambda a, b: F.array_append(a, F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(-1)) + b))
+                counts = tk.scan(bs, F.lit(-1), "int", lambda a, b: a + b)
 
                 def out(ks):
                     template = lambda i: F.get(tables, F.get(ks, i))

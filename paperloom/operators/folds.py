@@ -6,9 +6,6 @@ spans, items or lines, never more.
 
 from __future__ import annotations
 
-import re
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,109 +118,3 @@ def move_figures(items: DataFrame) -> DataFrame:
 
     rows = items.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "type"))).alias("s"))
     return items.join(rows.select("doc_id", F.inline(ordered("s"))), ["doc_id", "pos"])
-
-
-# Greek letters that become commands, and small digits and letters.
-GREEK = {"ν": "nu", "ε": "varepsilon", "θ": "theta", "σ": "sigma", "μ": "mu", "α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "φ": "phi", "ψ": "psi", "ρ": "rho", "λ": "lambda", "ω": "omega", "η": "eta", "κ": "kappa", "χ": "chi", "ξ": "xi", "𝜈": "nu", "𝜃": "theta", "𝜀": "varepsilon", "ɛ": "varepsilon"}
-LOWERED, RAISED = str.maketrans("₀₁₂₃₄₅₆₇₈₉ₐₑₒₓ", "0123456789aeox"), str.maketrans("⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻", "0123456789+-")
-_LETTER = f"[{''.join(GREEK)}]"
-_SCRIPTED = re.compile("([A-Za-zα-ωΑ-Ω]*)([₀-₉ₐₑₒₓ⁰-⁹⁺⁻]+)")
-_MATH = re.compile(r"(\$[^$\n]+\$)")
-_FIGURE = re.compile(r"\s*(?:\*\*)?(?:Figure|Fig\.)\s+(\d+)[.|]", re.IGNORECASE)
-_DOTTED = re.compile(r"\.\s*\.\s*\.?\s*(?=(?:Fig\.?|Figure)\s+\d+[.|])", re.IGNORECASE)
-
-
-def _plain_parts(line: str, rule) -> str:
-    """A rule on what stands outside of inline formulas."""
-    return "".join(p if k % 2 else rule(p) for k, p in enumerate(_MATH.split(line)))
-
-
-def _scripts(m: re.Match) -> str:
-    """A word with small characters as a formula; one small character needs no braces."""
-    out = m[1]
-    for mark, table in (("_", LOWERED), ("^", RAISED)):
-        small = "".join(c for c in m[2] if ord(c) in table).translate(table)
-        if small:
-            out += f"{mark}{{{small}}}" if len(small) > 1 else mark + small
-    return f"${out}$"
-
-
-def inline_math(md: str) -> str:
-    """Greek letters and small characters outside of formulas as inline formulas; blocks between ``$$`` lines stay."""
-    out, block = [], False
-    named = lambda m: f"$\\{GREEK[m[1]]}$"
-    for line in md.split("\n"):
-        if line.strip() == "$$":
-            block = not block
-        elif not block:
-            line = re.sub(f"_({_LETTER})_", named, line)
-            line = _plain_parts(line, lambda p: _SCRIPTED.sub(_scripts, p))
-            line = _plain_parts(line, lambda p: re.sub(f"({_LETTER})", named, p))
-        out.append(line)
-    return "\n".join(out)
-
-
-def _bare(text: str) -> str:
-    return re.sub(r"\*\*", "", re.sub(r"\*\*([^*]+)\*\*", r"\1", text)).strip()
-
-
-def place_captions(md: str) -> str:
-    """Captions, several lines each, move behind the images as quotes: the k-th image
-    without a caption takes the k-th by figure number, of equal numbers the last read.
-    Captions of which there are more than images go."""
-    kept, captions, inside = [], {}, None
-    for line in md.split("\n"):
-        if _DOTTED.match(line.strip()):
-            line = _DOTTED.sub("", line.strip(), count=1)
-        m, bare = _FIGURE.match(line), line.strip()
-        if m:
-            inside = int(m[1])
-            captions[inside] = bare
-        elif inside is not None and bare and not bare.startswith(("#", "![", ">")):
-            captions[inside] += " " + bare
-        else:
-            inside = None
-            kept.append(line)
-            continue
-        if not kept or kept[-1] != "":
-            kept.append("")
-    if not captions:
-        return md
-    queue, out = [_bare(t) for _, t in sorted(captions.items())], []
-    for i, line in enumerate(kept):
-        out.append(line)
-        if queue and line.strip().startswith("!["):
-            after = next((x.strip() for x in kept[i + 1 :] if x.strip()), "")
-            if not after.startswith(("> ", "*Figure", "*Fig.")):
-                out += ["", "> " + queue.pop(0)]
-    return "\n".join(out)
-
-
-def _rule(fold) -> Column:
-    def column(md: Column) -> Column:
-        @F.pandas_udf("string")
-        def run(texts: pd.Series) -> pd.Series:
-            return texts.map(fold, na_action="ignore")
-
-        return run(md)
-
-    return column
-
-
-#: The two rules as columns.
-inline_math_rule, caption_rule = _rule(inline_math), _rule(place_captions)
-
-#: Rules that run in Python, and what they run.
-PYTHON_RULES = {inline_math_rule: inline_math, caption_rule: place_captions}
-
-
-def in_batches(docs: DataFrame, column: str, fold) -> DataFrame:
-    """A rule on a column by Arrow batches of whole rows: a step of its own in the plan,
-    where a Python column inside a later higher-order function could not be evaluated."""
-
-    def run(batches):
-        for b in batches:
-            b[column] = b[column].map(fold, na_action="ignore")
-            yield b
-
-    return docs.mapInPandas(run, docs.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
@@ -109,23 +109,20 @@ def insert_inline(docs: DataFrame, formulas: DataFrame, spans: DataFrame, pad_y:
     f = formulas.filter((F.col("type") == "inline") & (F.coalesce("latex", F.lit("")) != "") & (F.col("score") >= LEAST_SCORE))
     f = align.match_spans(f, spans, pad_y, pad_x).filter("span_pos is not null")
     s = spans.select("doc_id", F.col("pos").alias("span_pos"), F.col("md_start").alias("s_start"), F.col("md_end").alias("s_end"), F.col("l").alias("s_l"), F.col("r").alias("s_r"), F.length("normed").alias("s_length"))
-    f = f.join(s, ["doc_id", "span_pos"])
-    entry = F.struct("span_pos", (-F.col("l")).alias("from_right"), "pos", "latex", "l", "s_start", "s_end", "s_l", "s_r", "s_length")
+    f = f.join(s, ["doc_id", "span_pos"]).withColumn("first", F.min("pos").over(Window.partitionBy("doc_id", "span_pos")))
+    entry = F.struct("first", "span_pos", (-F.col("l")).alias("from_right"), "pos", "latex", "l", "s_start", "s_end", "s_l", "s_r", "s_length")
     held = f.groupBy("doc_id").agg(F.collect_list(entry).alias("_f"))
     docs = docs.join(held, "doc_id", "left")
     existing = F.transform(F.regexp_extract_all("md", F.lit(INLINE), F.lit(1)), lambda x: align.tidy_latex(tk.strip(x)))
 
     def ordered(fs):
         # spans in the order of their first formula, in each from the right
-        firsts = F.transform(fs, lambda x: F.array_min(F.transform(F.filter(fs, lambda y: y["span_pos"] == x["span_pos"]), lambda y: y["pos"])))
-        return F.array_sort(F.zip_with(firsts, fs, lambda a, x: F.struct(a.alias("first"), x["from_right"].alias("from_right"), x["pos"].alias("pos"), x.alias("f"))))
+        return F.array_sort(F.transform(fs, lambda x: F.struct(x["first"].alias("first"), x["from_right"].alias("from_right"), x["pos"].alias("pos"), x.alias("f"))))
 
     def accepted(fs):
         made = tk.let(existing, lambda ex: F.transform(ordered(fs), lambda x: replacement(F.col("md"), x["f"], ex)))
         order = F.filter(F.transform(made, lambda r, i: F.when(r.isNotNull(), F.struct(r["start"].alias("start"), i.alias("i"), r["end"].alias("end"), r["text"].alias("text")))), lambda r: r.isNotNull())
-        zero = F.struct(F.lit(-1).alias("last"), F.array().cast("array<struct<start:int,i:int,end:int,text:string>>").alias("kept"))
-        step = lambda a, x: F.when(x["start"] >= a["last"], F.struct(F.greatest(x["end"], x["start"] + 1).alias("last"), F.array_append(a["kept"], x).alias("kept"))).otherwise(a)
-        return F.aggregate(F.array_sort(order), zero, step, lambda a: a["kept"])
+        return align.accept_intervals(order)
 
     none = F.array().cast("array<struct<start:int,i:int,end:int,text:string>>")
     docs = docs.withColumn("_a", F.when(F.col("_f").isNotNull(), accepted(F.col("_f"))).otherwise(none))

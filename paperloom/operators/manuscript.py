@@ -230,7 +230,8 @@ def abstract(body: Column) -> Column:
     return tk.let(body, lambda t: F.when(t.rlike(section), headed(t)).otherwise(first(t)))
 
 
-_STATE = "struct<mode:string,buf:string,blank:int,figures:int,tables:int,out:array<struct<kind:string,text:string,more:string,n:int>>>"
+_PIECES = "array<struct<kind:string,text:string,more:string,n:int>>"
+_STATE = f"struct<mode:string,buf:string,blank:int,figures:int,tables:int,out:{_PIECES}>"
 
 
 def blocks(lines: Column) -> Column:
@@ -289,7 +290,10 @@ def blocks(lines: Column) -> Column:
         return tk.let(tk.strip(x), of)
 
     zero = F.struct(F.lit("top").alias("mode"), nothing.alias("buf"), F.lit(0).alias("blank"), F.lit(0).alias("figures"), F.lit(0).alias("tables"), F.array().cast("array<struct<kind:string,text:string,more:string,n:int>>").alias("out"))
-    return F.aggregate(lines, zero.cast(_STATE), lambda s, x: step(s, x).cast(_STATE), lambda s: closed(s)["out"])
+    # a state holds the blocks of its own line only; a null behind the last line closes what is open
+    nothing_yet = F.array().cast(_PIECES)
+    line = lambda s, x: F.when(x.isNotNull(), step(state(s, out=nothing_yet), x).cast(_STATE)).otherwise(closed(state(s, out=nothing_yet)).cast(_STATE))
+    return F.flatten(tk.scan(F.array_append(lines, F.lit(None)), zero.cast(_STATE), _STATE, line, lambda s: s["out"], _PIECES))
 
 
 def body(md: Column, keys: Column) -> Column:
@@ -327,7 +331,7 @@ PLACE = r"(?i)(?:University|Institute|College|Laboratory|Department|School of|Ce
 INITIALS = r"[A-Z][.\-][A-Z.\- ]{0,5}\s+[A-Z][a-z][A-Za-z\-]+"
 ABBREVIATED, NUMBERED = rf"^(?:{INITIALS})(?:,\s*(?:{INITIALS}))+", r"^[A-Z][a-z]+\s+[A-Z][a-z]+\s*\d+\s*,\s*[A-Z][a-z]+\s+[A-Z][a-z]+"
 SECTION = r"(?i)^(?:\d+[.\s]*)?(?:Introduction|Background|Methods?|Materials?\s+and\s+Methods?|Results?|Discussion|Conclusions?|Experimental|Supporting|Acknowledgem|References?|ARTICLES?|Online\s+content|Supplementary|Data\s+availability|Author\s+contributions?|Competing\s+interests?)\b"
-_FRONT = "struct<header:boolean,titled:boolean,held:array<string>,found:array<string>,out:array<string>>"
+_FRONT = "struct<header:boolean,titled:boolean,last:string,held:array<string>,found:array<string>,out:array<string>>"
 
 
 def without_front(md: Column, authors: Column) -> Column:
@@ -338,12 +342,13 @@ def without_front(md: Column, authors: Column) -> Column:
     ``authors``) go; other lines stay, set apart by blank lines.
     """
     names = F.filter(F.transform(authors, lambda a: F.lower(tk.strip(a))), lambda a: a != "")
-    flushed = lambda s: F.when(F.size(s["held"]) > 0, F.concat(s["found"], F.array(F.array_join(s["held"], " ")))).otherwise(s["found"])
     none = F.array().cast("array<string>")
-    apart = lambda s: F.when(F.coalesce(tk.strip(F.try_element_at(s["out"], F.lit(-1))), F.lit("")) != "", F.concat(s["out"], F.array(F.lit("")))).otherwise(s["out"])
+    flushed = lambda s: F.when(F.size(s["held"]) > 0, F.array(F.array_join(s["held"], " "))).otherwise(none)
+    put = lambda s, x: F.when(tk.strip(s["last"]) != "", F.array(F.lit(""), x)).otherwise(F.array(x))
 
-    def state(s, header=None, titled=None, held=None, found=None, out=None):
-        new = {"header": header, "titled": titled, "held": held, "found": found, "out": out}
+    def state(s, header=None, titled=None, last=None, held=None, found=None, out=None):
+        """The state after a line; ``found`` and ``out`` are what this line gives."""
+        new = {"header": header, "titled": titled, "last": last, "held": held, "found": none if found is None else found, "out": none if out is None else out}
         return F.struct(*((s[k] if v is None else F.lit(v) if isinstance(v, bool) else v).alias(k) for k, v in new.items()))
 
     def step(s, x):
@@ -351,13 +356,16 @@ def without_front(md: Column, authors: Column) -> Column:
             title = tk.strip(F.regexp_replace(t, r"^#+\s+", ""))
             people = F.size(F.filter(names, lambda a: F.lower(t).contains(a))) >= 2
             return (
-                F.when(~s["header"], state(s, out=F.concat(s["out"], F.array(x)))).when(t.startswith("#") & ~s["titled"], state(s, titled=True))
-                .when(t.startswith("#") & title.rlike(SECTION), state(s, header=False, held=none, found=flushed(s), out=F.concat(apart(s), F.array(x)))).when(t.startswith("#") | ~s["titled"], state(s))
+                F.when(~s["header"], state(s, last=x, out=F.array(x))).when(t.startswith("#") & ~s["titled"], state(s, titled=True))
+                .when(t.startswith("#") & title.rlike(SECTION), state(s, header=False, last=x, held=none, found=flushed(s), out=put(s, x))).when(t.startswith("#") | ~s["titled"], state(s))
                 .when(t == "", state(s, held=none, found=flushed(s))).when(t.rlike(PLACE), state(s, held=F.concat(s["held"], F.array(t)))).when(t.rlike(ABBREVIATED), state(s, held=F.array(t), found=flushed(s)))
-                .when(t.rlike(NUMBERED) | people, state(s, held=none, found=flushed(s))).otherwise(state(s, held=none, found=flushed(s), out=F.concat(apart(s), F.array(x))))
+                .when(t.rlike(NUMBERED) | people, state(s, held=none, found=flushed(s))).otherwise(state(s, last=x, held=none, found=flushed(s), out=put(s, x)))
             ).cast(_FRONT)
 
-        return tk.let(tk.strip(x), of)
+        return F.when(x.isNull(), state(s, found=flushed(s)).cast(_FRONT)).otherwise(tk.let(tk.strip(x), of))
 
-    zero = F.struct(F.lit(True).alias("header"), F.lit(False).alias("titled"), none.alias("held"), none.alias("found"), none.alias("out")).cast(_FRONT)
-    return F.aggregate(tk.lines(md), zero, step, lambda s: F.struct(F.array_join(s["out"], "\n").alias("body"), flushed(s).alias("affiliations")))
+    zero = F.struct(F.lit(True).alias("header"), F.lit(False).alias("titled"), F.lit("").alias("last"), none.alias("held"), none.alias("found"), none.alias("out")).cast(_FRONT)
+    kept = "struct<found:array<string>,out:array<string>>"
+    given = tk.scan(F.array_append(tk.lines(md), F.lit(None)), zero, _FRONT, step, lambda s: F.struct(s["found"].alias("found"), s["out"].alias("out")), kept)
+    every = lambda rows, name: F.flatten(F.transform(rows, lambda r: r[name]))
+    return tk.let(given, lambda rows: F.struct(F.array_join(every(rows, "out"), "\n").alias("body"), every(rows, "found").alias("affiliations")))

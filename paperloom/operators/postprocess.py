@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
-from . import folds
+from . import captions
 from . import normalize as nz
 
 # Entities, the ampersand first.
@@ -155,15 +155,14 @@ def mid_sentence(md: Column) -> Column:
         here, blank, after = tk.at(ls, i), tk.at(ls, i + 1), tk.at(ls, i + 2)
         return (tk.strip(blank) == "") & ~after.rlike(r"^(?:$|#|!|\$|\*\*|>|---)") & (tk.strip(here) != "") & ~here.rlike(r"^[#!\[]") & tk.strip(here).rlike("[a-z,]$") & tk.strip(after).rlike("^[a-z]")
 
-    zero = F.struct(F.lit(-3).alias("last"), F.array().cast("array<int>").alias("taken"))
-    step = lambda a, i: F.when(i >= a["last"] + 3, F.struct(i.alias("last"), F.array_append(a["taken"], i).alias("taken"))).otherwise(a)
-
     def taken(ls):
-        places = F.filter(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: F.coalesce(breaks(ls, i), F.lit(False)))
-        return F.aggregate(places, zero, step, lambda a: a["taken"])
+        # a mark for each line; of marks two lines apart the later one goes, from the front
+        marks = F.array_join(F.transform(ls, lambda x, i: F.when(breaks(ls, i), "x").otherwise(".")), "")
+        return F.split(F.regexp_replace(marks, r"x\.x", "x.."), "")
 
     def put(ls, t):
-        one = lambda x, i: F.when(F.array_contains(t, i - 1), "").when(F.array_contains(t, i - 2), F.concat(F.lit(" "), tk.strip(x))).otherwise(F.concat(F.when(i == 0, "").otherwise("\n"), x))
+        marked = lambda i: F.coalesce(tk.at(t, i) == "x", F.lit(False))
+        one = lambda x, i: F.when(marked(i - 1), "").when(marked(i - 2), F.concat(F.lit(" "), tk.strip(x))).otherwise(F.concat(F.when(i == 0, "").otherwise("\n"), x))
         return F.array_join(F.transform(ls, one), "")
 
     return tk.let(tk.lines(md), lambda ls: tk.let(taken(ls), lambda t: put(ls, t)))
@@ -261,12 +260,12 @@ def consolidate_references(md: Column) -> Column:
 
     def rule(ls):
         # state after each line: whether a bare number is open
-        step = lambda a, x: F.array_append(a, F.when(tk.strip(x).rlike(opens), F.lit(0)).when((F.element_at(a, -1) < 1) & tk.strip(x).rlike(bare), F.lit(1)).when(F.element_at(a, -1) > 0, F.lit(2)).otherwise(F.lit(0)))
-        states = F.aggregate(ls, F.array(F.lit(0)), step)
+        step = lambda a, x: F.when(tk.strip(x).rlike(opens), F.lit(0)).when((a < 1) & tk.strip(x).rlike(bare), F.lit(1)).when(a > 0, F.lit(2)).otherwise(F.lit(0))
+        states = tk.scan(ls, F.lit(0), "int", step)
 
         def put(st):
             def one(x, i):
-                here, after = tk.at(st, i + 1), tk.at(st, i + 2)
+                here, after = tk.at(st, i), tk.at(st, i + 1)
                 closing = F.when((here > 0) & (F.coalesce(after, F.lit(0)) != 2), "\n").otherwise("")
                 body = F.when(here == 2, F.when(tk.strip(x) == "", "").otherwise(F.concat(F.lit(" "), tk.strip(x)))).when(here == 1, F.concat(F.when(i == 0, "").otherwise("\n"), tk.strip(x))).otherwise(F.concat(F.when(i == 0, "").otherwise("\n"), x))
                 return F.concat(body, closing)
@@ -297,7 +296,13 @@ def page_images(md: Column, most: int = 2) -> Column:
     """
     pattern = r"!\[[^\]]*\]\([^)]+\.pdf-\d+-\d+\.[a-zA-Z]+\)"
     page = lambda r: F.regexp_extract(r, r"\.pdf-(\d+)-\d+\.[a-zA-Z]+\)$", 1)
-    kept = lambda refs: F.transform(refs, lambda r, i: F.when(F.size(F.filter(F.slice(refs, F.lit(1), i), lambda x: page(x) == page(r))) < most, r).otherwise(""))
+
+    def kept(refs):
+        # references by page, then place: one goes if the one ``most`` before it is of its page
+        ranked = lambda xs: F.array_sort(F.transform(xs, lambda x, k: F.struct(x["i"].alias("i"), F.when((k >= most) & (F.get(xs, k - most)["page"] == x["page"]), "").otherwise(F.get(refs, x["i"])).alias("r"))))
+        by_page = F.array_sort(F.transform(refs, lambda r, i: F.struct(page(r).alias("page"), i.alias("i"))))
+        return F.transform(tk.let(by_page, ranked), lambda x: x["r"])
+
     put = lambda t: F.array_join(F.zip_with(F.split(t, pattern, -1), F.concat(tk.let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), kept), F.array(F.lit(""))), lambda g, r: F.concat(g, r)), "")
     return blank_lines(tk.let(md, put))
 
@@ -319,7 +324,7 @@ def docling_quirks(md: Column) -> Column:
 
 #: The layers of post-processing; a journal paper's is the same with or without the hybrid engine.
 UNIVERSAL = (encoding, watermarks, spaces, citations, mid_sentence, blank_lines)
-JOURNAL_PAPER = (bold_headings, heading_levels, abstract, column_breaks, folds.inline_math_rule, latex_blocks, reference_numbers, consolidate_references, reference_boilerplate, folds.caption_rule)
+JOURNAL_PAPER = (bold_headings, heading_levels, abstract, column_breaks, captions.inline_math, latex_blocks, reference_numbers, consolidate_references, reference_boilerplate, captions.place_captions)
 ENGINES = {"marker": (marker_quirks,), "pymupdf4llm": (pymupdf_quirks,), "docling": (docling_quirks,)}
 
 
@@ -329,5 +334,5 @@ def postprocess(docs: DataFrame, engine: str | None = None, doc_type: str = "jou
     A projection a rule keeps each expression small; there is no shuffle between them.
     """
     for rule in (*UNIVERSAL, *(JOURNAL_PAPER if doc_type == "journal_paper" else ()), *ENGINES.get(engine, ()), blank_lines):
-        docs = folds.in_batches(docs, md, folds.PYTHON_RULES[rule]) if rule in folds.PYTHON_RULES else docs.withColumn(md, rule(F.col(md)))
+        docs = docs.withColumn(md, rule(F.col(md)))
     return docs

@@ -152,17 +152,11 @@ _PIECE = lambda k: f"CASE ({k}) % {len(PIECES)} " + " ".join(f"WHEN {i} THEN '{p
 LATEX = "SELECT l_orderkey AS doc_id, l_linenumber AS pos, " + " || ".join(_PIECE(k) for k in ("l_partkey", "l_suppkey", "l_partkey * 7 + l_linenumber", "l_suppkey * 3 + l_orderkey", "l_orderkey * 11", "l_partkey + l_suppkey + l_orderkey")) + " AS f FROM __LI__"
 
 
-def _regrouped(expr: str, pattern: str, made: str) -> str:
-    """SQL for every match z of a pattern replaced by ``made``."""
-    found = f"list_transform(regexp_extract_all({expr}, '{pattern}'), lambda z: {made})"
-    return f"array_to_string(list_transform(string_split_regex({expr}, '{pattern}'), lambda g, i: g || coalesce(({found})[i], '')), '')"
-
-
 def _tidy_sql(digits: str) -> str:
     trimmed = lambda e: rf"regexp_replace({e}, '^\s+|\s+$', '', 'g')"
     bare = r"regexp_replace(z, '\s+', '', 'g')"
     group = r"regexp_extract(z, '^\\[a-zA-Z]+') || '{' || " + trimmed(r"regexp_replace(regexp_extract(z, '\{([^}]*)', 1), '\s+', ' ', 'g')") + " || '}'"
-    steps = [_regrouped("f", r"\\[a-zA-Z]+\s*\{[^}]*\}", group), _regrouped("f", r"\^\s*\{[^}]*\}", bare), _regrouped("f", r"_\s*\{[^}]*\}", bare)]
+    steps = [r.regrouped("f", r"\\[a-zA-Z]+\s*\{[^}]*\}", group), r.regrouped("f", r"\^\s*\{[^}]*\}", bare), r.regrouped("f", r"_\s*\{[^}]*\}", bare)]
     inner = f"SELECT doc_id, pos, {digits} AS f FROM x"
     for step in steps:
         inner = f"SELECT doc_id, pos, {step} AS f FROM ({inner})"

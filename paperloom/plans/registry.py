@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
 from ..functions.session import ship
-from ..operators import align, folds, latex, layout, learn, linediff, metadata, normalize, postprocess, score
+from ..operators import align, captions, folds, latex, layout, learn, linediff, metadata, normalize, postprocess, score
 from ..sources import io
 from .md_docs import MD
 
@@ -441,8 +441,46 @@ add("m_title", MD, lambda d: d.select("doc_id", metadata.title(F.col("md")).alia
 add("m_authors", "SELECT doc_id, 'J. Doe 1,2, ' || source || ',* and K. Lee & M. Ray†' AS line FROM documents", lambda d: d.select("doc_id", F.array_join(F.transform(metadata.authors(F.col("line")), lambda a: F.concat(a["name"], F.when(a["corresponding"], "*").otherwise(""))), "|").alias("authors")), "SELECT doc_id, 'J. Doe|' || regexp_extract(line, '1,2, (.*),[*]', 1) || '*|K. Lee|M. Ray*' AS authors FROM x")
 add("s_zip_by_rank", {"x": CAPTIONS, "z": IMAGES}, lambda a, b: metadata.zip_by_rank(a.filter("type = 'caption'").select("doc_id", "pos"), b.select("doc_id", "pos", F.col("name").alias("value"))).select("doc_id", "pos", "matched"), "WITH a AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM x WHERE type = 'caption'), b AS (SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM z) SELECT a.doc_id, a.pos, b.name AS matched FROM a LEFT JOIN b ON a.doc_id = b.doc_id AND a.k = b.k")
 
-text_query("p_inline_math", folds.inline_math_rule)
-text_query("p_caption_zip", folds.caption_rule)
+#: Texts with Greek letters and small characters of several kinds, some of them in formulas and blocks.
+GREEKY = "SELECT doc_id, '_ν_ of E₁₂ x⁴ μ $α$ Tₓ⁻¹ Δ₂' || chr(10) || '$$' || chr(10) || 'α x₂' || chr(10) || ' $$ ' || chr(10) || translate(text, 'xqzvkj', 'ν𝜈₂⁴σ$') || chr(10) || CASE WHEN doc_id % 3 = 0 THEN '$$' ELSE 'β⁺ $x_ν$ _𝜃_γ' END || chr(10) || text || ' ω₁' AS md FROM documents"
+_SMALL = lambda z: "CASE WHEN length({0}) = 0 THEN '' WHEN length({0}) = 1 THEN '{1}' || {0} ELSE '{1}{{' || {0} || '}}' END".format(*z)
+_SCRIPTS = f"'$' || regexp_extract(z, '^([A-Za-zα-ωΑ-Ω]*)', 1) || " + _SMALL((f"translate(regexp_replace(z, '[^{captions.LOWERED}]', '', 'g'), '{captions.LOWERED}', '{captions.LOWERED_AS}')", "_")) + " || " + _SMALL((f"translate(regexp_replace(z, '[^{captions.RAISED}]', '', 'g'), '{captions.RAISED}', '{captions.RAISED_AS}')", "^")) + " || '$'"
+
+
+def regrouped(expr: str, pattern: str, made: str) -> str:
+    """SQL for every match z of a pattern replaced by ``made``."""
+    found = f"list_transform(regexp_extract_all({expr}, '{pattern}'), lambda z: {made})"
+    return f"array_to_string(list_transform(string_split_regex({expr}, '{pattern}'), lambda g, i: g || coalesce(({found})[i], '')), '')"
+
+
+def _outside(expr: str, made: str) -> str:
+    """SQL for ``made`` of every piece p between formulas."""
+    pattern = r"\$[^$\n]+\$"
+    return f"array_to_string(list_transform(string_split_regex({expr}, '{pattern}'), lambda p, i: ({made}) || coalesce((regexp_extract_all({expr}, '{pattern}'))[i], '')), '')"
+
+
+text_query("p_inline_math", captions.inline_math, sql=GREEKY)
+_NAMED = [(g, f"$\\{n}$") for g, n in captions.GREEK.items()]
+ORACLE["p_inline_math"] = f"""WITH x AS ({GREEKY}), {LINES.removeprefix("WITH ")},
+s AS (SELECT *, sum(CASE WHEN trim(line) = '$$' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) % 2 = 1 OR trim(line) = '$$' AS block FROM ln),
+a AS (SELECT *, {duck_swap("line", [(f"_{g}_", n) for g, n in _NAMED])} AS l1 FROM s), b AS (SELECT *, {_outside("l1", regrouped("p", "[A-Za-zα-ωΑ-Ω]*[₀-₉ₐₑₒₓ⁰-⁹⁺⁻]+", _SCRIPTS))} AS l2 FROM a),
+c AS (SELECT *, {_outside("l2", duck_swap("p", _NAMED))} AS l3 FROM b), y AS (SELECT doc_id, any_value(md) AS md, string_agg(CASE WHEN block THEN line ELSE l3 END, {NL} ORDER BY k) AS t FROM c GROUP BY doc_id) {DIGEST}"""
+#: Texts with captions of one and more lines, some of one number, and images with and without a caption.
+CAPTIONED = "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Fig. 7. at the top' || chr(10) ELSE '![](x)' || chr(10) || chr(10) END || text || chr(10) || '**Figure 2.** Two' || chr(10) || 'goes on' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN 'figure 1| One **bold**' ELSE '. . Fig. ' || CAST(doc_id % 5 AS STRING) || '. Dots' END || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'more' END || chr(10) || '![](y)' || chr(10) || '> kept' || chr(10) || '![](z)' || chr(10) || chr(10) || text || chr(10) || CASE WHEN doc_id % 7 = 0 THEN 'Fig. 2. Again' || chr(10) || '# End' ELSE '' END || chr(10) || '![](w)' || chr(10) || ' ![](v)' AS md FROM documents"
+text_query("p_caption_zip", captions.place_captions, sql=CAPTIONED)
+ORACLE["p_caption_zip"] = f"""WITH x AS ({CAPTIONED}), {LINES.removeprefix("WITH ")},
+d AS (SELECT doc_id, k, CASE WHEN regexp_matches(trim(line), '(?i)^\\.\\s*\\.\\s*\\.?\\s*(?:Fig\\.?|Figure)\\s+[0-9]+[.|]') THEN regexp_replace(trim(line), '^\\.\\s*\\.\\s*\\.?\\s*', '') ELSE line END AS line FROM ln),
+r AS (SELECT *, try_cast(regexp_extract(line, '(?i)^\\s*(?:\\*\\*)?(?:Figure|Fig\\.)\\s+([0-9]+)[.|]', 1) AS INT) AS num, regexp_matches(line, '(?i)^\\s*(?:\\*\\*)?(?:Figure|Fig\\.)\\s+[0-9]+[.|]') AS opens, regexp_matches(trim(line), '^(?:$|#|!\\[|>)') AS shuts FROM d),
+g AS (SELECT *, sum(CASE WHEN shuts AND NOT opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS grp, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS cap FROM r),
+i AS (SELECT *, coalesce(k >= min(CASE WHEN opens THEN k END) OVER (PARTITION BY doc_id, grp), false) AS inside FROM g),
+j AS (SELECT *, coalesce(lag(inside) OVER w, false) AS inside_before, lag(line) OVER w AS line_before FROM i WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+c AS (SELECT doc_id, cap, max(num) AS num, string_agg(trim(line), ' ' ORDER BY k) AS t FROM j WHERE inside GROUP BY doc_id, cap),
+q AS (SELECT doc_id, trim(regexp_replace(regexp_replace(arg_max(t, cap), '\\*\\*([^*]+)\\*\\*', '\\1', 'g'), '\\*\\*', '', 'g')) AS t, row_number() OVER (PARTITION BY doc_id ORDER BY num) AS nth FROM c GROUP BY doc_id, num),
+kept AS (SELECT doc_id, k, CASE WHEN inside THEN '' ELSE line END AS line FROM j WHERE NOT inside OR (NOT inside_before AND coalesce(line_before, '-') <> '')),
+f AS (SELECT *, lead(trim(line)) OVER (PARTITION BY doc_id ORDER BY k) AS nxt FROM kept WHERE trim(line) <> ''),
+e AS (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS nth FROM f WHERE starts_with(trim(line), '![') AND NOT coalesce(regexp_matches(nxt, '^(?:> |\\*Figure|\\*Fig\\.)'), false)),
+o AS (SELECT kept.doc_id, kept.k, line || CASE WHEN q.t IS NULL THEN '' ELSE {NL} || {NL} || '> ' || q.t END AS line FROM kept LEFT JOIN e ON e.doc_id = kept.doc_id AND e.k = kept.k LEFT JOIN q ON q.doc_id = e.doc_id AND q.nth = e.nth),
+y AS (SELECT x.doc_id, x.md, o.t FROM x JOIN (SELECT doc_id, string_agg(line, {NL} ORDER BY k) AS t FROM o GROUP BY doc_id) o USING (doc_id)) {DIGEST}"""
 add("b_report", MD, lambda d: score.report(score.score_unified(d)))
 ORACLE["b_report"] = f"WITH x AS ({MD}), {FEATURES_SQL}, {UNIFIED_SQL}, u AS (" + " UNION ALL ".join(f"SELECT doc_id, '{c}' AS category, \"{c}\" AS score, {m}.0::DOUBLE AS most, subtotal FROM sc" for c, m in score.MOST.items()) + ") SELECT doc_id, category, score, most, round(score / most, 4) AS share, CASE WHEN score / most >= 0.8 THEN 'green' WHEN score / most >= 0.6 THEN 'yellow' ELSE 'red' END AS color, round(subtotal * 100 / 95, 2) AS of_100 FROM u"
 

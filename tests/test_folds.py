@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paperloom.operators import folds, postprocess
+from paperloom.operators import captions, folds, postprocess
 from paperloom.sources import io
 from paperloom.streaming import corrections
 
@@ -43,12 +43,11 @@ def test_files_and_stream(spark, tmp_path):
     assert [(r.journal, r.type, r.n) for r in spark.table("changes").collect()] == [("unknown", "text_fix", 2)]
 
 
-def test_inline_math():
-    assert folds.inline_math("_ν_ and E₁₂ x⁴ μ $α$") == "$\\nu$ and $E_{12}$ $x^4$ $\\mu$ $α$"
-    assert folds.inline_math("$$\nα\n$$\nα") == "$$\nα\n$$\n$\\alpha$"
+def test_inline_math_and_captions(spark):
+    inline_math, place_captions = (lambda t, f=f: spark.range(1).select(f(F.lit(t)).alias("t")).first().t for f in (captions.inline_math, captions.place_captions))
+    assert inline_math("_ν_ and E₁₂ x⁴ μ $α$") == "$\\nu$ and $E_{12}$ $x^4$ $\\mu$ $α$"
+    assert inline_math("$$\nα\n$$\nα") == "$$\nα\n$$\n$\\alpha$"
 
-
-def test_captions():
     md = "![](a)\n\ntext\n\n![](b)\n\nend\n\n**Figure 2.** Two\ngoes on\n\n. . Fig. 1. One"
-    assert folds.place_captions(md) == "![](a)\n\n> Fig. 1. One\n\ntext\n\n![](b)\n\n> Figure 2. Two goes on\n\nend\n\n"
-    assert folds.place_captions("no figure") == "no figure"
+    assert place_captions(md) == "![](a)\n\n> Fig. 1. One\n\ntext\n\n![](b)\n\n> Figure 2. Two goes on\n\nend\n\n"
+    assert place_captions("no figure") == "no figure"
