@@ -49,26 +49,44 @@ def to_page_boxes(formulas: DataFrame, heights: DataFrame) -> DataFrame:
     return f.withColumns({"l": F.array_min(even) * SCALE, "r": F.array_max(even) * SCALE, "t": h - F.array_min(odd) * SCALE, "b": h - F.array_max(odd) * SCALE}).drop("height")
 
 
+#: Height of a band of a page in points, and the height up to which bands are told apart; what is beyond shares the last.
+BAND, HIGHEST = 64.0, 16384.0
+
+
+def band(y: Column) -> Column:
+    """The band of a page that a height is in."""
+    return F.floor(F.least(F.greatest(y, F.lit(-HIGHEST)), F.lit(HIGHEST)) / BAND).cast("int")
+
+
+def in_bands(boxes: DataFrame, low: Column, high: Column) -> DataFrame:
+    """Boxes, one row for each band they touch, with its number ``_band``: a point meets a box in the point's own band, once."""
+    return boxes.filter(low <= high).withColumn("_band", F.explode(F.sequence(band(low), band(high))))
+
+
 def match_spans(formulas: DataFrame, spans: DataFrame, pad_y: float = 30.0, pad_x: float = 10.0) -> DataFrame:
     """Each formula with the nearest located span of its page whose padded box holds its height and overlaps it; null if none.
 
-    A range join with document and page as equal keys; the nearest centre wins, then the first span.
+    A range join by document, page and band: a crowded page is dealt by height and compared
+    within bands only. The nearest centre wins, then the first span.
     """
     s = spans.filter("md_start is not null").select("doc_id", "page", F.col("pos").alias("span_pos"), *(F.col(c).alias(f"s_{c}") for c in "ltrb"))
+    s = in_bands(s, F.col("s_b") - pad_y, F.col("s_t") + pad_y)
     y = (F.col("t") + F.col("b")) / 2
-    near = [F.col("f.doc_id") == F.col("s.doc_id"), F.col("f.page") == F.col("s.page"), y.between(F.col("s_b") - pad_y, F.col("s_t") + pad_y), F.col("l") < F.col("s_r") + pad_x, F.col("r") > F.col("s_l") - pad_x]
+    near = [F.col("f.doc_id") == F.col("s.doc_id"), F.col("f.page") == F.col("s.page"), F.col("f._band") == F.col("s._band"), y.between(F.col("s_b") - pad_y, F.col("s_t") + pad_y), F.col("l") < F.col("s_r") + pad_x, F.col("r") > F.col("s_l") - pad_x]
     dist = F.abs(y - (F.col("s_t") + F.col("s_b")) / 2)
-    hits = formulas.alias("f").join(s.alias("s"), near).groupBy("f.doc_id", "f.pos").agg(F.min(F.struct(dist.alias("dist"), F.col("span_pos"))).alias("best"))
+    hits = formulas.withColumn("_band", band(y)).alias("f").join(s.alias("s"), near).groupBy("f.doc_id", "f.pos").agg(F.min(F.struct(dist.alias("dist"), F.col("span_pos"))).alias("best"))
     return formulas.join(hits, ["doc_id", "pos"], "left").withColumns({"span_pos": F.col("best.span_pos"), "dist": F.col("best.dist")}).drop("best")
 
 
 def unmatched_reason(formulas: DataFrame, spans: DataFrame, pad_y: float = 30.0) -> DataFrame:
     """Formulas without a span: ``x`` if some span of the page is at their height, else ``y``."""
     s = spans.filter("md_start is not null").select(F.col("doc_id").alias("s_doc"), F.col("page").alias("s_page"), F.col("t").alias("s_t"), F.col("b").alias("s_b"))
+    s = in_bands(s, F.col("s_b") - pad_y, F.col("s_t") + pad_y).withColumnRenamed("_band", "s_band")
     y = (F.col("t") + F.col("b")) / 2
-    level = (F.col("doc_id") == F.col("s_doc")) & (F.col("page") == F.col("s_page")) & y.between(F.col("s_b") - pad_y, F.col("s_t") + pad_y)
-    lost = formulas.filter("span_pos is null")
-    return lost.join(s, level, "left_semi").withColumn("reason", F.lit("x")).unionByName(lost.join(s, level, "left_anti").withColumn("reason", F.lit("y")))
+    level = (F.col("doc_id") == F.col("s_doc")) & (F.col("page") == F.col("s_page")) & (F.col("_y_band") == F.col("s_band")) & y.between(F.col("s_b") - pad_y, F.col("s_t") + pad_y)
+    lost = formulas.filter("span_pos is null").withColumn("_y_band", band(y))
+    both = lost.join(s, level, "left_semi").withColumn("reason", F.lit("x")).unionByName(lost.join(s, level, "left_anti").withColumn("reason", F.lit("y")))
+    return both.drop("_y_band")
 
 
 def merge_slots(slots: DataFrame, formulas: DataFrame) -> DataFrame:

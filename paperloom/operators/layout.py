@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
+from . import align
 
 LEAST_AREA, SHARE_OF_LARGEST, SHARE_OF_PAGE = 1600, 0.2, 0.95
 
@@ -97,14 +98,16 @@ def figure_ranges(boxes: DataFrame) -> DataFrame:
 def drop_figure_text(items: DataFrame, boxes: DataFrame) -> DataFrame:
     """Items of depth under 2 whose centre is in a figure's box go, and narrow ones beside a page's figures.
 
-    Both joins have document and page as equal keys and the geometry as a condition.
+    The first join has document, page and band as equal keys, as a page may hold many of
+    both; in the second a page has one row of figures.
     """
     on_page = ["doc_id", "page"]
-    f = boxes.select("doc_id", "page", *(F.col(c).alias(f"f_{c}") for c in "ltrb"))
+    f = align.in_bands(boxes.select("doc_id", "page", *(F.col(c).alias(f"f_{c}") for c in "ltrb")), F.col("f_b"), F.col("f_t"))
     x, y = (F.col("l") + F.col("r")) / 2, (F.col("t") + F.col("b")) / 2
     same = [F.col(f"i.{c}") == F.col(f"f.{c}") for c in on_page]
     inside = (F.col("i.depth") < 2) & x.between(F.col("f_l"), F.col("f_r")) & y.between(F.col("f_b"), F.col("f_t"))
-    items = items.alias("i").join(f.alias("f"), [*same, inside], "left_anti")
+    banded = items.withColumn("_band", align.band(y)).alias("i")
+    items = banded.join(f.alias("f"), [*same, F.col("i._band") == F.col("f._band"), inside], "left_anti").drop("_band")
     beside = (F.col("i.depth") < 2) & (F.col("r") - F.col("l") < 80) & y.between(F.col("bottom") - 100, F.col("top") + 450)
     return items.alias("i").join(figure_ranges(boxes).alias("f"), [*same, beside], "left_anti")
 

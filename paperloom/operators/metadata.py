@@ -150,15 +150,45 @@ def paper_metadata(docs: DataFrame, classes: dict | None = None, md: str = "md")
     return d.withColumn("meta", meta).drop("_t", "_l", "_p", "_a", "_h", "_f", "_c", "_m")
 
 
+#: Rule tables are held in every row's expression, up to so many bytes of text.
+RULE_BYTES = 1 << 20
+
+
+def held(rules: DataFrame, size: Column, *fields: Column) -> Column:
+    """A small table as one array of structs, its rows in order of their fields; a scalar in the plan, so rows meet it without a join."""
+    held_bytes = rules.agg(F.coalesce(F.sum(size.cast("long") + 16), F.lit(0)).alias("b")).first()["b"]
+    if held_bytes > RULE_BYTES:
+        raise ValueError(f"a table of rules holds {held_bytes} bytes, more than {RULE_BYTES}")
+    return rules.agg(F.array_sort(F.collect_list(F.struct(*fields)))).scalar()
+
+
 def classify(docs: DataFrame, rules: DataFrame, text: Column) -> DataFrame:
-    """The class whose keywords occur most in the text; equal scores go to the first rule; none gives empty strings.
+    """``docs`` with the class whose keywords the text holds most of, its ``hits``, and the ``minor`` class; equal scores go to the first rule, none gives empty strings.
 
-    ``rules``: ``ord, major, middle, kw``, a small table that is broadcast to the documents' condition.
+    ``rules``: ``ord, major, middle, kw``. All levels come from one pass over the text; rows that repeat stay.
     """
-    hits = docs.select("doc_id", F.lower(text).alias("t")).join(F.broadcast(rules), F.contains(F.col("t"), F.lower("kw")))
-    score = hits.groupBy("doc_id", "major", "middle").agg(F.count("*").alias("score"), F.min("ord").alias("ord"))
-    best = score.groupBy("doc_id").agg(F.max_by(F.struct("major", "middle", "score"), F.struct(F.col("score"), -F.col("ord"))).alias("best"))
-    return docs.join(best, "doc_id", "left").withColumns({"major": F.coalesce("best.major", F.lit("")), "middle": F.coalesce("best.middle", F.lit("")), "hits": F.coalesce("best.score", F.lit(0))}).drop("best")
+    rows = held(rules.filter("kw is not null"), F.octet_length("kw"), F.col("ord"), F.lower("kw").alias("kw"), F.coalesce("major", F.lit("")).alias("major"), F.coalesce("middle", F.lit("")).alias("middle"))
+
+    def best(found):
+        pair = lambda r: F.struct(r["major"].alias("major"), r["middle"].alias("middle"))
+        of = lambda c: tk.let(F.filter(found, lambda r: pair(r) == c), lambda mine: F.struct(F.size(mine).alias("n"), (-mine[0]["ord"]).alias("o"), c.alias("c")))
+        return F.array_max(F.transform(F.array_distinct(F.transform(found, pair)), of))
+
+    kept = docs.columns
+    d = docs.withColumns({"_t": F.lower(text), "_r": rows})
+    d = d.select(*kept, F.filter("_r", lambda r: F.contains(F.col("_t"), r["kw"])).alias("_f"), best_class(F.col("_t"), MINOR).alias("minor"))
+    d = d.select(*kept, "minor", best(F.col("_f")).alias("_b"))
+    return d.select(*kept, F.coalesce("_b.c.major", F.lit("")).alias("major"), F.coalesce("_b.c.middle", F.lit("")).alias("middle"), "minor", F.coalesce("_b.n", F.lit(0)).alias("hits"))
+
+
+def _first_profile(profiles: Column, fits) -> Column:
+    """The name of the first profile that fits."""
+    return F.get(F.filter(profiles, fits), F.lit(0))["pid"]
+
+
+def _profiles(profiles: DataFrame, *lists: str) -> Column:
+    size = sum((F.octet_length(F.array_join(F.coalesce(c, F.array().cast("array<string>")), "")) for c in lists), F.lit(64))
+    return held(profiles, size, F.col("ord"), F.col("pid"), *(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in lists))
 
 
 def match_journal(queries: DataFrame, profiles: DataFrame, query: str = "query") -> DataFrame:
@@ -166,20 +196,18 @@ def match_journal(queries: DataFrame, profiles: DataFrame, query: str = "query")
 
     ``profiles``: ``ord, pid, filename_keywords, journal_keywords``.
     """
-    q = F.lower(F.col(query))
-    form = F.translate(q, "- ", "__")
-    hit = F.exists("filename_keywords", lambda k: F.contains(form, F.replace(F.lower(k), F.lit("-"), F.lit("_")))) | F.exists("journal_keywords", lambda k: F.contains(q, F.lower(k)))
-    got = queries.join(F.broadcast(profiles), hit, "left").groupBy(*queries.columns).agg(F.min_by("pid", "ord").alias("pid"))
-    return got
+    q, form = F.col("_q"), F.translate("_q", "- ", "__")
+    fits = lambda p: F.exists(p["filename_keywords"], lambda k: F.contains(form, F.replace(F.lower(k), F.lit("-"), F.lit("_")))) | F.exists(p["journal_keywords"], lambda k: F.contains(q, F.lower(k)))
+    rows = queries.withColumns({"_q": F.lower(F.col(query)), "_p": _profiles(profiles, "filename_keywords", "journal_keywords")})
+    return rows.select(*queries.columns, _first_profile(F.col("_p"), fits).alias("pid"))
 
 
 def detect_profile(papers: DataFrame, profiles: DataFrame, key: str = "paper_key") -> DataFrame:
     """The profile that lists the paper, else the first with a keyword in its key, else ``unknown``."""
-    k = F.lower(F.col(key))
-    listed = F.array_contains("known_papers", F.col(key))
-    named = F.exists("filename_keywords", lambda w: F.contains(k, F.lower(w)))
-    got = papers.join(F.broadcast(profiles), listed | named, "left").groupBy(*papers.columns).agg(F.min_by("pid", F.struct((~F.coalesce(listed, F.lit(False))).alias("other"), F.col("ord"))).alias("journal"))
-    return got.withColumn("journal", F.coalesce("journal", F.lit("unknown")))
+    listed = lambda p: F.array_contains(p["known_papers"], F.col(key))
+    named = lambda p: F.exists(p["filename_keywords"], lambda w: F.contains(F.lower(F.col(key)), F.lower(w)))
+    rows = papers.withColumn("_p", _profiles(profiles, "known_papers", "filename_keywords"))
+    return rows.select(*papers.columns, F.coalesce(_first_profile(F.col("_p"), listed), _first_profile(F.col("_p"), named), F.lit("unknown")).alias("journal"))
 
 
 def unique_keys(refs: DataFrame) -> DataFrame:

@@ -353,8 +353,10 @@ add("b_score_rank", SCORES, lambda d: metadata.rank_scores(d).select("paper_key"
 # metadata
 # Classification rules in file order.
 TAXONOMY = "SELECT * FROM (VALUES (1, 'Display', 'LED', 'the'), (2, 'Electronics', 'Transistor', 'ing'), (3, 'Sensors', 'Strain', 'tion'), (4, 'Energy', 'Battery', 'heit'), (5, 'Energy', 'Battery', 'ung'), (6, 'Materials', 'Graphene', 'ción')) AS v(ord, major, middle, kw)"
-add("m_classify", {"x": "SELECT doc_id, text AS t FROM documents", "r": TAXONOMY}, lambda d, r: metadata.classify(d, r, F.col("t")).select("doc_id", "major", "middle", F.col("hits").cast("long").alias("hits")), """WITH h AS (SELECT doc_id, major, middle, count(*) AS n, min(ord) AS o FROM x JOIN r ON contains(lower(t), kw) GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, o) AS k FROM h)
-SELECT x.doc_id, coalesce(major, '') AS major, coalesce(middle, '') AS middle, coalesce(n, 0) AS hits FROM x LEFT JOIN b ON b.doc_id = x.doc_id AND b.k = 1""")
+_HELD = lambda words: " + ".join(f"CASE WHEN contains(lower(t), '{w}') THEN 1 ELSE 0 END" for w in words)
+_MINOR_OF = f"SELECT *, {_HELD(['material', 'elastomer', 'polymer', 'composite', 'alloy', 'liquid metal', 'pdms', 'substrate', 'oxide skin', 'hydrogel', 'film'])} AS a, {_HELD('fabrication process printing lithography transfer coating deposition etching sintering annealing'.split())} AS b, {_HELD('device display sensor actuator led transistor electrode battery capacitor'.split())} AS c FROM x"
+add("m_classify", {"x": "SELECT doc_id, text AS t FROM documents", "r": TAXONOMY}, lambda d, r: metadata.classify(d, r, F.col("t")).select("doc_id", "major", "middle", "minor", F.col("hits").cast("long").alias("hits")), f"""WITH h AS (SELECT doc_id, major, middle, count(*) AS n, min(ord) AS o FROM x JOIN r ON contains(lower(t), kw) GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, o) AS k FROM h), m AS ({_MINOR_OF})
+SELECT m.doc_id, coalesce(major, '') AS major, coalesce(middle, '') AS middle, CASE WHEN greatest(a, m.b, c) = 0 THEN '' WHEN a >= m.b AND a >= c THEN '소재' WHEN m.b >= c THEN '공정' ELSE '소자' END AS minor, coalesce(n, 0) AS hits FROM m LEFT JOIN b ON b.doc_id = m.doc_id AND b.k = 1""")
 # Journal profiles in match order (file keywords, journal keywords, known papers).
 PROFILES = (("wiley_advanced_science", ("adma", "adfm", "small-str"), ("Advanced Materials", "Small"), ("p1", "p2")), ("springer_nature", ("nature", "npj"), ("Nature", "npj"), ("p3",)), ("aaas_science", ("sciadv",), ("Science",), ("p4",)), ("elsevier", ("sna",), ("Sensors and Actuators", "Advanced Energy Materials"), ()), ("acs", ("acs", "nl"), ("ACS Nano", "Nano Letters"), ("p9",)))
 JOURNALS = "SELECT l_orderkey AS id, l_linenumber AS pos, CASE l_partkey % 7 WHEN 0 THEN 'npj-2d' WHEN 1 THEN 'Advanced Energy Materials' WHEN 2 THEN 'ACS Nano 2024' WHEN 3 THEN 'small str 12' WHEN 4 THEN 'Sciadv paper' WHEN 5 THEN 'other' ELSE 'zz' END AS query, 'p' || CAST(l_partkey % 12 AS STRING) || CASE WHEN l_suppkey % 3 = 0 THEN '_acs' ELSE '' END AS paper_key FROM __LI__"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import session
 from paperloom.functions import textkit as tk
-from paperloom.operators import align, captions, folds, linediff, manuscript, postprocess
+from paperloom.operators import align, captions, folds, layout, linediff, manuscript, metadata, postprocess
 
 
 def by_key(df, key, value):
@@ -338,3 +338,71 @@ def test_long_texts_take_time_in_proportion(spark):
                 df.first()
                 took[n] = time.time() - start
         assert took[30_000] < 25 * took[3_000] + 2, (name, took)
+
+
+# boxes on pages, rules of classes
+
+
+def test_boxes_meet_in_bands(spark):
+    rng = random.Random(12)
+    box = lambda top: (x := rng.uniform(0, 500), y := rng.choice([rng.uniform(-50, 900), rng.uniform(-50, 900), 1e7, -1e7]), x + rng.uniform(-5, 80), y + rng.choice([12, 12, 300, top, -100]))
+    formulas = [(rng.randint(0, 2), k, rng.randint(0, 2), *box(10)) for k in range(300)] + [(0, 900, 0, None, None, 5.0, 5.0)]
+    spans = [(rng.randint(0, 2), k, rng.randint(0, 2), *box(2e7), rng.choice([None, 1, 1])) for k in range(300)] + [(0, 901, 0, 1.0, None, 5.0, 5.0, 1)]
+    f = spark.createDataFrame(formulas, "doc_id int, pos int, page int, l double, b double, r double, t double")
+    s = spark.createDataFrame(spans, "doc_id int, pos int, page int, l double, b double, r double, t double, md_start int")
+    matched = align.match_spans(f, s)
+    got = {r.pos: (r.span_pos, r.dist) for r in matched.collect()}
+    reasons = {r.pos: r.reason for r in align.unmatched_reason(matched, s).collect()}
+    want, why = {}, {}
+    for d, k, p, l, b, r, t in formulas:
+        best, level = None, False
+        for e, n, q, sl, sb, sr, st, at in spans:
+            if (d, p) != (e, q) or at is None or None in (b, t, sb, st):
+                continue
+            y = (t + b) / 2
+            if sb - 30 <= y <= st + 30:
+                level = True
+                if l < sr + 10 and r > sl - 10:
+                    here = (abs(y - (st + sb) / 2), n)
+                    best = here if best is None or here < best else best
+        want[k] = (best[1], best[0]) if best else (None, None)
+        if not best:
+            why[k] = "x" if level else "y"
+    assert got == want and reasons == why
+    items = f.withColumn("depth", F.col("pos") % 3)
+    kept = sorted(r.pos for r in layout.drop_figure_text(items, s).select("pos").collect())
+    figures = [x for x in spans if None not in x[3:7]]
+    lost = set()
+    for d, k, p, l, b, r, t in formulas:
+        if k % 3 < 2 and None not in (l, b, r, t):
+            x, y = (l + r) / 2, (t + b) / 2
+            mine = [g for g in spans if (g[0], g[2]) == (d, p)]
+            low, high = min((g[4] for g in mine if g[4] is not None), default=None), max((g[6] for g in mine if g[6] is not None), default=None)
+            if any(g[3] <= x <= g[5] and g[4] <= y <= g[6] for g in figures if (g[0], g[2]) == (d, p)) or (low is not None and r - l < 80 and low - 100 <= y <= high + 450):
+                lost.add(k)
+    assert kept == sorted(k for _, k, *_ in formulas if k not in lost)
+
+
+def test_a_crowded_page_is_dealt_by_height(spark):
+    """50,000 lines and as many formulas on one page of a scroll: no task has a tenth of them."""
+    at = lambda n: spark.range(n).select(F.lit(1).alias("doc_id"), F.col("id").cast("int").alias("pos"), F.lit(1).alias("page"), F.lit(0.0).alias("l"), F.lit(50.0).alias("r"), ((F.col("id") % 16000) * 1.0).alias("b"), ((F.col("id") % 16000) + 0.5).alias("t"), F.lit(1).alias("md_start"))
+    start = time.time()
+    got = align.match_spans(at(50000), at(50000))
+    assert got.filter("span_pos is null or dist > 0").count() == 0 and time.time() - start < 120
+    bands = align.in_bands(at(50000), F.col("b"), F.col("t")).groupBy("_band").count().agg(F.max("count"), F.count("*")).first()
+    assert bands[0] < 5000 and bands[1] > 200
+
+
+def test_classes_of_repeated_rows(spark):
+    rules = spark.createDataFrame([(2, "B", "b", "alpha"), (1, "A", "a", "BETA"), (3, "B", "b", "gamma"), (4, None, "n", "delta"), (5, "C", "c", None)], "ord int, major string, middle string, kw string")
+    docs = spark.createDataFrame([(1, "alpha beta", "x"), (1, "alpha beta", "x"), (1, "Alpha gamma beta film", "y"), (2, None, "z"), (3, "delta", "z"), (None, "none", "z")], "doc_id int, t string, major_x string")
+    got = metadata.classify(docs, rules, F.col("t"))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, (tuple(r)[3:] for r in got.collect()))) == sorted(map(str, [("A", "a", "", 1), ("A", "a", "", 1), ("B", "b", "소재", 2), ("", "", "", 0), ("", "n", "", 1), ("", "", "", 0)]))
+    profiles = spark.createDataFrame([(2, "two", ["ad-x"], ["Small"], ["p1"]), (1, "one", ["zz"], None, None)], "ord int, pid string, filename_keywords array<string>, journal_keywords array<string>, known_papers array<string>")
+    q = spark.createDataFrame([("Ad X 3",), ("Ad X 3",), ("zz small",), ("no",), (None,)], "query string")
+    assert [r.pid for r in metadata.match_journal(q, profiles).collect()] == ["two", "two", "one", None, None]
+    keys = spark.createDataFrame([("p1",), ("p1",), ("azz",), ("q",)], "paper_key string")
+    assert [r.journal for r in metadata.detect_profile(keys, profiles).collect()] == ["two", "two", "one", "unknown"]
+    with pytest.raises(ValueError):
+        metadata.classify(docs, rules.withColumn("kw", F.repeat(F.lit("x"), 1 << 20)), F.col("t"))
