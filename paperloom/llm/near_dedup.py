@@ -301,8 +301,12 @@ def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(sized(wanted), ["h1", "h2"]).filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
 
 
+#: Texts from which the common order of words is fitted; every order is exact, this one keeps the rarest words first.
+ORDER_TEXTS = 1000
+
+
 def _frequencies(texts: DataFrame) -> np.ndarray:
-    """How often words occur in texts, as powers of two, by hashed place: a table of fixed size that gives words a common order."""
+    """How often words occur in ``ORDER_TEXTS`` texts, as powers of two, by hashed place: a table of fixed size that gives words a common order."""
 
     def counted(batches):
         held = np.zeros(PLACES, np.int64)
@@ -337,7 +341,8 @@ def _by_rare_words(apart: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataF
     names = apart.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("name"))
     apart = settled(apart.join(names, "key").select(F.col("name").alias("key"), "node", "n_words", "component").distinct())
     texts = _texts(_wanted(apart.select("node").distinct(), nodes), docs)
-    sent = docs.sparkSession.sparkContext.broadcast(_frequencies(texts))
+    some = apart.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(ORDER_TEXTS)
+    sent = docs.sparkSession.sparkContext.broadcast(_frequencies(_texts(_wanted(some, nodes), docs)))
 
     @F.pandas_udf("array<long>")
     def taken(texts: pd.Series) -> pd.Series:
