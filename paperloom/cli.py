@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions.session import ship
 from .operators import docx, folds, insertion, latex, learn, linediff, manuscript, metadata, normalize, postprocess, score
-from .sources import io
+from .sources import files, io
 
 TRUTH = "paper_key string, " + ", ".join(f"{k} {v}" for k, v in score.TRUTH.items())
 SCORES = "paper_key string, key_name string, total double"
@@ -76,7 +76,7 @@ def benchmark(spark, a) -> int:
 
 
 def to_latex(spark, a) -> int:
-    """Papers as LaTeX and BibTeX, Parquet rows by document."""
+    """Papers as LaTeX and BibTeX: ``submission.tex`` and ``references.bib`` in a folder each, or Parquet rows with ``--rows``."""
     docs = io.read_markdown(spark, a.markdown).withColumn("y", io.front_matter_lists(F.col("md")))
     one = lambda k: F.coalesce(F.get(F.try_element_at("y", F.lit(k)), F.lit(0)), F.lit(""))
     many = lambda k: F.coalesce(F.try_element_at("y", F.lit(k)), F.array().cast("array<string>"))
@@ -88,7 +88,12 @@ def to_latex(spark, a) -> int:
     affs = F.when(F.size(many("affiliations")) > 0, many("affiliations")).otherwise(F.col("f.affiliations"))
     title = manuscript.title_block(one("title"), many("authors"), affs, one("email"), many("keywords"), F.lit(a.journal))
     tex = manuscript.submission(latex.preamble(F.lit(a.journal)), F.lit(a.journal), title, F.col("a.abstract"), manuscript.body(F.col("a.body"), F.col("keys")))
-    docs.select("doc_id", tex.alias("tex")).join(latex.bibtex(refs.drop("bib_key")), "doc_id", "left").write.mode("overwrite").parquet(a.out)
+    made = docs.select("doc_id", tex.alias("tex")).join(latex.bibtex(refs.drop("bib_key")), "doc_id", "left")
+    if a.rows:
+        made.write.mode("overwrite").parquet(a.out)
+    else:
+        none = F.lit(None).cast("string")
+        files.write_files(files.submission_files(made, F.col("tex"), F.coalesce("bib", F.lit("")), none, F.lit(None).cast("array<string>")), a.out)
     return 0
 
 
@@ -97,7 +102,6 @@ def track(spark, a) -> int:
     ship(spark)
     both = io.read_markdown(spark, a.original).withColumnRenamed("md", "was").join(io.read_markdown(spark, a.corrected).withColumnRenamed("md", "now"), "doc_id")
     c = linediff.corrections(both, F.col("was"), F.col("now"))
-    c = c.withColumn("type", learn.classify(F.col("before"), F.col("after")))
     entries = c.groupBy(F.col("doc_id").alias("paper_key")).agg(F.collect_list(F.struct("type", F.col("line").cast("int").alias("line"), "before", "after")).alias("corrections"))
     io.append_log(entries.withColumns({"timestamp": F.current_timestamp(), "journal_profile": F.lit(a.journal)}), a.log)
     show(learn.counts(c.withColumn("paper_key", F.col("doc_id"))), a.most, a.json)
@@ -154,7 +158,7 @@ def parser() -> argparse.ArgumentParser:
     for name, engine in (("paper", "hybrid"), ("paper-fast", "pymupdf4llm")):
         command(name, paper, arg("markdown"), arg("formulas"), arg("out"), arg("--spans"), arg("--engine", default=engine))
     command("score", benchmark, arg("markdown", nargs="?", default="."), arg("--truth"), arg("--elapsed", type=float), arg("--quick", action="store_true"), arg("--unified", action="store_true"), arg("--save"), arg("--scores"), arg("--profiles"), arg("--match"), arg("--match-profiles"))
-    command("latex", to_latex, arg("markdown"), arg("out"), arg("--journal", default="generic", choices=sorted(latex.PREAMBLES)))
+    command("latex", to_latex, arg("markdown"), arg("out"), arg("--journal", default="generic", choices=sorted(latex.PREAMBLES)), arg("--rows", action="store_true", help="Parquet rows, no files"))
     command("track", track, arg("original"), arg("corrected"), arg("log"), arg("--journal", default="unknown"))
     command("learn", learner, arg("log"), arg("params"), arg("--apply"))
     command("guard", guard, arg("scores"), arg("--freeze"), arg("--check"), arg("--baseline"), arg("--profiles"))

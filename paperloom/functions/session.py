@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,19 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, held)])
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; a temporary one only where all runs on one machine and none is set."""
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    named = sc.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
+    if not named and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "paperloom-checkpoints"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 #: A table is broadcast up to so many bytes, and shuffled beyond.
 BROADCAST_BYTES = 24 << 20
 

@@ -506,4 +506,4 @@ SELECT doc_id, pos, content FROM z WHERE NOT ({_HAS(layout.TEMPLATE)}) AND (head
 
 ORACLE = {k: v.replace("__LI__", LI) for k, v in ORACLE.items()}
 
-from . import papers  # noqa: E402, F401  more queries, added to the same tables
+from . import files, papers  # noqa: E402, F401  more queries, added to the same tables

@@ -24,7 +24,10 @@ def test_scores_and_latex(spark, tmp_path, capsys):
     assert got[0]["doc_id"] == "p" and got[0]["speed"] == 5.0 and got[0]["total"] == got[0]["subtotal"] + 5
     assert cli.main(["--json", "score", str(tmp_path / "in"), "--quick"], spark) == 0 and printed(capsys)[0]["total"] > 0
     assert cli.main(["latex", str(tmp_path / "in"), str(tmp_path / "tex")], spark) == 0
-    r = spark.read.parquet(str(tmp_path / "tex")).collect()[0]
+    assert sorted(x.name for x in (tmp_path / "tex/p").iterdir() if not x.name.startswith(".")) == ["references.bib", "submission.tex"]
+    assert cli.main(["latex", str(tmp_path / "in"), str(tmp_path / "rows"), "--rows"], spark) == 0
+    r = spark.read.parquet(str(tmp_path / "rows")).collect()[0]
+    assert (tmp_path / "tex/p/submission.tex").read_text() == r.tex and (tmp_path / "tex/p/references.bib").read_text() == r.bib
     assert r.tex.startswith("\\documentclass") and "\\cite{Doe2020}" in r.tex and "\\section{Introduction}" in r.tex and "@article{Doe2020" in r.bib
 
 
