@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.session import shared_dir
-from ..operators import docx
+from ..operators import docx, learn
 from ..sources import files
+from ..sources.store import Store
 from ..streaming import corrections
 from . import registry as r
 
@@ -78,3 +79,15 @@ def streamed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 r.QUERIES["l_log_stream"] = streamed_log
 r.ORACLE["l_log_stream"] = f"WITH x AS ({LOG.replace('__LI__', r.LI)}) SELECT DATE '2024-01-01' + CAST(day AS INT) AS day, coalesce(journal, 'unknown') AS journal, type, count(*) AS n FROM x GROUP BY ALL"
+
+
+def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score table in a store: a first version, changed by newer scores, read back."""
+    held = Store(spark, place(spark, "scores"))
+    held.update(lambda old: r.source(spark, sf_dir, r.SCORES))
+    held.update(lambda old: learn.upsert(old, r.source(spark, sf_dir, r.NEWER), ["paper_key", "key_name"]))
+    return held.read()
+
+
+r.QUERIES["s_score_store"] = stored_scores
+r.ORACLE["s_score_store"] = r.ORACLE["s_upsert"]

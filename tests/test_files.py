@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paperloom.operators import docx
 from paperloom.sources import files
+from paperloom.sources.store import Conflict, Store
 from paperloom.streaming import corrections
 
 
@@ -76,3 +77,27 @@ def test_the_log_is_counted_once_over_restarts(spark, tmp_path):
     assert run() == second
     (tmp_path / "log/3.json").write_text(entry(1, ["text_fix"]) + "\n" + entry(8, ["text_fix"]) + "\n")  # the first is too late
     assert run() == second | {(8, "acs", "text_fix"): 1}
+
+
+def test_versions_of_a_store(spark, tmp_path):
+    held = Store(spark, f"file://{tmp_path}/s")
+    assert held.version() == 0 and held.read() is None
+    one = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert held.update(lambda old: one) == 1
+    assert held.update(lambda old: old.unionAll(spark.createDataFrame([("b", 2)], "k string, v int"))) == 2
+    assert sorted(map(tuple, held.read().collect())) == [("a", 1), ("b", 2)] and [tuple(r) for r in held.read(1).collect()] == [("a", 1)]
+    with pytest.raises(Conflict):
+        held.write(one, 1)  # from a version that is no longer the newest
+    assert held.version() == 2 and sorted(map(tuple, held.read().collect())) == [("a", 1), ("b", 2)]
+    assert len([p for p in (tmp_path / "s").iterdir() if p.name.startswith("rows-")]) == 2  # nothing is left of it
+
+    calls = []
+
+    def late(old):
+        calls.append(1)
+        if len(calls) == 1:  # another writer is faster
+            Store(spark, f"file://{tmp_path}/s").update(lambda o: o.filter("k = 'a'"))
+        return old.withColumn("v", F.col("v") * 10)
+
+    assert held.update(late) == 4 and len(calls) == 2
+    assert [tuple(r) for r in held.read().collect()] == [("a", 10)]
