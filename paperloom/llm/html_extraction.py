@@ -64,6 +64,8 @@ GOOD_WORDS = frozenset("article content main story entry post body text".split()
 STATE_WORDS = frozenset("has is with without no not open opened closed enabled disabled on off active inactive visible hidden".split())
 TITLE_WORDS = frozenset(["header", "masthead"])
 
+#: An element that holds so much of a page's text, with a block of so many characters, is the page's and no part of it.
+WHOLE_PERCENT, RUNNING_TEXT = 90, 100
 BAD, HEADER, GOOD = -1, -2, 1
 #: What texts weigh: one, log of words, share of links, end of a sentence, commas a word, heading, cell, paragraph of five words or more.
 TEXT_PRIOR = (-2.0, 0.75, -2.5, 0.8, 1.0, 0.8, -0.6, 0.4)
@@ -120,6 +122,7 @@ def blocks(page: str) -> list[Block]:
 
     A form or an element with a bad label that holds over half of the page's text and in it an element that is
     labelled as content (or says so itself, as an article or main) is a wrapper: what it says of itself does not count.
+    So is one that holds all but a little of the page's text, a block of running text among it: it tells no part from another.
     """
     out, wrappers = _read(page, frozenset())
     return _read(page, wrappers)[0] if wrappers else out
@@ -128,7 +131,7 @@ def blocks(page: str) -> list[Block]:
 def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
     """Blocks, given the nodes that are wrappers, and the nodes that look like ones."""
     out: list[Block] = []
-    doubtful: dict[int, list] = {}  # node: characters below, whether it holds content
+    doubtful: dict[int, list] = {}  # node: characters below, whether it holds content, characters of its longest block
     total = 0
     stack = [("html", 0, 0, 0, False)]  # tag, node, by tag, by class, own class is bad
     unclosed: set[str] = set()  # elements without an end from here on
@@ -144,6 +147,7 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[i
                 for e in stack if doubtful else ():
                     if e[1] in doubtful:
                         doubtful[e[1]][0] += len(text)
+                        doubtful[e[1]][2] = max(doubtful[e[1]][2], len(text))
                 k = len(stack) - 1
                 tag = stack[k][0]
                 if tag in LEAF and k:
@@ -216,10 +220,12 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Block], frozenset[i
                 if e[1] in doubtful:
                     doubtful[e[1]][1] = True
         if tag == "form" or bad and tag not in BAD_TAGS:
-            doubtful[nodes] = [0, tag in GOOD_TAGS and not words.isdisjoint(GOOD_WORDS)]
+            doubtful[nodes] = [0, tag in GOOD_TAGS and not words.isdisjoint(GOOD_WORDS), 0]
         stack.append((tag, nodes, *_around(tag, words, *stack[-1][2:4], nodes in wrappers)))
     flush()
-    return out, frozenset(k for k, (n, holds) in doubtful.items() if holds and 2 * n > total)
+    # what marks all of a page's text marks nothing, if that is running text
+    whole = lambda n, longest: longest >= RUNNING_TEXT and 100 * n >= WHOLE_PERCENT * total
+    return out, frozenset(k for k, (n, holds, longest) in doubtful.items() if (holds and 2 * n > total) or whole(n, longest))
 
 
 def features(page: list[Block]) -> np.ndarray:

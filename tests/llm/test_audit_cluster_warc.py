@@ -13,7 +13,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from paperloom.llm import adaptive_kmeans, filter_audit, warc_store
+from paperloom.llm import adaptive_kmeans, filter_audit, html_extraction, warc_store
 from paperloom.llm.common import shared_dir
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -262,3 +262,16 @@ def test_a_collision_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(warc_store.F, "sha2", lambda c, n: F.lit("00" * 32))
     with pytest.raises(PySparkException, match="two payloads under one digest"):
         warc_store.write_archive(spark.createDataFrame([(1, "u", "one"), (2, "u", "two")], "page_id long, url string, html string"), place(spark))
+
+
+# pages whose only element has a label of something else
+
+
+@pytest.mark.parametrize("start", ['<div class="content-sidebar">', '<main class="notice">', '<article class="menu-item">', '<div class="search-content">', '<div class="comment-policy-article">', '<div id="ad-free-post">', '<section class="newsletter">'])
+def test_a_label_of_the_whole_page_marks_nothing(start):
+    text = "This is a long paragraph of an article, with commas, words and a full stop at its end. It goes on for a while, and ends."
+    page = f"<html><body><nav><a href=x>Home</a></nav>{start}<p>{text}</p><p>{text} Again.</p></{start[1:].split()[0]}></body></html>"
+    assert html_extraction.main_text(page, html_extraction.DEFAULT) == f"{text}\n{text} Again."
+    # beside other text of the page the label counts as before
+    beside = page.replace("</body>", f"<div><p>{text} One.</p><p>{text} Two.</p><p>{text} Three.</p></div></body>")
+    assert html_extraction.main_text(beside, html_extraction.DEFAULT).endswith(f"{text} One.\n{text} Two.\n{text} Three.")
