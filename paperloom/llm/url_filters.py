@@ -1,15 +1,20 @@
 """URL filters: association rules over URL tokens, mined by FP-growth.
 
-A URL becomes a set of tokens: host labels, host suffixes, path segments with
-digits masked, query keys and the scheme. FP-growth finds the combinations that
-go with bad labels; those under the support or confidence floor go, and so does
-a rule that contains another. Each rule stands in an inverted index under its
-rarest token; a URL is blocked if all tokens of a rule are among its own. Policy
-rules of host and path come first, the longest that fits wins.
-
-The index is a literal in the plan. Its size has a bound that the data cannot
-move: with support s and k tokens a URL at most k / s tokens are frequent.
-Everything runs in the JVM; nothing is shuffled to match.
+A URL becomes a set of tokens: host labels, path segments with digits masked and
+query keys. FP-growth finds the combinations that go with bad labels; those under
+the support or confidence floor go, and so does a rule that contains another. Each
+rule stands in an inverted index under its rarest token; a URL is blocked if all
+tokens of a rule are among its own. Policy rules of host and path come first, the
+longest that fits wins; of policy rules of one length the last given.
+
+Tokens that stand in the same labelled URLs are one item while rules are mined: n of
+them would make 2^n combinations that all go with the same labels. That is exact: with
+a combination every one of its kind is a rule too, so a URL is blocked by one token of
+each item. Equal URLs are found by count and two hashes over their numbers.
+
+The index is a literal in the plan. With support s and k tokens a URL at most k / s
+tokens are frequent; the rules over them are a table without such a bound where many
+frequent tokens mix freely. Everything runs in the JVM; nothing is shuffled to match.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path, no
 tokens and no rule, so it is allowed; with no labelled URL, or no bad one, there
@@ -30,6 +35,8 @@ from .common import table
 POLICY = (("block", "com", "en/"), ("allow", "example.com", "en/7"), ("allow", "net", "de/"), ("block", "example.net", "de/8"), ("block", "org", "es/"))
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.6
 BAD = "label:bad"
+#: Stands between tokens of one item; a token that holds it is in no rule.
+OR = "\x00"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -61,11 +68,27 @@ def tokens(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
+def _same(baskets: DataFrame, least: float) -> dict[str, str]:
+    """The frequent tokens, each with the first of those that stand in the same baskets."""
+    each = baskets.select(F.monotonically_increasing_id().alias("b"), "items").select("b", F.explode("items").alias("t")).filter((F.col("t") != BAD) & ~F.contains("t", F.lit(OR)))
+    spread = each.groupBy("t").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("b")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "b")).alias("y")).filter(F.col("n") >= least)
+    named = spread.groupBy("n", "x", "y").agg(F.min("t").alias("name"), F.collect_list("t").alias("ts"))  # of frequent tokens only
+    return {r["t"]: r["name"] for r in named.select("name", F.explode("ts").alias("t")).collect()}
+
+
+def _renamed(items: Column, same: dict[str, str]) -> Column:
+    """Items by the names of ``same``, others gone."""
+    names = F.from_json(F.lit(json.dumps(same)), "map<string,string>")
+    return F.array_distinct(F.filter(F.transform(items, lambda t: F.element_at(names, t)), lambda t: t.isNotNull()))
+
+
 def mine(labelled: DataFrame, url_col: str, bad: Column, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> dict[str, list[list[str]]]:
-    """The inverted index of the rules: rarest token of each rule to the rule's other tokens."""
+    """The inverted index of the rules: rarest token of each rule to the rule's other tokens; tokens that always stand together each have the rule, and stand in it as one, divided by ``OR``."""
     baskets = labelled.select(F.when(bad, F.array_append(tokens(F.col(url_col)), F.lit(BAD))).otherwise(tokens(F.col(url_col))).alias("items")).filter(F.size("items") > 0)
     if baskets.filter(F.array_contains("items", BAD)).isEmpty():
         return {}
+    same = _same(baskets, min_support * baskets.count())
+    baskets = baskets.select(_renamed(F.col("items"), same | {BAD: BAD}).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     sets = model.freqItemsets
     found = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).select("antecedent").collect()
@@ -75,9 +98,13 @@ def mine(labelled: DataFrame, url_col: str, bad: Column, min_support: float = MI
             kept.append(r)
     often = {r["items"][0]: r["freq"] for r in sets.filter(F.size("items") == 1).collect()} if kept else {}
     index: dict[str, list[list[str]]] = {}
+    tokens_by: dict[str, list[str]] = {}
+    for t, name in sorted(same.items()):
+        tokens_by.setdefault(name, []).append(t)
     for r in kept:
         first, *others = sorted(r, key=lambda t: (often[t], t))
-        index.setdefault(first, []).append(others)
+        for t in tokens_by[first]:
+            index.setdefault(t, []).append([OR.join(tokens_by[o]) for o in others])
     return index
 
 
@@ -86,7 +113,7 @@ def matches(tokens_of: Column, index: dict[str, list[list[str]]]) -> Column:
     if not index:
         return F.lit(False)
     held = F.from_json(F.lit(json.dumps(index)), "map<string,array<array<string>>>")
-    fits = lambda others: F.size(F.array_except(others, tokens_of)) == 0
+    fits = lambda others: F.forall(others, lambda o: F.arrays_overlap(F.split(o, OR), tokens_of))
     return F.exists(tokens_of, lambda t: F.coalesce(F.exists(F.element_at(held, t), fits), F.lit(False)))
 
 

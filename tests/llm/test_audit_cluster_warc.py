@@ -13,7 +13,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from paperloom.llm import adaptive_kmeans, filter_audit, html_extraction, warc_store
+from paperloom.llm import adaptive_kmeans, filter_audit, html_extraction, url_filters, warc_store
 from paperloom.llm.common import shared_dir
 
 WORD = re.compile(r"[^ \t-\r]+")
@@ -275,3 +275,16 @@ def test_a_label_of_the_whole_page_marks_nothing(start):
     # beside other text of the page the label counts as before
     beside = page.replace("</body>", f"<div><p>{text} One.</p><p>{text} Two.</p><p>{text} Three.</p></div></body>")
     assert html_extraction.main_text(beside, html_extraction.DEFAULT).endswith(f"{text} One.\n{text} Two.\n{text} Three.")
+
+
+# tokens that always stand together
+
+
+def test_shared_query_keys_are_one_item(spark):
+    """40 keys that 60 bad URLs share are mined in seconds; any one of them blocks, as each alone is a rule."""
+    query = "&".join(f"k{i}={i}" for i in range(40))
+    rows = [(k, f"https://h{k}.org/p?{query}" if k < 60 else f"https://h{k}.org/p?id=1", k < 60 or k % 50 == 0) for k in range(260)]
+    index = url_filters.mine(spark.createDataFrame(rows, "id long, url string, bad boolean"), "url", F.col("bad"))
+    probe = [(1, "https://z.org/?k7=x"), (2, "https://z.org/?id=3"), (3, f"https://z.org/?{query}"), (4, None), (5, "https://z.org/?k40=1")]
+    got = url_filters.filter_urls(spark.createDataFrame(probe, "page_id long, url string"), index).orderBy("page_id").collect()
+    assert [r.mined for r in got] == [True, False, True, False, False]
