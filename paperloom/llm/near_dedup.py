@@ -493,7 +493,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         apart = apart.withColumn("size_class", F.floor(8 * F.log(F.greatest(F.col("n_words"), F.lit(1))) / _WIDTH + k / PIVOTS))
         pivots = apart.groupBy("key", "size_class").agg(F.min_by(F.struct("node", "n_words", "component"), F.struct(F.col("component") != F.col("main"), F.xxhash64(F.lit(k), "node"))).alias("p"))
         pairs = apart.join(pivots, ["key", "size_class"]).filter("component <> p.component").select(*_pair("p.node", "p.n_words", "node", "n_words")).distinct()
-        pairs = _possible(pairs.join(done, ["a", "b"], "left_anti"), bits)
+        pairs = settled(_possible(pairs, bits).join(done, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             break
         done = done.unionAll(pairs)
@@ -507,8 +507,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     many = groups.filter("crowd").select("key", "node", "n_words", "component").distinct()
     if not many.isEmpty():
         # most texts of a crowd are in smaller groups of other keys too: what is compared there is not compared again
-        rare = _by_rare_words(many, nodes, docs).join(done.unionAll(rest), ["a", "b"], "left_anti")
-        rest = rest.unionAll(_possible(rare, bits))
+        rare = _possible(_by_rare_words(many, nodes, docs), bits)
+        rest = settled(rest.unionAll(rare.join(done.unionAll(rest), ["a", "b"], "left_anti")))
     if not rest.isEmpty():
         labels = _merged(labels, settled(_verified(rest, nodes, docs)))
     # one row for each text says what class it is in; copies are joined to that, so no class and no text is gathered in one task
