@@ -12,7 +12,8 @@ property of the table and not of the cluster. In a round each part runs truncate
 backpropagation over its texts of that round from the same weights, and the weights
 are averaged, weighted by tokens, in a tree of fan-in ``FAN``; the next round starts
 from the average. The first start is the unigram model, so what training adds is
-context. Scoring carries the state over all windows of a text, so a text's
+context. A lane whose text has ended takes the next one from an empty state, and
+where few lanes are left the windows are longer. Scoring carries the state over all windows of a text, so a text's
 log-likelihood covers it from its first word to its end.
 
 What is learned grows with the input: counts cover all words; the words with places
@@ -51,12 +52,14 @@ TABLE, FAN = 1 << 18, 16
 #: A window with fewer tokens than this takes a step that is shorter by as much.
 FULL_STEP = 2048
 #: Texts that are held at once in training, and their tokens.
-HELD_TEXTS, HELD_TOKENS = 4096, 1 << 20
+HELD_TEXTS, HELD_TOKENS = 16384, 1 << 22
 #: Tokens whose texts are held at once in scoring: with many, lanes are seldom empty.
 SCORED_TOKENS = 1 << 22
 #: Tokens of a part are at least the square root of this times all tokens.
 PART_TOKENS = 400_000
-LANES, WINDOW, RATE, SMOOTH = 512, 16, 0.3, 0.1
+LANES, WINDOW, RATE, SMOOTH = 256, 16, 0.3, 0.1
+#: Steps of a window at most: where few lanes are left it is longer, so that it holds about as many tokens.
+LONG_WINDOW = 256
 #: Stands for the end token among word hashes.
 END = 0
 LN10 = np.log(10.0)
@@ -258,15 +261,20 @@ class Model:
         offset = np.concatenate([[0], np.cumsum(length)[:-1]])
         score, state = np.zeros(len(seqs)), np.zeros((HIDDEN, len(length)), np.float32)  # a lane is a column, so each gate is a slice
         H = HIDDEN
-        for t0 in range(0, int(length[0]), WINDOW):
-            lanes = int(np.searchsorted(-length, -t0, "left"))
-            steps = min(WINDOW, int(length[0]) - t0)
-            at = t0 + np.arange(steps)[:, None]
-            valid = at < length[None, :lanes]
-            where = offset[None, :lanes] + np.minimum(at, length[None, :lanes] - 1)
+        starts, last = int(length[0]) - length, int(length[0])  # all lanes end together, so the last steps are learned from many texts
+        active = lambda t: int(np.searchsorted(starts, t))
+        t0 = steps = 0
+        while (t0 := t0 + steps) < last:
+            steps = min(WINDOW, last - t0)
+            while 2 * steps <= min(LONG_WINDOW, last - t0) and 2 * steps * active(t0 + 2 * steps) <= LANES * WINDOW:
+                steps *= 2
+            lanes = active(t0 + steps)
+            at = t0 + np.arange(steps)[:, None] - starts[None, :lanes]
+            valid = at >= 0
+            where = offset[None, :lanes] + np.maximum(at, 0)
             y, new_text = flat[where].astype(np.int64), begins[where]
             x = np.where(new_text, self.start, flat[np.maximum(where - 1, 0)])
-            again = new_text.any(1).tolist() if lane is not None else [False] * steps
+            again = new_text.any(1).tolist()
             p = self.p
             table, U = np.ascontiguousarray((p["E"] @ p["W"] + p["b"]).T), np.ascontiguousarray(p["U"].T)
             h = state[:, :lanes].copy()
@@ -310,6 +318,8 @@ class Model:
                 np.multiply(d, to_rec[t], out=d_rec[t])
                 back = p["U"] @ d_rec[t].reshape(3 * H, lanes)
                 back += d * z[t]
+                if again[t]:
+                    back[:, new_text[t]] = 0
             grad["U"] = np.matmul(before, d_rec.reshape(steps, 3 * H, lanes).transpose(0, 2, 1)).sum(0)
             d_rec[:, 2] = d_out * to_n
             d_in = d_rec.reshape(steps, 3 * H, lanes).transpose(0, 2, 1)
@@ -330,21 +340,18 @@ class Model:
         return score
 
     def over(self, seqs: list[np.ndarray], learn: bool = False) -> np.ndarray:
-        """Log-likelihood of each sequence. In learning they go in groups of about the same length, in a mixed order; in scoring a lane that is free takes the next one."""
+        """Log-likelihood of each sequence. The longest are dealt first, each to the lane that is free first; in learning a lane's texts then go in the order given."""
+        if not len(seqs):
+            return np.zeros(0)
         order = np.argsort([-len(s) for s in seqs], kind="stable")
+        free, lane = [(0, k) for k in range(LANES)], np.zeros(len(seqs), np.int64)
+        for i in order:
+            load, lane[i] = free[0]
+            heapq.heapreplace(free, (load + len(seqs[i]), int(lane[i])))
+        if learn:
+            return self.group(seqs, True, lane)
         out = np.zeros(len(seqs))
-        if not learn:
-            free, lane = [(0, k) for k in range(LANES)], np.zeros(len(seqs), np.int64)
-            for i, n in enumerate(len(seqs[i]) for i in order):
-                load, lane[i] = free[0]
-                heapq.heapreplace(free, (load + n, int(lane[i])))
-            if len(seqs):
-                out[order] = self.group([seqs[i] for i in order], lane=lane)
-            return out
-        groups = [order[k : k + LANES] for k in range(0, len(order), LANES)]
-        np.random.default_rng(len(groups)).shuffle(groups)
-        for g in groups:
-            out[g] = self.group([seqs[i] for i in g], learn)
+        out[order] = self.group([seqs[i] for i in order], lane=lane[order])
         return out
 
     def ids(self, column) -> list[np.ndarray]:
@@ -414,6 +421,25 @@ def trained(model: Model, texts: DataFrame, parts: int, rounds: int) -> Model:
     return model
 
 
+def top_words(words: DataFrame) -> DataFrame:
+    """The most frequent of ``words`` (``hash, n``), at most ``TABLE``. Of equal counts those of the least hashes are taken, to within a range of hashes."""
+    kept, last = 0, None
+    for r in words.groupBy("n").agg(F.count("*").alias("v")).orderBy(F.desc("n")).toLocalIterator():
+        last = r["n"]
+        if kept + r["v"] > TABLE:
+            break
+        kept += r["v"]
+    else:
+        return words
+    bucket, end = F.shiftright("hash", 48), None
+    for r in words.filter(F.col("n") == last).groupBy(bucket.alias("b")).agg(F.count("*").alias("v")).orderBy("b").toLocalIterator():
+        end = r["b"]
+        kept += r["v"]
+        if kept > TABLE:
+            break
+    return words.filter((F.col("n") > last) | ((F.col("n") == last) & (bucket < end)))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``."""
     sc = docs.sparkSession.sparkContext
@@ -422,14 +448,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts = settled(found.groupBy("hash").agg(F.min("cls").alias("cls"), F.sum("n").alias("n")).filter("n > 0"))
     sums = {r["cls"]: (r["n"], r["v"]) for r in counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     total, distinct = sum(n for n, _ in sums.values()), sum(v for _, v in sums.values())
-    words, floor = counts.filter("cls >= 0"), None
-    kept = 0
-    for r in words.groupBy("n").agg(F.count("*").alias("v")).orderBy(F.desc("n")).toLocalIterator():
-        kept += r["v"]
-        if kept > TABLE:
-            break
-        floor = r["n"]
-    top = words.filter(F.col("n") >= floor).toPandas() if floor else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("hash", "cls", "n")})
+    top = top_words(counts.filter("cls >= 0")).toPandas()
     vocab = Vocabulary(top, sums.get(-1, (0, 0))[0], {c: n + SMOOTH * v for c, (n, v) in sums.items() if c >= 0}, places_for(distinct))
     sent = sc.broadcast(vocab)
     columns = "doc_id {id}, held_out boolean, row long, hash long, ids binary, n_tokens long, known long, log_placed double, log_table double, far array<long>".replace("{id}", docs.schema["doc_id"].dataType.simpleString())

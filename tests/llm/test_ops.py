@@ -827,6 +827,33 @@ def test_scores_do_not_depend_on_partitions(spark, rows, monkeypatch):
     assert one == other
 
 
+def test_packed_learning_has_the_gradients_of_single_texts(monkeypatch):
+    words = language_model.pd.DataFrame({"hash": range(1, 400), "cls": [k % 16 for k in range(1, 400)], "n": [400 - k for k in range(1, 400)]})
+    vocab, rng = language_model.Vocabulary(words, 50, {r: 7.0 for r in range(16)}), np.random.default_rng(5)
+    seqs = [rng.integers(0, 400, n).astype(np.uint16) for n in (5, 4, 3, 2, 1)]
+    monkeypatch.setattr(language_model, "RATE", 0.0)
+    own = []
+    for lane in (None, np.array([0, 1, 1, 0, 1])):  # fifteen tokens: one window either way
+        model = language_model.Model(vocab, seed=3)
+        for k in ("C", "I"):
+            model.p[k] = np.random.default_rng(4).standard_normal(model.p[k].shape).astype(np.float32)
+        score = model.group(seqs, True, lane)
+        own.append((score, {k: v - np.float32(1e-3) for k, v in model.seen.items()}))
+    assert np.allclose(own[0][0], own[1][0], rtol=1e-5)
+    for k, v in own[0][1].items():
+        assert v.max() > 0 and np.allclose(v, own[1][1][k], rtol=1e-2, atol=1e-9), k
+
+
+def test_words_of_equal_counts_fill_the_table(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.randrange(-(2**63), 2**63), 9 if k < 10 else 4 if k < 400 else 1) for k in range(1000)]
+    words = spark.createDataFrame(rows, "hash long, n long")
+    for most in (5, 200, 700, 1000):
+        monkeypatch.setattr(language_model, "TABLE", most)
+        got = sorted(((-r.n, r.hash) for r in language_model.top_words(words).collect()))
+        assert got == sorted((-n, h) for h, n in rows)[: len(got)] and most - 2 <= len(got) <= most
+
+
 def test_free_lanes_take_the_next_text(monkeypatch):
     words = language_model.pd.DataFrame({"hash": range(1, 40), "cls": [k % 16 for k in range(1, 40)], "n": [40 - k for k in range(1, 40)]})
     model, rng, windows = language_model.Model(language_model.Vocabulary(words, 50, {r: 7.0 for r in range(16)})), np.random.default_rng(2), []
