@@ -95,3 +95,24 @@ def place_captions(md: Column) -> Column:
 
     line = lambda x: F.when(tk.strip(x).rlike(DOTTED), F.regexp_replace(tk.strip(x), DOTTED, "")).otherwise(x)
     return F.when(md.rlike(r"(?iU)(?:Figure|Fig\.?)\s+[0-9]+[.|]"), tk.let(F.transform(tk.lines(md), line), put)).otherwise(md)
+
+
+# Fixed value: a line that names a figure.
+FIGURE_LINE = r"(?imUd)^[^\n]*(?:Fig\.?|Figure)[^\S\n]+\d[^\n]*$"
+
+
+def place_assets(md: Column, names: Column, folder: Column) -> Column:
+    """The k-th line that names a figure gets the k-th ``.jpeg`` of ``names``, in their order, as an image before it.
+
+    Lines beyond the images stay as they are, and so do images beyond the lines. Equal names
+    count each; null names are none, without any the text is unchanged; a null text stays null.
+    """
+    held = F.array_sort(F.filter(F.coalesce(names, F.array().cast("array<string>")), lambda n: F.coalesce(n.endswith(".jpeg"), F.lit(False))))
+
+    def placed(assets):
+        before = lambda line, k: F.concat(F.lit("\n!["), tk.strip(line), F.lit("]("), folder, F.lit("/"), tk.at(assets, k), F.lit(")\n\n"))
+        made = lambda found: F.transform(found, lambda line, k: F.concat(F.when(k < F.size(assets), before(line, k)).otherwise(""), line))
+        found = F.regexp_extract_all(md, F.lit(FIGURE_LINE), F.lit(0))
+        return F.array_join(F.zip_with(F.split(md, FIGURE_LINE, -1), F.concat(made(found), F.array(F.lit(""))), lambda gap, line: F.concat(gap, line)), "")
+
+    return tk.let(held, placed)

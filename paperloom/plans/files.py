@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.session import shared_dir
-from ..operators import docx, learn
+from ..operators import captions, docx, learn
 from ..sources import files
 from ..sources.store import Store
 from ..streaming import corrections
@@ -91,3 +91,9 @@ def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 r.QUERIES["s_score_store"] = stored_scores
 r.ORACLE["s_score_store"] = r.ORACLE["s_upsert"]
+
+ASSETS = """SELECT doc_id, coalesce(text, '') || chr(10) || ' Fig. ' || CAST(doc_id AS STRING) || ' of ' || coalesce(lang, '') || ' ' || chr(10) || 'no figure' || chr(10) || 'as FIGURE  2 shows' || chr(10) || 'fig 3' || coalesce(source, '') || chr(10) || 'Fig.4' || chr(10) || 'see fig. 5' AS md,
+CASE doc_id % 4 WHEN 0 THEN split('b.jpeg,a.jpeg,c.png', ',') WHEN 1 THEN split('p10.jpeg,p9.jpeg,p1.jpeg,p2.jpeg,p3.jpeg,p4.jpeg', ',') WHEN 2 THEN split('x.JPEG', ',') END AS names FROM documents"""
+r.add("s_place_assets", ASSETS, lambda d: d.select("doc_id", captions.place_assets(F.col("md"), F.col("names"), F.concat(F.lit("a"), F.col("doc_id"))).alias("md")), r"""WITH l AS (SELECT doc_id, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) AS i, list_sort(list_filter(names, lambda n: ends_with(n, '.jpeg'))) AS a FROM x),
+h AS (SELECT *, regexp_matches(line, '(?i)(fig\.?|figure)\s+[0-9]') AS hit FROM l), c AS (SELECT *, CAST(sum(CAST(hit AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS INT) AS k FROM h)
+SELECT doc_id, string_agg(CASE WHEN hit AND k <= len(a) THEN chr(10) || '![' || regexp_replace(line, '^\s+|\s+$', '', 'g') || '](a' || CAST(doc_id AS STRING) || '/' || a[k] || ')' || chr(10) || chr(10) || line ELSE line END, chr(10) ORDER BY i) AS md FROM c GROUP BY doc_id""")

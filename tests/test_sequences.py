@@ -406,3 +406,24 @@ def test_classes_of_repeated_rows(spark):
     assert [r.journal for r in metadata.detect_profile(keys, profiles).collect()] == ["two", "two", "one", "unknown"]
     with pytest.raises(ValueError):
         metadata.classify(docs, rules.withColumn("kw", F.repeat(F.lit("x"), 1 << 20)), F.col("t"))
+
+
+def test_assets_stand_before_the_lines_that_name_figures(spark):
+    rng = random.Random(11)
+    parts = ["Fig. 1", "Fig 2", "figure  3", "FIGURE 4", "Fig.5", "Figure", "\n", "\n", " ", "\t", "text", "Fig. \n6", "\U0001d7d8", "$1 \\2", "\r", "١", "Fig. ٢"]
+    names = ["b.jpeg", "a.jpeg", "a.jpeg", "x.png", "é.jpeg", "Z.jpeg", None]
+    have = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(25))), rng.choices(names, k=rng.randrange(6)) if i % 9 else None) for i in range(400)]
+    have += [(900, None, ["a.jpeg"]), (901, "", ["a.jpeg"]), (902, "Fig. 1\n" * 30_000, [f"{k}.jpeg" for k in range(20_000)])]
+
+    def plain(md, names):
+        left, out = sorted(n for n in names or [] if n and n.endswith(".jpeg")), []
+        for line in md.split("\n"):
+            if left and re.search(r"Fig\.?\s+\d|Figure\s+\d", line, re.IGNORECASE):
+                out.append(f"\n![{line.strip()}](f/{left.pop(0)})\n")
+            out.append(line)
+        return "\n".join(out)
+
+    rows = spark.createDataFrame(have, "id long, md string, names array<string>")
+    got = dict(rows.select("id", captions.place_assets(F.col("md"), F.col("names"), F.lit("f"))).collect())
+    for i, md, names in have:
+        assert got[i] == (None if md is None else plain(md, names)), repr(md)
