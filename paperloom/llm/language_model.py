@@ -55,6 +55,8 @@ FULL_STEP = 2048
 HELD_TEXTS, HELD_TOKENS = 16384, 1 << 22
 #: Tokens whose texts are held at once in scoring: with many, lanes are seldom empty.
 SCORED_TOKENS = 1 << 22
+#: Lanes in scoring, where no step waits for the one before: more than in learning, for less work a token.
+SCORED_LANES = 1024
 #: Tokens of a part are at least the square root of this times all tokens.
 PART_TOKENS = 400_000
 LANES, WINDOW, RATE, SMOOTH = 256, 16, 0.3, 0.1
@@ -266,7 +268,7 @@ class Model:
         t0 = steps = 0
         while (t0 := t0 + steps) < last:
             steps = min(WINDOW, last - t0)
-            while 2 * steps <= min(LONG_WINDOW, last - t0) and 2 * steps * active(t0 + 2 * steps) <= LANES * WINDOW:
+            while 2 * steps <= min(LONG_WINDOW, last - t0) and 2 * steps * active(t0 + 2 * steps) <= (LANES if learn else SCORED_LANES) * WINDOW:
                 steps *= 2
             lanes = active(t0 + steps)
             at = t0 + np.arange(steps)[:, None] - starts[None, :lanes]
@@ -344,7 +346,7 @@ class Model:
         if not len(seqs):
             return np.zeros(0)
         order = np.argsort([-len(s) for s in seqs], kind="stable")
-        free, lane = [(0, k) for k in range(LANES)], np.zeros(len(seqs), np.int64)
+        free, lane = [(0, k) for k in range(LANES if learn else SCORED_LANES)], np.zeros(len(seqs), np.int64)
         for i in order:
             load, lane[i] = free[0]
             heapq.heapreplace(free, (load + len(seqs[i]), int(lane[i])))

@@ -861,7 +861,7 @@ def test_free_lanes_take_the_next_text(monkeypatch):
         model.p[k] = rng.standard_normal(model.p[k].shape).astype(np.float32)
     seqs = [rng.integers(0, 40, n).astype(np.uint16) for n in (*[20] * 24, 320, *[20] * 24)]
     alone, heads = [model.group([s])[0] for s in seqs], language_model.Model._heads
-    monkeypatch.setattr(language_model, "LANES", 4)
+    monkeypatch.setattr(language_model, "SCORED_LANES", 4)
     monkeypatch.setattr(language_model.Model, "_heads", lambda self, *a: windows.append(1) or heads(self, *a))
     assert np.allclose(model.over(seqs), alone, rtol=1e-4)
     assert len(windows) == 320 // language_model.WINDOW  # four lanes of 320 tokens; 44 windows in groups of four texts
