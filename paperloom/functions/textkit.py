@@ -67,6 +67,11 @@ def rstrip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\s+$", "")
 
 
+def character(code: Column) -> Column:
+    """The character of a code point. (``chr`` takes it modulo 256.)"""
+    return F.when(code < 128, F.chr(code)).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
 def lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 

@@ -211,9 +211,9 @@ def detect_profile(papers: DataFrame, profiles: DataFrame, key: str = "paper_key
 
 
 def unique_keys(refs: DataFrame) -> DataFrame:
-    """Citation keys made unique: the n-th use of a key ends in b, c and so on."""
+    """Citation keys made unique: the n-th use of a key ends in b, c and so on by code points."""
     n = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("pos"))
-    return refs.withColumn("bib_key", F.concat(F.col("key"), F.when(n > 1, F.chr(96 + n)).otherwise("")))
+    return refs.withColumn("bib_key", F.concat(F.col("key"), F.when(n > 1, tk.character(96 + n)).otherwise("")))
 
 
 def rank_scores(scores: DataFrame) -> DataFrame:

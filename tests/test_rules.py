@@ -111,3 +111,9 @@ def test_affiliations(spark):
     assert tuple(got) == ("## T\n\nbody\n\nDept. B", "Dept. A,")
     row = row.withColumn("md", F.concat("md", F.lit("\n")))
     assert row.select(metadata.without_affiliations(F.col("md"), F.col("affs"))).first()[0] == "## T\n\nbody\n\n"
+
+
+def test_many_uses_of_a_key(spark):
+    """The 160th use of a key and later ones end in the character of their own number, not of the rest by 256."""
+    refs = spark.range(400).select(F.lit(1).alias("doc_id"), F.col("id").alias("pos"), F.lit("Lee").alias("key"))
+    assert [r.bib_key for r in metadata.unique_keys(refs).orderBy("pos").collect()] == ["Lee", *("Lee" + chr(96 + n) for n in range(2, 401))]
