@@ -8,6 +8,8 @@ document is never exploded and nothing is shuffled.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -27,22 +29,33 @@ def sub(text: Column, rules) -> Column:
 
 
 def sub_if(text: Column, rules) -> Column:
-    """Rules ``(pattern, replacement, needed)``: one is tried only on texts with the literal it needs.
+    """Rules ``(pattern, replacement, needed)``: one is tried only on texts with one of the literals it needs, in small letters, whatever the text's case.
 
-    A needed literal without letters is looked up as it is, others without case.
+    The text in small letters is kept beside it and made anew for every few rules that a change came before;
+    until then a changed text is tried as it is.
     """
-    for pattern, replacement, needed in rules:
-        text = let(text, _guarded(pattern, replacement, needed))
-    return text
+    state = lambda t, low, of: F.struct(t.alias("t"), low.alias("low"), of.alias("of"))
+    anew = lambda s: F.when(s["t"] == s["of"], s).otherwise(state(s["t"], small(s["t"]), s["t"]))
+
+    def step(pattern, replacement, needed):
+        needed = (needed,) if isinstance(needed, str) else needed
+        put = lambda s: state(F.regexp_replace(s["t"], pattern, replacement), s["low"], s["of"])
+        return lambda s: F.when(any_of(s["low"].contains(n) for n in needed) | (s["t"] != s["of"]), put(s)).otherwise(s)
 
+    held = let(text, lambda t: state(t, small(t), t))
+    for k, rule in enumerate(rules):
+        held = let(let(held, anew) if k and k % 4 == 0 else held, step(*rule))
+    return held["t"]
 
-def _guarded(pattern: str, replacement: str, needed: str) -> Callable:
-    plain = needed.lower() == needed.upper()
 
-    def one(t):
-        return F.when(t.contains(needed) if plain else t.rlike(f"(?i)\\Q{needed}\\E"), F.regexp_replace(t, pattern, replacement)).otherwise(t)
+def small(text: Column) -> Column:
+    """A text to look up words in whatever their case, the long s as an s."""
+    return F.lower(F.translate(text, "\u017f", "s"))
 
-    return one
+
+def any_of(flags) -> Column:
+    """Whether one of some conditions holds."""
+    return functools.reduce(operator.or_, flags)
 
 
 def swap(text: Column, pairs) -> Column:
@@ -58,13 +71,17 @@ def swap(text: Column, pairs) -> Column:
     return text
 
 
+#: White space of Unicode: what ``\\s`` stands for with the flag ``U``.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    """Without white space at both ends, that of Unicode included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space at both ends, that of Unicode included. (A pattern would look at every space of the text.)"""
+    return F.btrim(text, F.lit(SPACE))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\s+$", "")
+    return F.rtrim(text, F.lit(SPACE))
 
 
 def character(code: Column) -> Column:
@@ -127,8 +144,12 @@ def glue(parts: Column, joined: Callable, separator: str) -> Column:
 
 def rewrite(text: Column, pattern: str, made: Callable) -> Column:
     """Every match of a pattern, where it stands, replaced by what ``made`` makes of it; matches are not empty."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.array_join(F.zip_with(gaps, F.concat(F.transform(found, made), F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
+
+    def put(t):
+        gaps, found = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        return F.when(t.rlike(pattern), F.array_join(F.zip_with(gaps, F.concat(F.transform(found, made), F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")).otherwise(t)
+
+    return let(text, put)
 
 
 def count(text: Column, pattern: str) -> Column:

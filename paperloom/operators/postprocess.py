@@ -46,8 +46,8 @@ NOISE = (
     r"(?dUm)^.*\(\d+ of \d+\)\s*©\s*\d{4}.*$",
     r"(?dUi)\d+\s+These\s+authors\s+contributed\s+equally:[^.]+\.\s+e-?mail:\s*[\w.\-@]+(?:\s*;\s*[\w.\-@]+)*\s*",
 )
-#: A literal that each of them needs.
-NEEDED = ("onlinelibrary.wiley.com", "](http", "", "", "", "www.", "©", "doi:", "orcid.org/", "orcid", "creative", "©", "©", "1234567890():,;", "science", "science", "view", "view", "permissions", "permissions", "[use", "www.science.org/", "washington", " ", "|", "©", "contributed")
+#: A literal, or one of several, that each of them needs.
+NEEDED = ("onlinelibrary.wiley.com", "](http", ("www", "pubs.acs.org", "dx.doi.org"), ("elsevier", "sciencedirect"), ("structure", "format", "template"), "www.", "©", "doi:", "orcid.org/", "orcid", "creative", "©", "©", "1234567890():,;", "science", "science", "view", "view", "permissions", "permissions", "[use", "www.science.org/", "washington", " ", "|", "©", "contributed")
 
 # What tells a repeated paragraph as the publisher's.
 SIGNALS = r"(?dUi)https?://|www\.[a-z\-]+\.[a-z]{2,}|©|\d{4,7}\s*\(\d+\s*of\s*\d+\)|Downloaded from|published by|All rights reserved|licensee American Association|Use of this article is subject"
@@ -126,7 +126,16 @@ def repeated_paragraphs(md: Column) -> Column:
     twice = lambda ks: F.array_distinct(F.filter(ks, lambda k, i: (i > 0) & (tk.at(ks, i - 1) == k)))
     keep = lambda ps, again: F.array_join(F.filter(ps, lambda p: ~(p.rlike(SIGNALS) & (filled(p) <= 4) & F.array_contains(again, key(p)))), "\n\n")
     keys = lambda ps: F.array_sort(F.transform(F.filter(ps, lambda p: tk.strip(p) != ""), key))
-    return tk.let(tk.paras(md), lambda ps: tk.let(tk.let(keys(ps), twice), lambda again: keep(ps, again)))
+    # only a paragraph that looks like the publisher's can go: without any, none is compared
+    suspect = lambda ps: F.exists(ps, lambda p: p.rlike(SIGNALS) & (filled(p) <= 4))
+    put = lambda t: F.when(_signalled(t), tk.let(tk.paras(t), lambda ps: F.when(suspect(ps), tk.let(tk.let(keys(ps), twice), lambda again: keep(ps, again))).otherwise(t))).otherwise(t)
+    return tk.let(md, put)
+
+
+def _signalled(text: Column) -> Column:
+    """Whether a text holds a literal of one of the signals, in any case."""
+    found = lambda t: tk.any_of(t.contains(x) for x in ("http", "www.", "©", "downloaded from", "published by", "all rights reserved", "licensee", "use of this")) | t.rlike(r"(?U)\(\d+\s*of\s*\d")
+    return tk.let(tk.small(text), found)
 
 
 def watermarks(md: Column) -> Column:

@@ -1,8 +1,12 @@
 """Text rules on hand-made cases whose results follow from the rules' wording."""
 
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from paperloom.functions import textkit as tk
 from paperloom.operators import align, layout, learn, metadata, normalize, postprocess, score
 
 CASES = [
@@ -117,3 +121,19 @@ def test_many_uses_of_a_key(spark):
     """The 160th use of a key and later ones end in the character of their own number, not of the rest by 256."""
     refs = spark.range(400).select(F.lit(1).alias("doc_id"), F.col("id").alias("pos"), F.lit("Lee").alias("key"))
     assert [r.bib_key for r in metadata.unique_keys(refs).orderBy("pos").collect()] == ["Lee", *("Lee" + chr(96 + n) for n in range(2, 401))]
+
+
+def test_strip_takes_the_white_space_of_unicode(spark):
+    """The ends are looked at, not each space of a text: 200 texts of 20,000 spaces."""
+    every = "".join(c for c in map(chr, range(0x3100)) if re.match(r"\s", c) and c not in "\x1c\x1d\x1e\x1f")
+    df = spark.createDataFrame([(f"{every}a{every}b{every}",), (every,), ("",), (None,)], "t string")
+    assert [tuple(r) for r in df.select(tk.strip(F.col("t")), tk.rstrip(F.col("t"))).collect()] == [(f"a{every}b", f"{every}a{every}b"), ("", ""), ("", ""), (None, None)]
+    long = spark.range(200).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), F.lit(20000)), F.lit("b")).alias("t"))
+    start = time.time()
+    assert long.select(F.sum(F.length(tk.strip(F.col("t"))))).first()[0] == 200 * 20002 and time.time() - start < 20
+
+
+def test_noise_in_any_case(spark):
+    """The literal that a rule needs is found in any case that the rule itself takes."""
+    text = "a\nſcience Advances\nVIEW the article online now\nb"
+    assert spark.createDataFrame([(text,)], "t string").select(postprocess.noise(F.col("t"))).first()[0] == "a\n\n\nb"
