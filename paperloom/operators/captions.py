@@ -13,8 +13,14 @@ from ..functions import textkit as tk
 GREEK = {"ν": "nu", "ε": "varepsilon", "θ": "theta", "σ": "sigma", "μ": "mu", "α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "φ": "phi", "ψ": "psi", "ρ": "rho", "λ": "lambda", "ω": "omega", "η": "eta", "κ": "kappa", "χ": "chi", "ξ": "xi", "𝜈": "nu", "𝜃": "theta", "𝜀": "varepsilon", "ɛ": "varepsilon"}
 LOWERED, LOWERED_AS = "₀₁₂₃₄₅₆₇₈₉ₐₑₒₓ", "0123456789aeox"
 RAISED, RAISED_AS = "⁰⁴⁵⁶⁷⁸⁹⁺⁻", "0456789+-"
-LETTER = f"[{''.join(GREEK)}]"
-SCRIPTED = "([A-Za-zα-ωΑ-Ω]*)([₀-₉ₐₑₒₓ⁰-⁹⁺⁻]+)"
+# a class of many letters is tried letter by letter, so one comparison sets Latin ones aside before
+_BEYOND_LATIN = r"(?=[^\x00-\xff])"
+SMALL = "₀-₉ₐₑₒₓ⁰-⁹⁺⁻"
+LETTER = f"(?:{_BEYOND_LATIN}[{''.join(GREEK)}])"
+SMALL_ONE = f"(?:{_BEYOND_LATIN}[{SMALL}])"
+SCRIPTED = f"([A-Za-zα-ωΑ-Ω]*+)({SMALL_ONE}+)"
+GREEK_OR_SMALL = f"{_BEYOND_LATIN}[{''.join(GREEK)}{SMALL}]"
+BLOCK_SIGN = r"(?Umd)^[^\S\n]*[$][$][^\S\n]*$"
 MATH = r"\$[^$\n]+\$"
 FIGURE = r"(?iU)^\s*(?:\*\*)?(?:Figure|Fig\.)\s+([0-9]+)[.|]"
 DOTTED = r"(?iU)^\.\s*\.\s*\.?\s*(?=(?:Fig\.?|Figure)\s+[0-9]+[.|])"
@@ -25,6 +31,7 @@ def inline_math(md: Column) -> Column:
     """Greek letters and small characters outside of formulas as inline formulas; blocks between ``$$`` lines stay."""
     names = F.create_map(*(F.lit(x) for x in itertools.chain.from_iterable(GREEK.items())))
     named = lambda c: F.concat(F.lit("$\\"), F.element_at(names, c), F.lit("$"))
+    letters = [(g, f"$\\{n}$") for g, n in GREEK.items()]
     outside = lambda text, rule: tk.let(text, lambda t: _outside(t, MATH, rule))
 
     def scripts(m):
@@ -35,22 +42,23 @@ def inline_math(md: Column) -> Column:
 
     def rule(line):
         line = tk.rewrite(line, f"_{LETTER}_", lambda m: named(F.regexp_extract(m, LETTER, 0)))
-        line = outside(line, lambda p: tk.rewrite(p, SCRIPTED, scripts))
-        return outside(line, lambda p: tk.rewrite(p, LETTER, named))
+        line = tk.let(line, lambda t: F.when(t.rlike(SMALL_ONE), outside(t, lambda p: tk.rewrite(p, SCRIPTED, scripts))).otherwise(t))
+        return outside(line, lambda p: tk.swap(p, letters))
 
-    def put(ls):
-        # how many block signs stand up to a line; a block's own signs stay as they are
-        signs = tk.scan(F.transform(ls, lambda x: (tk.strip(x) == "$$").cast("int")), F.lit(0), "int", lambda a, x: a + x)
-        changed = lambda x: F.when(x.rlike(f"{LETTER}|{SCRIPTED}"), rule(x)).otherwise(x)
-        return tk.let(signs, lambda n: F.array_join(F.transform(ls, lambda x, i: F.when((F.get(n, i) % 2 == 1) | (tk.strip(x) == "$$"), x).otherwise(changed(x))), "\n"))
+    def put(t):
+        # every second piece between block signs is a block and stays, as its signs do
+        changed = lambda p: F.array_join(F.transform(tk.lines(p), lambda x: F.when(x.rlike(GREEK_OR_SMALL), rule(x)).otherwise(x)), "\n")
+        pieces = F.transform(F.split(t, BLOCK_SIGN, -1), lambda p, i: F.when((i % 2 == 0) & p.rlike(GREEK_OR_SMALL), changed(p)).otherwise(p))
+        return F.array_join(F.zip_with(pieces, F.concat(F.regexp_extract_all(t, F.lit(BLOCK_SIGN), F.lit(0)), F.array(F.lit(""))), lambda p, s: F.concat(p, s)), "")
 
-    return F.when(md.rlike(f"{LETTER}|[₀-₉ₐₑₒₓ⁰-⁹⁺⁻]"), tk.let(tk.lines(md), put)).otherwise(md)
+    return tk.let(md, lambda t: F.when(t.rlike(GREEK_OR_SMALL), put(t)).otherwise(t))
 
 
 def _outside(text: Column, pattern: str, rule) -> Column:
     """A rule on what stands between the matches of a pattern."""
     found = F.concat(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array(F.lit("")))
-    return F.array_join(F.zip_with(F.transform(F.split(text, pattern, -1), rule), found, lambda g, m: F.concat(g, m)), "")
+    put = F.array_join(F.zip_with(F.transform(F.split(text, pattern, -1), rule), found, lambda g, m: F.concat(g, m)), "")
+    return F.when(text.rlike(pattern), put).otherwise(rule(text))
 
 
 def place_captions(md: Column) -> Column:
