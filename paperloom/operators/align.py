@@ -97,8 +97,8 @@ def merge_slots(slots: DataFrame, formulas: DataFrame) -> DataFrame:
     return s.join(f, ["doc_id", "page", "k"], "full_outer")
 
 
-#: Characters of a gram of the containment index, at most.
-GRAM = 8
+#: Characters of a gram of the containment index, at most; texts up to so many characters are looked up among the sorted ends of the others.
+GRAM, SHORT = 8, 32
 
 
 def _bare(latex: Column) -> Column:
@@ -109,6 +109,31 @@ def _bare(latex: Column) -> Column:
 def contained_texts(texts: DataFrame, keys: list[str], text: str, least: int) -> DataFrame:
     """The distinct ``keys`` and texts of ``least`` characters or more that a longer text under the same keys contains.
 
+    Short ones are looked up by sorting, the others, whose grams are rarer, by an index of grams.
+    """
+    least = max(least, 1)
+    t = texts.select(*keys, F.col(text).alias("_t")).filter(F.length("_t") >= least).distinct()
+    found = _contained_short(t, keys, least)
+    return found.unionByName(_contained_long(t, keys, max(least, SHORT + 1))).withColumnRenamed("_t", text)
+
+
+def _contained_short(t: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """The texts of up to ``SHORT`` characters that a longer one contains.
+
+    A text contains another if one of its ends begins with it. So the ends of all texts, cut
+    behind ``SHORT`` characters and one, are dealt by their first ``least`` characters and
+    sorted: what begins with a text follows it at once. No pair is made, however many
+    texts a page has.
+    """
+    ends = F.transform(F.sequence(F.lit(1), F.length("_t") - least + 1), lambda i: F.struct((i > 1).alias("_inner"), F.substr(F.col("_t"), i, F.lit(SHORT + 1)).alias("_e")))
+    rows = t.select(*keys, F.inline(ends)).withColumn("_p", F.substring("_e", 1, least))
+    after = F.lead("_e").over(Window.partitionBy(*keys, "_p").orderBy("_e", "_inner"))
+    return rows.withColumn("_after", after).filter(~F.col("_inner") & (F.length("_e") <= SHORT) & F.startswith("_after", "_e")).select(*keys, F.col("_e").alias("_t"))
+
+
+def _contained_long(t: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """The texts (``keys, _t``, distinct) of ``least`` characters or more that a longer one contains.
+
     A containment index: of the grams in each window of ``least`` characters the one with
     the least hash stands for it. Every window of a contained text is one of the text
     around it, so all its grams stand in the index there too, and it is looked up by one
@@ -117,7 +142,7 @@ def contained_texts(texts: DataFrame, keys: list[str], text: str, least: int) ->
     """
     n = max(1, min(GRAM, (least + 1) // 2))
     width = max(1, least - n + 1)
-    t = texts.select(*keys, F.col(text).alias("_t")).filter(F.length("_t") >= max(least, 1)).distinct().withColumns({"_id": F.xxhash64("_t"), "_n": F.length("_t")})
+    t = t.filter(F.length("_t") >= least).withColumns({"_id": F.xxhash64("_t"), "_n": F.length("_t")})
     grams = F.transform(F.sequence(F.lit(1), F.col("_n") - n + 1), lambda i: F.xxhash64(F.substr(F.col("_t"), i, F.lit(n))))
     least_of = lambda hs: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(hs) - width + 1), lambda i: F.array_min(F.slice(hs, i, width))))
     same = Window.partitionBy(*keys, "_g")
@@ -128,7 +153,7 @@ def contained_texts(texts: DataFrame, keys: list[str], text: str, least: int) ->
     pairs = index.join(asked, [*keys, "_g"]).filter("_n > _m").select(*keys, "_short", F.col("_id").alias("_long"))
     side = lambda i, c: t.select(*keys, F.col("_id").alias(i), F.col("_t").alias(c))
     found = pairs.join(side("_short", "_s"), [*keys, "_short"]).join(side("_long", "_l"), [*keys, "_long"])
-    return found.filter((F.length("_l") > F.length("_s")) & F.contains("_l", "_s")).select(*keys, F.col("_s").alias(text)).distinct()
+    return found.filter((F.length("_l") > F.length("_s")) & F.contains("_l", "_s")).select(*keys, F.col("_s").alias("_t")).distinct()
 
 
 def drop_subformulas(formulas: DataFrame, least: int = 20) -> DataFrame:
