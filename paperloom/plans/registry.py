@@ -27,20 +27,30 @@ NAMES = ("documents", "pages", "conversations", "benchmark", "labels", "events",
 LI = "(SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus FROM lineitem GROUP BY l_orderkey, l_linenumber) li"
 
 
+#: Tables of narrow rows, whose rules take longer than their reading: parts dealt to a core, and parts that an order's lines are dealt to for one of the scan.
+NARROW, PARTS_A_CORE, PARTS_A_SCAN = ("events", "lineitem", "orders", "part", "supplier", "customer"), 4, 16
+
+
 def source(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A statement over the standard tables it names."""
     ship(spark)
     sql = sql.replace("__LI__", LI)
     for n in NAMES:
         if f"FROM {n}" in sql:
-            spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")).createOrReplaceTempView(n)
+            table = spark.read.parquet(f"{sf_dir}/{n}.parquet")
+            (by_order(table) if n == "lineitem" and LI in sql else spread(table, PARTS_A_CORE if n in NARROW else 1)).createOrReplaceTempView(n)
     return spark.sql(sql)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table whose scan has fewer tasks than the cluster has cores is dealt out; a large one never is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, share: int = 1) -> DataFrame:
+    """A table whose scan has fewer tasks than ``share`` times the cluster's cores is dealt out to so many; a large one never is."""
+    parts = df.sparkSession.sparkContext.defaultParallelism * share
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+
+
+def by_order(lines: DataFrame) -> DataFrame:
+    """``lineitem`` dealt by its orders, once for all that groups by them, into parts whose number grows with the table and not their size."""
+    return lines.repartition(lines.rdd.getNumPartitions() * PARTS_A_SCAN, "l_orderkey")
 
 
 def add(name: str, inputs: str | dict, run, oracle: str | None = None) -> None:

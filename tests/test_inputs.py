@@ -25,3 +25,12 @@ def test_all_of_a_text_is_read(spark, tmp_path):
     assert got == {1: 1, 3: 0}
     spans = {(r.doc_id, r.pos): r.md_start for r in registry.QUERIES["f_locate_spans"](spark, str(tmp_path)).collect()}
     assert [spans[3, k] for k in range(4)] == [0, 30, 60, None]
+
+
+def test_lines_are_dealt_by_the_size_of_their_table(spark):
+    """Not into the session's number of partitions, whose size grows with the input; groups by order need no shuffle more."""
+    from paperloom.plans import registry as r
+
+    d = r.source(spark, "/root/testdata/sf0.001", "SELECT l_orderkey, l_linenumber, l_partkey FROM __LI__")
+    assert d.rdd.getNumPartitions() >= r.PARTS_A_SCAN
+    assert d._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1

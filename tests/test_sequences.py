@@ -431,7 +431,7 @@ def test_assets_stand_before_the_lines_that_name_figures(spark):
 
 def test_short_texts_make_no_pairs(spark):
     """6,000 short texts of few grams on one page are sorted and not held against each other in pairs."""
-    f = spark.range(6000).select(F.lit(1).alias("doc_id"), F.lit(1).alias("page"), F.col("id").alias("pos"), F.concat(F.when(F.col("id") % 2 == 0, "ab").otherwise(""), F.lpad(F.bin(F.col("id") // 2), 12, "0")).alias("latex"))
+    f = spark.range(6000).select(F.lit(1).alias("doc_id"), F.lit(1).alias("page"), F.col("id").alias("pos"), F.concat(F.when(F.col("id") % 2 == 0, "ab").otherwise(""), F.lpad(F.bin(F.floor(F.col("id") / 2)), 12, "0")).alias("latex"))
     got = align.drop_subformulas(f, 5)
     assert sorted(r.pos for r in got.select("pos").collect()) == list(range(0, 6000, 2))
     plan = got._jdf.queryExecution().executedPlan().toString()
