@@ -25,8 +25,8 @@ def place(spark: SparkSession, name: str) -> str:
 def paper_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of each paper, written and read back: name, bytes and digest."""
     d, at = r.source(spark, sf_dir, PAPERS), place(spark, "papers")
-    files.write_files(files.submission_files(d, F.col("tex"), F.col("bib"), F.col("md"), F.array("f1", "f2")), at)
-    return files.read_files(spark, at).select(F.col("doc_id").cast("long").alias("doc_id"), "name", F.octet_length("content").cast("long").alias("n_bytes"), F.md5("content").alias("digest"))
+    files.write_files(files.submission_files(d, F.col("tex"), F.col("bib"), F.col("md"), F.array("f1", "f2")), at, f"{at}-names")
+    return files.read_files(spark, at, names=f"{at}-names").select(F.col("doc_id").cast("long").alias("doc_id"), "name", F.octet_length("content").cast("long").alias("n_bytes"), F.md5("content").alias("digest"))
 
 
 r.QUERIES["s_paper_files"] = paper_files
@@ -49,8 +49,8 @@ def word_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     at = place(spark, "word")
     d = r.source(spark, sf_dir, TEXTS)
-    files.write_files(d.select(F.concat(F.col("doc_id").cast("string"), F.lit(".docx")).alias("name"), made("lang", "source", "text").alias("content")), at)
-    read = files.read_docx(spark, at)
+    files.write_files(d.select(F.concat(F.col("doc_id").cast("string"), F.lit(".docx")).alias("name"), made("lang", "source", "text").alias("content")), at, f"{at}-names")
+    read = files.read_docx(spark, at, f"{at}-names")
     tables = F.filter("elements", lambda e: e["kind"] == "table")
     return read.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.array_join(docx.table_headers(F.element_at(tables, 1)["rows"][0])["headers"], "|").alias("headers"), F.array_join(F.transform(F.element_at(tables, 1)["rows"][1], lambda c: F.array_join(c, "")), "|").alias("second_row"),

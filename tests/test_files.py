@@ -39,6 +39,36 @@ def test_a_failed_job_leaves_no_files(spark, tmp_path, bad):
     assert written(tmp_path) == {}
 
 
+def test_files_are_read_by_the_lists_of_their_writer(spark, tmp_path):
+    rows = [(f"d{k}/f.txt", f"x{k}".encode()) for k in range(300)] + [("d0/ä\nb.md", b"y"), ("top.txt", b"z"), ("d1/empty", b"")]
+    df, at, names = spark.createDataFrame(rows, "name string, content binary").repartition(3), str(tmp_path / "out"), f"file://{tmp_path}/names"
+    for _ in range(2):  # names that two lists hold are read once
+        files.write_files(df, at, names)
+    (tmp_path / "out/d5/other.txt").write_bytes(b"of another writer")
+    assert written(tmp_path / "out").keys() == {n for n, _ in rows} | {"_SUCCESS", "d5/other.txt"}
+    back = files.read_files(spark, at, names=names)
+    assert sorted((r.doc_id or "", r.name, bytes(r.content)) for r in back.collect()) == sorted(((n.rpartition("/")[0]), n.rpartition("/")[2], c) for n, c in rows if c)
+    assert "binaryFile" not in back._jdf.queryExecution().toString()  # the driver lists no file of a document
+    assert [r.name for r in files.read_files(spark, at, "*.md", names).collect()] == ["ä\nb.md"]
+    files.write_files(df.limit(0), str(tmp_path / "none"), str(tmp_path / "no-names"))
+    assert files.read_files(spark, str(tmp_path / "none"), names=str(tmp_path / "no-names")).count() == 0
+
+
+def test_what_a_killed_task_wrote_is_taken_back(tmp_path):
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out/old.txt").write_bytes(b"old")
+    writer = files.FilesWriter(str(tmp_path / "out"))
+    done = writer.write([{"name": "a/x.txt", "content": b"1"}])
+    writer.write([{"name": "b/y.txt", "content": b"2"}])  # its message is lost
+    with pytest.raises(KeyError):
+        writer.write({"name": n, "content": {"old.txt": b"new"}[n]} for n in ("old.txt", "c/z.txt"))  # killed while it writes
+    writer.abort([done, None])
+    assert written(tmp_path) == {"out/old.txt": b"old"}
+    with pytest.raises(OSError):
+        writer.write([{"name": "late.txt", "content": b"3"}])
+    assert written(tmp_path) == {"out/old.txt": b"old"}
+
+
 def test_submission_files(spark, tmp_path):
     d = spark.createDataFrame([(1, "tex", "bib", None, ["a", "b\\"]), (2, None, "b2", "md", None)], "doc_id int, t string, b string, m string, f array<string>")
     files.write_files(files.submission_files(d, F.col("t"), F.col("b"), F.col("m"), F.col("f")), str(tmp_path / "o"))
