@@ -51,6 +51,8 @@ START = PLACES + RARE  # input before the first word
 TABLE, FAN = 1 << 18, 16
 #: A window with fewer tokens than this takes a step that is shorter by as much.
 FULL_STEP = 2048
+#: Bits of a hash by which words of the table are looked up.
+BITS = 20
 #: Texts that are held at once in training, and their tokens.
 HELD_TEXTS, HELD_TOKENS = 16384, 1 << 22
 #: Tokens whose texts are held at once in scoring: with many, lanes are seldom empty.
@@ -60,8 +62,12 @@ SCORED_LANES = 1024
 #: Tokens of a part are at least the square root of this times all tokens.
 PART_TOKENS = 400_000
 LANES, WINDOW, RATE, SMOOTH = 256, 16, 0.3, 0.1
+#: Texts of so many tokens are learned in twice the lanes, for less work a token, at a rate that is larger by the root of two.
+WIDE_TOKENS = 1 << 20
 #: Steps of a window at most: where few lanes are left it is longer, so that it holds about as many tokens.
 LONG_WINDOW = 256
+#: Sums whose absolute values stay below this need no greatest one taken off before they become exponents in 32 bits.
+SAFE = 60.0
 #: Stands for the end token among word hashes.
 END = 0
 LN10 = np.log(10.0)
@@ -85,7 +91,7 @@ def read(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = tb.spans(buf, tb.SPACE)
     last = buf[ends - 1].astype(np.int64)
     before = np.where(ends - starts > 1, buf[np.maximum(ends - 2, 0)], 0)
-    return tb.span_hashes(buf, starts, ends).view(np.int64), (last * 31 + before) % RARE, np.searchsorted(offsets, starts, "right") - 1
+    return tb.span_hashes(buf, starts, ends).view(np.int64), (last * 31 + before) % RARE, np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, offsets)))
 
 
 def _counted(batches):
@@ -131,12 +137,27 @@ class Vocabulary:
         count[1 : len(top) + 1] = top
         order = np.argsort(words["hash"].to_numpy(np.int64), kind="stable")
         self.hash, self.count, self.place = words["hash"].to_numpy(np.int64)[order], words["n"].to_numpy(np.float64)[order], place[order]
+        # words of the table by the first bits of their hashes: where each group begins, and the most in one
+        self.begins = np.searchsorted(self.hash >> 64 - BITS, np.arange(-1 << BITS - 1, (1 << BITS - 1) + 1)).astype(np.int32)
+        self.most = int(np.diff(self.begins).max())
+        self.log = np.log10(self.count + SMOOTH)
         self.used = np.zeros(places, bool)
         self.used[: len(top) + 1] = True
         self.end_count, self.place_count = end_count, count
         inside = np.bincount(words["cls"].to_numpy(np.int64)[: len(top)], top + SMOOTH, RARE) if len(top) else np.zeros(RARE)
         self.rare_mass = np.maximum([rare_sums.get(r, 0.0) - inside[r] for r in range(RARE)], 0) + SMOOTH
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Where words stand in the table; of those that do not, any place."""
+        group = (h >> 64 - BITS) + (1 << BITS - 1)
+        at = np.minimum(self.begins[group], len(self.hash) - 1)
+        left = np.flatnonzero(self.hash[at] != h)
+        for step in range(1, self.most):
+            left = left[self.begins[group[left]] + step < self.begins[group[left] + 1]]
+            at[left] = self.begins[group[left]] + step
+            left = left[self.hash[at[left]] != h[left]]
+        return at
+
     def encode(self, texts: list[str]) -> dict[str, list]:
         """Ids, the sums of log counts of words in the table, and the hashes of words that are not."""
         h, cls, doc = read(texts)
@@ -144,9 +165,9 @@ class Vocabulary:
         log_placed, log_table, known = np.full(n, np.log10(self.end_count + SMOOTH)), np.zeros(n), np.full(n, int(self.end_count > 0))
         missing = np.ones(len(h), bool)
         if len(self.hash):
-            at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+            at = self.find(h)
             missing = self.hash[at] != h
-            value, place = np.log10(self.count[at] + SMOOTH), self.place[at]
+            value, place = self.log[at], self.place[at]
             placed = ~missing & (place >= 0)
             ids[placed] = place[placed]
             other = ~missing & ~placed
@@ -201,40 +222,51 @@ class Model:
         p, n, CLASSES, WIDTH, PLACES = self.p, len(y), self.classes, self.width, self.places
         cls = np.where(y < PLACES, y // WIDTH, CLASSES + y - PLACES).astype(np.uint16)
         order = np.argsort(cls, kind="stable")
-        cls, y, hs = cls[order], y[order], np.ascontiguousarray(hs[order].T)
-        edges = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        cls, y, given = cls[order].astype(np.int64), y[order], np.ones((HIDDEN + 1, n), np.float32)  # a last row of ones takes the bias
+        given[:HIDDEN] = hs[order].T
+        edges, numbers = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist(), np.arange(n)
+
+        def joined(weight, bias):
+            """Weights with their bias, and whether all sums stay where no exponent is too large or small; a state's values are within 1."""
+            reach = np.abs(weight).sum(-2)
+            return np.concatenate([weight, bias[..., None, :]], axis=-2), ((bias + reach).max(-1) < SAFE) & ((bias - reach).max(-1) > -SAFE)
 
-        def softmax(weight, bias, h, target):
+        def softmax(weight, safe, h, target):
             prob = weight.T @ h
-            prob += bias[:, None]
-            prob -= prob.max(0)
-            at = np.arange(h.shape[1])
-            value = prob[target, at]
+            at = target * h.shape[1] + numbers[: h.shape[1]]
+            if not safe:
+                prob -= prob.max(0)
+            value = prob.take(at)
             np.exp(prob, out=prob)
             total = prob.sum(0)
             value -= np.log(total)
             if learn:
                 prob /= total
-                prob[target, at] -= 1
+                prob.reshape(-1)[at] -= 1
             return value, prob
 
-        value, prob = softmax(p["C"], p["c"], hs, cls)
+        value, prob = softmax(*joined(p["C"], p["c"]), given, cls)
         out = value.astype(np.float64)
         out[edges[CLASSES] :] -= self.rare_log[cls[edges[CLASSES] :] - CLASSES]
         grad = {}
         if learn:
-            grad["C"], grad["c"], dh = hs @ prob.T, prob.sum(1), p["C"] @ prob
-            grad["I"], grad["i"] = np.zeros_like(p["I"]), np.zeros_like(p["i"])
+            both, dh = given @ prob.T, p["C"] @ prob
+            grad["C"], grad["c"] = both[:HIDDEN], both[HIDDEN]
+            inner = np.zeros((CLASSES, HIDDEN + 1, WIDTH), np.float32)
+        weights, safe = joined(p["I"], p["i"])
+        safe, word = safe.tolist(), y % WIDTH
         for k in range(CLASSES):
             at = slice(edges[k], edges[k + 1])
             if at.start == at.stop:
                 continue
-            h = hs[:, at]
-            value, prob = softmax(p["I"][k], p["i"][k], h, y[at] - k * WIDTH)
+            h = given[:, at]
+            value, prob = softmax(weights[k], safe[k], h, word[at])
             out[at] += value
             if learn:
-                grad["I"][k], grad["i"][k] = h @ prob.T, prob.sum(1)
+                np.matmul(h, prob.T, out=inner[k])
                 dh[:, at] += p["I"][k] @ prob
+        if learn:
+            grad["I"], grad["i"] = inner[:, :HIDDEN], inner[:, HIDDEN]
         found = np.empty(n)
         found[order] = out
         if not learn:
@@ -261,6 +293,7 @@ class Model:
         begins = np.zeros(len(flat), bool)
         begins[np.concatenate([[0], np.cumsum(own[order])[:-1]])] = True
         offset = np.concatenate([[0], np.cumsum(length)[:-1]])
+        wide = 2 if len(flat) >= WIDE_TOKENS else 1
         score, state = np.zeros(len(seqs)), np.zeros((HIDDEN, len(length)), np.float32)  # a lane is a column, so each gate is a slice
         H = HIDDEN
         starts, last = int(length[0]) - length, int(length[0])  # all lanes end together, so the last steps are learned from many texts
@@ -268,7 +301,7 @@ class Model:
         t0 = steps = 0
         while (t0 := t0 + steps) < last:
             steps = min(WINDOW, last - t0)
-            while 2 * steps <= min(LONG_WINDOW, last - t0) and 2 * steps * active(t0 + 2 * steps) <= (LANES if learn else SCORED_LANES) * WINDOW:
+            while 2 * steps <= min(LONG_WINDOW, last - t0) and 2 * steps * active(t0 + 2 * steps) <= (LANES * wide if learn else SCORED_LANES) * WINDOW:
                 steps *= 2
             lanes = active(t0 + steps)
             at = t0 + np.arange(steps)[:, None] - starts[None, :lanes]
@@ -279,6 +312,8 @@ class Model:
             again = new_text.any(1).tolist()
             p = self.p
             table, U = np.ascontiguousarray((p["E"] @ p["W"] + p["b"]).T), np.ascontiguousarray(p["U"].T)
+            for of in (table, U):  # gates need the negative sum
+                np.negative(of[: 2 * H], out=of[: 2 * H])
             h = state[:, :lanes].copy()
             hs, zr = np.empty((steps, H, lanes), np.float32), np.empty((steps, 2 * H, lanes), np.float32)
             if learn:
@@ -288,7 +323,6 @@ class Model:
                     h = np.where(new_text[t], np.float32(0), h)
                 into, g = table.take(x[t], axis=1), U @ h
                 gate = np.add(into[: 2 * H], g[: 2 * H], out=zr[t])
-                np.negative(gate, out=gate)
                 np.exp(gate, out=gate)
                 gate += 1
                 np.reciprocal(gate, out=gate)
@@ -334,7 +368,7 @@ class Model:
             grad["E"] = np.zeros_like(p["E"])
             grad["E"][used] = summed @ p["W"].T
             scale = np.float32(1 / max(len(sel), LANES))
-            rate = np.float32(RATE * min(1.0, len(sel) / FULL_STEP))  # a few texts that go on alone move little
+            rate = np.float32(RATE * wide**0.5 * min(1.0, len(sel) / FULL_STEP / wide))  # a few texts that go on alone move little
             for k, g in grad.items():  # Adagrad on clipped gradients
                 g = np.clip(g * scale, -0.1, 0.1)
                 self.seen[k] += g * g
@@ -346,7 +380,8 @@ class Model:
         if not len(seqs):
             return np.zeros(0)
         order = np.argsort([-len(s) for s in seqs], kind="stable")
-        free, lane = [(0, k) for k in range(LANES if learn else SCORED_LANES)], np.zeros(len(seqs), np.int64)
+        lanes = (LANES * (2 if sum(map(len, seqs)) >= WIDE_TOKENS else 1)) if learn else SCORED_LANES
+        free, lane = [(0, k) for k in range(lanes)], np.zeros(len(seqs), np.int64)
         for i in order:
             load, lane[i] = free[0]
             heapq.heapreplace(free, (load + len(seqs[i]), int(lane[i])))

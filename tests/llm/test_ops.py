@@ -854,6 +854,31 @@ def test_words_of_equal_counts_fill_the_table(spark, monkeypatch):
         assert got == sorted((-n, h) for h, n in rows)[: len(got)] and most - 2 <= len(got) <= most
 
 
+def test_words_are_found_by_the_first_bits_of_their_hashes():
+    rng = np.random.default_rng(3)
+    near = np.concatenate([np.int64(k << 44) + np.arange(5) for k in (-(1 << 19), -1, 0, 7, (1 << 19) - 1)])  # several in one group, the first and the last
+    hashes = np.unique(np.concatenate([near, rng.integers(-(1 << 63), (1 << 63) - 1, 4000), [-(1 << 63), (1 << 63) - 1]]))
+    vocab = language_model.Vocabulary(language_model.pd.DataFrame({"hash": hashes, "cls": hashes % 16, "n": np.arange(len(hashes)) % 7 + 1}), 50, {r: 9000.0 for r in range(16)})
+    asked = rng.permutation(np.concatenate([hashes, near + 5, rng.integers(-(1 << 63), (1 << 63) - 1, 4000)]))
+    assert (vocab.hash[vocab.find(asked)] == asked).tolist() == np.isin(asked, hashes).tolist() and vocab.most >= 5
+
+
+@pytest.mark.parametrize("large", [0.0, 300.0])
+def test_heads_give_what_a_plain_softmax_gives_for_large_sums_too(large):
+    words = language_model.pd.DataFrame({"hash": range(1, 2000), "cls": [k % 16 for k in range(1, 2000)], "n": [2000 - k for k in range(1, 2000)]})
+    model, rng = language_model.Model(language_model.Vocabulary(words, 50, {r: 1e6 for r in range(16)})), np.random.default_rng(4)
+    for k in ("C", "I"):
+        model.p[k] = rng.standard_normal(model.p[k].shape).astype(np.float32) + np.float32(large) * rng.choice([-1, 1], model.p[k].shape).astype(np.float32)
+    hs, y = rng.uniform(-1, 1, (300, language_model.HIDDEN)).astype(np.float32), rng.integers(0, language_model.PLACES + 16, 300)
+    got, grad, _ = model._heads(hs, y, True)
+    plain = lambda w, b, h, t: (lambda s: s[t] - s.max() - np.log(np.exp(s - s.max()).sum()))(h.astype(float) @ w.astype(float) + b)
+    for h, t, g in zip(hs, y.tolist(), got, strict=True):
+        c = t // model.width if t < language_model.PLACES else model.classes + t - language_model.PLACES
+        want = plain(model.p["C"], model.p["c"], h, c) + (plain(model.p["I"][c], model.p["i"][c], h, t % model.width) if c < model.classes else -model.rare_log[c - model.classes])
+        assert abs(g - want) < 1e-3 * max(1, abs(want))
+    assert all(np.isfinite(g).all() for g in grad.values())
+
+
 def test_free_lanes_take_the_next_text(monkeypatch):
     words = language_model.pd.DataFrame({"hash": range(1, 40), "cls": [k % 16 for k in range(1, 40)], "n": [40 - k for k in range(1, 40)]})
     model, rng, windows = language_model.Model(language_model.Vocabulary(words, 50, {r: 7.0 for r in range(16)})), np.random.default_rng(2), []
