@@ -17,7 +17,7 @@ one word left out.
 Size: equal texts become one node before anything else. In each key the least
 node of a length class is compared with the others (no pairs within a group),
 components follow; in keys that more than BUCKET texts share, some more pivots of
-about a text's own length follow. What is then not in one component is compared in
+about a text's own length follow, as long as they find links. What is then not in one component is compared in
 full. The texts of a key that have about the same length make a group (two grids of
 lengths, so any two that may be near-duplicates have a group in common). A group of no
 more texts than its texts have words is compared pair by pair, by lengths and word
@@ -57,6 +57,8 @@ KMER, SKETCHES = 2, 36
 SHORT = 9
 #: A key that more texts share than this gets PIVOTS more rounds, and the texts left in it are grouped by length.
 BUCKET, PIVOTS = 16, 3
+#: After a round of pivots of whose pairs fewer than one in so many is a link, no other follows: what is left is compared in full anyway.
+LEAST_LINKS = 16
 #: Groups of up to so many texts are compared pair by pair, and larger ones if their texts have as many words on average; in all others pairs are found by rare words: another way to the same pairs.
 PAIRWISE = 64
 #: Components of up to so many links are found in the driver, of more by rounds of joins.
@@ -370,11 +372,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (``a, b``) that are near-duplicates."""
     long = nodes.filter(F.col("n_words") > LONG).select("node", "n_words", F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))").alias("bits"))
     pairs = pairs.join(long.toDF("a", "na", "bits_a"), "a", "left").join(long.toDF("b", "nb", "bits_b"), "b", "left")
-    least = F.least(F.size("bits_a"), F.size("bits_b"))
-    xor = lambda x, y: x.bitwiseXOR(y)
-    fold = lambda x: F.when(F.size(x) > least, F.zip_with(F.slice(x, F.lit(1), least), F.slice(x, least + 1, least), xor)).otherwise(F.col(x))
-    differ = F.aggregate(F.zip_with(fold("bits_a"), fold("bits_b"), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
-    pairs = settled(pairs.filter(F.col("na").isNull() | F.col("nb").isNull() | (EDITS[1] * (differ + F.abs(F.col("na") - F.col("nb"))) <= 2 * EDITS[0] * F.greatest("na", "nb"))).select("a", "b"))
+    pairs = settled(pairs.filter(F.col("na").isNull() | F.col("nb").isNull() | _alike_long("na", "nb", "bits_a", "bits_b")).select("a", "b"))
     used = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     texts = _texts(_wanted(used, nodes), docs).groupBy("node").agg(F.min("text").alias("text"))
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -408,6 +406,15 @@ def _alike(n: str, m: str, one: str, other: str):
     return (EDITS[1] * edits <= EDITS[0] * long) & (EDITS[1] * (differ + edits) <= 2 * EDITS[0] * long)
 
 
+def _alike_long(n: str, m: str, one: str, other: str):
+    """The same by the bits that long texts have in places of their own size; the larger of two sizes is folded."""
+    least = F.least(F.size(one), F.size(other))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    fold = lambda x: F.when(F.size(x) > least, F.zip_with(F.slice(x, F.lit(1), least), F.slice(x, least + 1, least), xor)).otherwise(F.col(x))
+    differ = F.aggregate(F.zip_with(fold(one), fold(other), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda s, x: s + x)
+    return EDITS[1] * (differ + F.abs(F.col(n) - F.col(m))) <= 2 * EDITS[0] * F.greatest(n, m)
+
+
 def _pair(one: str, n: str, other: str, m: str) -> list:
     """``a, b, na, nb``: two nodes, the lesser first, and their words."""
     first = F.col(one) < F.col(other)
@@ -446,9 +453,12 @@ def _groups(apart: DataFrame) -> DataFrame:
 
 def _pair_by_pair(groups: DataFrame, bits: DataFrame) -> DataFrame:
     """``a, b``: members of one group and different components that lengths and word bits allow to be near-duplicates."""
+    own = F.when(F.size("bits") > PARITY // 64, F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))"))  # null for texts that are not long
+    bits = bits.select("node", F.slice("bits", 1, PARITY // 64).alias("bits"), own.alias("own"))
     held = groups.select("key", "size_class", "node", "n_words", "component").join(bits, "node")
-    side = lambda x: held.select("key", "size_class", F.col("node").alias(x), F.col("n_words").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("bits").alias(f"bits_{x}"))
-    met = side("a").join(side("b"), ["key", "size_class"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike("na", "nb", "bits_a", "bits_b"))
+    side = lambda x: held.select("key", "size_class", F.col("node").alias(x), F.col("n_words").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("bits").alias(f"bits_{x}"), F.col("own").alias(f"own_{x}"))
+    alike = _alike("na", "nb", "bits_a", "bits_b") & (F.col("own_a").isNull() | F.col("own_b").isNull() | _alike_long("na", "nb", "own_a", "own_b"))
+    met = side("a").join(side("b"), ["key", "size_class"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
     return met.select("a", "b").distinct()
 
 
@@ -498,17 +508,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         done = done.unionAll(pairs)
         found = settled(_verified(pairs, nodes, docs))
-        if not found.isEmpty():
+        links = found.count()
+        if links:
             labels = _merged(labels, found)
+        if links * LEAST_LINKS < pairs.count():
+            break
 
     # what shares a key and is in two components still: all of those pairs
     groups = settled(_groups(_apart(members, labels)))
-    rest = settled(_pair_by_pair(groups.filter("not crowd"), bits).join(done, ["a", "b"], "left_anti"))
+    rest = settled(_pair_by_pair(groups.filter("not crowd"), nodes.select("node", "bits")).join(done, ["a", "b"], "left_anti"))
     many = groups.filter("crowd").select("key", "node", "n_words", "component").distinct()
     if not many.isEmpty():
         # most texts of a crowd are in smaller groups of other keys too: what is compared there is not compared again
-        rare = _possible(_by_rare_words(many, nodes, docs), bits)
-        rest = settled(rest.unionAll(rare.join(done.unionAll(rest), ["a", "b"], "left_anti")))
+        rare = _by_rare_words(many, nodes, docs).join(done.unionAll(rest), ["a", "b"], "left_anti")
+        rest = settled(rest.unionAll(_possible(rare, bits)))
     if not rest.isEmpty():
         labels = _merged(labels, settled(_verified(rest, nodes, docs)))
     # one row for each text says what class it is in; copies are joined to that, so no class and no text is gathered in one task

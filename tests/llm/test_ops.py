@@ -700,6 +700,18 @@ def test_bits_and_lengths_bound_the_edits_together(spark):
     assert [r["is"] for r in got] == [True, False] and not near_dedup.near(" ".join(one), " ".join(far))
 
 
+def test_long_texts_meet_by_the_bits_of_their_own_size(spark):
+    """A passage of 560 words and 200 others each: too many edits, which the places of short texts do not tell."""
+    rng = random.Random(21)
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(2)]
+    texts = [" ".join([*x, *["is", "one."] * 280]) for x in (*own, [*own[0][:100], *own[1][100:]])]
+    n, _, bits = near_dedup.bands(texts)
+    groups = spark.createDataFrame([("k", 0, i, int(n[i]), i) for i in range(3)], "key string, size_class long, node long, n_words long, component long")
+    held = spark.createDataFrame([(i, bits[i].tolist()) for i in range(3)], "node long, bits array<long>")
+    met = {(r["a"], r["b"]) for r in near_dedup._pair_by_pair(groups, held).collect()}
+    assert met == {(0, 2), (1, 2)} == {(a, b) for a, b in itertools.combinations(range(3), 2) if near_dedup.near(texts[a], texts[b])}
+
+
 def test_components_in_the_driver_are_those_of_the_joins(spark, monkeypatch):
     rng = random.Random(20)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
