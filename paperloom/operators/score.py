@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import textkit as tk
 
-INLINE = r"(?<!\$)\$(?!\$)([^$\n]+?)(?<!\$)\$(?!\$)"
 DISPLAY = r"\$\$([\s\S]+?)\$\$"
 # Titles of the parts that hold formulas without a place.
 UNMAPPED = "📐 수식 (위치 미매핑)"
@@ -27,11 +26,18 @@ SECTIONS = (
     r"(?i)conclusion|discussion|summary|overview|background|scope",
     r"(?i)materials.and.methods|experimental|\bmethods?\b|results?\b",
 )
-GENERIC_ARTIFACTS = ("formula-not-decoded", "/u[0-9A-Fa-f]{4,5}", "/uniFB[0-9a-f]+")
+
+
+#: An inline formula with the character after it, where white space or punctuation stands on both sides; any other without. A closing line end is needed.
+IN_CONTEXT = r"\$(?<!\$\$)(?!\$)(?:(?<![^ \n,.(;:\[]\$)[^$\n]++\$(?!\$)[ \n,.)%;:]|[^$\n]++\$(?!\$))"
 
 
 def latex_valid(latex: Column) -> Column:
     """Whether braces and environments balance: the depth never falls under 0 and ends there."""
+    return ~(latex.contains("{") | latex.contains("}")) | _balanced(latex)
+
+
+def _balanced(latex: Column) -> Column:
     s = F.regexp_replace(F.regexp_replace(latex, r"\\begin\{[^}]+\}", "{"), r"\\end\{[^}]+\}", "}")
     braces = F.filter(F.split(F.regexp_replace(s, r"[^{}]", ""), ""), lambda c: c != "")
     step = lambda d, c: F.when(d < 0, d).otherwise(d + F.when(c == "{", 1).otherwise(-1))
@@ -42,10 +48,49 @@ def _found(md: Column, pattern: str) -> Column:
     return F.regexp_extract_all(md, F.lit(pattern), F.lit(1))
 
 
+def _where(md: Column, literal: str, found: Column, none) -> Column:
+    """What a pattern finds in the texts with a literal that it needs; a plain search is quicker than a pattern's."""
+    return F.when(~md.contains(literal), none).otherwise(found)
+
+
+def _count_where(md: Column, literal: str, pattern: str) -> Column:
+    return _where(md, literal, tk.count(md, pattern), F.lit(0))
+
+
+def formulas(md: Column) -> Column:
+    """Inline formulas with their dollar signs, those between white space or punctuation with the character after them."""
+    return F.regexp_extract_all(F.concat(md, F.lit("\n")), F.lit(IN_CONTEXT), F.lit(0))
+
+
 def good_context(md: Column) -> Column:
-    """Inline formulas between white space or punctuation, counted on marked text."""
-    marked = F.regexp_replace(md, INLINE, "\u0001$1\u0002")
-    return tk.count(marked, "(?:^|[ \\n,.(;:\\[])\u0001[^\u0002]*\u0002(?=\\z|[ \\n,.)%;:])")
+    """Inline formulas between white space or punctuation."""
+    return _good(formulas(md))
+
+
+def _good(found: Column) -> Column:
+    return F.size(F.filter(found, lambda f: ~f.endswith("$")))
+
+
+# What a line of a reference begins with, without the line; each style at most once a line.
+REFERENCE_HEADS = r"(?m)^(?=(\[\d+\]|-\s+\[\d+\]|\d+\.\s+[A-Z]|- [A-Z][a-z]+,|-\s+\d+\.\s+\S))"
+
+
+def reference_count(md: Column) -> Column:
+    """The most lines of one of the reference styles. Lines are looked at once for all styles.
+
+    Only numbers after dashes can overlap, across line ends; where there are some they are counted by their own pattern.
+    """
+    n = lambda heads, is_one: F.size(F.filter(heads, is_one))
+    dash = lambda h, p: h.startswith("-") & h.rlike(p)
+
+    def most(heads):
+        numbered = n(heads, lambda h: dash(h, r"^-\s+\d"))
+        return F.greatest(
+            n(heads, lambda h: h.startswith("[")), n(heads, lambda h: dash(h, r"^-\s+\[")), n(heads, lambda h: ~h.startswith("-") & ~h.startswith("[")),
+            n(heads, lambda h: dash(h, "^- [A-Z]")), F.when(numbered > 0, tk.count(md, REFERENCE_STYLES[4])).otherwise(numbered),
+        )
+
+    return tk.let(F.regexp_extract_all(md, F.lit(REFERENCE_HEADS), F.lit(1)), most)
 
 
 def table_counts(md: Column) -> Column:
@@ -61,33 +106,38 @@ def table_counts(md: Column) -> Column:
         )
 
     def step(a, line):
-        t = tk.strip(line)
+        return F.when(line.contains("|"), tk.let(tk.strip(line), lambda t: of_table(a, line, t))).when(a["n"] > 0, close(a)).otherwise(a)
+
+    def of_table(a, line, t):
         first = F.exists(F.split(t, r"\|"), lambda c: tk.strip(c).rlike(r"^Col\d+$"))
         more = F.struct(
-            (a["n"] + 1).alias("n"), F.when(a["n"] == 0, first.cast("int")).otherwise(a["odd"]).alias("odd"), (a["br"] + tk.count(t, "<br>")).alias("br"),
+            (a["n"] + 1).alias("n"), F.when(a["n"] == 0, first.cast("int")).otherwise(a["odd"]).alias("odd"), (a["br"] + _count_where(t, "<br>", "<br>")).alias("br"),
             (a["rules"] + t.rlike(r"^\|[-:| ]+\|").cast("int")).alias("rules"), a["rows"].alias("rows"), a["tables"].alias("tables"),
         )
         inside = t.startswith("|") & ((a["n"] > 0) | F.substring(line, 2, 1_000_000).contains("|"))
         return F.when(inside, more).when(a["n"] > 0, close(a)).otherwise(a)
 
-    return F.aggregate(tk.lines(md), zero, step, lambda a: F.struct(close(a)["rows"].alias("rows"), close(a)["tables"].alias("tables")))
+    whole = F.aggregate(tk.lines(md), zero, step, lambda a: F.struct(close(a)["rows"].alias("rows"), close(a)["tables"].alias("tables")))
+    return _where(md, "|", whole, F.struct(F.lit(0).alias("rows"), F.lit(0).alias("tables")))
 
 
 def features(docs: DataFrame, md: str = "md") -> DataFrame:
     """``docs`` with the counts that scores need."""
     m = F.col(md)
-    docs = docs.withColumns({"_display": _found(m, DISPLAY), "_inline": _found(m, INLINE), "_headings": F.transform(_found(m, r"(?md)^#{2,6} (.+)"), tk.strip), "_tables": table_counts(m)})
+    none = F.array().cast("array<string>")
+    plain = {"not_decoded": _count_where(m, "formula-not-decoded", "formula-not-decoded"), "ligature": _count_where(m, "/uniFB", "/uniFB[0-9a-f]+"), "_u4": _count_where(m, "/u", "/u[0-9A-Fa-f]{4}")}
+    docs = docs.withColumns(plain | {"_display": _where(m, "$$", _found(m, DISPLAY), none), "_inline": _where(m, "$", formulas(m), none), "_headings": F.transform(_found(m, r"(?md)^#{2,6} (.+)"), tk.strip), "_tables": table_counts(m)})
     valid = lambda c: F.size(F.filter(c, latex_valid))
     return docs.withColumns(
         {
             "n_display": F.size("_display"), "n_inline": F.size("_inline"), "display_valid": valid("_display"), "inline_valid": valid("_inline"),
-            "not_decoded": tk.count(m, "formula-not-decoded"), "good_ctx": good_context(m), "n_fallback": tk.count(m, r"(?m)^### Page \d+"), "fallback_section": m.contains(UNMAPPED),
-            "n_images": tk.count(m, r"(?d)!\[.*?\]\("), "n_captions_near": tk.count(m, r"(?di)!\[.*?\]\([^)]+\)\n{1,3}[*>]\s*(?:Fig|Figure|Extended Data)[^\n]+"),
-            "u_escape": tk.count(m, "/u[0-9A-Fa-f]{5}") + tk.count(m, "/u[0-9A-Fa-f]{4}"), "ligature": tk.count(m, "/uniFB[0-9a-f]+"), "pua": tk.count(m, "[\uf000-\uf0ff]"), "um_space": tk.count(m, "µ [mMlLsSnNgGΩ](?=[^a-zA-Z])"),
+            "good_ctx": _good(F.col("_inline")), "n_fallback": _count_where(m, "### Page ", r"(?m)^### Page \d+"), "fallback_section": m.contains(UNMAPPED),
+            "n_images": _count_where(m, "![", r"(?d)!\[.*?\]\("), "n_captions_near": _count_where(m, "![", r"(?di)!\[.*?\]\([^)]+\)\n{1,3}[*>]\s*(?:Fig|Figure|Extended Data)[^\n]+"),
+            "u_escape": F.col("_u4") + F.when(F.col("_u4") > 0, tk.count(m, "/u[0-9A-Fa-f]{5}")).otherwise(0), "pua": tk.count(m, "[\uf000-\uf0ff]"), "um_space": _count_where(m, "µ ", "µ [mMlLsSnNgGΩ](?=[^a-zA-Z])"),
             "n_h2plus": F.size("_headings"), "table_rows": F.col("_tables.rows"), "n_tables": F.col("_tables.tables"),
-            "n_refs": F.greatest(*(tk.count(m, p) for p in REFERENCE_STYLES)), "generic_artifacts": sum((tk.count(m, p) for p in GENERIC_ARTIFACTS), F.lit(0)),
+            "n_refs": reference_count(m), "generic_artifacts": F.col("not_decoded") + F.col("_u4") + F.col("ligature"),
         }
-    ).drop("_display", "_inline", "_tables")
+    ).drop("_display", "_inline", "_tables", "_u4")
 
 
 def _c(name: str) -> Column:

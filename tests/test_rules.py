@@ -1,5 +1,6 @@
 """Text rules on hand-made cases whose results follow from the rules' wording."""
 
+import random
 import re
 import time
 
@@ -137,3 +138,30 @@ def test_noise_in_any_case(spark):
     """The literal that a rule needs is found in any case that the rule itself takes."""
     text = "a\nſcience Advances\nVIEW the article online now\nb"
     assert spark.createDataFrame([(text,)], "t string").select(postprocess.noise(F.col("t"))).first()[0] == "a\n\n\nb"
+
+
+def test_features_are_those_of_the_plain_patterns(spark):
+    """Formulas, their context, references, escapes and tables, counted by one pattern a kind."""
+    rng = random.Random(5)
+    bits = ["$a$", "$x_{2}$", "$y}$", "$$z$$", "$", " ", ",", "a", "\n", "\n", "[1]", "- [2]", "3. A", "- Ab,", "- 4. ", "- 5.\n- 6. x", "- ", "/u12ab", "/u12abc", "/uniFB01", "|", "| a |", "|-|-|", "<br>", "Col1", "µ m ", "![a](b)", "\n*Fig c", "formula-not-decoded", "### Page 3", "\uf001", "\U0001f4d0"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 40)))) for i in range(400)] + [(1000, None), (1001, ""), (1002, "$a$"), (1003, "$a$ $b$,$c$")]
+    md = F.col("md")
+    n = lambda p: F.regexp_count(md, F.lit(p))
+    inline = r"(?<!\$)\$(?!\$)([^$\n]+?)(?<!\$)\$(?!\$)"
+    plain = {
+        "n_inline": n(inline), "n_display": n(r"\$\$([\s\S]+?)\$\$"), "not_decoded": n("formula-not-decoded"), "n_fallback": n(r"(?m)^### Page \d+"), "n_images": n(r"(?d)!\[.*?\]\("),
+        "good_ctx": F.regexp_count(F.regexp_replace(md, inline, "\u0001$1\u0002"), F.lit("(?:^|[ \n,.(;:\\[])\u0001[^\u0002]*\u0002(?=\\z|[ \n,.)%;:])")),
+        "u_escape": n("/u[0-9A-Fa-f]{5}") + n("/u[0-9A-Fa-f]{4}"), "ligature": n("/uniFB[0-9a-f]+"), "um_space": n("µ [mMlLsSnNgGΩ](?=[^a-zA-Z])"), "generic_artifacts": n("formula-not-decoded") + n("/u[0-9A-Fa-f]{4,5}") + n("/uniFB[0-9a-f]+"),
+        "n_refs": F.greatest(*(n(p) for p in score.REFERENCE_STYLES)), "inline_valid": F.size(F.filter(F.regexp_extract_all(md, F.lit(inline), F.lit(1)), score._balanced)),
+    }
+    got = score.features(spark.createDataFrame(rows, "i long, md string")).select("i", *plain, *(v.alias(f"plain_{k}") for k, v in plain.items())).collect()
+    for r in got:
+        assert {k: r[k] for k in plain} == {k: r[f"plain_{k}"] for k in plain}, rows[min(r["i"], len(rows) - 1)]
+    assert all(any(r[k] for r in got) for k in plain)
+
+
+def test_a_text_is_not_gone_over_once_for_each_reference_style(spark):
+    """One pattern finds the lines of all styles, another only what can overlap; formulas are not marked to see their context."""
+    df = score.features(spark.createDataFrame([(1, "a")], "i long, md string")).select("n_refs", "good_ctx")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?m)^") <= 2 and "regexp_replace(md" not in plan
