@@ -29,10 +29,6 @@ def counts(corrections: DataFrame, key: str = "paper_key") -> DataFrame:
     return corrections.groupBy(key).pivot("type", list(KINDS)).count().na.fill(0)
 
 
-def _papers(corrections: DataFrame) -> DataFrame:
-    return corrections.groupBy("journal").agg(F.sort_array(F.collect_set("paper_key")).alias("papers"))
-
-
 def formula_rule(corrections: DataFrame, params: DataFrame) -> DataFrame:
     """Proposals to lower the threshold where formulas were added three times, and to raise it where they were removed."""
     had, has = F.col("before").rlike(FORMULA), F.coalesce(F.col("after").rlike(FORMULA), F.lit(False))
@@ -114,22 +110,50 @@ def proposals(corrections: DataFrame, params: DataFrame) -> DataFrame:
     order stays.
     """
     strings, extras = "array<string>", "array<struct<replace:string,with:string>>"
-    p = params.select("journal", *(F.col(c).alias(f"_{c}") for c in ("extra_boilerplate_patterns", "heading_remap", "postprocess_extras")))
-    row = lambda d, step, param, action, value, n: d.select("journal", F.lit(step).alias("step"), F.lit(param).alias("param"), F.lit(action).alias("action") if isinstance(action, str) else action.alias("action"), value.alias("value"), n.cast("long").alias("n"))
-    f = formula_rule(corrections, params)
-    out = f.select("journal", F.when(F.col("action") == "lower", 1).otherwise(2).alias("step"), F.lit("mfd_conf_override").alias("param"), "action", F.to_json(F.struct("value")).alias("value"), F.col("n").cast("long").alias("n"))
-    b = boilerplate_rule(corrections, params).groupBy("journal").agg(F.collect_set("text").alias("new"), F.count("*").alias("n")).join(p, "journal", "left")
-    out = out.unionByName(row(b, 3, "extra_boilerplate_patterns", "add", F.to_json(F.struct(F.sort_array(F.array_union("new", F.coalesce("_extra_boilerplate_patterns", F.array().cast(strings)))).alias("value"))), F.col("n")))
-    h = heading_rule(corrections, params).groupBy("journal").agg(F.array_sort(F.collect_set(F.struct("before", "after"))).alias("new"), F.count("*").alias("n")).join(p, "journal", "left")
-    old = F.filter(F.map_entries(F.coalesce("_heading_remap", F.create_map().cast("map<string,string>"))), lambda e: ~F.exists("new", lambda x: x["before"] == e["key"]))
-    last = F.filter("new", lambda x, i: ~F.exists(F.slice("new", i + 2, F.size("new")), lambda y: y["before"] == x["before"]))
+    p = params.select("journal", *(F.col(c).alias(f"_{c}") for c in ("mfd_conf_override", "extra_boilerplate_patterns", "heading_remap", "postprocess_extras")))
+    d = _tally(corrections).join(p, "journal", "left")
+    texts, remap, have = F.coalesce("_extra_boilerplate_patterns", F.array().cast(strings)), F.coalesce("_heading_remap", F.create_map().cast("map<string,string>")), F.coalesce("_postprocess_extras", F.array().cast(extras))
+    stored = lambda x: F.coalesce(F.try_element_at(remap, x["before"]) == x["after"], F.lit(False))
+    d = d.withColumns({"base": F.coalesce("_mfd_conf_override", F.lit(BASE)), "texts": F.array_except("texts", texts), "headings": F.array_sort(F.filter("headings", lambda x: ~stored(x))), "characters": F.array_except(F.array_sort("characters"), have)})
+    old = F.filter(F.map_entries(remap), lambda e: ~F.exists("headings", lambda x: x["before"] == e["key"]))
+    last = F.filter("headings", lambda x, i: ~F.exists(F.slice("headings", i + 2, F.size("headings")), lambda y: y["before"] == x["before"]))
     merged = F.array_sort(F.concat(F.transform(old, lambda e: F.struct(e["key"].alias("before"), e["value"].alias("after"))), last))
-    out = out.unionByName(row(h, 4, "heading_remap", "add", F.to_json(F.struct(F.map_from_entries(merged).alias("value"))), F.col("n")))
-    c = character_rule(corrections).groupBy("journal").agg(F.array_sort(F.collect_set(F.struct("replace", "with"))).alias("new")).join(p, "journal", "left")
-    have = F.coalesce("_postprocess_extras", F.array().cast(extras))
-    c = c.withColumn("new", F.array_except("new", have)).filter(F.size("new") > 0)
-    out = out.unionByName(row(c, 5, "postprocess_extras", "add", F.to_json(F.struct(F.concat(F.coalesce("_postprocess_extras", F.array().cast(extras)), "new").alias("value"))), F.size("new")))
-    return out.join(_papers(corrections), "journal", "left")
+
+    def made(step, param, action, value, n, least):
+        one = F.struct(F.lit(step).alias("step"), F.lit(param).alias("param"), F.lit(action).alias("action"), F.to_json(F.struct(value.alias("value"))).alias("value"), n.cast("long").alias("n"))
+        return F.when(n >= least, one)
+
+    steps = F.array(
+        made(1, "mfd_conf_override", "lower", F.round(F.col("base") - STEP, 4), F.col("added"), THRESHOLD),
+        made(2, "mfd_conf_override", "raise", F.round(F.col("base") + STEP, 4), F.col("removed"), THRESHOLD),
+        made(3, "extra_boilerplate_patterns", "add", F.sort_array(F.array_union("texts", texts)), F.size("texts"), 1),
+        made(4, "heading_remap", "add", F.map_from_entries(merged), F.size("headings"), 1),
+        made(5, "postprocess_extras", "add", F.concat(have, "characters"), F.size("characters"), 1),
+    )
+    return d.select("journal", F.inline(F.array_compact(steps)), "papers")
+
+
+def _tally(corrections: DataFrame) -> DataFrame:
+    """``journal, added, removed, texts, headings, characters, papers``: what all rules count, of changes made often enough; corrections are gone over once.
+
+    A correction is of one kind, so it counts for one rule at most.
+    """
+    of = lambda step, a=None, b=None: F.struct(F.lit(step).alias("step"), (F.lit(None).cast("string") if a is None else a).alias("a"), (F.lit(None).cast("string") if b is None else b).alias("b"))
+    before, after, kind = F.col("before"), F.col("after"), F.col("type")
+    had, has = F.coalesce(before.rlike(FORMULA), F.lit(False)), F.coalesce(after.rlike(FORMULA), F.lit(False))
+    formula = F.when(has & ~had, of(1)).when(had & ~has, of(2))
+    text = tk.let(tk.strip(before), lambda x: F.when(x != "", of(3, x)))
+    heading = tk.let(F.struct(tk.strip(before).alias("b"), tk.strip(after).alias("a")), lambda x: F.when((x["b"] != "") & (x["a"] != "") & (x["b"] != x["a"]), of(4, x["b"], x["a"])))
+    differ = F.filter(F.arrays_zip(F.split(before, "").alias("f"), F.split(after, "").alias("t")), lambda x: x["f"] != x["t"])
+    character = F.when((before != after) & (F.length(before) == F.length(after)), tk.let(differ, lambda x: F.when(F.size(x) == 1, of(5, x[0]["f"], x[0]["t"]))))
+    key = F.when(kind == KINDS[1], formula).when(kind == KINDS[0], text).when(kind == KINDS[2], heading).when(kind == KINDS[4], character)
+    n = corrections.select("journal", "paper_key", key.alias("key")).groupBy("journal", "key").agg(F.count("*").alias("n"), F.collect_set("paper_key").alias("papers"))
+    step, often = F.col("key.step"), F.col("n") >= THRESHOLD
+    listed = lambda k, a, *b: F.collect_list(F.when((step == k) & often, F.struct(F.col("key.a").alias(a), F.col("key.b").alias(*b)) if b else F.col("key.a")))
+    return n.groupBy("journal").agg(
+        F.sum(F.when(step == 1, F.col("n"))).alias("added"), F.sum(F.when(step == 2, F.col("n"))).alias("removed"), listed(3, "text").alias("texts"), listed(4, "before", "after").alias("headings"),
+        listed(5, "replace", "with").alias("characters"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("papers")))).alias("papers"),
+    )
 
 
 def apply_proposals(params: DataFrame, proposed: DataFrame, date: Column) -> DataFrame:

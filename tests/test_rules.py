@@ -165,3 +165,20 @@ def test_a_text_is_not_gone_over_once_for_each_reference_style(spark):
     df = score.features(spark.createDataFrame([(1, "a")], "i long, md string")).select("n_refs", "good_ctx")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?m)^") <= 2 and "regexp_replace(md" not in plan
+
+
+def test_proposals_go_over_corrections_once(spark):
+    """All five rules and the papers from one reading, the same as each rule by itself."""
+    lines = ["# A", "## A", "# B", "a-b", "a–b", "see $x$", "see", "© W", "item", None, " ", "a_b"]
+    log = spark.range(1500).selectExpr("'p' || (id % 9) AS paper_key", "'j' || (id % 3) AS journal", "pmod(hash(id), 12) AS x", "pmod(hash(id, 7), 11) AS y")
+    text = F.array(*(F.lit(t) for t in lines))
+    log = log.select("paper_key", "journal", F.coalesce(F.get(text, F.col("x").cast("int")), F.lit("b")).alias("before"), F.get(text, F.col("y").cast("int")).alias("after")).withColumn("type", learn.classify(F.col("before"), F.col("after")))
+    params = spark.createDataFrame([("j0", 0.4, ["© W"], {"# A": "# B"}, [])], "journal string, mfd_conf_override double, extra_boilerplate_patterns array<string>, heading_remap map<string,string>, postprocess_extras array<struct<replace:string,with:string>>")
+    made = learn.proposals(log, params)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    got = {(r["journal"], r["step"]): r for r in made.collect()}
+    want = {(r["journal"], 1 if r["action"] == "lower" else 2): r["n"] for r in learn.formula_rule(log, params).collect()}
+    for step, rule in ((3, learn.boilerplate_rule(log, params)), (4, learn.heading_rule(log, params)), (5, learn.character_rule(log))):
+        want |= {(r["journal"], step): r["count"] for r in rule.groupBy("journal").count().collect()}
+    assert {k: r["n"] for k, r in got.items()} == want and {k[1] for k in want} == {1, 2, 3, 4, 5}
+    assert all(r["papers"] == sorted({f"p{k}" for k in range(9) if k % 3 == int(r["journal"][1])}) for r in got.values())
