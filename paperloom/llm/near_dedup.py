@@ -28,8 +28,11 @@ allowed edits of the longer one's words, numbered by occurrence, so among a text
 rarest words, as many as the allowed edits and one more, there is one in common, and
 behind the first such word there are still as many words as the two must share:
 texts of a large key meet on those, which a passage is never among that is less
-than four fifths of the text. The result is the same as if every pair of every key had been compared, whatever its
-size. Before texts are read, pairs whose lengths or words differ by more than the
+than four fifths of the text. Where more than BLOCK texts of a key would meet more often
+than there are pairs of about the same length (texts that share nearly four fifths,
+whose other words are common ones), those pairs are compared by lengths and word bits,
+dealt in blocks. The result is the same as if every pair of every key had been
+compared, whatever its size. Before texts are read, pairs whose lengths or words differ by more than the
 allowed edits are left out, which is exact. Narrow tables are checkpointed; texts
 are read again for candidates only. What reaches the driver are at most HELD_LINKS
 links at once.
@@ -61,6 +64,8 @@ BUCKET, PIVOTS = 16, 3
 LEAST_LINKS = 16
 #: Groups of up to so many texts are compared pair by pair, and larger ones if their texts have as many words on average; in all others pairs are found by rare words: another way to the same pairs.
 PAIRWISE = 64
+#: Texts of a block where a crowd of more is compared pair by pair: each task has two blocks.
+BLOCK = 512
 #: Components of up to so many links are found in the driver, of more by rounds of joins.
 HELD_LINKS = 1 << 17
 PARITY = 1024
@@ -339,9 +344,11 @@ def _by_rare_words(apart: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataF
     ``e + 1`` first of each in any common order have one in common.
     """
     apart = apart.filter(F.col("n_words") >= EDITS[1] // EDITS[0] - 1)  # shorter ones have no edit to spare
-    # keys of the same texts are one: each is named by the member of least hash, so texts that share many keys share few names
-    names = apart.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("name"))
-    apart = settled(apart.join(names, "key").select(F.col("name").alias("key"), "node", "n_words", "component").distinct())
+    # keys of the same texts are one: each is named by the member of least hash, so texts that share many keys share few names;
+    # a second hash joins most of those that the first has left apart
+    for k in range(2):
+        names = apart.groupBy("key").agg(F.min_by("node", F.struct(F.xxhash64(F.lit(k), "node"), "node")).alias("name"))
+        apart = settled(apart.join(names, "key").select(F.col("name").alias("key"), "node", "n_words", "component").distinct())
     texts = _texts(_wanted(apart.select("node").distinct(), nodes), docs)
     some = apart.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(ORDER_TEXTS)
     sent = docs.sparkSession.sparkContext.broadcast(_frequencies(_texts(_wanted(some, nodes), docs)))
@@ -357,6 +364,10 @@ def _by_rare_words(apart: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataF
 
     # texts of a pair may share many keys and words: they meet where the ones before, in one order for all, are not shared
     first = settled(texts.select("node", taken("text").alias("words")))
+    dense, pairs = _dense(apart, first), None
+    if not dense.isEmpty():
+        pairs = _in_blocks(apart.join(sized(dense), "key", "left_semi"), nodes.select("node", "bits"))
+        apart = apart.join(sized(dense), "key", "left_anti")
     keys = apart.select("node", "n_words", "component", "key", F.lag("key").over(Window.partitionBy("node").orderBy("key")).alias("k"))
     steps = F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.concat(F.array(F.lit(None).cast("long")), F.slice("words", F.lit(1), F.size("words") - 1)).alias("before")))
     held = keys.join(first, "node").select("node", "n_words", "component", "key", "k", steps.alias("at", "s"))
@@ -364,8 +375,37 @@ def _by_rare_words(apart: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataF
     held = held.select(F.xxhash64("key", "s.word").alias("meet"), "node", "n_words", (F.col("n_words") - F.col("at")).alias("left"), "component", "k", F.col("s.before").alias("w"))
     x, y = held.toDF("meet", "x", "nx", "lx", "cx", "kx", "wx"), held.toDF("meet", "y", "ny", "ly", "cy", "ky", "wy")
     newly = lambda a, b: F.coalesce(F.col(a) != F.col(b), F.lit(True))
-    pairs = x.join(y, "meet").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & newly("kx", "ky") & newly("wx", "wy") & (EDITS[1] * F.least("lx", "ly") >= (EDITS[1] - EDITS[0]) * F.greatest("nx", "ny")))
-    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
+    met = x.join(y, "meet").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & newly("kx", "ky") & newly("wx", "wy") & (EDITS[1] * F.least("lx", "ly") >= (EDITS[1] - EDITS[0]) * F.greatest("nx", "ny")))
+    met = met.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
+    return (met.unionAll(pairs) if pairs else met).distinct()
+
+
+def _dense(apart: DataFrame, first: DataFrame) -> DataFrame:
+    """The keys of more than ``BLOCK`` members that meet more often on the words of ``first`` (``node, words``) than there are pairs of about the same length."""
+    large = settled(apart.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select("key"))
+    if large.isEmpty():
+        return large
+    apart = apart.join(sized(large), "key", "left_semi")
+    two = lambda: F.sum(F.expr("n * (n - 1) / 2"))
+    meetings = apart.join(first, "node").select("key", F.explode("words").alias("word")).groupBy(F.xxhash64("key", "word"), "key").agg(F.count("*").alias("n")).groupBy("key").agg(two().alias("meetings"))
+    pairs = apart.select("key", F.explode(_cells("n_words")).alias("size_class")).groupBy("key", "size_class").agg(F.count("*").alias("n")).groupBy("key").agg(two().alias("pairs"))
+    return settled(meetings.join(pairs, "key").filter("meetings > pairs").select("key"))
+
+
+def _in_blocks(members: DataFrame, bits: DataFrame) -> DataFrame:
+    """``a, b, na, nb`` of members (``key, node, n_words, component``) of one key and different components that lengths and word bits allow to be near-duplicates.
+
+    Every pair is looked at; blocks of members of about the same length meet block by block, so no task has a whole key.
+    """
+    held = members.select("key", "node", "n_words", "component", _cells("n_words")[0].alias("even"), F.explode(_cells("n_words")).alias("size_class"))
+    blocks = held.groupBy("key", "size_class").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    held = held.join(blocks, ["key", "size_class"]).withColumn("own_block", F.pmod(F.xxhash64(F.lit(2), "node"), "blocks"))
+    held = held.join(_bits_apart(bits), "node").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = lambda x, i, j: held.select("key", "size_class", F.col(i).alias("i"), F.col(j).alias("j"), *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n_words", "component", "even", "bits", "own"))).filter("i <= j")
+    once = ((F.col("i") < F.col("j")) | (F.col("node_x") < F.col("node_y"))) & ((F.col("size_class") == F.col("even_x")) | (F.col("even_x") != F.col("even_y")))
+    alike = _alike("n_words_x", "n_words_y", "bits_x", "bits_y") & _alike_own("n_words_x", "n_words_y", "own_x", "own_y")
+    met = side("x", "own_block", "block").join(side("y", "block", "own_block"), ["key", "size_class", "i", "j"]).filter(once & (F.col("component_x") != F.col("component_y")) & alike)
+    return met.select(*_pair("node_x", "n_words_x", "node_y", "n_words_y"))
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -415,6 +455,17 @@ def _alike_long(n: str, m: str, one: str, other: str):
     return EDITS[1] * (differ + F.abs(F.col(n) - F.col(m))) <= 2 * EDITS[0] * F.greatest(n, m)
 
 
+def _bits_apart(bits: DataFrame) -> DataFrame:
+    """``node, bits, own``: word bits of all texts, and those of their own size of long ones (else null)."""
+    own = F.when(F.size("bits") > PARITY // 64, F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))"))
+    return bits.select("node", F.slice("bits", 1, PARITY // 64).alias("bits"), own.alias("own"))
+
+
+def _alike_own(n: str, m: str, one: str, other: str):
+    """``_alike_long`` where both texts are long, else true."""
+    return F.col(one).isNull() | F.col(other).isNull() | _alike_long(n, m, one, other)
+
+
 def _pair(one: str, n: str, other: str, m: str) -> list:
     """``a, b, na, nb``: two nodes, the lesser first, and their words."""
     first = F.col(one) < F.col(other)
@@ -436,15 +487,20 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return held.join(main, "key")
 
 
+def _cells(n: str):
+    """The two size classes of a text; any two texts whose lengths allow a link have one in common."""
+    # a cell is twice as wide as the lengths of a link may differ, and a hundredth more for rounding; the grids are half a cell apart
+    size = F.log(F.greatest(F.col(n), F.lit(1))) / (1.01 * _WIDTH)
+    return F.array(2 * F.floor(size), 2 * F.floor(size + 0.5) + 1)
+
+
 def _groups(apart: DataFrame) -> DataFrame:
     """``key, size_class, node, n_words, component, crowd``: members of each key by length, in groups that hold several components.
 
     Any two members of a key whose lengths allow a link are in a group together.
     ``crowd``: whether the group is too large to be compared pair by pair.
     """
-    # a cell is twice as wide as the lengths of a link may differ, and a hundredth more for rounding; the grids are half a cell apart
-    size = F.log(F.greatest(F.col("n_words"), F.lit(1))) / (1.01 * _WIDTH)
-    cells = F.when(F.col("n") <= BUCKET, F.array(F.lit(-1).cast("long"))).otherwise(F.array(2 * F.floor(size), 2 * F.floor(size + 0.5) + 1))
+    cells = F.when(F.col("n") <= BUCKET, F.array(F.lit(-1).cast("long"))).otherwise(_cells("n_words"))
     held = apart.select("key", "node", "n_words", "component", F.explode(cells).alias("size_class"))
     several = held.groupBy("key", "size_class").agg(F.count("*").alias("m"), F.avg("n_words").alias("mean"), F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d")
     crowd = (F.col("m") > PAIRWISE) & (F.col("m") > F.col("mean"))
@@ -453,11 +509,9 @@ def _groups(apart: DataFrame) -> DataFrame:
 
 def _pair_by_pair(groups: DataFrame, bits: DataFrame) -> DataFrame:
     """``a, b``: members of one group and different components that lengths and word bits allow to be near-duplicates."""
-    own = F.when(F.size("bits") > PARITY // 64, F.expr(f"slice(bits, {PARITY // 64 + 1}, size(bits))"))  # null for texts that are not long
-    bits = bits.select("node", F.slice("bits", 1, PARITY // 64).alias("bits"), own.alias("own"))
-    held = groups.select("key", "size_class", "node", "n_words", "component").join(bits, "node")
+    held = groups.select("key", "size_class", "node", "n_words", "component").join(_bits_apart(bits), "node")
     side = lambda x: held.select("key", "size_class", F.col("node").alias(x), F.col("n_words").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("bits").alias(f"bits_{x}"), F.col("own").alias(f"own_{x}"))
-    alike = _alike("na", "nb", "bits_a", "bits_b") & (F.col("own_a").isNull() | F.col("own_b").isNull() | _alike_long("na", "nb", "own_a", "own_b"))
+    alike = _alike("na", "nb", "bits_a", "bits_b") & _alike_own("na", "nb", "own_a", "own_b")
     met = side("a").join(side("b"), ["key", "size_class"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
     return met.select("a", "b").distinct()
 

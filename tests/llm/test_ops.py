@@ -665,6 +665,35 @@ def test_pairs_of_a_crowd_are_compared_once(spark, monkeypatch):
     assert got == plain_classes(rows) and small and rare and not small & rare
 
 
+def test_a_crowd_that_meets_on_common_words_is_compared_in_blocks(spark, monkeypatch):
+    """Where the rarest words are shared by many, few pairs come out that lengths and word bits rule out: those of smaller keys."""
+    rows = crowd(random.Random(23))
+    monkeypatch.setattr(near_dedup, "BUCKET", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    grouped, by_words, seen = near_dedup._groups, near_dedup._by_rare_words, []
+
+    def met(apart, nodes, docs):
+        pairs = near_dedup.settled(by_words(apart, nodes, docs))
+        bits = nodes.select("node", F.slice("bits", 1, near_dedup.PARITY // 64).alias("bits"))
+        seen.append((pairs.count(), near_dedup._possible(pairs, bits).count()))
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_groups", lambda apart: grouped(apart).withColumn("crowd", F.lit(True)))
+    monkeypatch.setattr(near_dedup, "_by_rare_words", met)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ((pairs, possible),) = seen
+    assert got == plain_classes(rows) and 0 < possible <= pairs <= 1.1 * possible
+
+
+def test_blocks_give_each_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    members = [(k, node, 20 + node // 2, node % 5) for k in (1, 2) for node in range(40 * k, 40 * k + 60)]
+    bits = [(node, [0] * (near_dedup.PARITY // 64)) for node in range(40, 140)]
+    got = near_dedup._in_blocks(spark.createDataFrame(members, "key long, node long, n_words long, component long"), spark.createDataFrame(bits, "node long, bits array<long>")).collect()
+    want = [(a, b, m, n) for (k, a, m, c), (j, b, n, d) in itertools.combinations(members, 2) if k == j and c != d and 10 * (n - m) <= 2 * n]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_texts_with_more_words_than_their_group_has_texts_are_not_taken_apart(spark, monkeypatch):
     rng = random.Random(18)
     passage = sentence(rng, 60)
