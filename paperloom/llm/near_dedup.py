@@ -509,10 +509,13 @@ def _groups(apart: DataFrame) -> DataFrame:
 
 def _pair_by_pair(groups: DataFrame, bits: DataFrame) -> DataFrame:
     """``a, b``: members of one group and different components that lengths and word bits allow to be near-duplicates."""
-    held = groups.select("key", "size_class", "node", "n_words", "component").join(_bits_apart(bits), "node")
-    side = lambda x: held.select("key", "size_class", F.col("node").alias(x), F.col("n_words").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("bits").alias(f"bits_{x}"), F.col("own").alias(f"own_{x}"))
+    # a pair of many keys comes out where it meets anew: not where both have met in their last key before, nor in the second class if the first has both
+    last = F.lag("key").over(Window.partitionBy("node", "size_class").orderBy("key"))
+    held = groups.select("key", "size_class", "node", "n_words", "component", last.alias("k"), _cells("n_words")[0].alias("e")).join(_bits_apart(bits), "node")
+    side = lambda x: held.select("key", "size_class", F.col("k").alias(f"k{x}"), F.col("e").alias(f"e{x}"), F.col("node").alias(x), F.col("n_words").alias(f"n{x}"), F.col("component").alias(f"c{x}"), F.col("bits").alias(f"bits_{x}"), F.col("own").alias(f"own_{x}"))
     alike = _alike("na", "nb", "bits_a", "bits_b") & _alike_own("na", "nb", "own_a", "own_b")
-    met = side("a").join(side("b"), ["key", "size_class"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike)
+    anew = F.coalesce(F.col("ka") != F.col("kb"), F.lit(True)) & ((F.col("size_class") < 0) | (F.col("size_class") == F.col("ea")) | (F.col("ea") != F.col("eb")))
+    met = side("a").join(side("b"), ["key", "size_class"]).filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & anew & alike)
     return met.select("a", "b").distinct()
 
 
