@@ -97,8 +97,9 @@ def merge_slots(slots: DataFrame, formulas: DataFrame) -> DataFrame:
     return s.join(f, ["doc_id", "page", "k"], "full_outer")
 
 
-#: Characters of a gram of the containment index, at most; texts up to so many characters are looked up among the sorted ends of the others.
-GRAM, SHORT = 8, 32
+#: Characters of a gram of the containment index, at most; texts up to so many characters are looked up among the sorted ends of the others;
+#: characters of a page's texts that are dealt together.
+GRAM, SHORT, CROWD = 8, 32, 2**23
 
 
 def _bare(latex: Column) -> Column:
@@ -106,29 +107,61 @@ def _bare(latex: Column) -> Column:
     return tk.sub(latex, [(r"(?U)\s+", ""), (r"\\(?:mathrm|text|mathit|mathbf)\{((?U:\w+))\}", "$1")])
 
 
-def contained_texts(texts: DataFrame, keys: list[str], text: str, least: int) -> DataFrame:
-    """The distinct ``keys`` and texts of ``least`` characters or more that a longer text under the same keys contains.
+def without_contained(rows: DataFrame, keys: list[str], text: str, raw: str, least: int, parts: int | None = None) -> DataFrame:
+    """The rows whose ``text``, if it has ``least`` characters or more, no longer text under the same keys contains.
 
-    Short ones are looked up by sorting, the others, whose grams are rarer, by an index of grams.
+    Short texts are looked up by sorting, the others, whose grams are rarer, by an index of
+    grams. ``raw`` is the column that ``text`` was made of, no shorter; ``parts``, if given, is
+    the number of parts that the texts are dealt to.
     """
     least = max(least, 1)
-    t = texts.select(*keys, F.col(text).alias("_t")).filter(F.length("_t") >= least).distinct()
-    found = _contained_short(t, keys, least)
-    return found.unionByName(_contained_long(t, keys, max(least, SHORT + 1))).withColumnRenamed("_t", text)
+    known = F.lit(True)
+    for k in keys:
+        known &= F.col(k).isNotNull()
+    # one filter for all that reads the rows, so that they are shuffled once before it and not for each reader
+    held = rows.filter(known)
+    long = held.filter((F.length(raw) > SHORT) & (F.length(text) > SHORT))
+    found = _contained_long(long.select(*keys, F.col(text).alias("_t")).distinct(), keys, max(least, SHORT + 1)).withColumnRenamed("_t", text)
+    return _short_without_contained(held, keys, text, raw, least, parts).unionByName(long.join(found, [*keys, text], "left_anti")).unionByName(rows.filter(~known))
 
 
-def _contained_short(t: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The texts of up to ``SHORT`` characters that a longer one contains.
+def _short_without_contained(rows: DataFrame, keys: list[str], text: str, raw: str, least: int, parts: int | None) -> DataFrame:
+    """The rows with a text of up to ``SHORT`` characters, or none, but those of ``least`` or more that a longer text contains.
 
     A text contains another if one of its ends begins with it. So the ends of all texts, cut
-    behind ``SHORT`` characters and one, are dealt by their first ``least`` characters and
-    sorted: what begins with a text follows it at once. No pair is made, however many
-    texts a page has.
+    behind ``SHORT`` characters and one, are sorted: what begins with a text follows it at once.
+    No pair is made, however many texts a page has. The texts are shuffled and not their
+    ends, each once with its row; those of a page beyond ``CROWD`` characters are dealt
+    by the first ``least`` characters of their ends, to each part that one of these
+    falls to. The list of such pages has at most one for each ``CROWD`` characters.
     """
-    ends = F.transform(F.sequence(F.lit(1), F.length("_t") - least + 1), lambda i: F.struct((i > 1).alias("_inner"), F.substr(F.col("_t"), i, F.lit(SHORT + 1)).alias("_e")))
-    rows = t.select(*keys, F.inline(ends)).withColumn("_p", F.substring("_e", 1, least))
-    after = F.lead("_e").over(Window.partitionBy(*keys, "_p").orderBy("_e", "_inner"))
-    return rows.withColumn("_after", after).filter(~F.col("_inner") & (F.length("_e") <= SHORT) & F.startswith("_after", "_e")).select(*keys, F.col("_e").alias("_t"))
+    others = [c for c in rows.columns if c not in keys]
+    size = F.sum(F.greatest(F.length(raw), F.lit(1)))
+    crowds = rows.groupBy(*keys).agg(F.ceil(size / CROWD).cast("int").alias("_parts")).filter("_parts > 1")
+    t = rows.join(F.broadcast(crowds), keys, "left").withColumns({"_parts": F.coalesce("_parts", F.lit(1)), "_n": F.coalesce(F.length(text), F.lit(0))})
+    starts = F.sequence(F.lit(1), F.col("_n") - least + 1)
+    part = lambda i: F.pmod(F.xxhash64(F.substr(F.col(text), i, F.lit(least))), F.col("_parts")).cast("int")
+    alone = F.array(F.pmod(F.spark_partition_id(), F.col("_parts")))
+    to = F.when(F.col("_n") < least, alone).when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(F.array_distinct(F.transform(starts, part)))
+    t = t.select("*", F.explode(to).alias("_part"))
+    t = t.repartition(parts, *keys, "_part") if parts else t.repartition(*keys, "_part")
+
+    # copies of a text have the same ends: but the first gives its row alone
+    same = Window.partitionBy(*keys, "_part", text).orderBy(text)
+    here = lambda i: (F.col("_parts") == 1) | (part(i) == F.col("_part"))
+    first = F.lit(1)
+    ends = F.when(F.col("_n") < least, F.array(first)).when(F.col("_copy") == 1, F.filter(starts, here)).when(here(first), F.array(first)).otherwise(F.array().cast("array<int>"))
+    made = F.transform(ends, lambda i: F.struct(((i > 1) | (F.col("_n") > SHORT)).alias("_inner"), F.substr(F.col(text), i, F.lit(SHORT + 1)).alias("_e")))
+    t = t.withColumn("_copy", F.row_number().over(same)).select(*keys, "_part", *others, F.inline(made))
+    t = t.select(*keys, "_part", "_inner", "_e", F.substring("_e", 1, least).alias("_p"), *(F.when(~F.col("_inner"), F.col(c)).alias(c) for c in others))
+
+    # backwards: what begins with a text stands right before it and its copies
+    on = Window.partitionBy(*keys, "_part", "_p").orderBy(F.col("_e").desc(), F.col("_inner").desc())
+    last, inner = F.lag("_e").over(on), F.lag("_inner").over(on)
+    t = t.withColumn("_last", F.when(inner | (last != F.col("_e")), last))
+    t = t.withColumn("_after", F.last("_last", ignorenulls=True).over(on.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    contained = (F.length("_e") >= least) & F.startswith("_after", "_e")
+    return t.filter(~F.col("_inner") & ~F.coalesce(contained, F.lit(False))).select(*rows.columns)
 
 
 def _contained_long(t: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -156,10 +189,10 @@ def _contained_long(t: DataFrame, keys: list[str], least: int) -> DataFrame:
     return found.filter((F.length("_l") > F.length("_s")) & F.contains("_l", "_s")).select(*keys, F.col("_s").alias("_t")).distinct()
 
 
-def drop_subformulas(formulas: DataFrame, least: int = 20) -> DataFrame:
+def drop_subformulas(formulas: DataFrame, least: int = 20, parts: int | None = None) -> DataFrame:
     """Formulas of ``least`` characters or more, white space aside, that a longer one of their page contains go."""
     f = formulas.withColumn("_bare", _bare(F.col("latex")))
-    return f.join(contained_texts(f, ["doc_id", "page"], "_bare", least), ["doc_id", "page", "_bare"], "left_anti").drop("_bare")
+    return without_contained(f, ["doc_id", "page"], "_bare", "latex", least, parts).drop("_bare")
 
 
 def accept_intervals(intervals: Column) -> Column:

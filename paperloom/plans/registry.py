@@ -50,13 +50,18 @@ def spread(df: DataFrame, share: int = 1) -> DataFrame:
 
 def by_order(lines: DataFrame) -> DataFrame:
     """``lineitem`` dealt by its orders, once for all that groups by them, into parts whose number grows with the table and not their size."""
-    return lines.repartition(lines.rdd.getNumPartitions() * PARTS_A_SCAN, "l_orderkey")
+    return lines.repartition(order_parts(lines), "l_orderkey")
 
 
-def add(name: str, inputs: str | dict, run, oracle: str | None = None) -> None:
-    """Registers a query. ``oracle`` may name the inputs; a single one is ``x``."""
+def order_parts(lines: DataFrame) -> int:
+    return lines.rdd.getNumPartitions() * PARTS_A_SCAN
+
+
+def add(name: str, inputs: str | dict, run, oracle: str | None = None, dealt: bool = False) -> None:
+    """Registers a query. ``oracle`` may name the inputs; a single one is ``x``. With ``dealt`` ``run`` also gets the ``parts`` that ``lineitem`` is dealt to."""
     inputs = {k: sql.replace("__LI__", LI) for k, sql in ({"x": inputs} if isinstance(inputs, str) else inputs).items()}
-    QUERIES[name] = lambda spark, sf_dir: run(*(source(spark, sf_dir, sql) for sql in inputs.values()))
+    size = lambda spark, sf_dir: {"parts": order_parts(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))} if dealt else {}
+    QUERIES[name] = lambda spark, sf_dir: run(*(source(spark, sf_dir, sql) for sql in inputs.values()), **size(spark, sf_dir))
     if oracle:
         head = "WITH RECURSIVE " if oracle.startswith("WITH RECURSIVE ") else "WITH "
         ORACLE[name] = head + ", ".join(f"{k} AS ({sql})" for k, sql in inputs.items()) + (", " if oracle.startswith(head) else " ") + oracle.removeprefix(head)
@@ -315,7 +320,7 @@ FROM f WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.doc_id = f.doc_id AND m.pos = f
 add("f_slot_merge", {"x": ITEMS, "f": FORMULAS}, lambda s, f: align.merge_slots(s.filter("depth = 1"), f).select("doc_id", "page", F.col("k").cast("long").alias("k"), "slot_pos", "latex"), """WITH s AS (SELECT doc_id, page, pos AS slot_pos, row_number() OVER (PARTITION BY doc_id, page ORDER BY pos) AS k FROM x WHERE depth = 1),
 g AS (SELECT doc_id, page, latex, row_number() OVER (PARTITION BY doc_id, page ORDER BY t DESC, pos) AS k FROM f) SELECT doc_id, page, k, slot_pos, latex FROM s FULL JOIN g USING (doc_id, page, k)""")
 SUBFORMULAS = "SELECT l_orderkey % 500 AS doc_id, l_linenumber % 2 AS page, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) ELSE 'item ' || CAST(l_partkey AS STRING) || ' of ' || CAST(l_suppkey AS STRING) || ' ' || l_returnflag END AS latex FROM __LI__"
-add("f_subformula_anti", SUBFORMULAS, lambda d: align.drop_subformulas(d, 5).select("doc_id", "pos"), "WITH y AS (SELECT *, regexp_replace(latex, '\\s+', '', 'g') AS bare FROM x) SELECT doc_id, pos FROM y WHERE NOT EXISTS (SELECT 1 FROM y g WHERE g.doc_id = y.doc_id AND g.page = y.page AND length(y.bare) >= 5 AND length(g.bare) > length(y.bare) AND contains(g.bare, y.bare))")
+add("f_subformula_anti", SUBFORMULAS, lambda d, parts: align.drop_subformulas(d, 5, parts).select("doc_id", "pos"), "WITH y AS (SELECT *, regexp_replace(latex, '\\s+', '', 'g') AS bare FROM x) SELECT doc_id, pos FROM y WHERE NOT EXISTS (SELECT 1 FROM y g WHERE g.doc_id = y.doc_id AND g.page = y.page AND length(y.bare) >= 5 AND length(g.bare) > length(y.bare) AND contains(g.bare, y.bare))", dealt=True)
 add("f_overlap_greedy", "SELECT l_orderkey AS doc_id, CAST(l_partkey % 50 AS INT) AS s, CAST(l_partkey % 50 + l_suppkey % 9 AS INT) AS e FROM __LI__", lambda d: d.groupBy("doc_id").agg(align.accept_intervals(F.collect_list(F.struct(F.col("s").alias("start"), F.col("e").alias("end")))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n_kept"), F.aggregate("k", F.lit(0), lambda a, x: a + x["start"]).cast("long").alias("sum_start")), """WITH RECURSIVE o AS (SELECT doc_id, s, e, row_number() OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM x),
 w AS (SELECT doc_id, k, greatest(e, s + 1) AS last, 1 AS n, s AS t FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.k, CASE WHEN o.s >= w.last THEN greatest(o.e, o.s + 1) ELSE w.last END, w.n + CASE WHEN o.s >= w.last THEN 1 ELSE 0 END, w.t + CASE WHEN o.s >= w.last THEN o.s ELSE 0 END FROM w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1)
 SELECT doc_id, CAST(max(n) AS BIGINT) AS n_kept, CAST(max(t) AS BIGINT) AS sum_start FROM w GROUP BY doc_id""")

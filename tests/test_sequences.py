@@ -437,3 +437,36 @@ def test_short_texts_make_no_pairs(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     # the pairs of short texts came from a join by document, page and gram before
     assert "_after" in plan
+
+def shuffled(spark):
+    """Rows written to shuffles so far in the session."""
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_texts_are_shuffled_and_not_their_ends(spark):
+    """Texts of 14 characters, each contained in another, have ten ends; a row is shuffled once, and comes out without a join."""
+    f = spark.range(8000, numPartitions=4).select((F.col("id") % 4).alias("doc_id"), (F.col("id") % 2).alias("page"), F.col("id").alias("pos"), F.concat(F.when(F.col("id") % 8 < 4, "ab").otherwise(""), F.lpad(F.bin(F.floor(F.col("id") / 8)), 12, "0")).alias("latex"))
+    before = shuffled(spark)
+    assert sorted(r.pos for r in align.drop_subformulas(f, 5).select("pos").collect()) == [k for k in range(8000) if k % 8 < 4]
+    assert shuffled(spark) - before < 2 * 8000
+
+
+@pytest.mark.parametrize("least", [1, 5, 20, 40])
+@pytest.mark.parametrize("crowd", [40, 600])
+def test_crowded_pages_are_dealt_by_ends(spark, monkeypatch, least, crowd):
+    """Pages over the limit, with copies of texts, texts of one end, long ones and rows without document, page or text."""
+    monkeypatch.setattr(align, "CROWD", crowd)
+    rng = random.Random(least + crowd)
+    rows = []
+    for page in range(5):
+        texts = ["".join(rng.choice("ab" if page == 0 else "abé𝛼12") for _ in range(rng.choice((0, 3, least, 12, 32, 33, 60)))) for _ in range(12 + 8 * page)]
+        for t in list(texts):
+            a = rng.randint(0, len(t))
+            texts.append(t[a : a + rng.randint(0, 40)])
+        rows += [(None if page == 4 and k % 7 == 0 else 1, None if page == 3 and k % 5 == 0 else page, t) for k, t in enumerate(texts + rng.choices(texts, k=20) + [None] * 3)]
+    f = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "pos int, doc_id int, page int, latex string")
+    got = {r.pos: (r.doc_id, r.page, r.latex) for r in align.drop_subformulas(f, least, 3).collect()}
+    longer = lambda d, p, t: any((d, p) == (e, q) and u and len(u) > len(t) and t in u for e, q, u in rows)
+    assert got == {k: (d, p, t) for k, (d, p, t) in enumerate(rows) if None in (d, p, t) or not (len(t) >= least and longer(d, p, t))}
